@@ -101,23 +101,39 @@ def risk_high_velocity(
 ) -> DataFrame:
     """Customers with ``min_count`` or more transactions over the whole table
     (no time window): count, total, distinct channels and branches, and the
-    first and last ``txn_date`` compared as text."""
-    t = with_typed(txn)
-    return (
-        t.where(F.col("_amt").isNotNull() & F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
+    first and last ``txn_date`` compared as text.
+
+    Text MIN/MAX have variable-width buffers, which would turn every
+    aggregate stage (including the distinct-count ``Expand``) into a
+    sort-based aggregate.  So counts, sums and distinct counts run as hash
+    aggregates, the ``top`` customers are picked, and the text span is
+    aggregated only for their rows: a join against at most ``top`` rows
+    (broadcast; the size is bounded by the limit) in front of a two-column
+    aggregate.  Two column-pruned scans instead of one sort of 3x the rows.
+    """
+    t = with_typed(txn).where(F.col("_amt").isNotNull() & F.col("customer_id").isNotNull())
+    ranked = (
+        t.groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("txn_count"),
             money_sum("_amt").alias("total_amount"),
             F.count_distinct("_chn").alias("channels_used"),
             F.count_distinct("branch_code").alias("branches_used"),
-            F.min("txn_date").alias("first_txn"),
-            F.max("txn_date").alias("last_txn"),
         )
         .where(F.col("txn_count") >= min_count)
         .orderBy(F.col("txn_count").desc(), F.col("customer_id"))
         .limit(top)
     )
+    # the ranked rows (at most ``top``) ride along as grouping keys, so the
+    # ranking aggregate appears once in the plan
+    return (
+        t.select("customer_id", "txn_date")
+        .join(F.broadcast(ranked), "customer_id")
+        .groupBy("customer_id", "txn_count", "total_amount", "channels_used", "branches_used")
+        .agg(F.min("txn_date").alias("first_txn"), F.max("txn_date").alias("last_txn"))
+        .coalesce(1)  # at most ``top`` rows: order them without a range shuffle
+        .sortWithinPartitions(F.col("txn_count").desc(), F.col("customer_id"))
+    )
 
 
 def risk_open_aml_alerts(alerts: DataFrame, top: int = 20) -> DataFrame:

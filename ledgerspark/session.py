@@ -23,6 +23,8 @@ def build_session(
       initial ``spark.sql.shuffle.partitions`` can be sized for the largest
       stage (thousands on a cluster) and small stages shrink at run time.
     * No UI server.
+    * No per-call Python origin capture (a debugging aid that costs a JVM
+      round trip per DataFrame call while plans are built).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -35,6 +37,7 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
