@@ -131,7 +131,7 @@ def risk_high_velocity(
         .join(F.broadcast(ranked), "customer_id")
         .groupBy("customer_id", "txn_count", "total_amount", "channels_used", "branches_used")
         .agg(F.min("txn_date").alias("first_txn"), F.max("txn_date").alias("last_txn"))
-        .coalesce(1)  # at most ``top`` rows: order them without a range shuffle
+        .repartition(1)  # at most ``top`` rows: order them without a range shuffle
         .sortWithinPartitions(F.col("txn_count").desc(), F.col("customer_id"))
     )
 
