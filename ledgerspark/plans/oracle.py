@@ -269,4 +269,12 @@ SELECT * FROM ingested""",
 SELECT * FROM ingested UNION ALL SELECT * FROM ingested""",
     "ingest_stream": f"""WITH {INGESTED}
 SELECT * FROM ingested""",
+    "ingest_alerts": f"""WITH {AML}
+SELECT *, 'kafka' AS _source FROM aml""",
+    "ingest_all_topics": f"""WITH {AML}, {CUST}, {NPA}, {CIBIL}
+SELECT 'finacle_transactions' AS table_name, COUNT(*) AS row_count FROM txnf
+UNION ALL SELECT 'finacle_customers', COUNT(*) FROM cust
+UNION ALL SELECT 'aml_alerts', COUNT(*) FROM aml
+UNION ALL SELECT 'cibil_bureau', COUNT(*) FROM cibil
+UNION ALL SELECT 'npa_report', COUNT(*) FROM npa""",
 }

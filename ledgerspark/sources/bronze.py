@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.sources.kafka import parse_records, read_kafka
-from ledgerspark.sources.schemas import NAMESPACES, Topic, select_topics
+from ledgerspark.sources.schemas import NAMESPACES, Topic, select_topics, topic
 
 log = logging.getLogger(__name__)
 
@@ -74,26 +74,36 @@ def ingest_frame(raw: DataFrame, topic: Topic, table: str, fmt: str = "parquet",
     return int(obs.get["rows"])
 
 
-def ingest_kafka_batch(
-    spark: SparkSession,
-    options: dict[str, str],
-    topic_name: str | None = None,
+def ingest_frames(
+    frames: dict[str, DataFrame],
     database: str = "bronze",
     fmt: str = "parquet",
 ) -> dict[str, int]:
-    """Batch ingest of one topic or all registered ones; rows written per table.
-
-    Unlike the reference, a failing topic raises after the others ran.
-    """
+    """Batch ingest of Kafka-shaped frames, one per topic name; rows written
+    per bronze table.  A failing topic does not stop the others; the failures
+    are raised together at the end (the reference only logged them)."""
     written: dict[str, int] = {}
     errors: dict[str, Exception] = {}
-    for t in select_topics(topic_name):
+    for name, raw in frames.items():
+        t = topic(name)
         try:
-            raw = read_kafka(spark, options, t.name)
             written[t.table] = ingest_frame(raw, t, f"{database}.{t.table}", fmt=fmt)
         except Exception as exc:  # keep going, report at the end
-            log.error("topic %s failed: %s", t.name, exc)
-            errors[t.name] = exc
+            log.error("topic %s failed: %s", name, exc)
+            errors[name] = exc
     if errors:
         raise RuntimeError(f"ingest failed for topics {sorted(errors)}") from next(iter(errors.values()))
     return written
+
+
+def ingest_kafka_batch(
+    spark: SparkSession,
+    options: dict[str, str],
+    topic_name: str | None = None,
+    database: str = "bronze",
+    fmt: str = "parquet",
+) -> dict[str, int]:
+    """Batch ingest of one topic or all registered ones from Kafka (bounded
+    read from the earliest offsets, appended: a re-run appends again)."""
+    frames = {t.name: read_kafka(spark, options, t.name) for t in select_topics(topic_name)}
+    return ingest_frames(frames, database, fmt)

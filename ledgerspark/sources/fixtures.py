@@ -128,20 +128,30 @@ def cibil_bureau(customer: DataFrame) -> DataFrame:
     )
 
 
-def kafka_records(txn: DataFrame, topic: str = "finacle-transactions") -> DataFrame:
-    """A Kafka-shaped frame of messages (as a topic dump would look), with one
-    message in ``BROKEN_JSON_MOD`` replaced by broken JSON."""
+def kafka_records(records: DataFrame, topic: str = "finacle-transactions", broken: bool = True) -> DataFrame:
+    """A Kafka-shaped frame of messages (as a topic dump would look).
+
+    The value is the record as JSON (fields the record frame lacks are
+    absent and parse back as NULL).  For transactions, one message in
+    ``BROKEN_JSON_MOD`` (by transaction number) is replaced by broken JSON.
+    """
     t = TOPICS[topic]
-    seq = txn_number()
-    return txn.select(
+    fields = [f for f in t.schema.fieldNames() if f in records.columns]
+    value = json_value(fields)
+    if topic == "finacle-transactions":
+        seq = txn_number()
+        if broken:
+            value = F.when(seq % BROKEN_JSON_MOD == 0, F.lit(BROKEN_JSON)).otherwise(value)
+        partition, offset = F.pmod(seq, F.lit(8)).cast("int"), seq
+    else:
+        partition, offset = F.spark_partition_id(), F.monotonically_increasing_id()
+    ts = F.col("_ingestion_ts").cast("timestamp") if "_ingestion_ts" in records.columns else F.current_timestamp()
+    return records.select(
         F.col(t.key_field).cast("binary").alias("key"),
-        F.when(seq % BROKEN_JSON_MOD == 0, F.lit(BROKEN_JSON))
-        .otherwise(json_value(t.schema.fieldNames()))
-        .cast("binary")
-        .alias("value"),
+        value.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(seq, F.lit(8)).cast("int").alias("partition"),
-        seq.alias("offset"),
-        F.col("_ingestion_ts").cast("timestamp").alias("timestamp"),
+        partition.alias("partition"),
+        offset.alias("offset"),
+        ts.alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

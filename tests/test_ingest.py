@@ -141,3 +141,25 @@ def test_scratch_dir_from_session(spark):
     assert d and os.path.isabs(d.replace("file:", ""))
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     assert uuid.UUID  # keep import
+
+
+def test_two_topic_streams_run_together(spark):
+    from ledgerspark.streaming.ingest import await_streams
+
+    events = fixtures.load(spark, SF_SMALL, "events")
+    txn_dump, alert_dump = fresh_path(spark, "txn-dump"), fresh_path(spark, "alert-dump")
+    fixtures.kafka_records(fixtures.flagged_transactions(events)).write.parquet(txn_dump)
+    fixtures.kafka_records(fixtures.aml_alerts(events), "aml-alerts").write.parquet(alert_dump)
+    db = scratch_database(spark)
+    root = fresh_path(spark, "cp")
+    queries = [
+        start_stream(file_source(spark, src), t, f"{db}.{t.table}", os.path.join(root, t.name),
+                     trigger={"availableNow": True})
+        for src, t in ((txn_dump, TXN), (alert_dump, TOPICS["aml-alerts"]))
+    ]
+    await_streams(spark, queries)
+    assert not any(q.isActive for q in queries)
+    assert spark.table(f"{db}.finacle_transactions").count() == 1000
+    alerts = spark.table(f"{db}.aml_alerts")
+    assert alerts.count() == 147
+    assert alerts.where(F.col("sar_filed").isNotNull()).count() == 0
