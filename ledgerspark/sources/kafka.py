@@ -79,11 +79,22 @@ def read_kafka(spark: SparkSession, options: dict[str, str], topic: str, streami
     return reader.format("kafka").options(**options).option("subscribe", topic).load()
 
 
+def sink_options(options: dict[str, str], topic: str) -> dict[str, str]:
+    """Kafka sink options: the connection settings of ``options`` (source-only
+    settings such as offsets dropped), the producer settings, the topic."""
+    out = {k: v for k, v in options.items() if k.startswith("kafka.")}
+    out.update(producer_options())
+    out["topic"] = topic
+    return out
+
+
 def write_kafka(envelope: DataFrame, options: dict[str, str], topic: str) -> None:
-    """Publish a ``key, value`` frame (see ``publish_envelope``) to a topic."""
-    sink_opts = {k: v for k, v in options.items() if k.startswith("kafka.")}
-    sink_opts.update(producer_options())
-    envelope.write.format("kafka").options(**sink_opts).option("topic", topic).save()
+    """Publish a ``key, value`` frame (see ``publish_envelope``) to a topic.
+
+    The Kafka sink is at-least-once: a retried task may publish a message
+    twice, which the append-only bronze layer keeps (no dedup), as before.
+    """
+    envelope.write.format("kafka").options(**sink_options(options, topic)).save()
 
 
 def parse_records(raw: DataFrame, schema: StructType, source: str = SOURCE_TAG) -> DataFrame:

@@ -163,3 +163,12 @@ def test_two_topic_streams_run_together(spark):
     alerts = spark.table(f"{db}.aml_alerts")
     assert alerts.count() == 147
     assert alerts.where(F.col("sar_filed").isNotNull()).count() == 0
+
+
+def test_sink_options():
+    from ledgerspark.sources.kafka import sink_options
+
+    opts = sink_options(kafka_options(env={"KAFKA_BOOTSTRAP_SERVERS": "b:9092"}), "aml-alerts")
+    assert opts["topic"] == "aml-alerts" and opts["kafka.bootstrap.servers"] == "b:9092"
+    assert "startingOffsets" not in opts and "failOnDataLoss" not in opts
+    assert (opts["kafka.acks"], opts["kafka.compression.type"], opts["kafka.retries"]) == ("all", "gzip", "3")
