@@ -15,7 +15,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from ledgerspark.session import build_session
 
-    s = build_session(master="local[4]", app_name="ledgerspark-tests", shuffle_partitions=8)
+    s = build_session(master="local[*]", app_name="ledgerspark-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -172,3 +172,20 @@ def test_sink_options():
     assert opts["topic"] == "aml-alerts" and opts["kafka.bootstrap.servers"] == "b:9092"
     assert "startingOffsets" not in opts and "failOnDataLoss" not in opts
     assert (opts["kafka.acks"], opts["kafka.compression.type"], opts["kafka.retries"]) == ("all", "gzip", "3")
+
+
+def test_json_number_lands_as_text(spark):
+    out = parse_records(kafka_frame(spark, ['{"txn_id": "N", "amount": 1.50, "balance_after": 7}']), TXN.schema)
+    r = out.collect()[0]
+    assert (r.amount, r.balance_after) == ("1.5", "7")
+
+
+def test_failing_topic_does_not_stop_the_others(spark):
+    from ledgerspark.sources.bronze import ingest_frames
+
+    db = scratch_database(spark)
+    good = kafka_frame(spark, [json.dumps({"alert_id": "A1", "status": "OPEN"})])
+    bad = good.select(F.raise_error(F.lit("broker gone")).cast("binary").alias("value"))
+    with pytest.raises(RuntimeError, match="finacle-transactions"):
+        ingest_frames({"finacle-transactions": bad, "aml-alerts": good}, database=db)
+    assert spark.table(f"{db}.aml_alerts").count() == 1
