@@ -151,3 +151,16 @@ def test_alerts_one_per_flagged(spark):
     assert a["sar_filed"] is None and a["assigned_to"] is None
     assert 60 <= int(a["risk_score"]) <= 99
     assert a["status"] in ("OPEN", "UNDER_REVIEW") and a["priority"] in ("CRITICAL", "HIGH", "MEDIUM")
+
+
+def test_kpi_on_empty_table(spark):
+    r = op.kpi_overall(txn_rows(spark, [{}]).limit(0)).collect()[0]
+    assert r.total_transactions == 0 and r.active_customers == 0
+    assert r.total_volume_inr is None and r.avg_amount_inr is None and r.earliest_txn is None
+
+
+def test_kpi_distincts_ignore_null(spark):
+    rows = [{"customer_id": None, "account_id": "A1"}, {"customer_id": "C1", "account_id": "A1"},
+            {"customer_id": "C2", "account_id": "A2", "branch_code": "BR9"}]
+    r = op.kpi_overall(txn_rows(spark, rows)).collect()[0]
+    assert (r.total_transactions, r.active_customers, r.unique_accounts, r.unique_branches) == (3, 2, 2, 2)
