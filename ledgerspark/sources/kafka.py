@@ -27,6 +27,8 @@ def kafka_options(
     mechanism: str | None = None,
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     env: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Source options for a SASL/SCRAM cluster.
@@ -35,6 +37,11 @@ def kafka_options(
     ``KAFKA_USERNAME``, ``KAFKA_PASSWORD``, ``KAFKA_SECURITY_PROTOCOL``,
     ``KAFKA_SASL_MECHANISM``).  There is no default for credentials: without
     them no SASL options are emitted.
+
+    Sizing for large topics: ``max_offsets_per_trigger`` caps each streaming
+    micro-batch (a stream starting at ``earliest`` would otherwise take the
+    whole backlog in its first batch); ``min_partitions`` splits large Kafka
+    partitions over more Spark tasks.
     """
     e = os.environ if env is None else env
     bootstrap = bootstrap or e.get("KAFKA_BOOTSTRAP_SERVERS")
@@ -49,6 +56,10 @@ def kafka_options(
     password = password or e.get("KAFKA_PASSWORD")
     protocol = protocol or e.get("KAFKA_SECURITY_PROTOCOL")
     mechanism = mechanism or e.get("KAFKA_SASL_MECHANISM")
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     if protocol:
         opts["kafka.security.protocol"] = protocol
     if username and password:

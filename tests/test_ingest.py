@@ -187,3 +187,11 @@ def test_failing_topic_does_not_stop_the_others(spark):
     with pytest.raises(RuntimeError, match="finacle-transactions"):
         ingest_frames({"finacle-transactions": bad, "aml-alerts": good}, database=db)
     assert spark.table(f"{db}.aml_alerts").count() == 1
+
+
+def test_kafka_sizing_options():
+    opts = kafka_options(env={"KAFKA_BOOTSTRAP_SERVERS": "b:9092"}, max_offsets_per_trigger=5_000_000, min_partitions=4000)
+    assert (opts["maxOffsetsPerTrigger"], opts["minPartitions"]) == ("5000000", "4000")
+    from ledgerspark.sources.kafka import sink_options
+
+    assert "maxOffsetsPerTrigger" not in sink_options(opts, "t")
