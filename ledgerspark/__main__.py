@@ -2,6 +2,7 @@
 
     ingest  [--topic T] [--mode batch|streaming] [--checkpoint-root DIR]
             [--database bronze] [--format parquet]
+            [--max-offsets-per-trigger N] [--min-partitions N]
     report  [--section kpi|volume|pattern|risk|counts|txn|risk_tables] [--database bronze]
     publish --table DB.TABLE        flag rule + alerts, published to both topics
     silver  --table DB.TABLE --path DIR
@@ -33,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--checkpoint-root", default=None)
     ing.add_argument("--database", default="bronze")
     ing.add_argument("--format", default="parquet")
+    ing.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    ing.add_argument("--min-partitions", type=int, default=None)
 
     rep = sub.add_parser("report", help="run analytics sections over bronze tables")
     rep.add_argument("--section", default=None)
@@ -56,7 +59,7 @@ def _ingest(spark: SparkSession, a) -> int:
     from ledgerspark.sources.schemas import select_topics
 
     select_topics(a.topic)  # unknown topic: exit 1 before touching the catalog
-    opts = kafka_options()
+    opts = kafka_options(max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions)
     create_namespaces(spark)
     if a.mode == "batch":
         written = ingest_kafka_batch(spark, opts, a.topic, a.database, a.format)
