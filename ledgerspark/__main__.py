@@ -62,8 +62,13 @@ def _ingest(spark: SparkSession, a) -> int:
     opts = kafka_options(max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions)
     create_namespaces(spark)
     if a.mode == "batch":
+        from ledgerspark.sources.catalog import bronze_counts_in
+
         written = ingest_kafka_batch(spark, opts, a.topic, a.database, a.format)
         log.info("rows written: %s", written)
+        # verification: total rows per bronze table, one job over all of them
+        for r in bronze_counts_in(spark, a.database, list(written)).toLocalIterator():
+            log.info("  %s: %d rows", r.table_name, r.row_count)
         return 0
     root = a.checkpoint_root or os.path.join(scratch_dir(spark), "ingest-checkpoints")
     queries = start_kafka_streams(spark, opts, root, a.topic, a.database, a.format)
