@@ -16,6 +16,10 @@ STRUCTURING_MIN_COUNT = 2
 VELOCITY_MIN_COUNT = 20
 LOW_CIBIL = 600
 
+# Largest ranked frame the velocity report broadcasts (rows); beyond it the
+# join is left to a shuffle join.
+BROADCAST_MAX_ROWS = 100_000
+
 
 def _cash(txn: DataFrame) -> DataFrame:
     t = with_typed(txn)
@@ -131,17 +135,27 @@ def risk_high_velocity(
         .limit(top)
     )
     # the ranked rows (at most ``top``) ride along as grouping keys, so the
-    # ranking aggregate appears once in the plan
+    # ranking aggregate appears once in the plan; broadcast only while ``top``
+    # bounds them to a small frame
+    keys = F.broadcast(ranked) if top <= BROADCAST_MAX_ROWS else ranked
     return (
         t.select("customer_id", "txn_date")
-        .join(F.broadcast(ranked), "customer_id")
+        .join(keys, "customer_id")
         .groupBy("customer_id", "txn_count", "total_amount", "channels_used", "branches_used")
         .agg(F.min("txn_date").alias("first_txn"), F.max("txn_date").alias("last_txn"))
-        .repartition(1)  # at most ``top`` rows: order them without a range shuffle
-        .sortWithinPartitions(F.col("txn_count").desc(), F.col("customer_id"))
+        .transform(lambda df: _ordered(df, top))
     )
 
 
+def _ordered(df: DataFrame, top: int) -> DataFrame:
+    """Order the at most ``top`` result rows: in one partition when ``top`` is
+    small (no range shuffle), else with a distributed sort."""
+    order = [F.col("txn_count").desc(), F.col("customer_id")]
+    if top <= BROADCAST_MAX_ROWS:
+        return df.repartition(1).sortWithinPartitions(*order)
+    return df.orderBy(*order)
+
+
 def risk_open_aml_alerts(alerts: DataFrame, top: int = 20) -> DataFrame:
     """Open alerts with the highest risk score (score and amount typed)."""
     return (

@@ -164,3 +164,16 @@ def test_kpi_distincts_ignore_null(spark):
             {"customer_id": "C2", "account_id": "A2", "branch_code": "BR9"}]
     r = op.kpi_overall(txn_rows(spark, rows)).collect()[0]
     assert (r.total_transactions, r.active_customers, r.unique_accounts, r.unique_branches) == (3, 2, 2, 2)
+
+
+def test_velocity_broadcasts_only_a_bounded_top(spark):
+    rows = [{"customer_id": f"C{i % 3}"} for i in range(60)]
+    df = txn_rows(spark, rows)
+    small, large = op.risk_high_velocity(df), op.risk_high_velocity(df, top=10**7)
+    assert sorted(r.customer_id for r in small.collect()) == sorted(r.customer_id for r in large.collect())
+
+    def hinted(d):
+        return "strategy=broadcast" in d._jdf.queryExecution().analyzed().toString()
+
+    # above the bound there is no hint; AQE may still broadcast on measured size
+    assert hinted(small) and not hinted(large)
