@@ -3,8 +3,10 @@
 No bank data ships with the tests, so each record type is a projection of a
 given table (``events``, ``orders``, ``customer``).  Each plants dirty data on
 purpose: unparseable amounts and dates, NULL customers, channels and types,
-padded and lower-case labels.  All derivations are narrow (no shuffle) and
-read only the columns they use, so the records grow with the given tables.
+padded and lower-case labels.  The moduli below only choose which rows carry
+a dirty value; no row is ever dropped.  All derivations are narrow (no
+shuffle) and read only the columns they use, so the records grow with the
+given tables: one record per source row.
 
 The same derivations exist as SQL in ``ledgerspark.plans.oracle`` for the
 DuckDB oracle.
