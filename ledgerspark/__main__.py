@@ -4,6 +4,7 @@
             [--database bronze] [--format parquet]
             [--max-offsets-per-trigger N] [--min-partitions N]
     report  [--section kpi|volume|pattern|risk|counts|txn|risk_tables] [--database bronze]
+            [--catalog NAME]
     publish --table DB.TABLE        flag rule + alerts, published to both topics
     silver  --table DB.TABLE --path DIR
 
@@ -40,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     rep = sub.add_parser("report", help="run analytics sections over bronze tables")
     rep.add_argument("--section", default=None)
     rep.add_argument("--database", default="bronze")
+    rep.add_argument("--catalog", default=None)
 
     pub = sub.add_parser("publish", help="flag a transactions table, publish it and its alerts")
     pub.add_argument("--table", required=True)
@@ -80,7 +82,7 @@ def _report(spark: SparkSession, a) -> int:
     from ledgerspark.plans.sections import BronzeTables, run_sections
 
     # no section: the four live sections, each failure reported at the end
-    run_sections(spark, a.section, BronzeTables(namespace=a.database))
+    run_sections(spark, a.section, BronzeTables(namespace=a.database, catalog=a.catalog))
     return 0
 
 

@@ -33,9 +33,14 @@ class BronzeTables:
     alerts: str = "aml_alerts"
     npa: str = "npa_report"
     cibil: str = "cibil_bureau"
+    catalog: str | None = None  # e.g. an Iceberg catalog; None: the session catalog
+
+    @property
+    def qualified_namespace(self) -> str:
+        return f"{self.catalog}.{self.namespace}" if self.catalog else self.namespace
 
     def name(self, table: str) -> str:
-        return f"{self.namespace}.{table}"
+        return f"{self.qualified_namespace}.{table}"
 
 
 Builder = Callable[[SparkSession, BronzeTables], DataFrame]
@@ -73,8 +78,8 @@ SECTIONS: dict[str, dict[str, Builder]] = {
         "risk_high_velocity": _txn(op.risk_high_velocity),
     },
     "counts": {
-        "bronze_tables": lambda spark, t: catalog.bronze_tables(spark, t.namespace),
-        "bronze_counts": lambda spark, t: catalog.bronze_counts_in(spark, t.namespace, BRONZE_TABLES),
+        "bronze_tables": lambda spark, t: catalog.bronze_tables(spark, t.qualified_namespace),
+        "bronze_counts": lambda spark, t: catalog.bronze_counts_in(spark, t.qualified_namespace, BRONZE_TABLES),
         "bronze_schema": lambda spark, t: catalog.bronze_schema(spark, t.name(t.transactions)),
     },
     "txn": {
@@ -113,7 +118,7 @@ def run_sections(
     """
     if section is not None and section not in SECTIONS:
         raise KeyError(f"unknown section {section!r}; known: {sorted(SECTIONS)}")
-    if not catalog.preflight(spark, tables.name(tables.transactions), tables.namespace):
+    if not catalog.preflight(spark, tables.name(tables.transactions), tables.namespace, tables.catalog):
         log.warning("%s is empty; nothing to report", tables.name(tables.transactions))
         return 0
     chosen = [section] if section else list(sections)

@@ -28,6 +28,8 @@ def test_report_sections(spark, db, capsys):
 def test_report_exit_codes(spark, db):
     assert main(["report", "--database", db, "--section", "counts_v0"], spark=spark) == 1
     assert main(["report", "--database", "no_such_db"], spark=spark) == 1
+    assert main(["report", "--database", db, "--catalog", "no_such_catalog"], spark=spark) == 1
+    assert main(["report", "--database", db, "--catalog", "spark_catalog", "--section", "kpi"], spark=spark) == 0
 
 
 def test_silver_command(spark, db):
