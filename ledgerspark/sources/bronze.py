@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.sources.catalog import table_exists
 from ledgerspark.sources.kafka import parse_records, read_kafka
 from ledgerspark.sources.schemas import NAMESPACES, Topic, select_topics, topic
 
@@ -34,12 +35,13 @@ def append_bronze(
     v2 format (``iceberg``) the table is created with ``writeTo().create()``
     and its properties; otherwise ``saveAsTable`` in append mode does both
     the create and the append.  Running it twice on the same input appends
-    the rows twice: there is no dedup in bronze.
+    the rows twice: there is no dedup in bronze.  An error while checking
+    existence counts as "missing" (the create then reports the real problem).
     """
     spark = df.sparkSession
     if fmt == "iceberg":
         writer = df.writeTo(table)
-        if spark.catalog.tableExists(table):
+        if table_exists(spark, table):
             writer.append()
             return
         props = {
@@ -53,7 +55,7 @@ def append_bronze(
         writer.using("iceberg").create()
         return
     w = df.write.format(fmt).mode("append")
-    if path and not spark.catalog.tableExists(table):
+    if path and not table_exists(spark, table):
         w = w.option("path", path)
     w.saveAsTable(table)
 
