@@ -39,3 +39,26 @@ def test_catalog_listings(spark):
     assert [r.column_name for r in schema][:3] == ["txn_id", "account_id", "customer_id"]
     assert [(r.column_name, r.data_type) for r in schema][-2:] == [("_ingestion_ts", "timestamp"), ("_source", "string")]
     assert len(schema) == 16
+
+
+# Row counts FIXTURES.md records for its drafts at sf0.001.
+FIXTURE_ROWS_SF0001 = {
+    "kpi_overall": 1, "txn_data_quality": 1, "volume_daily": 30, "volume_hourly": 24, "txn_hourly": 24,
+    "pattern_channel": 5, "txn_channel_distribution": 6, "pattern_txn_type": 2,
+    "pattern_branch_top15": 15, "txn_branch_type_top15": 15, "risk_high_velocity": 15,
+    "risk_high_value_cash": 14, "risk_high_value_cash_channel": 14, "risk_structuring": 20,
+    "risk_open_aml_alerts": 20, "risk_low_cibil": 20, "risk_npa_summary": 3, "bronze_counts": 5,
+    "derive_aml_alerts": 147,
+}
+
+
+@pytest.mark.parametrize("name", sorted(FIXTURE_ROWS_SF0001))
+def test_row_counts_match_fixture_drafts(spark, name):
+    assert QUERIES[name](spark, SF_SMALL).count() == FIXTURE_ROWS_SF0001[name]
+
+
+def test_flag_rule_yields_three_statuses_and_the_documented_broken_count(spark):
+    flagged = QUERIES["derive_flag"](spark, "/root/testdata/sf0.01")
+    assert flagged.select("status").distinct().count() == 3
+    parsed = QUERIES["ingest_json"](spark, "/root/testdata/sf0.01")
+    assert parsed.where("txn_id IS NULL").count() == 164  # FIXTURES: 164 of 10,000
