@@ -102,7 +102,10 @@ def pct_of_total(count: str | Column) -> Column:
     frame, in percent with two places.
 
     The window has no partition key: use it only on an aggregated frame with
-    one row per group, never on raw rows.
+    one row per group, never on raw rows.  Its one task then holds exactly
+    the result rows, which go back to the caller anyway.  (A scalar subquery
+    for the total would avoid the single task but re-scan the table: Catalyst
+    prunes it into a different aggregate, so no exchange is reused.)
     """
     c = _c(count)
     total = F.sum(c).over(Window.partitionBy())
