@@ -70,7 +70,9 @@ def start_stream(
         parsed.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .queryName(f"ingest_{topic.table}")
+        # one name per target table: two streams of one topic into different
+        # tables may run side by side
+        .queryName("ingest_" + table.replace(".", "_").replace("`", ""))
     )
     if fmt == "iceberg":
         w = w.option("fanout-enabled", "true")

@@ -195,3 +195,21 @@ def test_kafka_sizing_options():
     from ledgerspark.sources.kafka import sink_options
 
     assert "maxOffsetsPerTrigger" not in sink_options(opts, "t")
+
+
+def test_failing_stream_is_raised_and_stops_the_others(spark):
+    from pyspark.errors import StreamingQueryException
+
+    from ledgerspark.streaming.ingest import await_streams
+
+    events = fixtures.load(spark, SF_SMALL, "events")
+    dump = fresh_path(spark, "dump")
+    fixtures.kafka_records(fixtures.flagged_transactions(events)).write.parquet(dump)
+    db = scratch_database(spark)
+    root = fresh_path(spark, "cp")
+    healthy = start_stream(file_source(spark, dump), TXN, f"{db}.ok", os.path.join(root, "ok"))  # runs until stopped
+    broken_src = file_source(spark, dump).withColumn("value", F.raise_error(F.lit("broker gone")).cast("binary"))
+    broken = start_stream(broken_src, TXN, f"{db}.bad", os.path.join(root, "bad"))
+    with pytest.raises(StreamingQueryException):
+        await_streams(spark, [healthy, broken])
+    assert not healthy.isActive and not broken.isActive
