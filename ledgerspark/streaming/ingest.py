@@ -90,13 +90,21 @@ def start_kafka_streams(
     topic_name: str | None = None,
     database: str = "bronze",
     fmt: str = "parquet",
+    trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """One stream per topic (or just ``topic_name``), checkpoint per topic."""
-    queries = []
-    for t in select_topics(topic_name):
-        raw = read_kafka(spark, options, t.name, streaming=True)
-        cp = os.path.join(checkpoint_root, t.name)
-        queries.append(start_stream(raw, t, f"{database}.{t.table}", cp, fmt=fmt))
+    """One stream per topic (or just ``topic_name``), checkpoint per topic.
+
+    If a stream fails to start, the ones already started are stopped."""
+    queries: list[StreamingQuery] = []
+    try:
+        for t in select_topics(topic_name):
+            raw = read_kafka(spark, options, t.name, streaming=True)
+            cp = os.path.join(checkpoint_root, t.name)
+            queries.append(start_stream(raw, t, f"{database}.{t.table}", cp, fmt=fmt, trigger=trigger))
+    except BaseException:
+        for q in queries:
+            q.stop()
+        raise
     return queries
 
 

@@ -213,3 +213,44 @@ def test_failing_stream_is_raised_and_stops_the_others(spark):
     with pytest.raises(StreamingQueryException):
         await_streams(spark, [healthy, broken])
     assert not healthy.isActive and not broken.isActive
+
+
+def _topic_dumps(spark):
+    """One Kafka-shaped dump folder per registered topic, from the given tables."""
+    from ledgerspark.plans.registry import TABLE_TOPICS, bronze_frames
+
+    dumps = {}
+    for table, frame in bronze_frames(spark, SF_SMALL).items():
+        t = TABLE_TOPICS[table]
+        dumps[t] = fresh_path(spark, "dump")
+        fixtures.kafka_records(frame, t).write.parquet(dumps[t])
+    return dumps
+
+
+EXPECTED = {"finacle_transactions": 1000, "finacle_customers": 150, "aml_alerts": 147,
+            "cibil_bureau": 150, "npa_report": 1500}
+
+
+def test_kafka_batch_ingest_of_all_topics(spark, monkeypatch):
+    import ledgerspark.sources.bronze as bronze
+    from ledgerspark.sources.catalog import bronze_counts_in
+
+    dumps = _topic_dumps(spark)
+    monkeypatch.setattr(bronze, "read_kafka", lambda s, o, name, streaming=False: s.read.parquet(dumps[name]))
+    db = scratch_database(spark)
+    assert bronze.ingest_kafka_batch(spark, {"kafka.bootstrap.servers": "x"}, database=db) == EXPECTED
+    assert {r.table_name: r.row_count for r in bronze_counts_in(spark, db).collect()} == EXPECTED
+
+
+def test_kafka_streams_for_all_topics(spark, monkeypatch):
+    import ledgerspark.streaming.ingest as streaming
+
+    dumps = _topic_dumps(spark)
+    monkeypatch.setattr(streaming, "read_kafka", lambda s, o, name, streaming=False: file_source(s, dumps[name]))
+    db = scratch_database(spark)
+    root = fresh_path(spark, "cp")
+    qs = streaming.start_kafka_streams(spark, {}, root, database=db, trigger={"availableNow": True})
+    assert len(qs) == 5
+    streaming.await_streams(spark, qs)
+    assert {t: spark.table(f"{db}.{t}").count() for t in EXPECTED} == EXPECTED
+    assert sorted(os.listdir(root.replace("file:", ""))) == sorted(dumps)  # one checkpoint per topic
