@@ -35,17 +35,35 @@ def _key(row):
     return tuple((v is None, str(type(v)), str(v)) for v in row)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE", "binary": "BLOB",
+}
+
+
+def duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def compare(spark, name: str, sf_dir: str, query, sql: str, con=None):
-    """Returns (ok, message). Columns are matched by name; rows as multisets."""
+    """Returns (ok, message). Columns are matched by name (with equivalent
+    types); rows as multisets."""
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: duck_type(f.dataType.simpleString()) for f in sdf.schema.fields}
     s_rows = [tuple(_norm(r[c]) for c in sorted(s_cols)) for r in sdf.collect()]
     con = con or duck(sf_dir)
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.types)}
     d_rows = [tuple(_norm(v) for _, v in sorted(zip(d_cols, r))) for r in rel.fetchall()]
     if sorted(s_cols) != sorted(d_cols):
         return False, f"{name}: columns differ spark={s_cols} duck={d_cols}"
+    if s_types != d_types:
+        diff = {c: (s_types[c], d_types[c]) for c in s_types if s_types[c] != d_types.get(c)}
+        return False, f"{name}: column types differ {diff}"
     if len(s_rows) != len(d_rows):
         return False, f"{name}: row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = sorted(s_rows, key=_key), sorted(d_rows, key=_key)
