@@ -109,7 +109,8 @@ def pct_of_total(count: str | Column) -> Column:
     """
     c = _c(count)
     total = F.sum(c).over(Window.partitionBy())
-    basis_points = half_up_quotient(c * 10000, total)
+    # widen before scaling: a bigint count times 10000 could overflow
+    basis_points = half_up_quotient(c.cast("decimal(38,0)") * 10000, total)
     return (basis_points.cast("decimal(10,0)") / 100).cast(PERCENT)
 
 
