@@ -18,7 +18,8 @@ def pattern_channel(txn: DataFrame) -> DataFrame:
     and share of all counted transactions.
 
     The share uses a window over the aggregate (one row per channel), not over
-    raw rows, so its single-partition exchange carries a handful of rows.
+    raw rows, so its single-partition exchange carries exactly the result
+    rows.
     """
     agg = (
         _money(txn)
