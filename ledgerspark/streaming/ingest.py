@@ -108,16 +108,24 @@ def start_kafka_streams(
     return queries
 
 
-def await_streams(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Block until all streams end; the first failure stops the others and is
-    raised, and an interrupt stops them all."""
+def await_streams(spark: SparkSession, queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Block until all of ``queries`` end; the first failure among them stops
+    the others and is raised, and an interrupt stops them all.
+
+    Only these queries are watched: the session-wide ``awaitAnyTermination``
+    would also report streams of other callers (and keeps reporting an old
+    failure until reset).
+    """
     try:
-        while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-            failed = [q for q in queries if not q.isActive and q.exception() is not None]
-            if failed:
-                raise failed[0].exception()
+        while True:
+            for q in queries:
+                if not q.isActive and q.exception() is not None:
+                    raise q.exception()
+            active = [q for q in queries if q.isActive]
+            if not active:
+                return
+            # raises at once if this one fails; wakes up to look at the others
+            active[0].awaitTermination(poll_seconds)
     except BaseException:
         for q in queries:
             if q.isActive:
