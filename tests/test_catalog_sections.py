@@ -75,3 +75,14 @@ def test_silver_gives_same_answers_and_pushes_filters(spark, bronze_db):
         op.risk_high_value_cash(silver).explain("formatted")
     plan = buf.getvalue()
     assert "EqualTo(_chn,CASH)" in plan and "GreaterThanOrEqual(_amt,1000000.00)" in plan
+
+
+def test_counts_of_empty_namespace_and_listing_without_temp_views(spark):
+    db = scratch_database(spark)
+    empty = catalog.bronze_counts_in(spark, db)
+    assert empty.count() == 0 and empty.columns == ["table_name", "row_count"]
+    spark.range(3).createOrReplaceTempView("finacle_transactions")
+    spark.range(1).write.saveAsTable(f"{db}.aml_alerts")
+    assert [r.table_name for r in catalog.bronze_tables(spark, db).collect()] == ["aml_alerts"]
+    assert {r.table_name: r.row_count for r in catalog.bronze_counts_in(spark, db).collect()} == {"aml_alerts": 1}
+    spark.catalog.dropTempView("finacle_transactions")
