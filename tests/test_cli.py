@@ -50,3 +50,26 @@ def test_publish_reaches_the_kafka_writer(spark, db, monkeypatch, caplog):
     # no connector jar here: everything up to the sink runs, the sink itself is missing
     assert main(["publish", "--table", f"{db}.finacle_transactions"], spark=spark) == 2
     assert "kafka" in caplog.text.lower() and "data source" in caplog.text.lower()
+
+
+def test_incremental_ingest_reads_only_new_messages(spark, monkeypatch):
+    import os
+
+    import ledgerspark.streaming.ingest as streaming
+    from ledgerspark.sources import fixtures
+    from ledgerspark.streaming.ingest import file_source
+
+    events = fixtures.load(spark, SF_SMALL, "events")
+    dump = fresh_path(spark, "dump")
+    txn = fixtures.flagged_transactions(events)
+    fixtures.kafka_records(txn).write.parquet(dump)
+    monkeypatch.setattr(streaming, "read_kafka", lambda s, o, name, streaming=False: file_source(s, dump))
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "localhost:9")
+    db, cp = scratch_database(spark), fresh_path(spark, "cp")
+    args = ["ingest", "--mode", "incremental", "--topic", "finacle-transactions", "--database", db, "--checkpoint-root", cp]
+    assert main(args, spark=spark) == 0
+    assert main(args, spark=spark) == 0  # nothing new: nothing appended
+    fixtures.kafka_records(txn.limit(7)).write.mode("append").parquet(dump)
+    assert main(args, spark=spark) == 0
+    assert spark.table(f"{db}.finacle_transactions").count() == 1007
+    assert os.listdir(cp.replace("file:", "")) == ["finacle-transactions"]
