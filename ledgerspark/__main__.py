@@ -78,7 +78,7 @@ def _ingest(spark: SparkSession, a) -> int:
     root = a.checkpoint_root or os.path.join(scratch_dir(spark), "ingest-checkpoints")
     trigger = {"availableNow": True} if a.mode == "incremental" else None
     queries = start_kafka_streams(spark, opts, root, a.topic, a.database, a.format, trigger=trigger)
-    await_streams(spark, queries)
+    await_streams(queries)
     return 0
 
 

@@ -108,7 +108,7 @@ def start_kafka_streams(
     return queries
 
 
-def await_streams(spark: SparkSession, queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
+def await_streams(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Block until all of ``queries`` end; the first failure among them stops
     the others and is raised, and an interrupt stops them all.
 

@@ -155,7 +155,7 @@ def test_two_topic_streams_run_together(spark):
                      trigger={"availableNow": True})
         for src, t in ((txn_dump, TXN), (alert_dump, TOPICS["aml-alerts"]))
     ]
-    await_streams(spark, queries)
+    await_streams(queries)
     assert not any(q.isActive for q in queries)
     assert spark.table(f"{db}.finacle_transactions").count() == 1000
     alerts = spark.table(f"{db}.aml_alerts")
@@ -211,7 +211,7 @@ def test_failing_stream_is_raised_and_stops_the_others(spark):
     broken_src = file_source(spark, dump).withColumn("value", F.raise_error(F.lit("broker gone")).cast("binary"))
     broken = start_stream(broken_src, TXN, f"{db}.bad", os.path.join(root, "bad"))
     with pytest.raises(StreamingQueryException):
-        await_streams(spark, [healthy, broken])
+        await_streams([healthy, broken])
     assert not healthy.isActive and not broken.isActive
 
 
@@ -251,6 +251,6 @@ def test_kafka_streams_for_all_topics(spark, monkeypatch):
     root = fresh_path(spark, "cp")
     qs = streaming.start_kafka_streams(spark, {}, root, database=db, trigger={"availableNow": True})
     assert len(qs) == 5
-    streaming.await_streams(spark, qs)
+    streaming.await_streams(qs)
     assert {t: spark.table(f"{db}.{t}").count() for t in EXPECTED} == EXPECTED
     assert sorted(os.listdir(root.replace("file:", ""))) == sorted(dumps)  # one checkpoint per topic
