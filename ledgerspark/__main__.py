@@ -6,7 +6,7 @@
     report  [--section kpi|volume|pattern|risk|counts|txn|risk_tables] [--database bronze]
             [--catalog NAME]
     publish --table DB.TABLE        flag rule + alerts, published to both topics
-    silver  --table DB.TABLE --path DIR
+    silver  --table DB.TABLE [--path DIR] [--table-out DB.TABLE]
 
 Kafka connection settings come from the environment (see
 ``sources.kafka.kafka_options``).  Exit codes: 0 done (or nothing to do),
@@ -51,7 +51,8 @@ def _parser() -> argparse.ArgumentParser:
 
     sil = sub.add_parser("silver", help="write the typed silver layer of a transactions table")
     sil.add_argument("--table", required=True)
-    sil.add_argument("--path", required=True)
+    sil.add_argument("--path", default=None)
+    sil.add_argument("--table-out", default=None, help="catalog table to write, e.g. silver.finacle_transactions")
     return p
 
 
@@ -106,7 +107,7 @@ def _publish(spark: SparkSession, a) -> int:
 def _silver(spark: SparkSession, a) -> int:
     from ledgerspark.plans.silver import write_silver
 
-    write_silver(spark.table(a.table), a.path)
+    write_silver(spark.table(a.table), a.path, table=a.table_out)
     return 0
 
 

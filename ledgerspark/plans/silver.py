@@ -28,18 +28,31 @@ def to_silver(bronze: DataFrame) -> DataFrame:
 
 def write_silver(
     bronze: DataFrame,
-    path: str,
+    path: str | None = None,
     mode: str = "append",
     max_records_per_file: int = 5_000_000,
+    table: str | None = None,
 ) -> None:
-    (
+    """Write the silver layer to ``path``, or as catalog ``table`` (e.g.
+    ``silver.finacle_transactions``; stored at ``path`` when both are given).
+    ``append`` adds a new batch of bronze rows; re-appending the same rows
+    duplicates them, as in bronze."""
+    if not path and not table:
+        raise ValueError("write_silver needs a path or a table")
+    w = (
         to_silver(bronze)
         .sortWithinPartitions(PARTITION_COLUMN, "_chn")
         .write.mode(mode)
+        .format("parquet")
         .option("maxRecordsPerFile", str(max_records_per_file))
         .partitionBy(PARTITION_COLUMN)
-        .parquet(path)
     )
+    if table:
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(table)
+    else:
+        w.save(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

@@ -86,3 +86,22 @@ def test_counts_of_empty_namespace_and_listing_without_temp_views(spark):
     assert [r.table_name for r in catalog.bronze_tables(spark, db).collect()] == ["aml_alerts"]
     assert {r.table_name: r.row_count for r in catalog.bronze_counts_in(spark, db).collect()} == {"aml_alerts": 1}
     spark.catalog.dropTempView("finacle_transactions")
+
+
+def test_silver_as_catalog_table_prunes_days(spark, bronze_db):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    bronze = spark.table(f"{bronze_db}.finacle_transactions")
+    ns = scratch_database(spark)
+    write_silver(bronze, table=f"{ns}.finacle_transactions")
+    silver = spark.table(f"{ns}.finacle_transactions")
+    assert rows(op.kpi_overall(silver)) == rows(op.kpi_overall(bronze))
+    one_day = silver.where(F.col("_day") == F.lit("2024-01-05").cast("date"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        op.txn_data_quality(one_day).explain("formatted")
+    assert "PartitionFilters: [isnotnull(_day" in buf.getvalue()
+    assert one_day.count() == bronze.where(F.col("txn_date").startswith("2024-01-05")).count()
