@@ -71,3 +71,45 @@ def compare(spark, name: str, sf_dir: str, query, sql: str, con=None):
         if x != y:
             return False, f"{name}: first differing row\n spark={x}\n duck ={y}\n cols={sorted(s_cols)}"
     return True, f"{name}: {len(s_rows)} rows match"
+
+
+def main(argv=None) -> int:
+    """``python tests/oracle_compare.py [SF_DIR] [QUERY ...]``: run every
+    registered query (or the named ones) against its SQL twin."""
+    import os
+    import sys
+    import time
+
+    argv = sys.argv[1:] if argv is None else argv
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sys.path.insert(0, root)
+    import __spark_entry__ as entry
+    from ledgerspark.session import build_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    only = set(argv[1:])
+    spark = build_session(master="local[*]", shuffle_partitions=8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck(sf_dir)
+    queries, oracle = entry.queries(), entry.oracle_sql()
+    bad = 0
+    for name, query in queries.items():
+        if only and name not in only:
+            continue
+        t0 = time.perf_counter()
+        if name not in oracle:
+            n = query(spark, sf_dir).count()
+            print(f"--  {name}: {n} rows (no SQL twin)")
+            continue
+        try:
+            ok, msg = compare(spark, name, sf_dir, query, oracle[name], con)
+        except Exception as exc:  # report and go on
+            ok, msg = False, f"{name}: {type(exc).__name__}: {exc}"
+        bad += not ok
+        print(f"{'OK ' if ok else 'BAD'} {msg} ({time.perf_counter() - t0:.2f}s)", flush=True)
+    print(f"mismatches: {bad}")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
