@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm.common import load
+from ledgerspark.llm.decontamination import contaminated
+from ledgerspark.llm.neardup import near_duplicates
 from ledgerspark.llm.packing import pack_documents
 
 CAPACITY = 2048
@@ -22,7 +24,20 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path(), CAPACITY, keep_ids=False).drop("ids")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: 4-word shingles, 0.8."""
+    return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8)
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (document, benchmark item) pairs that leak, with their best window."""
+    docs, items = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
+    return contaminated(docs, items).drop("rid")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE: dict[str, str] = {}
