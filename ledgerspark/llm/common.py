@@ -16,6 +16,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables.  Texts can be long, so Python workers are sent
+    a thousand rows at a time instead of ten thousand."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,6 +8,7 @@ from ledgerspark.llm.common import load
 from ledgerspark.llm.decontamination import contaminated
 from ledgerspark.llm.neardup import near_duplicates
 from ledgerspark.llm.packing import pack_documents
+from ledgerspark.llm.syncmers import edited_fingerprints
 
 CAPACITY = 2048
 
@@ -24,6 +25,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path(), CAPACITY, keep_ids=False).drop("ids")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed-syncmer fingerprints of every text and its edited text."""
+    return edited_fingerprints(load(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 4-word shingles, 0.8."""
     return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8)
@@ -37,6 +43,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
