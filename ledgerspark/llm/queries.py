@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import load
+from ledgerspark.llm import language, quality
+from ledgerspark.llm.common import crc_mod, load
 from ledgerspark.llm.decontamination import contaminated
 from ledgerspark.llm.neardup import near_duplicates
 from ledgerspark.llm.packing import pack_documents
@@ -30,6 +32,19 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(load(spark, sf_dir, "documents"))
 
 
+#: scores from here on count as label 1
+QUALITY_FLOOR = 0.3
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression score of every text, learned off the held-out fifth."""
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, crc_mod("doc_id", 5) != 0)
+    return docs.select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")
+    ).withColumn("predicted", (F.col("score") >= QUALITY_FLOOR).cast("int"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 4-word shingles, 0.8."""
     return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8)
@@ -41,10 +56,23 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(docs, items).drop("rid")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned off the held-out third."""
+    docs = load(spark, sf_dir, "documents")
+    model = language.train(docs, crc_mod("doc_id", 3) != 1)
+    return docs.select(
+        "doc_id",
+        (crc_mod("doc_id", 3) == 1).alias("held_out"),
+        language.language(model, F.col("text")).alias("p"),
+    ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op8_language_id": op8_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE: dict[str, str] = {}
