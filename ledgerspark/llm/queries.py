@@ -10,6 +10,7 @@ from ledgerspark.llm.common import crc_mod, load
 from ledgerspark.llm.decontamination import contaminated
 from ledgerspark.llm.neardup import near_duplicates
 from ledgerspark.llm.packing import pack_documents
+from ledgerspark.llm.pii import personal_data
 from ledgerspark.llm.syncmers import edited_fingerprints
 
 CAPACITY = 2048
@@ -50,6 +51,19 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every text, and those found by their contexts."""
+    return personal_data(load(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2(F.col("base_list").cast("binary"), 256).alias("base_sha256"),
+        F.col("spans_list").alias("spans"),
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The (document, benchmark item) pairs that leak, with their best window."""
     docs, items = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
@@ -73,6 +87,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op8_language_id": op8_language_id,
+    "op9_personal_data": op9_personal_data,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE: dict[str, str] = {}
