@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import language, quality
+from ledgerspark.llm import language, quality, warc
 from ledgerspark.llm.common import crc_mod, load
 from ledgerspark.llm.decontamination import contaminated
+from ledgerspark.llm.extraction import extract
 from ledgerspark.llm.neardup import near_duplicates
 from ledgerspark.llm.packing import pack_documents
 from ledgerspark.llm.pii import personal_data
@@ -70,6 +71,17 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(docs, items).drop("rid")
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page's response record."""
+    records = warc.derivatives(warc.responses(load(spark, sf_dir, "pages")))
+    return warc.described(records)
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(load(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned off the held-out third."""
     docs = load(spark, sf_dir, "documents")
@@ -86,6 +98,8 @@ QUERIES = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_warc_derivatives": op6_warc_derivatives,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
     "op9_personal_data": op9_personal_data,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
