@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import language, quality, warc
+from ledgerspark.llm import language, pitmanyor, quality, warc
 from ledgerspark.llm.common import crc_mod, load
 from ledgerspark.llm.decontamination import contaminated
 from ledgerspark.llm.extraction import extract
@@ -47,6 +47,20 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= QUALITY_FLOOR).cast("int"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, learned off the held-out seventh."""
+    docs = load(spark, sf_dir, "documents")
+    return pitmanyor.scores(docs, crc_mod("doc_id", 7) != 2).select(
+        "doc_id",
+        (~F.col("training")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 4-word shingles, 0.8."""
     return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8)
@@ -97,6 +111,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_warc_derivatives": op6_warc_derivatives,
     "op7_html_extraction": op7_html_extraction,

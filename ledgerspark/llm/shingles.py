@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
+import xxhash
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
@@ -18,29 +17,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class WordHashes(dict):
-    """bytes -> 64-bit number of a word; emptied when it is full."""
-
-    limit = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
-
-
-HASHES = WordHashes()
-
-
 def words(text: str | None) -> list[bytes]:
     """A-Z lower-cased, split at ASCII white space."""
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
 def word_numbers(tokens: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(HASHES.__getitem__, tokens), dtype=U, count=len(tokens))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), dtype=U, count=len(tokens))
 
 
 def shingle_set(tokens: list[bytes], size: int) -> np.ndarray:
