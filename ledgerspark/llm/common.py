@@ -46,3 +46,8 @@ def crc_mod(col: str, mod: int) -> Column:
     """crc32 of the value's decimal text, modulo ``mod`` (null id: its text is
     empty)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
+
+
+def row_key() -> Column:
+    """64 bits that stand for a row's doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_of())

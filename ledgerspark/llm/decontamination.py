@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import stored, text_of
+from ledgerspark.llm.common import row_key, stored, text_of
 
 SHINGLE = 5
 #: benchmark shingles, or documents with candidate windows, that are broadcast (16 to 32 bytes each)
@@ -193,5 +193,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = 80, radi
     """``docs`` without the contaminated rows; all other rows and columns as
     they are."""
     bad = stored(contaminated(docs, benchmark, percent, radius).select("rid").distinct(), "leaks")
-    key = F.xxhash64(F.col("doc_id").cast("long"), text_of())
+    key = row_key()
     return docs.join(_sized(bad, bad.count()), key == bad.rid, "left_anti")

@@ -35,12 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import stored, text_of
+from ledgerspark.llm.common import row_key, stored, text_of
 from ledgerspark.llm.shingles import U, shingle_set, words
 
 BANDS, ROWS = 32, 4
 PERMS = BANDS * ROWS
 BATCH = 16  # hashes compared between two looks at the posterior
+BROADCAST_ROWS = 1_000_000  # row keys of 8 bytes that are broadcast at most
 BLOCK = 512  # members of a bucket in one task group
 
 _rng = np.random.default_rng(20240229)
@@ -88,22 +89,22 @@ def _signatures(column: pd.Series) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, ngram: int) -> DataFrame:
-    """doc_id, n_shingles, cls (key of the shingle set) and signature; the
-    last two are null without shingles."""
+    """rid (row key), doc_id, n_shingles, cls (key of the shingle set) and
+    signature; the last two are null without shingles."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for rid, doc_id, text in zip(batch["rid"], batch["doc_id"], batch["text"], strict=True):
                 s = shingle_set(words(text), ngram)
                 key = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                out.append((doc_id, len(s), key, signature(s).tobytes() if len(s) else None))
-            frame = pd.DataFrame(out, columns=["doc_id", "n_shingles", "cls", "sig"])
+                out.append((rid, doc_id, len(s), key, signature(s).tobytes() if len(s) else None))
+            frame = pd.DataFrame(out, columns=["rid", "doc_id", "n_shingles", "cls", "sig"])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return source.mapInPandas(sketch, "doc_id long, n_shingles long, cls binary, sig binary")
+    source = docs.select(row_key().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return source.mapInPandas(sketch, "rid long, doc_id long, n_shingles long, cls binary, sig binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -169,7 +170,7 @@ def exact_links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: in
 def near_duplicates(
     docs: DataFrame, ngram: int = 5, threshold: float = 0.8, miss: float = 1e-6
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    """One row per row of ``docs``: rid, doc_id, n_shingles, component_id, kept."""
     bounds = least_matches(threshold, miss)
     sketch = stored(sketches(docs, ngram), "sketches")
     classes = stored(
@@ -256,9 +257,10 @@ def near_duplicates(
     lowest = grouped.groupBy("label").agg(F.min("low_id").alias("component_id"))
     by_class = grouped.join(lowest, "label").select("cls", "component_id")
     return (
-        sketch.select("doc_id", "n_shingles", "cls")
+        sketch.select("rid", "doc_id", "n_shingles", "cls")
         .join(by_class, "cls", "left")
         .select(
+            "rid",
             "doc_id",
             "n_shingles",
             F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -267,6 +269,30 @@ def near_duplicates(
     )
 
 
+def deduplicate(docs: DataFrame, ngram: int = 5, threshold: float = 0.8, miss: float = 1e-6) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: one with the
+    group's smallest doc_id.  Rows without words, and those of groups that
+    have no doc_id, all stay."""
+    decided = stored(near_duplicates(docs, ngram, threshold, miss), "groups")
+    linked = decided.where((F.col("n_shingles") > 0) & F.col("component_id").isNotNull())
+    chosen = linked.where("kept").groupBy("component_id").agg(F.min("rid").alias("chosen"))
+    drop = linked.join(chosen, "component_id").where("rid != chosen").select("rid").distinct()
+    drop = stored(drop, "copies")
+    again = linked.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rid")
+    again = stored(again.join(drop, "rid", "left_anti"), "repeats")
+    key = row_key()
+    left = docs.join(_sized(drop), key == drop.rid, "left_anti")
+    if again.isEmpty():
+        return left
+    once = left.join(_sized(again), key == again.rid, "left_anti")
+    many = left.join(_sized(again), key == again.rid, "left_semi").withColumn("_rid", key)
+    return once.union(many.dropDuplicates(["_rid"]).drop("_rid"))
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
     """``df`` with the component label of ``node`` (itself if it has no link)."""
     known = labels.select(F.col("node").alias(node), F.col("label").alias("_label"))

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import stored, text_of
+from ledgerspark.llm.common import row_key, stored, text_of
 
 # fixed values: the base expressions; a kind's number is its place
 KINDS = ("email", "ip", "card", "phone")
@@ -274,7 +274,7 @@ def redact(docs: DataFrame, **graph) -> DataFrame:
             out.append("".join(parts) + text[done:] if spans else text)
         return pd.Series(out, dtype=object)
 
-    key = F.xxhash64(F.col("doc_id").cast("long"), text_of())
+    key = row_key()
     joined = docs.join(_sized(extra), key == extra.extra_rid, "left").withColumn("text", cleaned("text", "extra"))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -63,7 +63,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 4-word shingles, 0.8."""
-    return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8)
+    return near_duplicates(load(spark, sf_dir, "documents"), ngram=4, threshold=0.8).drop("rid")
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
