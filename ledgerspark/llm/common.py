@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.session import fresh_path
 
-# the words of the shingle and language-model contracts: runs of anything but
-# ASCII white space, with only A-Z lower-cased
-WORD_BYTES = rb"[^\x20\x09-\x0D]+"
-ASCII_SPACE = " \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables.  Texts can be long, so Python workers are sent
-    a thousand rows at a time instead of ten thousand."""
+    """One of the given tables.
+
+    Texts can be long, so Python workers are sent a thousand rows at a time
+    instead of ten thousand; and they look for this package where the driver
+    found it (on a cluster it is installed, or shipped with --py-files).
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
