@@ -1,0 +1,43 @@
+"""Small tables with the awkward cases every operator must survive."""
+
+import pytest
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    # names the operators use inside
+    "piece int, rid long, cls string, bucket int, a int, n long, kind int, start int, item_id long, predicted string, label int"
+)
+EXTRA = (7, 8, "x", 9, 10, 11, 12, 13, 14, "y", 15)
+
+LONG = " ".join(f"word{i % 977} of number {i}" for i in range(12_000))
+TEXTS = [
+    (None, "A row that has no identifier at all, but some words."),
+    (1, None),
+    (2, ""),
+    (3, " \t\n "),
+    (4, "one"),
+    (5, "Two equal rows with the very same words and the same id."),
+    (5, "Two equal rows with the very same words and the same id."),
+    (6, "Two equal rows with the very same words and the same id."),
+    (7, LONG),
+    (8, "\x00 é ß 日本語 \U0001f600 İ"),
+    (9, "x" * 30_000),
+    (10, "mail me: a.b@c.example.org or +1 (415) 555-0100, ip 10.0.0.1, card 4111 1111 1111 1111."),
+]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    rows = [(i, t, "en" if i else None, "s", len(t or "")) + EXTRA for i, t in TEXTS]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    """documents of the smallest scale, as pandas."""
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").toPandas()

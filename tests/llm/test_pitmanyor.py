@@ -1,0 +1,87 @@
+import collections
+import math
+import zlib
+
+import numpy as np
+
+from ledgerspark.llm import pitmanyor
+from ledgerspark.llm.common import crc_mod
+from ledgerspark.llm.pitmanyor import CONTEXTS, Bucket, Totals, _merged, _scored, _pack, scores, seat
+from ledgerspark.llm.queries import QUERIES
+
+
+def test_base_score_against_plain(spark, small):
+    got = {r.doc_id: r for r in QUERIES["op4_lm_scoring"](spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(small)
+    tokens = {i: (t or "").encode().lower().split() + [None] for i, t in zip(small.doc_id, small.text, strict=True)}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    counts = collections.Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    for i, ws in tokens.items():
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (held[i], len(ws), n)
+        assert r.n_known == sum(w in counts for w in ws)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
+    out = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_probabilities_sum_to_one():
+    """Over all known words and the unknown one, in every context."""
+    rng = np.random.default_rng(1)
+    w = np.sort(rng.integers(2, 60, 4000).astype(np.uint64))
+    u = rng.integers(0, 5, 4000).astype(np.uint16)
+    payload = _merged([(w, u, np.ones(4000, dtype=np.uint32))])
+    start = Totals(4000, len(np.unique(w)), np.zeros(CONTEXTS), np.zeros(CONTEXTS), 0.0, 0.0, 0.6, 0.5)
+    first = Bucket(payload, start, 1)
+    customers = np.bincount(first.context, weights=first.count, minlength=CONTEXTS)
+    totals = Totals(4000, len(first.words), customers, np.zeros(CONTEXTS), 0.0, 0.0, 0.6, 0.5)
+    totals.tables = np.bincount(first.context, weights=first.tables, minlength=CONTEXTS)
+    totals.root_customers, totals.root_tables = first.to_root.sum(), first.root_tables.sum()
+    known = first.words
+    unknown = np.array([10**9], dtype=np.uint64)
+    for context in (0, 3, 4000):
+        p = 0.0
+        for word in np.concatenate([known, unknown]):
+            block = _pack(
+                np.array([word], "<u8"), np.array([1], "<u4"), np.array([context], "<u2"), np.array([0], "<u2"), np.array([1], "<u4")
+            )
+            monkey = Bucket(payload, totals, 1)
+            monkey.sweep = lambda: None  # one seating: the sums are exact
+            data = next(_scored(monkey, totals, [block]))
+            p += 10 ** pitmanyor._unpack(data, "<u2", "<f8", "<f8", "<u4")[1][0]
+        assert math.isclose(p, 1.0, rel_tol=1e-9)
+
+
+def test_seating_follows_the_restaurant():
+    """Mean numbers of tables against customers seated one by one."""
+    rng = np.random.default_rng(0)
+    for count, strength in ((1, 0.5), (5, 0.3), (40, 0.2), (3000, 0.01)):
+        slow = []
+        for _ in range(300):
+            tables = 1
+            for seated in range(1, count):
+                tables += rng.random() < strength / (seated - 0.7 * tables + strength)
+            slow.append(tables)
+        fast = seat(np.full(3000, count), np.full(3000, strength), 0.7, rng)
+        assert fast.min() >= 1 and fast.max() <= count
+        assert abs(fast.mean() - np.mean(slow)) < 5 * np.std(slow) / 300**0.5 + 0.03 * np.mean(slow)
+
+
+def test_counts_do_not_depend_on_partitions(spark, small, monkeypatch):
+    docs = spark.createDataFrame(small[["doc_id", "text"]])
+    whole = {r.doc_id: r for r in scores(docs.coalesce(1), crc_mod("doc_id", 7) != 2).collect()}
+    monkeypatch.setattr(pitmanyor, "FAN_IN", 2)
+    parts = {r.doc_id: r for r in scores(docs.repartition(9), crc_mod("doc_id", 7) != 2).collect()}
+    for i, r in whole.items():
+        assert math.isclose(r.score, parts[i].score, rel_tol=1e-9) and r.n_known == parts[i].n_known
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = scores(odd_docs, crc_mod("doc_id", 7) != 2).collect()
+    assert len(rows) == odd_docs.count()
+    by = {r.doc_id: r for r in rows}
+    assert all(by[k].n_tokens == 1 for k in (1, 2, 3)) and by[None].n_tokens == 12
+    assert scores(no_docs, crc_mod("doc_id", 7) != 2).count() == 0
+    nothing = scores(odd_docs, crc_mod("doc_id", 7) > 99).collect()  # nobody to learn from
+    assert all(r.score == 0 and r.base_score == 0 and r.train_tokens == 0 for r in nothing)

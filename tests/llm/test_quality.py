@@ -1,0 +1,42 @@
+import zlib
+
+from pyspark.sql import functions as F
+
+from ledgerspark.llm import quality
+from ledgerspark.llm.queries import QUERIES
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    got = QUERIES["op3_quality_classifier"](spark, sf).toPandas()
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(got.doc_id, got.held_out, strict=True))
+    assert ((got.score >= 0.3) == (got.predicted == 1)).all() and got.score.between(0, 1).all()
+    both = got.merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
+    both = both[both.held_out]
+    assert (both.predicted == both.quality).mean() > 0.9
+    assert both[both.quality == 1].predicted.mean() > 0.95
+
+
+def test_odd_rows_and_missing_labels(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame(
+        [(None, 1, 0), (5, None, 0), (6, 1, 0), (6, 0, 0), (7, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int"
+    )
+    model = quality.train(odd_docs, labels)  # too few texts: the share of label 1
+    scores = odd_docs.select("doc_id", quality.score(model, F.col("text")).alias("s")).collect()
+    assert len(scores) == odd_docs.count() and {r.s for r in scores} == {0.5}
+    model = quality.train(no_docs, labels.limit(0))
+    assert model.share == 0.5
+    assert no_docs.select(quality.score(model, F.col("text"))).count() == 0
+
+
+def test_scores_of_odd_texts(spark, odd_docs):
+    good = [(i, f"a quiet sentence about number {i} and the river near town {i * 7}") for i in range(40)]
+    bad = [(100 + i, f"BUY!! NOW!! {i}!! " * 9) for i in range(40)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    got = {r.doc_id: r.s for r in docs.select("doc_id", quality.score(model, F.col("text")).alias("s")).collect()}
+    assert min(got[i] for i, _ in good) > max(got[i] for i, _ in bad)
+    odd = [r.s for r in odd_docs.select(quality.score(model, F.col("text")).alias("s")).collect()]
+    assert all(0 <= s <= 1 for s in odd)
