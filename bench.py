@@ -26,7 +26,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerspark import operators as op  # noqa: E402
-from ledgerspark.plans.registry import QUERIES, _txn  # noqa: E402
+from ledgerspark.plans.registry import QUERIES, _txn, drop_scratch  # noqa: E402
 from ledgerspark.plans.silver import read_silver, write_silver  # noqa: E402
 from ledgerspark.session import build_session, fresh_path  # noqa: E402
 
@@ -54,7 +54,9 @@ def main() -> None:
     def run(name: str, where: str) -> float:
         t0 = time.perf_counter()
         QUERIES[name](spark, where).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        took = time.perf_counter() - t0
+        drop_scratch(spark)  # so that every run writes its own tables, and none stay
+        return took
 
     names = only or list(QUERIES)
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

@@ -1,13 +1,16 @@
-"""Command line: ``spark-submit -m ledgerspark <command>`` or ``python -m ledgerspark``.
+"""Command line: ``spark-submit run_ledgerspark.py <command>`` or ``python -m ledgerspark``.
 
     ingest  [--topic T] [--mode batch|incremental|streaming] [--checkpoint-root DIR]
-            [--database bronze] [--format parquet]
+            [--catalog NAME] [--database bronze] [--format parquet]
+            [--property KEY=VALUE ...]
             [--max-offsets-per-trigger N] [--min-partitions N]
     report  [--section kpi|volume|pattern|risk|counts|txn|risk_tables] [--database bronze]
             [--catalog NAME]
     publish --table DB.TABLE        flag rule + alerts, published to both topics
-    silver  --table DB.TABLE [--path DIR] [--table-out DB.TABLE]
+    silver  --table DB.TABLE [--path DIR] [--table-out DB.TABLE] [--mode append|refresh]
 
+The stream modes need a checkpoint folder that outlives the process:
+``--checkpoint-root``, or ``spark.checkpoint.dir``.
 Kafka connection settings come from the environment (see
 ``sources.kafka.kafka_options``).  Exit codes: 0 done (or nothing to do),
 1 missing catalog object or unknown topic/section, 2 any other failure.
@@ -36,8 +39,11 @@ def _parser() -> argparse.ArgumentParser:
     # streaming: run until stopped
     ing.add_argument("--mode", choices=["batch", "incremental", "streaming"], default="batch")
     ing.add_argument("--checkpoint-root", default=None)
+    ing.add_argument("--catalog", default=None)
     ing.add_argument("--database", default="bronze")
     ing.add_argument("--format", default="parquet")
+    # table properties of a new Iceberg table
+    ing.add_argument("--property", action="append", default=[], metavar="KEY=VALUE")
     ing.add_argument("--max-offsets-per-trigger", type=int, default=None)
     ing.add_argument("--min-partitions", type=int, default=None)
 
@@ -52,33 +58,47 @@ def _parser() -> argparse.ArgumentParser:
     sil = sub.add_parser("silver", help="write the typed silver layer of a transactions table")
     sil.add_argument("--table", required=True)
     sil.add_argument("--path", default=None)
+    sil.add_argument("--mode", choices=["append", "refresh"], default="append")
     sil.add_argument("--table-out", default=None, help="catalog table to write, e.g. silver.finacle_transactions")
     return p
 
 
+def checkpoint_root(spark: SparkSession, given: str | None) -> str:
+    """Where the streams keep their progress; an error if that is nowhere
+    lasting (a folder of this process would make every run start over)."""
+    base = given or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("streaming and incremental ingest need --checkpoint-root or spark.checkpoint.dir")
+    return given or os.path.join(base, "ingest-checkpoints")
+
+
 def _ingest(spark: SparkSession, a) -> int:
-    from ledgerspark.session import scratch_dir
     from ledgerspark.sources.bronze import create_namespaces, ingest_kafka_batch
+    from ledgerspark.sources.catalog import MissingObject, bronze_counts_in, has_catalog
     from ledgerspark.sources.kafka import kafka_options
-    from ledgerspark.streaming.ingest import await_streams, start_kafka_streams
-
     from ledgerspark.sources.schemas import select_topics
+    from ledgerspark.streaming.ingest import await_streams, start_kafka_streams
 
     select_topics(a.topic)  # unknown topic: exit 1 before touching the catalog
+    if a.catalog and not has_catalog(spark, a.catalog):
+        raise MissingObject(f"catalog {a.catalog!r} not found")
+    root = None if a.mode == "batch" else checkpoint_root(spark, a.checkpoint_root)
     opts = kafka_options(max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions)
-    create_namespaces(spark)
+    create_namespaces(spark, a.catalog, extra=(a.database,))
+    database = f"{a.catalog}.{a.database}" if a.catalog else a.database
     if a.mode == "batch":
-        from ledgerspark.sources.catalog import bronze_counts_in
-
-        written = ingest_kafka_batch(spark, opts, a.topic, a.database, a.format)
+        properties = dict(p.split("=", 1) for p in a.property)
+        written = ingest_kafka_batch(spark, opts, a.topic, database, a.format, properties)
         log.info("rows written: %s", written)
         # verification: total rows per bronze table, one job over all of them
-        for r in bronze_counts_in(spark, a.database, list(written)).toLocalIterator():
-            log.info("  %s: %d rows", r.table_name, r.row_count)
+        totals = {r.table_name: r.row_count for r in bronze_counts_in(spark, database, list(written)).toLocalIterator()}
+        for table, n in written.items():
+            log.info("  %s: %d rows", table, totals.get(table, 0))
+            if totals.get(table, 0) < n:
+                raise RuntimeError(f"{table} shows {totals.get(table, 0)} rows after {n} were written")
         return 0
-    root = a.checkpoint_root or os.path.join(scratch_dir(spark), "ingest-checkpoints")
     trigger = {"availableNow": True} if a.mode == "incremental" else None
-    queries = start_kafka_streams(spark, opts, root, a.topic, a.database, a.format, trigger=trigger)
+    queries = start_kafka_streams(spark, opts, root, a.topic, database, a.format, trigger=trigger)
     await_streams(queries)
     return 0
 
@@ -98,6 +118,11 @@ def _publish(spark: SparkSession, a) -> int:
 
     opts = kafka_options()
     flagged = op.derive_flag(spark.table(a.table))
+    # rows of malformed messages carry no record; there is nothing to publish
+    broken = flagged.where("txn_id IS NULL").count()
+    if broken:
+        log.warning("%d rows without a transaction id are not published", broken)
+    flagged = flagged.where("txn_id IS NOT NULL")
     txn, alerts = TOPICS["finacle-transactions"], TOPICS["aml-alerts"]
     write_kafka(op.publish_envelope(flagged, txn.key_field, txn.schema.fieldNames()), opts, txn.name)
     write_kafka(op.publish_envelope(op.derive_aml_alerts(flagged), alerts.key_field), opts, alerts.name)
@@ -107,7 +132,7 @@ def _publish(spark: SparkSession, a) -> int:
 def _silver(spark: SparkSession, a) -> int:
     from ledgerspark.plans.silver import write_silver
 
-    write_silver(spark.table(a.table), a.path, table=a.table_out)
+    write_silver(spark.table(a.table), a.path, mode=a.mode, table=a.table_out)
     return 0
 
 

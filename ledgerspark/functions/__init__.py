@@ -10,7 +10,7 @@ from ledgerspark.functions.typed import (  # noqa: F401
     money_avg,
     money_sum,
     norm,
-    pct_of_total,
+    pct_of,
     tts,
     txn_day,
     txn_hour,

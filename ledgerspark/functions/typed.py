@@ -14,7 +14,7 @@ cent once a group holds ~10^12 rows).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The types the analytics cast to.
@@ -22,6 +22,8 @@ MONEY = "decimal(18,2)"  # TRY_CAST(amount AS DECIMAL(18,2))
 MONEY_TOTAL = "decimal(38,2)"  # sums and averages of money
 PERCENT = "decimal(5,2)"  # share of total, two places
 TS = "timestamp_ntz"  # zone-less business time, text form yyyy-MM-ddTHH:mm:ss
+# a full date, alone or with at least hours and minutes; a zone is read over
+TS_FORM = r"^ *\d{4}-\d{2}-\d{2}([T ]([01]\d|2[0-3]):\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)? *$"
 
 
 def _c(col: str | Column) -> Column:
@@ -34,8 +36,13 @@ def amt(col: str | Column = "amount") -> Column:
 
 
 def tts(col: str | Column = "txn_date") -> Column:
-    """Business timestamp; accepts ``T`` or space as separator, NULL otherwise."""
-    return _c(col).try_cast(TS)
+    """Business timestamp: a full date, alone or followed (after ``T`` or a
+    space) by hours and minutes or more; NULL otherwise.
+
+    The cast alone would read ``2026`` and ``2026-03`` as the first day of
+    that year or month.
+    """
+    return F.when(_c(col).rlike(TS_FORM), _c(col).try_cast(TS))
 
 
 def as_int(col: str | Column) -> Column:
@@ -97,20 +104,10 @@ def money_avg(total: str | Column, count: str | Column) -> Column:
     return (cents.cast("decimal(36,0)") / 100).cast(MONEY_TOTAL)
 
 
-def pct_of_total(count: str | Column) -> Column:
-    """Share of ``count`` in the sum of ``count`` over the whole (aggregated)
-    frame, in percent with two places.
-
-    The window has no partition key: use it only on an aggregated frame with
-    one row per group, never on raw rows.  Its one task then holds exactly
-    the result rows, which go back to the caller anyway.  (A scalar subquery
-    for the total would avoid the single task but re-scan the table: Catalyst
-    prunes it into a different aggregate, so no exchange is reused.)
-    """
-    c = _c(count)
-    total = F.sum(c).over(Window.partitionBy())
+def pct_of(count: str | Column, total: str | Column) -> Column:
+    """Share of ``count`` in ``total``, in percent with two places."""
     # widen before scaling: a bigint count times 10000 could overflow
-    basis_points = half_up_quotient(c.cast("decimal(38,0)") * 10000, total)
+    basis_points = half_up_quotient(_c(count).cast("decimal(38,0)") * 10000, total)
     return (basis_points.cast("decimal(10,0)") / 100).cast(PERCENT)
 
 

@@ -51,8 +51,16 @@ def _pick(seq, values):
 
 
 def txn_number(txn_id: str = "txn_id"):
-    """The number after the three-letter prefix of a transaction id."""
-    return F.substring(F.col(txn_id), 4, 1 << 20).try_cast("bigint")
+    """The number after the three-letter prefix of a transaction id; for ids
+    of another form, a stable non-negative hash of the id."""
+    return F.coalesce(
+        after_prefix(txn_id).try_cast("bigint"), F.pmod(F.xxhash64(txn_id), F.lit(1 << 31)).cast("bigint")
+    )
+
+
+def after_prefix(txn_id: str = "txn_id"):
+    """All of an id behind its three-letter prefix."""
+    return F.expr(f"substring({txn_id}, 4)")
 
 
 def derive_aml_alerts(txn: DataFrame) -> DataFrame:
@@ -73,7 +81,7 @@ def derive_aml_alerts(txn: DataFrame) -> DataFrame:
         ],
     )
     filled = {
-        "alert_id": F.concat(F.lit("AML"), F.substring(F.col("txn_id"), 4, 1 << 20)),
+        "alert_id": F.concat(F.lit("AML"), after_prefix()),
         "customer_id": F.col("customer_id"),
         "customer_name": F.col("customer_id"),
         "alert_date": F.col("txn_date"),

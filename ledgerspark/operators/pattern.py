@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.functions import MONEY, money_avg, money_sum, norm, pct_of_total, with_typed
+from ledgerspark.functions import MONEY, money_avg, money_sum, norm, pct_of, with_typed
 
 
 def _money(txn: DataFrame) -> DataFrame:
@@ -17,9 +17,9 @@ def pattern_channel(txn: DataFrame) -> DataFrame:
     """Per normalised channel (NULL channel excluded): count, total, average
     and share of all counted transactions.
 
-    The share uses a window over the aggregate (one row per channel), not over
-    raw rows, so its single-partition exchange carries exactly the result
-    rows.
+    The total behind the shares is a scalar subquery over the same aggregate.
+    It keeps all of the aggregate's columns, so Spark reuses the exchange: one
+    scan, and no task has to hold all channels.
     """
     agg = (
         _money(txn)
@@ -27,13 +27,18 @@ def pattern_channel(txn: DataFrame) -> DataFrame:
         .groupBy(F.col("_chn").alias("channel"))
         .agg(F.count(F.lit(1)).alias("txn_count"), money_sum("_amt").alias("total_amount"))
     )
-    return agg.select(
-        "channel",
-        "txn_count",
-        "total_amount",
-        money_avg("total_amount", "txn_count").alias("avg_amount"),
-        pct_of_total("txn_count").alias("pct_of_total"),
-    ).orderBy(F.col("txn_count").desc())
+    whole = agg.agg(F.struct(F.sum("txn_count").alias("n"), F.sum("total_amount").alias("amount")).alias("w")).scalar()
+    return (
+        agg.withColumn("_whole", whole)
+        .select(
+            "channel",
+            "txn_count",
+            "total_amount",
+            money_avg("total_amount", "txn_count").alias("avg_amount"),
+            pct_of("txn_count", F.col("_whole").getField("n")).alias("pct_of_total"),
+        )
+        .orderBy(F.col("txn_count").desc())
+    )
 
 
 def pattern_txn_type(txn: DataFrame) -> DataFrame:

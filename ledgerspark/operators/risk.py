@@ -16,10 +16,6 @@ STRUCTURING_MIN_COUNT = 2
 VELOCITY_MIN_COUNT = 20
 LOW_CIBIL = 600
 
-# Largest ranked frame the velocity report broadcasts (rows); beyond it the
-# join is left to a shuffle join.
-BROADCAST_MAX_ROWS = 100_000
-
 
 def _cash(txn: DataFrame) -> DataFrame:
     t = with_typed(txn)
@@ -107,55 +103,41 @@ def risk_high_velocity(
     (no time window): count, total, distinct channels and branches, and the
     first and last ``txn_date`` compared as text.
 
-    Text MIN/MAX have variable-width buffers, which would turn every
-    aggregate stage (including the distinct-count ``Expand``) into a
-    sort-based aggregate.  So counts, sums and distinct counts run as hash
-    aggregates (first per customer, channel and branch, then per customer),
-    the ``top`` customers are picked, and the text span is
-    aggregated only for their rows: a join against at most ``top`` rows
-    (broadcast; the size is bounded by the limit) in front of a two-column
-    aggregate.  Two column-pruned scans instead of one sort of 3x the rows.
+    Two passes.  The ranking needs only the count, so the first pass counts
+    per customer (one small row per customer and task in the shuffle) and
+    takes the ``top``.  The second keeps the rows of those customers.  They
+    are the hottest keys, so their rows are combined per customer, channel and
+    branch before the two distinct counts expand anything.  The join carries
+    no hint: the ranked side is limited to ``top`` rows, and Spark picks the
+    strategy from its size.
     """
     t = with_typed(txn).where(F.col("_amt").isNotNull() & F.col("customer_id").isNotNull())
-    # two levels: per (customer, channel, branch) first, so the distinct
-    # counts run over those groups instead of expanding every raw row
-    per_place = t.groupBy("customer_id", "_chn", "branch_code").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_amt").alias("_sum")
-    )
+    order = [F.col("txn_count").desc(), F.col("customer_id")]
     ranked = (
-        per_place.groupBy("customer_id")
+        t.groupBy("customer_id")
+        .agg(F.count(F.lit(1)).alias("txn_count"))
+        .where(F.col("txn_count") >= min_count)
+        .orderBy(*order)
+        .limit(top)
+    )
+    places = (
+        t.join(ranked, "customer_id")
+        .groupBy("customer_id", "txn_count", "_chn", "branch_code")
+        .agg(F.sum("_amt").alias("_sum"), F.min("txn_date").alias("_first"), F.max("txn_date").alias("_last"))
+    )
+    return (
+        places.groupBy("customer_id", "txn_count")
         .agg(
-            F.sum("_n").alias("txn_count"),
             money_sum("_sum").alias("total_amount"),
             F.count_distinct("_chn").alias("channels_used"),
             F.count_distinct("branch_code").alias("branches_used"),
+            F.min("_first").alias("first_txn"),
+            F.max("_last").alias("last_txn"),
         )
-        .where(F.col("txn_count") >= min_count)
-        .orderBy(F.col("txn_count").desc(), F.col("customer_id"))
-        .limit(top)
-    )
-    # the ranked rows (at most ``top``) ride along as grouping keys, so the
-    # ranking aggregate appears once in the plan; broadcast only while ``top``
-    # bounds them to a small frame
-    keys = F.broadcast(ranked) if top <= BROADCAST_MAX_ROWS else ranked
-    return (
-        t.select("customer_id", "txn_date")
-        .join(keys, "customer_id")
-        .groupBy("customer_id", "txn_count", "total_amount", "channels_used", "branches_used")
-        .agg(F.min("txn_date").alias("first_txn"), F.max("txn_date").alias("last_txn"))
-        .transform(lambda df: _ordered(df, top))
+        .orderBy(*order)
     )
 
 
-def _ordered(df: DataFrame, top: int) -> DataFrame:
-    """Order the at most ``top`` result rows: in one partition when ``top`` is
-    small (no range shuffle), else with a distributed sort."""
-    order = [F.col("txn_count").desc(), F.col("customer_id")]
-    if top <= BROADCAST_MAX_ROWS:
-        return df.repartition(1).sortWithinPartitions(*order)
-    return df.orderBy(*order)
-
-
 def risk_open_aml_alerts(alerts: DataFrame, top: int = 20) -> DataFrame:
     """Open alerts with the highest risk score (score and amount typed)."""
     return (

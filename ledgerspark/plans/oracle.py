@@ -14,6 +14,9 @@ that keep both engines comparable:
 
 from __future__ import annotations
 
+from ledgerspark.sources.fixtures import BAD_AMOUNTS, BAD_DATES
+from ledgerspark.sources.schemas import CIBIL_FIELDS, CUSTOMER_FIELDS, NPA_FIELDS
+
 
 def _zf(expr: str, width: int) -> str:
     s = f"CAST({expr} AS VARCHAR)"
@@ -24,11 +27,21 @@ def _money_text(expr: str) -> str:
     return f"CAST(CAST({expr} AS DECIMAL(18,2)) AS VARCHAR)"
 
 
-AMT = "TRY_CAST(amount AS DECIMAL(18,2))"
-TTS = "TRY_CAST(txn_date AS TIMESTAMP)"
+# what counts as a number and as a business time; DuckDB's own casts take more
+# (1_000, 24:00:00)
+NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+TIME = r"[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]([01][0-9]|2[0-3]):[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?"
+AMT = f"CASE WHEN regexp_full_match(trim(amount), '{NUMBER}') THEN TRY_CAST(trim(amount) AS DECIMAL(18,2)) END"
+TTS = f"CASE WHEN regexp_full_match(trim(txn_date), '{TIME}') THEN TRY_CAST(trim(txn_date) AS TIMESTAMP) END"
 CHN = "upper(trim(channel))"
 
 
+def _choice(values: tuple[str, ...], number: str) -> str:
+    """One of ``values`` by a whole number."""
+    cases = " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(values))
+    return f"CASE ({number}) % {len(values)} {cases} END"
+
+
 def _avg(x: str) -> str:
     return (
         f"CAST(CAST((2*CAST(SUM({x})*100 AS HUGEINT)+COUNT({x}))//(2*COUNT({x})) AS DECIMAL(36,0))"
@@ -51,12 +64,12 @@ TXN = f"""txn AS (
   'ACCT' || {_zf('user_id', 6)} AS account_id,
   CASE WHEN event_id % 89 <> 0 THEN 'CUST' || {_zf('user_id', 6)} END AS customer_id,
   CASE WHEN event_id % 79 = 0 THEN NULL WHEN event_type IN ('purchase', 'click') THEN ' debit' ELSE 'CREDIT' END AS txn_type,
-  CASE WHEN event_id % 97 = 0 THEN 'N/A'
+  CASE WHEN event_id % 97 = 0 THEN {_choice(BAD_AMOUNTS, 'event_id // 97')}
        WHEN event_type = 'purchase' AND event_id % 10 < 6 THEN {_money_text('900000 + (event_id * 7919) % 100000')}
        WHEN event_type = 'purchase' AND event_id % 10 = 6 THEN {_money_text('1000000 + (event_id * 7919) % 4000000')}
        ELSE {_money_text('value')} END AS amount,
   'INR' AS currency,
-  CASE WHEN event_id % 101 = 0 THEN 'bad-date' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS txn_date,
+  CASE WHEN event_id % 101 = 0 THEN {_choice(BAD_DATES, 'event_id // 101')} ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS txn_date,
   strftime(ts, '%Y-%m-%d') AS value_date,
   'BR' || {_zf('event_id % 23', 3)} AS branch_code,
   CASE WHEN event_id % 83 = 0 THEN NULL
@@ -79,7 +92,7 @@ TXNF = f"""{TXN},
 txnf AS (
  SELECT txn_id, account_id, customer_id, txn_type, amount, currency, txn_date, value_date,
   branch_code, channel, narration, balance_after,
-  CASE WHEN {CHN} = 'CASH' AND {AMT} > 500000 THEN 'FLAGGED' ELSE status END AS status,
+  CASE WHEN {CHN} = 'CASH' AND ({AMT}) > 500000 THEN 'FLAGGED' ELSE status END AS status,
   ref_number, _ingestion_ts
  FROM txn)"""
 
@@ -142,6 +155,26 @@ ingested AS (
  FROM msg)"""
 
 
+def _parsed(table: str, held: tuple[str, ...], fields: tuple[str, ...]) -> str:
+    """The records of ``table`` as ingested: fields the record lacks are NULL."""
+    cols = ", ".join(c if c in held else f"CAST(NULL AS VARCHAR) AS {c}" for c in fields)
+    return f"SELECT {cols}, 'kafka' AS _source FROM {table}"
+
+
+CUST_HELD = ("customer_id", "name", "kyc_status", "risk_category", "branch_code", "occupation")
+NPA_HELD = ("loan_id", "customer_id", "loan_type", "outstanding_principal", "dpd", "npa_status")
+CIBIL_HELD = (
+    "report_id",
+    "customer_id",
+    "customer_name",
+    "cibil_score",
+    "total_outstanding",
+    "dpd_90_count",
+    "wilful_defaulter",
+    "report_pull_date",
+)
+
+
 def _json_pair(c: str) -> str:
     return f"""CASE WHEN {c} IS NOT NULL THEN '"{c}":"' || {c} || '"' END"""
 
@@ -277,4 +310,18 @@ UNION ALL SELECT 'finacle_customers', COUNT(*) FROM cust
 UNION ALL SELECT 'aml_alerts', COUNT(*) FROM aml
 UNION ALL SELECT 'cibil_bureau', COUNT(*) FROM cibil
 UNION ALL SELECT 'npa_report', COUNT(*) FROM npa""",
+    "ingest_mixed": f"""WITH {INGESTED}
+SELECT * FROM ingested""",
+    "ingest_customers": f"""WITH {CUST}
+{_parsed('cust', CUST_HELD, CUSTOMER_FIELDS)}""",
+    "ingest_npa": f"""WITH {NPA}
+{_parsed('npa', NPA_HELD, NPA_FIELDS)}""",
+    "ingest_cibil": f"""WITH {CIBIL}
+{_parsed('cibil', CIBIL_HELD, CIBIL_FIELDS)}""",
+    "bronze_tables": """SELECT * FROM (VALUES ('finacle_transactions'), ('finacle_customers'), ('aml_alerts'),
+ ('cibil_bureau'), ('npa_report')) t(table_name)""",
+    "bronze_schema": f"""SELECT column_name,
+ CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE WITH {TXN}
+SELECT {TXN_COLS}, CAST(_ingestion_ts AS TIMESTAMPTZ) AS _ingestion_ts, 'kafka' AS _source FROM txn)""",
 }

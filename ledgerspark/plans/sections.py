@@ -6,9 +6,10 @@ row counts, schema), ``txn`` (transaction breakdowns and data quality) and
 ``risk_tables`` (cash, open alerts, NPA, credit scores; each only when its
 table exists).
 
-Each query is a lazy DataFrame handed to ``action`` (default: print up to 25
-rows).  Running all sections goes on past a failing one and raises at the end
-with every failure, instead of swallowing it.
+Each query is a lazy DataFrame handed to ``action`` (default: print the
+report).  A query runs when the table it reads exists and has rows; others
+are skipped with a warning.  A failing query does not stop the others; all
+failures are raised together at the end.
 """
 
 from __future__ import annotations
@@ -46,22 +47,24 @@ class BronzeTables:
 Builder = Callable[[SparkSession, BronzeTables], DataFrame]
 
 
-def _txn(fn) -> Builder:
-    return lambda spark, t: fn(spark.table(t.name(t.transactions)))
+@dataclass(frozen=True)
+class Report:
+    """One query of a section: what it reads (an attribute of ``BronzeTables``,
+    or None for the catalog itself) and how it is built."""
+
+    reads: str | None
+    build: Builder
+
 
+def _on(attr: str, fn: Callable[[DataFrame], DataFrame]) -> Report:
+    return Report(attr, lambda spark, t: fn(spark.table(t.name(getattr(t, attr)))))
 
-def _if_table(attr: str, fn) -> Builder:
-    def build(spark: SparkSession, t: BronzeTables):
-        name = t.name(getattr(t, attr))
-        if not catalog.table_exists(spark, name):
-            log.warning("%s does not exist; skipped", name)
-            return None
-        return fn(spark.table(name))
 
-    return build
+def _txn(fn: Callable[[DataFrame], DataFrame]) -> Report:
+    return _on("transactions", fn)
 
 
-SECTIONS: dict[str, dict[str, Builder]] = {
+SECTIONS: dict[str, dict[str, Report]] = {
     "kpi": {"kpi_overall": _txn(op.kpi_overall)},
     "volume": {
         "volume_daily": _txn(op.volume_daily),
@@ -78,9 +81,13 @@ SECTIONS: dict[str, dict[str, Builder]] = {
         "risk_high_velocity": _txn(op.risk_high_velocity),
     },
     "counts": {
-        "bronze_tables": lambda spark, t: catalog.bronze_tables(spark, t.qualified_namespace),
-        "bronze_counts": lambda spark, t: catalog.bronze_counts_in(spark, t.qualified_namespace, BRONZE_TABLES),
-        "bronze_schema": lambda spark, t: catalog.bronze_schema(spark, t.name(t.transactions)),
+        "bronze_tables": Report(None, lambda spark, t: catalog.bronze_tables(spark, t.qualified_namespace)),
+        "bronze_counts": Report(
+            None, lambda spark, t: catalog.bronze_counts_in(spark, t.qualified_namespace, BRONZE_TABLES)
+        ),
+        "bronze_schema": Report(
+            "transactions", lambda spark, t: catalog.bronze_schema(spark, t.name(t.transactions))
+        ),
     },
     "txn": {
         "txn_channel_distribution": _txn(op.txn_channel_distribution),
@@ -89,18 +96,20 @@ SECTIONS: dict[str, dict[str, Builder]] = {
         "txn_data_quality": _txn(op.txn_data_quality),
     },
     "risk_tables": {
-        "risk_high_value_cash_channel": _if_table("transactions", op.risk_high_value_cash_channel),
-        "risk_open_aml_alerts": _if_table("alerts", op.risk_open_aml_alerts),
-        "risk_npa_summary": _if_table("npa", op.risk_npa_summary),
-        "risk_low_cibil": _if_table("cibil", op.risk_low_cibil),
+        "risk_high_value_cash_channel": _on("transactions", op.risk_high_value_cash_channel),
+        "risk_open_aml_alerts": _on("alerts", op.risk_open_aml_alerts),
+        "risk_npa_summary": _on("npa", op.risk_npa_summary),
+        "risk_low_cibil": _on("cibil", op.risk_low_cibil),
     },
 }
 LIVE_SECTIONS = ("kpi", "volume", "pattern", "risk")
 
 
-def show(name: str, df: DataFrame) -> None:
+def show(name: str, df: DataFrame, rows: int = 1000) -> None:
+    """Print a report; the longest one is bounded (30 days), the rest by their
+    number of groups."""
     print(f"--- {name} ---")
-    df.show(25, truncate=False)
+    df.show(rows, truncate=False)
 
 
 def run_sections(
@@ -111,30 +120,33 @@ def run_sections(
     sections: tuple[str, ...] = LIVE_SECTIONS,
 ) -> int:
     """Run one section, or every section in ``sections``; returns the number of
-    queries run (0 when the transactions table is empty).
+    queries run.
 
-    Missing catalog objects raise ``catalog.MissingObject``; an unknown
-    section raises ``KeyError``.
+    A missing catalog or namespace raises ``catalog.MissingObject``, and so
+    does a section none of whose tables exists; an unknown section raises
+    ``KeyError``.  Tables that no chosen query reads are not looked at.
     """
     if section is not None and section not in SECTIONS:
         raise KeyError(f"unknown section {section!r}; known: {sorted(SECTIONS)}")
-    if not catalog.preflight(spark, tables.name(tables.transactions), tables.namespace, tables.catalog):
-        log.warning("%s is empty; nothing to report", tables.name(tables.transactions))
-        return 0
-    chosen = [section] if section else list(sections)
+    catalog.require_namespace(spark, tables.namespace, tables.catalog)
+    chosen = {n: r for sec in ([section] if section else sections) for n, r in SECTIONS[sec].items()}
+    needed = {r.reads for r in chosen.values() if r.reads}
+    exists = {attr: catalog.table_exists(spark, tables.name(getattr(tables, attr))) for attr in needed}
+    if needed and not any(exists.values()) and all(r.reads for r in chosen.values()):
+        raise catalog.MissingObject(f"no table of {sorted(getattr(tables, a) for a in needed)} in {tables.qualified_namespace}")
+    filled = {a: ok and not spark.table(tables.name(getattr(tables, a))).isEmpty() for a, ok in exists.items()}
     ran, failures = 0, {}
-    for sec in chosen:
+    for name, report in chosen.items():
+        if report.reads and not filled[report.reads]:
+            state = "empty" if exists[report.reads] else "missing"
+            log.warning("%s skipped: %s is %s", name, tables.name(getattr(tables, report.reads)), state)
+            continue
         try:
-            for name, build in SECTIONS[sec].items():
-                df = build(spark, tables)
-                if df is not None:
-                    action(name, df)
-                    ran += 1
+            action(name, report.build(spark, tables))
+            ran += 1
         except Exception as exc:
-            if section:
-                raise
-            log.error("section %s failed: %s", sec, exc)
-            failures[sec] = exc
+            log.error("%s failed: %s", name, exc)
+            failures[name] = exc
     if failures:
-        raise RuntimeError(f"sections failed: {sorted(failures)}") from next(iter(failures.values()))
+        raise RuntimeError(f"queries failed: {sorted(failures)}") from next(iter(failures.values()))
     return ran

@@ -8,9 +8,12 @@ and ``_day`` next to the text columns; the analytics pick them up unchanged
 plain column predicates pushed to the scan, and the ``_day`` partitioning
 lets day filters skip whole folders.
 
-The write is narrow: no shuffle, each task writes the days it holds (sorted
-locally by day and channel so row-group statistics are tight), so a day that
-holds a third of all rows is spread over as many tasks as it arrived in.
+Rows are rebalanced by day before the write, so a day is written by few tasks
+into few files; a day that holds a third of all rows is split over tasks by
+AQE (rebalanced partitions may be divided, unlike hash partitions).
+
+``mode="append"`` adds rows.  ``mode="refresh"`` replaces the days present in
+the given rows and leaves the others alone, so a repeated run changes nothing.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.functions import with_typed
+from ledgerspark.sources.catalog import table_exists
 
 PARTITION_COLUMN = "_day"
 
@@ -35,24 +39,33 @@ def write_silver(
 ) -> None:
     """Write the silver layer to ``path``, or as catalog ``table`` (e.g.
     ``silver.finacle_transactions``; stored at ``path`` when both are given).
+
     ``append`` adds a new batch of bronze rows; re-appending the same rows
-    duplicates them, as in bronze."""
+    duplicates them, as in bronze.  ``refresh`` replaces every day that occurs
+    in ``bronze`` (give it whole days)."""
     if not path and not table:
         raise ValueError("write_silver needs a path or a table")
-    w = (
-        to_silver(bronze)
-        .sortWithinPartitions(PARTITION_COLUMN, "_chn")
-        .write.mode(mode)
-        .format("parquet")
-        .option("maxRecordsPerFile", str(max_records_per_file))
-        .partitionBy(PARTITION_COLUMN)
-    )
-    if table:
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
-    else:
-        w.save(path)
+    if mode not in ("append", "refresh"):
+        raise ValueError(f"unknown mode {mode!r}")
+    spark = bronze.sparkSession
+    rows = to_silver(bronze)
+    rows = rows.select(*[c for c in rows.columns if c not in (PARTITION_COLUMN, "_batch")], PARTITION_COLUMN)
+    rows = rows.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(PARTITION_COLUMN, "_chn")
+    w = rows.write.format("parquet").option("maxRecordsPerFile", str(max_records_per_file))
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")  # an overwrite touches the days it holds only
+    try:
+        if table and mode == "refresh" and table_exists(spark, table):
+            w.mode("overwrite").insertInto(table)
+            return
+        w = w.mode("overwrite" if mode == "refresh" and not table else "append").partitionBy(PARTITION_COLUMN)
+        if table:
+            (w.option("path", path) if path else w).saveAsTable(table)
+        else:
+            w.save(path)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

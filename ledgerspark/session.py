@@ -47,6 +47,44 @@ def build_session(
     return builder.getOrCreate()
 
 
+def iceberg_conf(catalog: str = "lakehouse", env: dict[str, str] | None = None) -> dict[str, str]:
+    """Spark settings for an Iceberg catalog in object storage, for
+    ``build_session(extra=...)``.
+
+    Everything comes from the environment; nothing has a default, secrets
+    least of all, and settings whose variable is unset are left out:
+    ``ICEBERG_CATALOG_IMPL``, ``ICEBERG_CATALOG_URI``, ``ICEBERG_CATALOG_REF``,
+    ``ICEBERG_WAREHOUSE``, ``ICEBERG_IO_IMPL``, ``S3_ENDPOINT``, ``S3_REGION``,
+    ``S3_ACCESS_KEY``, ``S3_SECRET_KEY``.  The Iceberg jar is not bundled.
+    """
+    e = os.environ if env is None else env
+    if not e.get("ICEBERG_WAREHOUSE"):
+        raise ValueError("an Iceberg catalog needs a warehouse (ICEBERG_WAREHOUSE)")
+    own = f"spark.sql.catalog.{catalog}"
+    conf = {
+        "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
+        own: "org.apache.iceberg.spark.SparkCatalog",
+        "spark.sql.defaultCatalog": catalog,
+    }
+    per_variable = {
+        "ICEBERG_CATALOG_IMPL": [f"{own}.catalog-impl"],
+        "ICEBERG_CATALOG_URI": [f"{own}.uri"],
+        "ICEBERG_CATALOG_REF": [f"{own}.ref"],
+        "ICEBERG_WAREHOUSE": [f"{own}.warehouse"],
+        "ICEBERG_IO_IMPL": [f"{own}.io-impl"],
+        "S3_ENDPOINT": [f"{own}.s3.endpoint", "spark.hadoop.fs.s3a.endpoint"],
+        "S3_REGION": [f"{own}.s3.region"],
+        "S3_ACCESS_KEY": [f"{own}.s3.access-key-id", "spark.hadoop.fs.s3a.access.key"],
+        "S3_SECRET_KEY": [f"{own}.s3.secret-access-key", "spark.hadoop.fs.s3a.secret.key"],
+    }
+    for variable, names in per_variable.items():
+        if e.get(variable):
+            conf.update(dict.fromkeys(names, e[variable]))
+    if e.get("S3_ENDPOINT"):  # an own endpoint serves buckets as paths
+        conf[f"{own}.s3.path-style-access"] = conf["spark.hadoop.fs.s3a.path.style.access"] = "true"
+    return conf
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for tables and checkpoints written by jobs.
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerspark.sources.catalog import table_exists
 from ledgerspark.sources.kafka import parse_records, read_kafka
@@ -13,30 +15,68 @@ from ledgerspark.sources.schemas import NAMESPACES, Topic, select_topics, topic
 
 log = logging.getLogger(__name__)
 
+BATCH_COLUMN = "_batch"
 
-def create_namespaces(spark: SparkSession, catalog: str | None = None, location: str | None = None) -> None:
-    """``bronze``, ``silver`` and ``gold``; with ``location``, each under it."""
+# Table properties of the bronze layer.
+ICEBERG_PROPERTIES = {
+    "format-version": "2",
+    "write.format.default": "parquet",
+    "write.parquet.compression-codec": "snappy",
+}
+
+
+def create_namespaces(
+    spark: SparkSession, catalog: str | None = None, location: str | None = None, extra: tuple[str, ...] = ()
+) -> None:
+    """``bronze``, ``silver``, ``gold`` and ``extra``; with ``location``, each under it."""
     prefix = f"{catalog}." if catalog else ""
-    for ns in NAMESPACES:
+    for ns in dict.fromkeys((*NAMESPACES, *extra)):
         loc = f" LOCATION '{location.rstrip('/')}/{ns}.db'" if location else ""
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{ns}{loc}")
 
 
+def has_file_log(spark: SparkSession, table: str) -> bool:
+    """Whether a file stream sink keeps the list of the table's files.
+
+    Readers of such a table see the listed files only, so rows that a batch
+    job appends would be invisible.
+    """
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    if not rows:
+        return False
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(rows[0]["data_type"], "_spark_metadata")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def create_bronze(spark: SparkSession, schema: StructType, table: str, fmt: str = "parquet", path: str | None = None) -> None:
+    """An empty bronze table in a file format, unless it exists.
+
+    Its one partition column names the batch that wrote a row, so that a
+    repeated batch can replace its own rows and nothing else.
+    """
+    empty = spark.createDataFrame([], schema.add(BATCH_COLUMN, "string") if BATCH_COLUMN not in schema.names else schema)
+    w = empty.write.format(fmt).mode("ignore").partitionBy(BATCH_COLUMN)
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
 def append_bronze(
     df: DataFrame,
     table: str,
     fmt: str = "parquet",
     path: str | None = None,
     properties: dict[str, str] | None = None,
+    batch: str | None = None,
 ) -> None:
     """Create the table from ``df`` if missing, else append to it.
 
-    Append-only and unpartitioned, like the reference's bronze layer.  For a
-    v2 format (``iceberg``) the table is created with ``writeTo().create()``
-    and its properties; otherwise ``saveAsTable`` in append mode does both
-    the create and the append.  Running it twice on the same input appends
-    the rows twice: there is no dedup in bronze.  An error while checking
-    existence counts as "missing" (the create then reports the real problem).
+    Running it twice on the same input appends the rows twice: there is no
+    dedup in bronze.  ``iceberg`` tables are created with
+    ``writeTo().create()`` and ``properties``.  In file formats every call
+    lands in a partition of its own (``_batch``): a new one, or the one named
+    by ``batch``, which then replaces what an earlier attempt left there.
+    Batch jobs and streams can share such a table.  A table that holds the
+    file log of a streaming file sink is refused.
     """
     spark = df.sparkSession
     if fmt == "iceberg":
@@ -44,23 +84,37 @@ def append_bronze(
         if table_exists(spark, table):
             writer.append()
             return
-        props = {
-            "format-version": "2",
-            "write.format.default": "parquet",
-            "write.parquet.compression-codec": "snappy",
-        }
-        props.update(properties or {})
-        for k, v in props.items():
+        for k, v in {**ICEBERG_PROPERTIES, **(properties or {})}.items():
             writer = writer.tableProperty(k, v)
         writer.using("iceberg").create()
         return
-    w = df.write.format(fmt).mode("append")
-    if path and not table_exists(spark, table):
-        w = w.option("path", path)
-    w.saveAsTable(table)
-
-
-def ingest_frame(raw: DataFrame, topic: Topic, table: str, fmt: str = "parquet", path: str | None = None) -> int:
+    if not table_exists(spark, table):
+        create_bronze(spark, df.schema, table, fmt, path)
+    elif has_file_log(spark, table):
+        raise RuntimeError(f"{table} belongs to a streaming file sink; rows appended to it would not be visible")
+    columns = spark.table(table).columns
+    if BATCH_COLUMN not in columns:  # a table from elsewhere
+        if batch:
+            raise RuntimeError(f"{table} has no column {BATCH_COLUMN}: a repeated batch could not replace its rows")
+        df.write.format(fmt).mode("append").saveAsTable(table)
+        return
+    tagged = df.withColumn(BATCH_COLUMN, F.lit(batch or f"batch-{uuid.uuid4().hex}"))
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        tagged.select(*columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def ingest_frame(
+    raw: DataFrame,
+    topic: Topic,
+    table: str,
+    fmt: str = "parquet",
+    path: str | None = None,
+    properties: dict[str, str] | None = None,
+) -> int:
     """Parse a Kafka-shaped frame and append it to ``table``.
 
     An empty source writes nothing and returns 0 (``isEmpty`` reads at most
@@ -72,7 +126,7 @@ def ingest_frame(raw: DataFrame, topic: Topic, table: str, fmt: str = "parquet",
         return 0
     obs = Observation(f"ingest_{topic.table}")
     parsed = parse_records(raw, topic.schema).observe(obs, F.count(F.lit(1)).alias("rows"))
-    append_bronze(parsed, table, fmt=fmt, path=path)
+    append_bronze(parsed, table, fmt=fmt, path=path, properties=properties)
     return int(obs.get["rows"])
 
 
@@ -80,6 +134,7 @@ def ingest_frames(
     frames: dict[str, DataFrame],
     database: str = "bronze",
     fmt: str = "parquet",
+    properties: dict[str, str] | None = None,
 ) -> dict[str, int]:
     """Batch ingest of Kafka-shaped frames, one per topic name; rows written
     per bronze table.  A failing topic does not stop the others; the failures
@@ -89,7 +144,7 @@ def ingest_frames(
     for name, raw in frames.items():
         t = topic(name)
         try:
-            written[t.table] = ingest_frame(raw, t, f"{database}.{t.table}", fmt=fmt)
+            written[t.table] = ingest_frame(raw, t, f"{database}.{t.table}", fmt=fmt, properties=properties)
         except Exception as exc:  # keep going, report at the end
             log.error("topic %s failed: %s", name, exc)
             errors[name] = exc
@@ -104,8 +159,9 @@ def ingest_kafka_batch(
     topic_name: str | None = None,
     database: str = "bronze",
     fmt: str = "parquet",
+    properties: dict[str, str] | None = None,
 ) -> dict[str, int]:
     """Batch ingest of one topic or all registered ones from Kafka (bounded
     read from the earliest offsets, appended: a re-run appends again)."""
     frames = {t.name: read_kafka(spark, options, t.name) for t in select_topics(topic_name)}
-    return ingest_frames(frames, database, fmt)
+    return ingest_frames(frames, database, fmt, properties)

@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerspark.sources.schemas import BRONZE_NAMESPACE, BRONZE_TABLES
 
 
+# Spark's error conditions for a name that leads nowhere.
+MISSING = (
+    "TABLE_OR_VIEW_NOT_FOUND",
+    "SCHEMA_NOT_FOUND",
+    "CATALOG_NOT_FOUND",
+    "REQUIRES_SINGLE_PART_NAMESPACE",  # the first part of the name is no catalog
+)
+
+
 class MissingObject(LookupError):
     """A catalog, namespace or table a query needs does not exist."""
 
@@ -24,11 +34,23 @@ def has_namespace(spark: SparkSession, name: str) -> bool:
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    """Exact-name existence; any catalog error counts as "missing"."""
+    """Exact-name existence.  A missing namespace or catalog means that the
+    table is missing too; any other error is raised."""
     try:
         return spark.catalog.tableExists(table)
-    except Exception:
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() in MISSING:
+            return False
+        raise
+
+
+def require_namespace(spark: SparkSession, namespace: str = BRONZE_NAMESPACE, catalog: str | None = None) -> None:
+    """``MissingObject`` unless the catalog and the namespace exist."""
+    if catalog and not has_catalog(spark, catalog):
+        raise MissingObject(f"catalog {catalog!r} not found")
+    ns = f"{catalog}.{namespace}" if catalog else namespace
+    if not has_namespace(spark, ns):
+        raise MissingObject(f"namespace {ns!r} not found")
 
 
 def preflight(
@@ -42,11 +64,7 @@ def preflight(
 
     The emptiness check reads at most one row.
     """
-    if catalog and not has_catalog(spark, catalog):
-        raise MissingObject(f"catalog {catalog!r} not found")
-    ns = f"{catalog}.{namespace}" if catalog else namespace
-    if not has_namespace(spark, ns):
-        raise MissingObject(f"namespace {ns!r} not found")
+    require_namespace(spark, namespace, catalog)
     if not table_exists(spark, table):
         raise MissingObject(f"table {table!r} not found")
     return not spark.table(table).isEmpty()
@@ -87,7 +105,6 @@ def bronze_counts_in(spark: SparkSession, database: str = BRONZE_NAMESPACE, tabl
 
 SCHEMA_LISTING = StructType(
     [
-        StructField("ordinal_position", IntegerType(), False),
         StructField("column_name", StringType(), False),
         StructField("data_type", StringType(), False),
     ]
@@ -95,11 +112,12 @@ SCHEMA_LISTING = StructType(
 
 
 def bronze_schema(spark: SparkSession, table: str) -> DataFrame:
-    """Column name and type of ``table`` in ordinal order.
+    """Column name and type of ``table`` in ordinal order, without the
+    technical partition column.
 
     Built from the table's schema (metadata, one row per column), not from
     its data.
     """
     fields = spark.table(table).schema.fields
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
+    rows = [(f.name, f.dataType.simpleString()) for f in fields if f.name != "_batch"]
     return spark.createDataFrame(rows, SCHEMA_LISTING)

@@ -31,11 +31,49 @@ BRANCHES_MOD = 23
 BROKEN_JSON_MOD = 61
 BROKEN_JSON = "{broken"
 
+# texts that are no amount and no business time
+BAD_AMOUNTS = (
+    "N/A",
+    "",
+    "   ",
+    "1_000",
+    "1,000.00",
+    "12.3.4",
+    "abc",
+    "--5",
+    "1e",
+    "NaN",
+    "INR 500",
+    "0x1F",
+    "12.50 CR",
+)
+BAD_DATES = (
+    "bad-date",
+    "",
+    "2026",
+    "2026-03",
+    "2026-13-01",
+    "2026-02-30",
+    "24:00:00",
+    "2026-01-01T24:00:00",
+    "2026-01-01T10",
+    "2026-01-01T10:61:00",
+    "01/02/2026",
+    "20260101",
+    "2026-1-1",
+)
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _choice(values: tuple[str, ...], number: str, step: int):
+    """One of ``values`` by ``number div step``."""
+    listed = F.array(*[F.lit(v) for v in values])
+    return F.element_at(listed, (F.expr(f"{number} div {step}") % len(values) + 1).cast("int"))
+
+
 def _money_text(c):
     return c.cast(MONEY).cast("string")
 
@@ -55,13 +93,13 @@ def transactions(events: DataFrame) -> DataFrame:
         .when(et.isin("purchase", "click"), " debit")
         .otherwise("CREDIT")
         .alias("txn_type"),
-        F.when(eid % BAD_AMOUNT_MOD == 0, "N/A")
+        F.when(eid % BAD_AMOUNT_MOD == 0, _choice(BAD_AMOUNTS, "event_id", BAD_AMOUNT_MOD))
         .when(purchase & (eid % 10 < 6), _money_text(900000 + scaled % 100000))
         .when(purchase & (eid % 10 == 6), _money_text(1000000 + scaled % 4000000))
         .otherwise(_money_text(F.col("value")))
         .alias("amount"),
         F.lit("INR").alias("currency"),
-        F.when(eid % BAD_DATE_MOD == 0, "bad-date")
+        F.when(eid % BAD_DATE_MOD == 0, _choice(BAD_DATES, "event_id", BAD_DATE_MOD))
         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
         .alias("txn_date"),
         F.date_format("ts", "yyyy-MM-dd").alias("value_date"),

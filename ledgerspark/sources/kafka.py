@@ -67,11 +67,16 @@ def kafka_options(
         opts["kafka.sasl.mechanism"] = mech
         opts["kafka.sasl.jaas.config"] = (
             "org.apache.kafka.common.security.scram.ScramLoginModule required "
-            f'username="{username}" password="{password}";'
+            f'username="{_quoted(username)}" password="{_quoted(password)}";'
         )
     return opts
 
 
+def _quoted(text: str) -> str:
+    """Text inside the double quotes of a JAAS option."""
+    return text.replace("\\", "\\\\").replace('"', '\\"')
+
+
 def producer_options() -> dict[str, str]:
     """Producer settings of the reference publisher, as Kafka sink options."""
     # Producer batching and durability settings.

@@ -13,41 +13,121 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 # Field names, in order, of each record type.
 TRANSACTION_FIELDS = (
-    "txn_id account_id customer_id txn_type amount currency txn_date value_date "
-    "branch_code channel narration balance_after status ref_number"
-).split()
+    "txn_id",
+    "account_id",
+    "customer_id",
+    "txn_type",
+    "amount",
+    "currency",
+    "txn_date",
+    "value_date",
+    "branch_code",
+    "channel",
+    "narration",
+    "balance_after",
+    "status",
+    "ref_number",
+)
 
 CUSTOMER_FIELDS = (
-    "customer_id name pan aadhaar_masked mobile email dob gender kyc_status "
-    "kyc_date risk_category branch_code account_type account_number "
-    "account_open_date occupation annual_income address_city address_state "
-    "nominee_name"
-).split()
+    "customer_id",
+    "name",
+    "pan",
+    "aadhaar_masked",
+    "mobile",
+    "email",
+    "dob",
+    "gender",
+    "kyc_status",
+    "kyc_date",
+    "risk_category",
+    "branch_code",
+    "account_type",
+    "account_number",
+    "account_open_date",
+    "occupation",
+    "annual_income",
+    "address_city",
+    "address_state",
+    "nominee_name",
+)
 
 AML_ALERT_FIELDS = (
-    "alert_id customer_id customer_name alert_date alert_type risk_score "
-    "rule_triggered transaction_ids total_amount currency description status "
-    "assigned_to priority due_date resolution resolution_date sar_filed "
-    "sar_reference"
-).split()
+    "alert_id",
+    "customer_id",
+    "customer_name",
+    "alert_date",
+    "alert_type",
+    "risk_score",
+    "rule_triggered",
+    "transaction_ids",
+    "total_amount",
+    "currency",
+    "description",
+    "status",
+    "assigned_to",
+    "priority",
+    "due_date",
+    "resolution",
+    "resolution_date",
+    "sar_filed",
+    "sar_reference",
+)
 
 CIBIL_FIELDS = (
-    "report_id customer_id customer_name pan cibil_score score_date "
-    "total_accounts active_accounts closed_accounts overdue_accounts "
-    "total_outstanding secured_outstanding unsecured_outstanding "
-    "credit_utilization_pct enquiry_count_6m enquiry_count_12m dpd_30_count "
-    "dpd_60_count dpd_90_count written_off_amount suit_filed_count "
-    "wilful_defaulter report_pull_date report_source"
-).split()
+    "report_id",
+    "customer_id",
+    "customer_name",
+    "pan",
+    "cibil_score",
+    "score_date",
+    "total_accounts",
+    "active_accounts",
+    "closed_accounts",
+    "overdue_accounts",
+    "total_outstanding",
+    "secured_outstanding",
+    "unsecured_outstanding",
+    "credit_utilization_pct",
+    "enquiry_count_6m",
+    "enquiry_count_12m",
+    "dpd_30_count",
+    "dpd_60_count",
+    "dpd_90_count",
+    "written_off_amount",
+    "suit_filed_count",
+    "wilful_defaulter",
+    "report_pull_date",
+    "report_source",
+)
 
 NPA_FIELDS = (
-    "report_date loan_id customer_id customer_name loan_type branch_code "
-    "sanctioned_amount outstanding_principal outstanding_interest "
-    "total_outstanding dpd asset_classification npa_status npa_date "
-    "provision_required_pct provision_amount collateral_type collateral_value "
-    "net_npa_exposure recovery_action recovery_amount last_review_date "
-    "next_review_date relationship_manager remarks"
-).split()
+    "report_date",
+    "loan_id",
+    "customer_id",
+    "customer_name",
+    "loan_type",
+    "branch_code",
+    "sanctioned_amount",
+    "outstanding_principal",
+    "outstanding_interest",
+    "total_outstanding",
+    "dpd",
+    "asset_classification",
+    "npa_status",
+    "npa_date",
+    "provision_required_pct",
+    "provision_amount",
+    "collateral_type",
+    "collateral_value",
+    "net_npa_exposure",
+    "recovery_action",
+    "recovery_amount",
+    "last_review_date",
+    "next_review_date",
+    "relationship_manager",
+    "remarks",
+)
 
 # Topic names and bronze table names.
 BRONZE_NAMESPACE = "bronze"

@@ -1,9 +1,14 @@
 """Structured Streaming ingest: topic stream -> parse -> append to bronze.
 
-Stateless and map-only (no watermark, window or state), so each micro-batch
-is a narrow projection written with the sink's commit protocol; the
-checkpoint (one folder per topic, on shared storage) makes a restart resume
-after the last committed batch without duplicates.
+Stateless and map-only (no watermark, window or state): each micro-batch is
+a narrow projection.  The checkpoint (one folder per topic, on shared storage)
+makes a restart resume after the last committed batch.
+
+In file formats a micro-batch goes through ``append_bronze`` into a partition
+named by the query's id and the batch's number, so a batch that is repeated
+after a failure replaces its own rows, and batch jobs may write to the same
+table.  (A file sink would keep its own list of files, and readers would not
+see anybody else's.)  Iceberg tables are written by their own sink.
 """
 
 from __future__ import annotations
@@ -23,11 +28,16 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ledgerspark.sources.bronze import append_bronze, create_bronze, has_file_log
+from ledgerspark.sources.catalog import table_exists
 from ledgerspark.sources.kafka import parse_records, read_kafka
 from ledgerspark.sources.schemas import Topic, select_topics
 
 log = logging.getLogger(__name__)
 
+# the job property in which Spark names the running query; it is kept in the checkpoint
+QUERY_ID = "sql.streaming.queryId"
+
 KAFKA_SCHEMA = StructType(
     [
         StructField("key", BinaryType()),
@@ -65,22 +75,31 @@ def start_stream(
     batches as fast as data arrives; ``{"availableNow": True}`` drains what is
     there and stops).  Iceberg gets its fan-out writer option.
     """
+    spark = raw.sparkSession
     parsed = parse_records(raw, topic.schema)
     w = (
-        parsed.writeStream.format(fmt)
-        .outputMode("append")
+        parsed.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         # one name per target table: two streams of one topic into different
         # tables may run side by side
         .queryName("ingest_" + table.replace(".", "_").replace("`", ""))
     )
-    if fmt == "iceberg":
-        w = w.option("fanout-enabled", "true")
-    if path:
-        w = w.option("path", path)
     if trigger:
         w = w.trigger(**trigger)
-    return w.toTable(table)
+    if fmt == "iceberg":
+        w = w.format(fmt).option("fanout-enabled", "true")
+        return (w.option("path", path) if path else w).toTable(table)
+    if table_exists(spark, table) and has_file_log(spark, table):
+        raise RuntimeError(f"{table} belongs to a streaming file sink; other writers' rows would not be visible")
+    create_bronze(spark, parsed.schema, table, fmt, path)
+
+    def land(rows: DataFrame, number: int) -> None:
+        session = rows.sparkSession
+        query = session.sparkContext.getLocalProperty(QUERY_ID)
+        append_bronze(rows, table, fmt=fmt, batch=f"stream-{query}-{number:010d}")
+        spark.catalog.refreshTable(table)  # the stream runs in a session of its own
+
+    return w.foreachBatch(land).start()
 
 
 def start_kafka_streams(

@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from frames import rows
@@ -63,6 +64,70 @@ def test_empty_table_reports_nothing(spark):
     assert sections.run_sections(spark, tables=sections.BronzeTables(namespace=db)) == 0
 
 
+def test_sections_need_only_their_own_tables(spark):
+    db = scratch_database(spark)
+    append_bronze(bronze_frames(spark, SF_SMALL)["aml_alerts"], f"{db}.aml_alerts")
+    tables, seen = sections.BronzeTables(namespace=db), []
+    act = lambda name, df: seen.append((name, df.count()))
+    assert sections.run_sections(spark, "risk_tables", tables, act) == 1
+    assert sections.run_sections(spark, "counts", tables, act) == 2
+    assert dict(seen) == {"risk_open_aml_alerts": 20, "bronze_tables": 1, "bronze_counts": 1}
+    with pytest.raises(catalog.MissingObject):
+        sections.run_sections(spark, "kpi", tables, act)
+
+
+def test_a_failing_query_does_not_stop_its_section(spark, bronze_db):
+    db = scratch_database(spark)
+    append_bronze(spark.table(f"{bronze_db}.finacle_transactions").drop("txn_type", "_batch"), f"{db}.finacle_transactions")
+    seen = []
+    with pytest.raises(RuntimeError, match="pattern_txn_type"):
+        sections.run_sections(spark, "pattern", sections.BronzeTables(namespace=db), lambda n, df: seen.append((n, df.count())))
+    assert [n for n, _ in seen] == ["pattern_channel", "pattern_branch_top15"]
+
+
+def test_reports_are_printed_whole(spark, capsys):
+    sections.show("x", spark.range(30))
+    assert "only showing" not in capsys.readouterr().out
+
+
+def test_only_missing_names_count_as_missing(spark, monkeypatch):
+    assert not catalog.table_exists(spark, "no_such_catalog.x.y")
+    assert not catalog.table_exists(spark, "no_such_namespace.y")
+
+    def broken(name):
+        raise RuntimeError("metastore is down")
+
+    monkeypatch.setattr(type(spark.catalog), "tableExists", lambda self, name: broken(name))
+    with pytest.raises(RuntimeError, match="metastore"):
+        catalog.table_exists(spark, "bronze.t")
+
+
+def test_silver_refresh_and_file_count(spark, bronze_db):
+    import os
+
+    bronze = spark.table(f"{bronze_db}.finacle_transactions").repartition(40)
+    path = fresh_path(spark, "silver")
+    write_silver(bronze, path, mode="refresh")
+    first = rows(read_silver(spark, path))
+    days = read_silver(spark, path).select("_day").distinct().count()
+    files = sum(f.endswith(".parquet") for _, _, names in os.walk(path.replace("file:", "")) for f in names)
+    assert len(first) == 1000 and files <= 2 * days
+    write_silver(bronze, path, mode="refresh")  # again: nothing doubles
+    assert rows(read_silver(spark, path)) == first
+    one_day = bronze.where("txn_date like '2024-01-05%'")
+    write_silver(one_day.withColumn("narration", F.lit("late")), path, mode="refresh")
+    after = read_silver(spark, path)
+    assert after.count() == 1000 and after.where("narration = 'late'").count() == one_day.count() > 0
+    ns = scratch_database(spark)
+    for _ in range(2):
+        write_silver(bronze, table=f"{ns}.s", mode="refresh")
+    assert spark.table(f"{ns}.s").count() == 1000
+    write_silver(bronze, table=f"{ns}.s")
+    assert spark.table(f"{ns}.s").count() == 2000
+    with pytest.raises(ValueError):
+        write_silver(bronze, path, mode="replace")
+
+
 def test_silver_gives_same_answers_and_pushes_filters(spark, bronze_db):
     bronze = spark.table(f"{bronze_db}.finacle_transactions")
     path = fresh_path(spark, "silver")

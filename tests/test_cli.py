@@ -73,3 +73,71 @@ def test_incremental_ingest_reads_only_new_messages(spark, monkeypatch):
     assert main(args, spark=spark) == 0
     assert spark.table(f"{db}.finacle_transactions").count() == 1007
     assert os.listdir(cp.replace("file:", "")) == ["finacle-transactions"]
+
+
+def test_stream_modes_need_a_lasting_checkpoint(spark, monkeypatch, caplog):
+    from ledgerspark.__main__ import checkpoint_root
+
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "localhost:9")
+    if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        for mode in ("incremental", "streaming"):
+            assert main(["ingest", "--mode", mode, "--topic", "finacle-transactions"], spark=spark) == 2
+        assert "checkpoint" in caplog.text
+    assert checkpoint_root(spark, "/shared/cp") == "/shared/cp"
+
+
+def test_ingest_into_a_chosen_catalog_and_database(spark, monkeypatch):
+    import ledgerspark.sources.bronze as bronze
+    from ledgerspark.sources import fixtures
+
+    dump = fresh_path(spark, "dump")
+    fixtures.kafka_records(fixtures.flagged_transactions(fixtures.load(spark, SF_SMALL, "events"))).write.parquet(dump)
+    monkeypatch.setattr(bronze, "read_kafka", lambda s, o, name, streaming=False: s.read.parquet(dump))
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "localhost:9")
+    args = ["ingest", "--topic", "finacle-transactions", "--catalog"]
+    name = scratch_database(spark)
+    spark.sql(f"DROP NAMESPACE {name}")  # the command creates it
+    assert main([*args, "spark_catalog", "--database", name], spark=spark) == 0
+    assert spark.table(f"spark_catalog.{name}.finacle_transactions").count() == 1000
+    assert main([*args, "no_such_catalog"], spark=spark) == 1
+    spark.sql(f"DROP NAMESPACE {name} CASCADE")
+
+
+def test_table_properties_reach_the_iceberg_writer(spark, monkeypatch):
+    import ledgerspark.sources.bronze as bronze
+
+    seen = {}
+
+    class Writer:
+        def tableProperty(self, k, v):  # noqa: N802
+            seen[k] = v
+            return self
+
+        def using(self, fmt):
+            seen["using"] = fmt
+            return self
+
+        def create(self):
+            seen["created"] = True
+
+    df = spark.range(1)
+    monkeypatch.setattr(type(df), "writeTo", lambda self, table: Writer())
+    bronze.append_bronze(df, "no_such_db.t", fmt="iceberg", properties={"write.target-file-size-bytes": "1"})
+    assert seen["using"] == "iceberg" and seen["created"] and seen["format-version"] == "2"
+    assert seen["write.target-file-size-bytes"] == "1"
+
+
+def test_launcher_runs_the_documented_command(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    submit = os.path.join(os.path.dirname(__import__("pyspark").__file__), "bin", "spark-submit")
+    done = subprocess.run(
+        [submit, "--master", "local[1]", "--conf", "spark.ui.enabled=false", os.path.join(root, "run_ledgerspark.py"),
+         "report", "--database", "no_such_db"],
+        cwd=tmp_path, env=os.environ | {"PYSPARK_PYTHON": sys.executable, "PYSPARK_DRIVER_PYTHON": sys.executable},
+        capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 1 and "no_such_db" in done.stdout + done.stderr

@@ -166,14 +166,37 @@ def test_kpi_distincts_ignore_null(spark):
     assert (r.total_transactions, r.active_customers, r.unique_accounts, r.unique_branches) == (3, 2, 2, 2)
 
 
-def test_velocity_broadcasts_only_a_bounded_top(spark):
-    rows = [{"customer_id": f"C{i % 3}"} for i in range(60)]
+def test_velocity_is_the_same_for_any_top(spark):
+    rows = [{"customer_id": f"C{i % 3}", "branch_code": f"B{i % 7}"} for i in range(70)]
     df = txn_rows(spark, rows)
     small, large = op.risk_high_velocity(df), op.risk_high_velocity(df, top=10**7)
-    assert sorted(r.customer_id for r in small.collect()) == sorted(r.customer_id for r in large.collect())
+    assert small.collect() == large.collect()
+    assert [r.customer_id for r in small.collect()] == ["C0", "C1", "C2"]
+    for d in (small, large):  # no size is forced on the join
+        assert "strategy=broadcast" not in d._jdf.queryExecution().analyzed().toString()
 
-    def hinted(d):
-        return "strategy=broadcast" in d._jdf.queryExecution().analyzed().toString()
 
-    # above the bound there is no hint; AQE may still broadcast on measured size
-    assert hinted(small) and not hinted(large)
+def test_business_time_needs_a_full_date(spark):
+    from ledgerspark.functions import amt, tts
+    from ledgerspark.sources.fixtures import BAD_AMOUNTS, BAD_DATES
+
+    good = ["2026-03-15", "2026-03-15T10:00", "2026-03-15 10:00:01", " 2026-03-15T23:59:59.5 "]
+    df = spark.createDataFrame([(x,) for x in good], "x string")
+    assert df.where(tts("x").isNull()).count() == 0
+    bad = spark.createDataFrame([(x,) for x in BAD_DATES], "x string")
+    assert [r.x for r in bad.where(tts("x").isNotNull()).collect()] == []
+    bad = spark.createDataFrame([(x,) for x in BAD_AMOUNTS], "x string")
+    assert [r.x for r in bad.where(amt("x").isNotNull()).collect()] == []
+    assert len(BAD_DATES) >= 10 and len(BAD_AMOUNTS) >= 10
+
+
+def test_alerts_for_ids_of_another_form(spark):
+    df = op.derive_flag(txn_rows(spark, [cash("600000", txn_id=f"UPI-TXN{i}") for i in range(20)]))
+    alerts = op.derive_aml_alerts(df).collect()
+    assert len(alerts) == 20
+    assert all(a.alert_type and a.status and a.priority and a.rule_triggered and a.description for a in alerts)
+    assert all(60 <= int(a.risk_score) <= 99 for a in alerts) and len({a.alert_type for a in alerts}) > 1
+    assert op.risk_open_aml_alerts(op.derive_aml_alerts(df)).count() > 0
+    long = "TXN" + "9" * 200
+    r = op.derive_aml_alerts(op.derive_flag(txn_rows(spark, [cash("600000", txn_id=long)]))).first()
+    assert r.alert_id == "AML" + "9" * 200

@@ -90,7 +90,7 @@ def test_stream_restart_adds_nothing_then_new_files(spark):
     fixtures.kafka_records(txn.limit(5)).write.mode("append").parquet(src)
     assert drain() == 1005
     batch = parse_records(spark.read.parquet(src), TXN.schema).drop("_ingestion_ts")
-    assert rows(spark.table(table).drop("_ingestion_ts")) == rows(batch)
+    assert rows(spark.table(table).drop("_ingestion_ts", "_batch")) == rows(batch)
 
 
 def test_append_bronze_creates_then_appends(spark):
@@ -254,3 +254,139 @@ def test_kafka_streams_for_all_topics(spark, monkeypatch):
     streaming.await_streams(qs)
     assert {t: spark.table(f"{db}.{t}").count() for t in EXPECTED} == EXPECTED
     assert sorted(os.listdir(root.replace("file:", ""))) == sorted(dumps)  # one checkpoint per topic
+
+
+def _drain(spark, src, table, cp):
+    q = start_stream(file_source(spark, src), TXN, table, cp, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+@pytest.mark.parametrize("order", ["batch first", "stream first"])
+def test_batch_and_stream_share_a_table(spark, order):
+    raw = fixtures.kafka_records(fixtures.flagged_transactions(fixtures.load(spark, SF_SMALL, "events")))
+    src = fresh_path(spark, "dump")
+    raw.where("offset % 5 < 2").write.parquet(src)  # 400 messages
+    rest = raw.where("offset % 5 >= 2")
+    table = f"{scratch_database(spark)}.{TXN.table}"
+    seen = 0
+
+    def batch():
+        nonlocal seen
+        written = ingest_frame(rest, TXN, table)
+        now = spark.table(table).count()
+        assert written == 600 == now - seen  # rows written are rows visible
+        seen = now
+
+    def stream():
+        nonlocal seen
+        _drain(spark, src, table, fresh_path(spark, "cp"))
+        now = spark.table(table).count()
+        assert now - seen == 400
+        seen = now
+
+    for step in (batch, stream) if order == "batch first" else (stream, batch):
+        step()
+    got = spark.table(table).drop("_ingestion_ts", "_batch")
+    assert rows(got) == rows(parse_records(raw, TXN.schema).drop("_ingestion_ts"))
+    batch()
+    assert spark.table(table).count() == 1600
+
+
+def test_restart_after_a_failed_batch_neither_loses_nor_doubles(spark, monkeypatch):
+    import ledgerspark.streaming.ingest as streaming
+    from pyspark.errors import StreamingQueryException
+
+    txn = fixtures.flagged_transactions(fixtures.load(spark, SF_SMALL, "events"))
+    src, cp = fresh_path(spark, "dump"), fresh_path(spark, "cp")
+    fixtures.kafka_records(txn).write.parquet(src)
+    table = f"{scratch_database(spark)}.{TXN.table}"
+    land, calls = streaming.append_bronze, []
+
+    def dies_after_writing(df, *args, **kw):
+        calls.append(kw["batch"])
+        land(df, *args, **kw)
+        if len(calls) == 1:
+            raise RuntimeError("lost before the checkpoint knew")
+
+    monkeypatch.setattr(streaming, "append_bronze", dies_after_writing)
+    with pytest.raises(StreamingQueryException):
+        _drain(spark, src, table, cp)
+    assert spark.table(table).count() == 1000  # written, but not committed
+    _drain(spark, src, table, cp)
+    assert calls[0] == calls[1]  # the same batch again
+    assert spark.table(table).count() == 1000
+    # a new checkpoint is another ingest: its batch 0 replaces nothing
+    _drain(spark, src, table, fresh_path(spark, "cp"))
+    assert spark.table(table).count() == 2000 and len(set(calls)) == 2
+
+
+def test_table_of_a_file_sink_is_refused(spark):
+    src = fresh_path(spark, "dump")
+    raw = fixtures.kafka_records(fixtures.flagged_transactions(fixtures.load(spark, SF_SMALL, "events"))).limit(10)
+    raw.write.parquet(src)
+    table = f"{scratch_database(spark)}.{TXN.table}"
+    parsed = parse_records(file_source(spark, src), TXN.schema)
+    q = parsed.writeStream.option("checkpointLocation", fresh_path(spark, "cp")).trigger(availableNow=True).toTable(table)
+    q.awaitTermination()
+    with pytest.raises(RuntimeError, match="streaming file sink"):
+        ingest_frame(raw, TXN, table)
+    with pytest.raises(RuntimeError, match="streaming file sink"):
+        start_stream(file_source(spark, src), TXN, table, fresh_path(spark, "cp"))
+
+
+def test_appending_to_a_table_without_the_batch_column(spark):
+    table = f"{scratch_database(spark)}.t"
+    df = txn_rows(spark, [{}, {}])
+    df.write.saveAsTable(table)
+    append_bronze(df, table)
+    assert spark.table(table).count() == 4
+    with pytest.raises(RuntimeError, match="_batch"):
+        append_bronze(df, table, batch="stream-x-0")
+
+
+def test_credentials_are_escaped():
+    env = {"KAFKA_BOOTSTRAP_SERVERS": "b", "KAFKA_USERNAME": 'u"x', "KAFKA_PASSWORD": 'p\\q"'}
+    jaas = kafka_options(env=env)["kafka.sasl.jaas.config"]
+    assert jaas.endswith(r'username="u\"x" password="p\\q\"";')
+
+
+def test_iceberg_settings_come_from_the_environment_only():
+    from ledgerspark.session import iceberg_conf
+
+    with pytest.raises(ValueError, match="ICEBERG_WAREHOUSE"):
+        iceberg_conf(env={})
+    plain = iceberg_conf("lake", env={"ICEBERG_WAREHOUSE": "s3://b/w"})
+    assert plain == {
+        "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
+        "spark.sql.catalog.lake": "org.apache.iceberg.spark.SparkCatalog",
+        "spark.sql.defaultCatalog": "lake",
+        "spark.sql.catalog.lake.warehouse": "s3://b/w",
+    }
+    full = iceberg_conf(
+        env={
+            "ICEBERG_WAREHOUSE": "w",
+            "ICEBERG_CATALOG_IMPL": "x.Catalog",
+            "ICEBERG_CATALOG_URI": "http://c/api",
+            "ICEBERG_CATALOG_REF": "main",
+            "ICEBERG_IO_IMPL": "x.IO",
+            "S3_ENDPOINT": "http://s",
+            "S3_REGION": "r",
+            "S3_ACCESS_KEY": "a",
+            "S3_SECRET_KEY": "k",
+        }
+    )
+    own = {k.removeprefix("spark.sql.catalog.lakehouse."): v for k, v in full.items() if k.startswith("spark.sql.catalog.lakehouse.")}
+    assert own == {
+        "warehouse": "w",
+        "catalog-impl": "x.Catalog",
+        "uri": "http://c/api",
+        "ref": "main",
+        "io-impl": "x.IO",
+        "s3.endpoint": "http://s",
+        "s3.region": "r",
+        "s3.access-key-id": "a",
+        "s3.secret-access-key": "k",
+        "s3.path-style-access": "true",
+    }
+    assert full["spark.hadoop.fs.s3a.endpoint"] == "http://s" and full["spark.hadoop.fs.s3a.secret.key"] == "k"

@@ -39,26 +39,32 @@ def test_top_k_without_full_sort(plans):
 
 def test_hash_aggregation_everywhere_but_the_bounded_text_span(plans):
     for n, p in plans.items():
-        if n == "risk_high_velocity":
-            continue
-        assert "SortAggregate" not in p, n
+        if n != "risk_high_velocity":
+            assert "SortAggregate" not in p, n
     p = plans["risk_high_velocity"]
-    # the sort-based aggregate only sees rows joined to the broadcast top-k
-    head = p.split("BroadcastHashJoin")[0]
-    assert "SortAggregate" in head and "Expand" not in head
+    # plan text is top-down: what stands below the ranking's top-k neither
+    # sorts for an aggregate nor expands rows
+    below = p[p.index("TakeOrderedAndProject") :]
+    assert "SortAggregate" not in below and "Expand" not in below
+    # the distinct counts expand groups (an aggregate stands below), not rows
+    expand = p[p.index("Expand") :]
+    assert "SortAggregate" in expand[: expand.index("Join")]
 
 
-def test_only_join_is_a_broadcast_of_the_top_k(plans):
+def test_only_joins_are_of_aggregates(plans):
     for n, p in plans.items():
         if n != "risk_high_velocity":
             assert "Join" not in p, n
-    assert "SortMergeJoin" not in plans["risk_high_velocity"]
 
 
-def test_global_window_sits_on_an_aggregate(plans):
-    # plan text is top-down: the window must be above the final aggregate
+def test_share_of_total_reuses_the_aggregate(plans, spark):
     p = plans["pattern_channel"]
-    assert p.index("Window") < p.index("HashAggregate") < p.index("FileScan")
+    assert "Window" not in p
+    df = QUERIES["pattern_channel"](spark, SF_SMALL)
+    df.collect()
+    ran = df._jdf.queryExecution().executedPlan().toString()
+    final = ran[: ran.index("Initial Plan")] if "Initial Plan" in ran else ran
+    assert "ReusedExchange" in final or "Reuse" in final
 
 
 def test_scans_read_only_used_columns(plans):
