@@ -53,7 +53,10 @@ _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.u
 def grams(text: str) -> np.ndarray:
     """Feature numbers of all n-grams of a text (empty without letters)."""
     c = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "replace"), dtype=np.uint32)
-    letter = _LETTER[np.minimum(c, 0xFFFF)] | (c > 0xFFFF)
+    letter = _LETTER[np.minimum(c, 0xFFFF)]
+    rare = np.flatnonzero(c > 0xFFFF)
+    if len(rare):
+        letter[rare] = [chr(x).isalpha() for x in c[rare]]
     if not letter.any():
         return np.empty(0, dtype=np.int64)
     c = np.where(letter, c, 32).astype(np.uint32)

@@ -44,3 +44,8 @@ def test_families_then_languages(spark):
     assert {f: sorted(v) for f, v in model.families.items()} == {"germanic": ["de", "en"], "romance": ["es", "fr"], "xx": ["xx"]}
     got = docs.select("lang", language.language(model, F.col("text")).alias("p")).select("lang", "p.*").collect()
     assert sum(r[0] == r[1] for r in got) >= 0.95 * len(got)
+
+
+def test_letters_beyond_the_basic_plane():
+    assert len(language.grams("\U0001f600 12 !?")) == 0  # signs, no letters
+    assert len(language.grams("\U00010400")) > 0  # a letter
