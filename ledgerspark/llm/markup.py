@@ -9,28 +9,55 @@ from dataclasses import dataclass
 # fixed values: HTML element names by role
 DROPPED = "script|style|noscript|template|iframe|textarea|title|svg|select|object|canvas|audio|video|datalist"
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label map mark math meter "
-    "output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split()
+    {
+        "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font",
+        "i", "img", "ins", "kbd", "label", "map", "mark", "math", "meter", "output", "progress", "q", "rp",
+        "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+        "wbr", "input",
+    }
+)
+VOID = frozenset(
+    {
+        "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track",
+        "wbr",
+    }
+)
+BOILER_TAGS = frozenset(
+    {
+        "nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset",
+    }
+)
+UNCLOSED = frozenset(
+    {
+        "p", "li", "tr", "td", "th", "dt", "dd", "option",
+    }
 )
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog button fieldset".split())
-UNCLOSED = frozenset("p li tr td th dt dd option".split())
 HEADER_TAGS = frozenset(["header"])
 CONTENT_TAGS = frozenset(["article", "main"])
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset(
+    {
+        "h1", "h2", "h3", "h4", "h5", "h6",
+    }
+)
 
 # fixed values: words of class, id and role names that mark what is not the
 # article; the soft ones only until an article begins inside
 HARD_CUES = frozenset(
-    "ad ads adv advert advertisement advertisements advertising adsense sponsor sponsored sponsors promo promotion "
-    "promoted comment comments reply replies respond discussion disqus related recommended recommendations cookie "
-    "cookies consent gdpr notice notices notification alert alertdialog popup modal overlay newsletter subscribe subscription signup "
-    "login share sharing social paywall disclaimer copyright pagination pager tags breadcrumb breadcrumbs "
-    "skip toc search".split()
+    {
+        "ad", "ads", "adv", "advert", "advertisement", "advertisements", "advertising", "adsense", "sponsor",
+        "sponsored", "sponsors", "promo", "promotion", "promoted", "comment", "comments", "reply", "replies",
+        "respond", "discussion", "disqus", "related", "recommended", "recommendations", "cookie", "cookies",
+        "consent", "gdpr", "notice", "notices", "notification", "alert", "alertdialog", "popup", "modal",
+        "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social",
+        "paywall", "disclaimer", "copyright", "pagination", "pager", "tags", "breadcrumb", "breadcrumbs",
+        "skip", "toc", "search",
+    }
 )
 SOFT_CUES = frozenset(
-    "nav navbar navigation menu menubar sidebar aside complementary footer contentinfo banner masthead topbar toolbar "
-    "widget widgets".split()
+    {
+        "nav", "navbar", "navigation", "menu", "menubar", "sidebar", "aside", "complementary", "footer",
+        "contentinfo", "banner", "masthead", "topbar", "toolbar", "widget", "widgets",
+    }
 )
 HEADER_CUES = frozenset(["header"])
 OPEN_CUES = frozenset(["comment", "comments", "reply", "replies", "related", "teaser", "promo", "sponsored", "ad", "advert"])
@@ -44,7 +71,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([A-Za-z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-CUE = re.compile(r"[A-Za-z]+")
+CUE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
