@@ -37,8 +37,11 @@ from ledgerspark.llm.common import shuffle_partitions, stored, text_of
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 INTERVALS = "length long, lo long, hi long, copies long, first_sequence long, at long"
 
-#: entries of each per-process table "word -> ids"; a full table is emptied
-WORDS = 1_000_000
+#: entries of the per-process tables "word -> ids", as written and without
+#: punctuation; a full table is emptied
+WORDS, CORES = 800_000, 1_000_000
+#: characters split into words at a time
+SLICE = 4_000_000
 #: words given to the tokenizer in one call
 AT_ONCE = 20_000
 # letters that no normalisation joins with what follows, then plain punctuation
@@ -60,7 +63,7 @@ class WordTokenizer:
         self.cores: dict[str, bytes] = {}
 
     def _encode(self, cores: list[str]) -> None:
-        if len(self.cores) + len(cores) > WORDS:
+        if len(self.cores) + len(cores) > CORES:
             self.cores.clear()
         for k in range(0, len(cores), AT_ONCE):
             part = cores[k : k + AT_ONCE]
@@ -82,7 +85,7 @@ class WordTokenizer:
             wanted = {core for core, _ in cut}.union({tail for _, tail in cut})
             wanted.discard("")
             if missing := wanted - self.cores.keys():
-                if len(self.cores) + len(missing) > WORDS:
+                if len(self.cores) + len(missing) > CORES:
                     missing = wanted
                 self._encode(list(missing))
             self.cores[""] = b""
@@ -104,6 +107,18 @@ def _tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
+def sliced(model: WordTokenizer, texts: pd.Series) -> Iterator[bytes]:
+    """``model.ids`` over a few texts at a time: lists of words are large."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= SLICE:
+            yield from model.ids(part)
+            part, size = [], 0
+    yield from model.ids(part)
+
+
 def tokenized_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = True
 ) -> DataFrame:
@@ -116,7 +131,7 @@ def tokenized_pieces(
         model = _tokenizer(tokenizer_path)
         for batch in batches:
             out = []
-            for doc_id, ids in zip(batch["doc_id"], model.ids(list(batch["text"])), strict=True):
+            for doc_id, ids in zip(batch["doc_id"], sliced(model, batch["text"]), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
