@@ -13,11 +13,12 @@ exact check, connected components.
    on the full shingle sets, recomputed from the texts of the classes they
    name.
 4. Links are contracted to components.  A bucket whose members are in one
-   component is done.  In the others every class outside the bucket's largest
-   component is compared with all members, blockwise (``BLOCK`` members a
-   task group); only surviving pairs leave the tasks.  So the work on a large
-   group of copies is linear in its size plus, for each class that did not
-   link, one comparison with each member.
+   component is done.  What the others connect is a family; every class
+   outside its largest component is compared with all members of other
+   components, block by block inside the tasks, by the same two steps.  Only
+   links that join components leave a block.  So the work on a large group of
+   copies is linear in its size plus, for each class that did not link, one
+   comparison with each member.
 
 Texts that are null, empty or white space have no shingles and are linked
 with nothing.  Rows that repeat a doc_id are one document; different texts
@@ -35,14 +36,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import row_key, stored, text_of
+from ledgerspark.llm.common import row_key, shuffle_partitions, stored, text_of
 from ledgerspark.llm.shingles import U, shingle_set, words
 
 BANDS, ROWS = 32, 4
 PERMS = BANDS * ROWS
 BATCH = 16  # hashes compared between two looks at the posterior
 BROADCAST_ROWS = 1_000_000  # row keys of 8 bytes that are broadcast at most
-BLOCK = 512  # members of a bucket in one task group
+PER_HUB = 64  # partners that share one copy of a hub's shingle set
+GROUP_BYTES = 16_000_000  # shingle sets in one task group
+BLOCK = 256  # classes in a block
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(1, 2**63, PERMS, dtype=U) * U(2) + U(1)
@@ -52,8 +55,8 @@ _ADD = _rng.integers(0, 2**63, PERMS, dtype=U)
 def signature(shingles: np.ndarray) -> np.ndarray:
     """Minimum of each of PERMS hash functions over the set."""
     low = np.full(PERMS, np.iinfo(np.uint32).max, dtype=np.uint32)
-    for k in range(0, len(shingles), 4096):
-        part = shingles[k : k + 4096, None] * _MULTIPLY + _ADD
+    for k in range(0, len(shingles), 256):
+        part = shingles[k : k + 256, None] * _MULTIPLY + _ADD
         np.minimum(low, (part.min(axis=0) >> U(32)).astype(np.uint32), out=low)
     return low
 
@@ -74,16 +77,26 @@ def least_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
     return out
 
 
-def survivors(a: np.ndarray, b: np.ndarray, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of the signature pairs that pass every bound, and their matches."""
-    alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
+def survivors_of(
+    signatures: np.ndarray, x: np.ndarray, y: np.ndarray, bounds: list[tuple[int, int]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of rows (x[i], y[i]) pass every bound, and their matches."""
+    alive, matches = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
     for n, m in bounds:
-        matches = matches + (a[alive, n - BATCH : n] == b[alive, n - BATCH : n]).sum(axis=1)
+        if not len(alive):
+            break
+        matches = matches + (signatures[x[alive], n - BATCH : n] == signatures[y[alive], n - BATCH : n]).sum(axis=1)
         keep = matches >= m
         alive, matches = alive[keep], matches[keep]
     return alive, matches
 
 
+def survivors(a: np.ndarray, b: np.ndarray, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for pairs (a[i], b[i]) of signatures."""
+    at = np.arange(len(a))
+    return survivors_of(np.concatenate([a, b]), at, at + len(a), bounds)
+
+
 def _signatures(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=np.uint32).reshape(-1, PERMS)
 
@@ -110,17 +123,20 @@ def sketches(docs: DataFrame, ngram: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): the label is the
     smallest node reachable.  Minimum over neighbours, then one jump along
-    the labels, until nothing changes."""
+    the labels, until nothing changes.  Labels are broadcast while there are
+    at most BROADCAST_ROWS nodes, and joined by a shuffle beyond."""
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = stored(
         both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels"
     )
+    small = labels.count() <= BROADCAST_ROWS
+    sent = F.broadcast if small else (lambda df: df)
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels.node == near.a).select(
+        near = both.join(sent(labels), both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
+        step = labels.join(sent(near), labels.node == near.a).select(
             "node", F.least("label", "near").alias("next"), F.col("label").alias("old")
         )
-        to = labels.select(F.col("node").alias("at"), F.col("label").alias("there"))
+        to = sent(labels.select(F.col("node").alias("at"), F.col("label").alias("there")))
         jumped = step.join(to, step.next == to.at).select("node", F.least("next", "there").alias("label"), "old")
         moved = stored(jumped, "labels")
         labels = moved.select("node", "label")
@@ -128,12 +144,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def exact_links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int, threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full shingle sets reach ``threshold``."""
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = classes.join(named, "cls").select("cls", F.col("any_id").alias("doc_id"))
+def shingle_sets(docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
+    """(cls, members): the full shingle set of each of ``classes``, from the
+    text of one of its documents."""
+    wanted = classes.select("cls", F.col("any_id").alias("wanted_id"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    per = int(round(threshold * 1_000_000))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -142,28 +157,58 @@ def exact_links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: in
             rows = [(c, s.tobytes()) for c, s, k in zip(batch["cls"], found, keys, strict=True) if bytes(c) == k]
             yield pd.DataFrame(rows, columns=["cls", "members"])
 
-    full = (
-        source.join(wanted, source.doc_id.eqNullSafe(wanted.doc_id))
+    return (
+        source.join(_sized(wanted), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
         .select("cls", "text")
         .mapInPandas(sets, "cls binary, members binary")
-        .dropDuplicates(["cls"])
     )
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = np.frombuffer(x, dtype=U), np.frombuffer(y, dtype=U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(1_000_000 * both >= per * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["a", "b"]]
-
-    full = stored(full, "sets")
-    return (
+
+def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """The (a, b) of the stored ``pairs`` whose shingle sets reach ``threshold``.
+
+    ``b`` is the column whose values repeat more, the hub.  Its set travels once for
+    every ``PER_HUB`` partners, each partner's set once per pair.
+    """
+    spark = pairs.sparkSession
+    degree = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("degree"))
+    dealt = stored(
         pairs.select("a", "b")
-        .join(full.select(F.col("cls").alias("a"), F.col("members").alias("x")), "a")
-        .join(full.select(F.col("cls").alias("b"), F.col("members").alias("y")), "b")
-        .mapInPandas(check, "a binary, b binary")
+        .join(degree, "b")
+        .select(
+            F.col("b").alias("hub"),
+            F.col("a").alias("other"),
+            F.pmod(F.xxhash64("a"), F.ceil(F.col("degree") / PER_HUB)).alias("salt"),
+        ),
+        "pairs",
+    )
+    known = full.select("cls", "members")
+    hubs = known.join(_sized(dealt.select("hub", "salt").distinct()), F.col("cls") == F.col("hub")).select(
+        "hub", "salt", F.lit(None).cast("binary").alias("other"), "members"
+    )
+    others = known.join(_sized(dealt), F.col("cls") == F.col("other")).select("hub", "salt", "other", "members")
+    size = full.agg(F.avg(F.octet_length("members"))).first()[0] or 0
+    groups = max(shuffle_partitions(spark), int(2 * dealt.count() * size // GROUP_BYTES))
+    per = int(round(threshold * 1_000_000))
+
+    def check(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        keep = []
+        centre = rows["other"].isna().to_numpy()
+        ids = list(zip(rows["hub"], rows["salt"], strict=True))
+        sets = [np.frombuffer(m, dtype=U) for m in rows["members"]]
+        of = {ids[k]: sets[k] for k in np.flatnonzero(centre)}
+        for k in np.flatnonzero(~centre):
+            x, y = of[ids[k]], sets[k]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 1_000_000 * both >= per * (len(x) + len(y) - both):
+                keep.append((rows["other"].iat[k], rows["hub"].iat[k]))
+        return pd.DataFrame(keep, columns=["a", "b"])
+
+    return (
+        hubs.union(others)
+        .withColumn("g", F.pmod(F.xxhash64("hub", "salt"), F.lit(groups)))
+        .groupBy("g")
+        .applyInPandas(check, "a binary, b binary")
     )
 
 
@@ -194,66 +239,46 @@ def near_duplicates(
             )
         ).alias("band", "key"),
     )
-    shared = each.groupBy("band", "key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
-    shared = shared.where(F.col("pivot") != F.col("last")).drop("last")
-    buckets = stored(each.join(shared, ["band", "key"]), "buckets")
+    number = F.xxhash64("cls")
+    shared = each.select("key", number.alias("h")).groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    shared = stored(shared.where("low != high").select("key"), "shared")
+    buckets = stored(each.join(_sized(shared), "key").select("band", "key", "cls"), "buckets")
+    near = stored(classes.join(_sized(buckets.select("cls").distinct()), "cls", "left_semi"), "near")
+    sig = near.select("cls", "sig")
 
     # first round: each class against the pivots of its buckets, its best one verified
-    sig = classes.select("cls", "sig")
-
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             at, matches = survivors(_signatures(batch["x"]), _signatures(batch["y"]), bounds)
             yield batch[["a", "b"]].iloc[at].assign(matches=matches)
 
+    pivots = buckets.groupBy("key").agg(F.min("cls").alias("pivot"))
     first = (
-        buckets.where(F.col("cls") != F.col("pivot"))
+        buckets.join(pivots, "key")
+        .where(F.col("cls") != F.col("pivot"))
         .select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
         .distinct()
         .join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("x")), "a")
         .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("y")), "b")
         .mapInPandas(compare, "a binary, b binary, matches long")
     )
-    best = first.groupBy("a").agg(F.max(F.struct("matches", "b")).getField("b").alias("b"))
-    links = stored(exact_links(stored(best, "pairs"), docs, classes, ngram, threshold), "links")
+    best = stored(first.groupBy("a").agg(F.max(F.struct("matches", "b")).getField("b").alias("b")), "pairs")
+    full = stored(shingle_sets(docs, near, ngram).dropDuplicates(["cls"]), "sets")
+    links = stored(exact_links(best, full, threshold), "links")
 
     # different texts under one doc_id belong together
-    repeated = (
-        sketch.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min("cls").alias("a"), F.max("cls").alias("z"))
-        .where(F.col("a") != F.col("z"))
-        .select("doc_id", "a")
-    )
-    links = links.union(
-        sketch.where(F.col("cls").isNotNull()).join(repeated, "doc_id").where("cls != a").select("a", F.col("cls").alias("b"))
-    )
+    named = sketch.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "cls")
+    repeated = named.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where(F.col("a") != F.col("z"))
+    repeated = stored(repeated.select("doc_id", "a"), "repeated")
+    if not repeated.isEmpty():
+        links = links.union(named.join(repeated, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")))
     labels = components(links)
 
-    # second round: what is not yet in its bucket's largest component against all members
-    rest = _open_pairs(buckets, sig, labels, bounds)
-    rest = stored(rest.distinct(), "pairs")
-    while not rest.isEmpty():
-        best = rest.groupBy("a").agg(F.max(F.struct("matches", "b")).getField("b").alias("b"))
-        best = stored(best, "pairs")
-        found = stored(exact_links(best, docs, classes, ngram, threshold), "links")
-        links = links.union(found)
-        if found.isEmpty():
-            last = stored(rest.join(best, ["a", "b"], "left_anti"), "pairs")
-            if not last.isEmpty():
-                links = links.union(stored(exact_links(last, docs, classes, ngram, threshold), "links"))
-                labels = components(links)
-            break
-        labels = components(links)
-        rest = stored(
-            _labelled(_labelled(rest, labels, "a", "la"), labels, "b", "lb")
-            .where("la != lb")
-            .drop("la", "lb")
-            .join(best, ["a", "b"], "left_anti"),
-            "pairs",
-        )
-
+    # second round: what is not yet in its family's largest component against the family
     grouped = _labelled(classes.select("cls", "low_id"), labels, "cls", "label")
+    found = stored(_open_links(buckets, near, full, labels, bounds, threshold), "links")
+    if not found.isEmpty():
+        grouped = _labelled(grouped, components(found), "label", "whole").select("cls", "low_id", F.col("whole").alias("label"))
     lowest = grouped.groupBy("label").agg(F.min("low_id").alias("component_id"))
     by_class = grouped.join(lowest, "label").select("cls", "component_id")
     return (
@@ -299,43 +324,102 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
     return df.join(known, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
 
-def _open_pairs(buckets: DataFrame, sig: DataFrame, labels: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
-    """Surviving pairs (a, b, matches) of classes that share a bucket but no
-    component; ``a`` is outside the bucket's largest component."""
-    members = _labelled(buckets.select("band", "key", "cls"), labels, "cls", "label")
-    sizes = members.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("band", "key").agg(
-        F.max(F.struct("n", "label")).getField("label").alias("main"),
-        F.count(F.lit(1)).alias("parts"),
-        F.sum("n").alias("members"),
+def _open_links(
+    buckets: DataFrame, near: DataFrame, full: DataFrame, labels: DataFrame, bounds: list[tuple[int, int]], threshold: float
+) -> DataFrame:
+    """Links (a, b) between components, as labels; none that could join two
+    components is missing.
+
+    A *family* is what buckets with several components connect.  Its members
+    are dealt over blocks of about BLOCK, and so are those outside its largest
+    component; every pair of blocks is compared once.
+    """
+    spark = buckets.sparkSession
+    members = stored(_labelled(buckets, labels, "cls", "label"), "members")
+    parts = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = stored(parts.where("low != high").select("key", "low"), "open")
+    inside = stored(members.join(_sized(open_), "key").select("cls", "label", "low").distinct(), "open")
+    families = components(inside.select(F.col("label").alias("a"), F.col("low").alias("b")).where("a != b").distinct())
+    inside = _labelled(inside.select("cls", "label").distinct(), families, "label", "family")
+    sizes = inside.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
+    family = sizes.groupBy("family").agg(
+        F.max(F.struct("n", "label")).getField("label").alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main")
     )
-    open_ = stored(
-        members.join(largest.where("parts > 1"), ["band", "key"]).join(sig, "cls"), "open"
-    ).withColumn("blocks", F.expr(f"cast(ceil(members / {BLOCK}) as int)"))
-    inside = open_.withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
-    outside = open_.where("label != main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    schema = "a binary, b binary, matches long"
-
-    def match(key: tuple, members: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        band, out = key[0], []
-        if len(members) and len(others):
-            sm = _signatures(members["sig"])
-            cm, lm, main = members["cls"].to_numpy(), members["label"].to_numpy(), members["main"].iloc[0]
-            is_main = lm == main
-            for c, l, s in zip(others["cls"], others["label"], _signatures(others["sig"]), strict=True):
-                # all of the largest component; of the rest, each pair once
-                at = np.flatnonzero((lm != l) & (is_main | (cm < c)))
-                if not len(at):
-                    continue
-                kept, matches = survivors(np.broadcast_to(s, (len(at), PERMS)), sm[at], bounds)
-                if len(kept):
-                    # a pair belongs to the first band in which it collides
-                    same = (sm[at[kept]] == s).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-                    out += [(c, cm[i], m) for i, m, b in zip(at[kept], matches, same, strict=True) if b == band]
-        return pd.DataFrame(out, columns=["a", "b", "matches"])
+    placed = inside.join(family, "family").select(
+        "family",
+        "cls",
+        "label",
+        (F.col("label") == F.col("main")).alias("is_main"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int").alias("others"),
+    )
+    each = F.transform(
+        F.sequence(F.lit(0), F.col("others") - 1),
+        lambda k: F.struct(
+            F.lit(False).alias("outside"), F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("x"), k.alias("y")
+        ),
+    )
+    copies = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(
+            F.lit(True).alias("outside"), k.alias("x"), F.pmod(F.xxhash64("cls"), F.col("others")).cast("int").alias("y")
+        ),
+    )
+    to = F.when(F.col("is_main"), each).otherwise(F.concat(each, copies))
+    placed = stored(
+        placed.where("others > 0").withColumn("to", F.explode(to)).select("family", "cls", "label", "is_main", "to.outside", "to.x", "to.y"),
+        "placed",
+    )
+    size = full.agg(F.avg(F.octet_length("members"))).first()[0] or 0
+    groups = max(shuffle_partitions(spark), int(placed.count() * (size + 4 * PERMS) // GROUP_BYTES))
+    per = int(round(threshold * 1_000_000))
 
+    def match(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        signatures, cls = _signatures(rows["sig"]), rows["cls"].to_numpy()
+        names, label = np.unique(rows["label"].to_numpy(), return_inverse=True)
+        is_main, outside = rows["is_main"].to_numpy(), rows["outside"].to_numpy()
+        sets = [np.frombuffer(m, dtype=U) for m in rows["members"]]
+        length = np.array([len(x) for x in sets])
+        for at in rows.groupby(["family", "x", "y"]).indices.values():
+            m, o = at[~outside[at]], at[outside[at]]
+            if not len(m) or not len(o):
+                continue
+            # all of the largest component; of the rest, each pair once
+            ask = (label[o][:, None] != label[m]) & (is_main[m] | (cls[m] < cls[o][:, None]))
+            x, y = np.nonzero(ask)
+            kept, _ = survivors_of(signatures, o[x], m[y], bounds)
+            x, y = x[kept], y[kept]
+            if not len(x):
+                continue
+            distinct, number = np.unique(np.concatenate([sets[k] for k in m]), return_inverse=True)
+            begins = np.r_[0, np.cumsum(length[m])[:-1]]
+            joined: dict[int, int] = {}  # components that the links of this block join already
+
+            def root(k: int) -> int:
+                while joined.get(k, k) != k:
+                    k = joined[k]
+                return k
+
+            for i in np.unique(x):
+                own = sets[o[i]]
+                place = np.minimum(np.searchsorted(distinct, own), len(distinct) - 1)
+                mark = np.zeros(len(distinct), dtype=np.int64)
+                mark[place[distinct[place] == own]] = 1
+                both = np.add.reduceat(mark[number], begins)
+                for k in y[x == i]:
+                    if 1_000_000 * both[k] >= per * (length[o[i]] + length[m[k]] - both[k]):
+                        p, q = root(label[o[i]]), root(label[m[k]])
+                        if p != q:
+                            joined[p] = q
+                            out.append((names[label[o[i]]], names[label[m[k]]]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    known = full.join(near.select("cls", "sig"), "cls").select(F.col("cls").alias("own"), "sig", "members")
     return (
-        inside.groupBy("band", "key", "block")
-        .cogroup(outside.groupBy("band", "key", "block"))
-        .applyInPandas(match, schema)
+        known.join(_sized(placed), F.col("own") == F.col("cls"))
+        .withColumn("g", F.pmod(F.xxhash64("family", "x", "y"), F.lit(groups)))
+        .drop("own")
+        .groupBy("g")
+        .applyInPandas(match, "a binary, b binary")
     )
