@@ -64,7 +64,7 @@ OPEN_CUES = frozenset(["comment", "comments", "reply", "replies", "related", "te
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({DROPPED})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>.*?(?:</\1\s*>|\Z)"
+    rf"|<({DROPPED})(?![\w:-])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|\Z)",

@@ -140,3 +140,13 @@ def test_odd_records(spark):
     meta = json.loads(warc.parse(warc.derive(odd)[0][1])[1])
     assert meta["status"] == 404
     assert warc.described(warc.derivatives(warc.responses(pages.limit(0)))).count() == 0
+
+
+def test_custom_elements_are_not_the_dropped_ones():
+    page = (
+        '<p>one <svg-icon name="x"></svg-icon> two</p><p>three <video-player src=v>inner</video-player></p>'
+        "<select-box><p>four</p></select-box><p>five <script>no</script><svg/>six <title>no</title></p><template-x><p>seven</p>"
+    )
+    found, links = blocks(page + "<p><a href=/end>end</a></p>")
+    assert " ".join(b.text for b in found) == "one two three inner four five six seven end"
+    assert links == [("/end", "end")]
