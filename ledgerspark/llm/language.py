@@ -10,8 +10,8 @@ most probable language in it; the score is the product.
 
 ``FAMILIES`` names the families; a language it does not know is a family of
 its own.  Training reads about ``per_language`` texts of each language, of
-``max_chars`` characters at most, chosen by a hash of doc_id; prediction reads
-every whole text.
+``max_chars`` characters at most, chosen by a hash of doc_id and text, equal
+rows once; prediction reads every whole text.
 
 A null text, or one without letters, is ``und`` with score 0.  Without any
 labelled text every prediction is ``und``.
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import text_of
@@ -130,15 +130,25 @@ def train(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_of().alias("text")
     ).where(F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars))
     known = known if allowed is None else known.where(allowed)
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # one row per language
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = (
+    known = known.withColumn("h", F.xxhash64("doc_id", "text"))
+    # distinct rows, about: one number per language
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))
+    place = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # about 2 * per_language distinct rows of each language; equal rows count once
+    some = (
         known.join(F.broadcast(counts), "lang")
         .where(place * F.col("n") < 2 * per_language)
-        .select("lang", place.alias("o"), "text")
-        .collect()  # about 2 * per_language rows of each language
+        .groupBy("lang", "h")
+        .agg(F.min("text").alias("text"))
+    )
+    order = Window.partitionBy("lang").orderBy(place, "h")
+    rows = (
+        some.withColumn("o", F.row_number().over(order))
+        .where(F.col("o") <= 2 * per_language)
+        .select("lang", "o", "text")
+        .collect()  # 2 * per_language rows of each language at most
     )
-    rows.sort(key=lambda r: (r["lang"], r["o"], r["text"]))
+    rows.sort(key=lambda r: (r["lang"], r["o"]))
     vectors: dict[str, list[np.ndarray]] = {}
     for r in rows:
         own = vectors.setdefault(r["lang"], [])

@@ -9,8 +9,8 @@ turns them into the probability of label 1; it is fitted on labelled texts
 that neither dictionary has seen, weighted to the share of both labels.
 
 Training reads a bounded sample: ``per_label`` rows of each label with at
-most ``max_chars`` characters, chosen by a hash of doc_id; half of them build
-the dictionaries, half fit the curve.  Scoring reads every whole text.
+most ``max_chars`` characters, chosen by a hash of doc_id and text, equal rows
+once; half of them build the dictionaries, half fit the curve.  Scoring reads every whole text.
 
 Null and empty texts are scored like any other (all sizes are those of an
 empty input).  Labels that are null, or contradict each other under one
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ledgerspark.llm.common import text_of
+from ledgerspark.llm.common import stored, text_of
 
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
@@ -95,22 +95,25 @@ def train(
     )
     counts = {r["quality"]: r["n"] for r in clean.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
-    order = F.xxhash64("doc_id")
-    # twice as many ids as wanted, for those that have no text or a long one
-    ids = None
-    for label in (0, 1):
-        some = clean.where(F.col("quality") == label).orderBy(order, "doc_id").limit(2 * per_label)
-        ids = some if ids is None else ids.union(some)
-    ids = ids.withColumnRenamed("doc_id", "labelled_id")
-    rows = (
+    texts = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
         .where((F.length("text") > 0) & (F.length("text") <= max_chars))
-        .join(F.broadcast(ids), F.col("doc_id") == F.col("labelled_id"))
-        .select("doc_id", "quality", order.alias("o"), "text")
-        .collect()  # 4 * per_label rows at most
+        .withColumn("h", F.xxhash64("doc_id", "text"))
+    )
+    # equal rows count once; the keys alone are shuffled, not the texts
+    keys = stored(texts.select("doc_id", "h").distinct().join(clean, "doc_id"), "labelled")
+    picked = None
+    for label in (0, 1):
+        some = keys.where(F.col("quality") == label).orderBy("h", "doc_id").limit(per_label)
+        picked = some if picked is None else picked.union(some)
+    rows = (
+        texts.join(F.broadcast(picked), ["doc_id", "h"])
+        .groupBy("doc_id", "h", "quality")
+        .agg(F.min("text").alias("text"))
+        .collect()  # 2 * per_label rows at most
     )
-    rows.sort(key=lambda r: (r["o"], r["doc_id"], r["text"]))
-    by = {q: [r["text"].encode("utf-8", "replace") for r in rows if r["quality"] == q][:per_label] for q in (0, 1)}
+    rows.sort(key=lambda r: (r["h"], r["doc_id"]))
+    by = {q: [r["text"].encode("utf-8", "replace") for r in rows if r["quality"] == q] for q in (0, 1)}
     zero = QualityModel(b"", b"", np.zeros(12), np.ones(12), np.zeros(13), share)
     if min(len(by[0]), len(by[1])) < 4:
         return zero

@@ -49,3 +49,23 @@ def test_families_then_languages(spark):
 def test_letters_beyond_the_basic_plane():
     assert len(language.grams("\U0001f600 12 !?")) == 0  # signs, no letters
     assert len(language.grams("\U00010400")) > 0  # a letter
+
+
+def test_rows_without_id_and_repeated_rows_are_sampled(spark, monkeypatch):
+    """The sample is bounded, and neither null ids nor one repeated row fill it."""
+    rows = [(i, f"plain words{i} of a long story", "en") for i in range(2000)]
+    rows += [(None, f"null{i} id", "en") for i in range(1000)]
+    rows += [(-1 - k, f"repeated {k}", "en") for k in range(20) for _ in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language, "grams", lambda text: seen.append(text) or language.np.arange(3))
+    language.train(docs, per_language=200)
+    assert len(seen) == 200 and len(set(seen)) == 200
+    without_id = sum(t.startswith("null") for t in seen)
+    assert 30 <= without_id <= 105  # a third of the distinct rows
+    assert sum(t.startswith("repeated") for t in seen) <= 20
+    got = []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: got.append(collect(df)) or got[-1])
+    language.train(docs, per_language=200)
+    assert max(map(len, got)) <= 400

@@ -40,3 +40,20 @@ def test_scores_of_odd_texts(spark, odd_docs):
     assert min(got[i] for i, _ in good) > max(got[i] for i, _ in bad)
     odd = [r.s for r in odd_docs.select(quality.score(model, F.col("text")).alias("s")).collect()]
     assert all(0 <= s <= 1 for s in odd)
+
+
+def test_repeated_ids_do_not_fill_the_sample(spark, monkeypatch):
+    """At most per_label rows of each label reach the driver, equal rows once."""
+    rows = [(i, f"text {i} of many") for i in range(400)]
+    rows += [(i, f"copy {i}") for i in range(0, 400, 40) for _ in range(200)]
+    rows += [(i, f"other text {k} under {i}") for i in (7, 8) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    got = []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: got.append(collect(df)) or got[-1])
+    quality.train(docs, labels, per_label=50)
+    sample = [r for rows in got for r in rows if "text" in r]
+    assert len(sample) == 100 and len({r["text"] for r in sample}) == 100
+    assert sum(r["quality"] for r in sample) == 50
+    assert sum(r["text"].startswith("other") for r in sample) > 30  # as many as their rows
