@@ -1,7 +1,7 @@
 """Hierarchical Pitman-Yor language model, trained and applied on Spark.
 
-Two levels of Chinese restaurants: one per context (the word before, hashed
-to ``CONTEXTS`` classes), all sharing one parent, the root, whose base is
+Two levels of Chinese restaurants: one per context (the word before, as a
+64-bit number), all sharing one parent, the root, whose base is
 uniform over the training words and one unknown word.  A token is a customer
 of its context's restaurant; each table there sends one customer to the root.
 
@@ -12,20 +12,23 @@ with t_w the sum of t_uw over contexts, T_u and T0 the numbers of tables, C0
 the customers of the root.  Seating is sampled by Gibbs: all customers of one
 word in one restaurant are reseated, one after the other, given everything
 else; then the word's customers in the root.  Predictive probabilities are
-averages over ``SAMPLES`` seatings after ``BURN_IN``.
+averages over the last ``SAMPLES`` of ``SWEEPS + BURN_IN + SAMPLES`` seatings
+of one chain, each with the totals of that same seating, so they sum to one.
 
 Distribution.  Words are hashed to buckets.  All customers of a word, in every
 restaurant, are in its bucket, so the reseating of a bucket needs from
-elsewhere only the totals per context (CONTEXTS numbers) and of the root.
-These are exchanged between sweeps (``SWEEPS``) and held fixed within one, as
-is usual for distributed Gibbs sampling.  A long queue of customers (over 16)
-is seated in growing groups at the probability of the group's first.
+elsewhere only the totals of its contexts and of the root.  These are
+exchanged between sweeps and held fixed within one, as is usual for
+distributed Gibbs sampling.  A long queue of customers (over 16) is seated in
+growing groups at the probability of the group's first.
 
 1. Every partition turns its documents into compressed blocks per bucket:
    (word, context, document, count), one pass over the texts.
-2. The blocks of the training documents are merged by bucket, in a tree of
-   bounded fan-in; a word has at most CONTEXTS entries, however frequent.
-3. The sweeps read the merged buckets and return totals.
+2. The blocks are merged by bucket, in a tree of bounded fan-in, to the counts
+   of the training documents and the contexts that only the others ask for.
+3. A sweep stores each bucket's seating and its share of its contexts' totals.
+   The shares are added up by parts of the contexts (about ``CONTEXTS`` each)
+   and every bucket is sent the totals of its own contexts.
 4. Each bucket's blocks meet its model; buckets with more than their share of
    occurrences are split over several task groups, the model copied to each.
    Sums per document come back and are added up per block of documents.
@@ -38,8 +41,8 @@ under base and model (the only outcome is the unknown word).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -50,7 +53,7 @@ from pyspark.sql import functions as F
 from ledgerspark.llm.common import stored, text_of
 from ledgerspark.llm.shingles import U, mix, word_numbers, words
 
-CONTEXTS = 4096
+CONTEXTS = 4096  # contexts whose totals are added up in one task group
 BUCKET_BYTES = 24_000_000  # text per bucket
 LEAST_BUCKETS = 16
 CHUNK_TOKENS = 1_000_000
@@ -63,33 +66,55 @@ STRENGTH = 1.0
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of the known types, one after the other, compressed."""
-    head = np.array([len(a) for a in arrays], dtype="<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    """Arrays, one after the other, compressed; 64-bit numbers that repeat
+    go as a table and places in it."""
+    head: list[int] = []
+    body: list[bytes] = []
+
+    def put(a: np.ndarray, coded: int) -> None:
+        head.extend((coded, ord(a.dtype.kind), a.itemsize, len(a)))
+        body.append(a.tobytes())
+
+    for a in arrays:
+        if a.dtype.str == "<u8":
+            table, at = np.unique(a, return_inverse=True)
+            if 2 * len(table) <= len(a):
+                put(table, 1)
+                put(at.astype(np.min_scalar_type(len(table))), 0)
+                continue
+        put(a, 0)
+    raw = np.array([len(head), *head], dtype="<i8").tobytes() + b"".join(body)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def _unpack(data: bytes, *types: str) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    sizes = np.frombuffer(raw, dtype="<i8", count=len(types))
-    out, at = [], 8 * len(types)
-    for n, t in zip(sizes, types, strict=True):
-        out.append(np.frombuffer(raw, dtype=t, count=n, offset=at))
-        at += out[-1].nbytes
+    n_head = int(np.frombuffer(raw, dtype="<i8", count=1)[0])
+    head = np.frombuffer(raw, dtype="<i8", count=n_head, offset=8).reshape(-1, 4)
+    out, at, table = [], 8 * (n_head + 1), None
+    for coded, kind, width, n in head.tolist():
+        a = np.frombuffer(raw, dtype=f"<{chr(kind)}{width}", count=n, offset=at)
+        at += a.nbytes
+        if coded:
+            table = a
+            continue
+        out.append((a if table is None else table[a]).astype(types[len(out)], copy=False))
+        table = None
     return out
 
 
 # a block: words, entries per word, then per entry context, document, count
-BLOCK = ("<u8", "<u4", "<u2", "<u2", "<u4")
-# a merged bucket: words, entries per word, then per entry context, count
-COUNTS = ("<u8", "<u4", "<u2", "<u4")
+BLOCK = ("<u8", "<u4", "<u8", "<u2", "<u4")
+# a merged bucket: words, entries per word, then per entry context, count;
+# word 0 has, with count 0, the contexts asked for by documents not trained on
+COUNTS = ("<u8", "<u4", "<u8", "<u4")
+SEATING = ("<u4", "<u4")  # tables per entry, tables in the root per word
+SHARE = ("<u8", "<i8", "<i8")  # contexts, customers, tables
 
 
-def _tokens(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of a text with its end, and their contexts."""
-    w = np.append(word_numbers(words(text)), END)
-    u = np.zeros(len(w), dtype=np.uint64)  # context 0: nothing before
-    u[1:] = 1 + mix(w[:-1]) % U(CONTEXTS - 1)
-    return w, u
+def _tokens(text: str) -> np.ndarray:
+    """Word numbers of a text with its end."""
+    return np.append(word_numbers(words(text)), END)
 
 
 def blocks(docs: DataFrame, n_buckets: int, training: Column) -> DataFrame:
@@ -109,18 +134,22 @@ def blocks(docs: DataFrame, n_buckets: int, training: Column) -> DataFrame:
             lengths = np.array([len(x[2]) for x in held], dtype="<i8")
             rows = [(chunk, -1, len(held), 0, _pack(ids, null, train, lengths))]
             w = np.concatenate([x[2] for x in held])
-            u = np.concatenate([x[3] for x in held])
             doc = np.repeat(np.arange(len(held), dtype=np.uint64), lengths)
             distinct, inverse = np.unique(w, return_inverse=True)
+            before = np.r_[0, inverse[:-1] + 1].astype(np.uint64)  # 0: nothing before
+            before[np.cumsum(lengths) - lengths] = 0
             bucket = (mix(distinct) % U(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             place = np.empty(len(order), dtype=np.uint64)
             place[order] = np.arange(len(order), dtype=np.uint64)
-            key = np.sort((place[inverse] << U(28)) | (u << U(16)) | doc)
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            key = place[inverse] * U(len(distinct) + 1) + before
+            by = np.argsort(key, kind="stable")  # documents stay in order
+            key, doc = key[by], doc[by]
+            first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])
             count = np.diff(np.r_[first, len(key)])
-            key = key[first]
-            word = (key >> U(28)).astype(np.int64)
+            key, doc = key[first], doc[first]
+            word, before = (x.astype(np.int64) for x in np.divmod(key, U(len(distinct) + 1)))
+            context = np.r_[U(0), distinct][before]
             per_word = np.bincount(word, minlength=len(distinct))
             ends = np.cumsum(per_word)
             distinct, bucket = distinct[order], bucket[order]
@@ -130,8 +159,8 @@ def blocks(docs: DataFrame, n_buckets: int, training: Column) -> DataFrame:
                 payload = _pack(
                     distinct[a:b].astype(BLOCK[0]),
                     per_word[a:b].astype(BLOCK[1]),
-                    ((key[x:y] >> U(16)) & U(CONTEXTS - 1)).astype(BLOCK[2]),
-                    (key[x:y] & U(0xFFFF)).astype(BLOCK[3]),
+                    context[x:y].astype(BLOCK[2]),
+                    doc[x:y].astype(BLOCK[3]),
                     count[x:y].astype(BLOCK[4]),
                 )
                 rows.append((chunk, int(bucket[a]), int(y - x), n_train, payload))
@@ -139,8 +168,8 @@ def blocks(docs: DataFrame, n_buckets: int, training: Column) -> DataFrame:
 
         for batch in batches:
             for doc_id, train, text in zip(batch["doc_id"], batch["train"], batch["text"], strict=True):
-                w, u = _tokens(text)
-                held.append((doc_id, bool(train), w, u))
+                w = _tokens(text)
+                held.append((doc_id, bool(train), w))
                 size += len(w)
                 if size >= CHUNK_TOKENS or len(held) >= CHUNK_DOCS:
                     yield flush()
@@ -160,20 +189,21 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> bytes:
     u = np.concatenate([p[1] for p in parts]).astype(np.uint64)
     c = np.concatenate([p[2] for p in parts]).astype(np.int64)
     distinct, inverse = np.unique(w, return_inverse=True)
-    key = (inverse.astype(np.uint64) << U(12)) | u
+    contexts, at = np.unique(u, return_inverse=True)
+    key = inverse.astype(np.uint64) * U(max(1, len(contexts))) + at.astype(np.uint64)
     order = np.argsort(key, kind="stable")
     key, c = key[order], c[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=np.int64)
     total = np.add.reduceat(c, first) if len(first) else c
-    key = key[first]
-    per_word = np.bincount((key >> U(12)).astype(np.int64), minlength=len(distinct))
+    word, at = np.divmod(key[first], U(max(1, len(contexts))))
+    per_word = np.bincount(word.astype(np.int64), minlength=len(distinct))
     return _pack(
-        distinct.astype(COUNTS[0]), per_word.astype(COUNTS[1]), (key & U(CONTEXTS - 1)).astype(COUNTS[2]), total.astype(COUNTS[3])
+        distinct.astype(COUNTS[0]), per_word.astype(COUNTS[1]), contexts[at.astype(np.int64)].astype(COUNTS[2]), total.astype(COUNTS[3])
     )
 
 
 def merged_counts(made: DataFrame) -> DataFrame:
-    """bucket, payload: the training counts of each bucket."""
+    """bucket, n (words), payload: the training counts of each bucket, and what else it is asked for."""
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -183,7 +213,10 @@ def merged_counts(made: DataFrame) -> DataFrame:
             ):
                 w, per, u, doc, c = _unpack(payload, *BLOCK)
                 keep = doc < n_train
-                rows.append((chunk, bucket, _merged([(np.repeat(w, per)[keep], u[keep], c[keep])])))
+                asked = np.unique(u[~keep])
+                none = np.zeros(len(asked), dtype=np.uint64)
+                parts = [(np.repeat(w, per)[keep], u[keep], c[keep]), (none, asked, none.astype(c.dtype))]
+                rows.append((chunk, bucket, _merged(parts)))
             yield pd.DataFrame(rows, columns=["chunk", "bucket", "payload"])
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -193,8 +226,13 @@ def merged_counts(made: DataFrame) -> DataFrame:
             lists.append((np.repeat(w, per), u, c))
         return pd.DataFrame({"chunk": [key[1]], "bucket": [key[0]], "payload": [_merged(lists)]})
 
+    def last(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        whole = merge(key, part)
+        n = [len(_unpack(p, *COUNTS)[0]) for p in whole["payload"]]
+        return pd.DataFrame({"bucket": whole["bucket"], "n": n, "payload": whole["payload"]})
+
     schema = "chunk long, bucket int, payload binary"
-    blocks_ = made.where("bucket >= 0 AND n_train > 0").select("chunk", "bucket", "n_train", "payload")
+    blocks_ = made.where("bucket >= 0").select("chunk", "bucket", "n_train", "payload")
     n = blocks_.select("chunk").distinct().count()
     level = blocks_.mapInPandas(own, schema)
     while n > FAN_IN:  # a frequent word has entries in every chunk
@@ -204,12 +242,14 @@ def merged_counts(made: DataFrame) -> DataFrame:
             "py-counts",
         )
     level = level.withColumn("chunk", F.lit(0).cast("long"))
-    return stored(level.groupBy("bucket", "chunk").applyInPandas(merge, schema).select("bucket", "payload"), "py-counts")
+    whole = level.groupBy("bucket", "chunk").applyInPandas(last, "bucket int, n long, payload binary")
+    return stored(whole, "py-counts")
 
 
 @dataclass
 class Totals:
-    """What the restaurants share between buckets."""
+    """What the restaurants share between buckets; of the contexts, those that
+    a bucket needs (sorted; None: 0, 1, 2, ...)."""
 
     tokens: int  # N
     words: int  # V
@@ -219,6 +259,11 @@ class Totals:
     root_tables: float  # T0
     discount: float
     root_discount: float
+    contexts: np.ndarray | None = None
+
+    def at(self, context: np.ndarray) -> np.ndarray:
+        """Where these contexts are in ``customers`` and ``tables``."""
+        return context.astype(np.int64) if self.contexts is None else np.searchsorted(self.contexts, context)
 
 
 def seat(count: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -253,10 +298,12 @@ class Bucket:
     """The restaurants' customers of one bucket's words, and their seating."""
 
     def __init__(self, payload: bytes, totals: Totals, seed: int):
-        self.words, per, self.context, count = _unpack(payload, *COUNTS)
-        self.count = count.astype(np.int64)
-        self.word = np.repeat(np.arange(len(self.words)), per.astype(np.int64))
-        self.context = self.context.astype(np.int64)
+        w, per, u, count = _unpack(payload, *COUNTS)
+        learned = np.repeat(w, per)[count > 0]
+        self.asked = u[count == 0]
+        self.words, self.word = np.unique(learned, return_inverse=True)
+        self.count = count[count > 0].astype(np.int64)
+        self.context = u[count > 0].view(np.int64)
         self.totals = totals
         self.rng = np.random.default_rng(seed)
         self.tables = np.ones(len(self.count))
@@ -267,6 +314,14 @@ class Bucket:
     def _sent(self) -> np.ndarray:
         return np.bincount(self.word, weights=self.tables, minlength=len(self.words))
 
+    def take(self, seating: bytes) -> None:
+        """Go on from a stored seating."""
+        self.tables, self.root_tables = (x.astype(np.float64) for x in _unpack(seating, *SEATING))
+        self.to_root = self._sent()
+
+    def seating(self) -> bytes:
+        return _pack(self.tables.astype(SEATING[0]), self.root_tables.astype(SEATING[1]))
+
     def root(self) -> np.ndarray:
         t = self.totals
         base = (STRENGTH + t.root_discount * t.root_tables) / (t.words + 1)
@@ -274,7 +329,7 @@ class Bucket:
 
     def sweep(self) -> None:
         t, k = self.totals, self.many
-        strength = (STRENGTH + t.discount * t.tables[self.context[k]]) * self.root()[self.word[k]]
+        strength = (STRENGTH + t.discount * t.tables[t.at(self.context[k].view(U))]) * self.root()[self.word[k]]
         self.tables[k] = seat(self.count[k], strength, t.discount, self.rng)
         self.to_root = self._sent()
         base = (STRENGTH + t.root_discount * t.root_tables) / (t.words + 1)
@@ -283,112 +338,172 @@ class Bucket:
         )
 
 
-# keys of sums that are not a context's
-_TOKENS, _WORDS, _ROOT, _ROOT_TABLES, _ONCE, _TWICE, _ROOT_ONCE, _ROOT_TWICE = range(-8, 0)
+# what a sweep stores for each bucket
+_SEATING, _SUMS = -2, -1  # and from 0 on: its share of the totals of a part of the contexts
+_OF_BUCKET = ("tokens", "words", "root", "root_tables", "once", "twice", "root_once", "root_twice")
+_MADE = "bucket int, part int, payload binary, " + ", ".join(f"{x} double" for x in _OF_BUCKET)
 
 
-def _sums(counts: DataFrame, totals: Totals | None) -> dict[tuple[int, str], float]:
-    """Sums over all buckets after a sweep (without totals: of the initial
-    seating, one table for each word of a context)."""
+def _made(bucket: int, b: Bucket, parts: int) -> pd.DataFrame:
+    sums = [b.count.sum(), len(b.words), b.to_root.sum(), b.root_tables.sum()]
+    sums += [(b.count == 1).sum(), (b.count == 2).sum(), (b.to_root == 1).sum(), (b.to_root == 2).sum()]
+    rows = [(bucket, _SEATING, b.seating()) + (0.0,) * 8, (bucket, _SUMS, b"", *map(float, sums))]
+    contexts, at = np.unique(np.r_[b.context.view(U), b.asked], return_inverse=True)
+    at = at[: len(b.context)]
+    c = np.bincount(at, weights=b.count, minlength=len(contexts)).astype(np.int64)
+    t = np.bincount(at, weights=b.tables, minlength=len(contexts)).astype(np.int64)
+    part = (mix(contexts) % U(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1], True]) if len(part) else []
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        own = order[x:y]
+        rows.append((bucket, int(part[own[0]]), _pack(contexts[own], c[own], t[own])) + (0.0,) * 8)
+    return pd.DataFrame(rows, columns=["bucket", "part", "payload", *_OF_BUCKET])
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = totals or Totals(0, 0, np.zeros(CONTEXTS), np.zeros(CONTEXTS), 0.0, 0.0, 0.5, 0.5)
-        for batch in batches:
-            for bucket, payload in zip(batch["bucket"], batch["payload"], strict=True):
-                b = Bucket(payload, start, seed=int(bucket))
-                if totals is not None:
-                    b.sweep()
-                c = np.bincount(b.context, weights=b.count, minlength=CONTEXTS)
-                t = np.bincount(b.context, weights=b.tables, minlength=CONTEXTS)
-                used = np.flatnonzero(c)
-                rest = {
-                    _TOKENS: b.count.sum(),
-                    _WORDS: len(b.words),
-                    _ROOT: b.to_root.sum(),
-                    _ROOT_TABLES: b.root_tables.sum(),
-                    _ONCE: (b.count == 1).sum(),
-                    _TWICE: (b.count == 2).sum(),
-                    _ROOT_ONCE: (b.to_root == 1).sum(),
-                    _ROOT_TWICE: (b.to_root == 2).sum(),
-                }
-                yield pd.DataFrame(
-                    {
-                        "key": np.r_[used, list(rest)],
-                        "c": np.r_[c[used], [float(x) for x in rest.values()]],
-                        "t": np.r_[t[used], np.zeros(len(rest))],
-                    }
-                )
 
-    got = counts.mapInPandas(gather, "key int, c double, t double").groupBy("key").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
-    out: dict[tuple[int, str], float] = {}
-    for r in got.collect():  # CONTEXTS + 8 rows at most
-        out[r["key"], "c"], out[r["key"], "t"] = r["c"], r["t"]
-    return out
+def _replies(made: DataFrame) -> DataFrame:
+    """bucket, payload: the totals of each bucket's contexts over all buckets."""
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        shares = [_unpack(p, *SHARE) for p in part["payload"]]
+        contexts, at = np.unique(np.concatenate([x[0] for x in shares]), return_inverse=True)
+        c = np.bincount(at, weights=np.concatenate([x[1] for x in shares])).astype(np.int64)
+        t = np.bincount(at, weights=np.concatenate([x[2] for x in shares])).astype(np.int64)
+        cuts = np.cumsum([0] + [len(x[0]) for x in shares])
+        found = [_pack(x[0], c[at[a:b]], t[at[a:b]]) for x, a, b in zip(shares, cuts, cuts[1:], strict=False)]
+        return pd.DataFrame({"bucket": part["bucket"].to_numpy(), "payload": found})
 
+    return made.where("part >= 0").select("bucket", "part", "payload").groupBy("part").applyInPandas(add, "bucket int, payload binary")
 
-def _totals(s: dict[tuple[int, str], float]) -> Totals:
-    def discount(once: int, twice: int) -> float:
-        a, b = s.get((once, "c"), 0.0), s.get((twice, "c"), 0.0)
+
+def _totals(made: DataFrame) -> Totals:
+    """The totals that are no context's."""
+    s = made.where(F.col("part") == _SUMS).agg(*(F.sum(x).alias(x) for x in _OF_BUCKET)).first().asDict()
+    s = {k: v or 0.0 for k, v in s.items()}
+
+    def discount(a: float, b: float) -> float:
         return float(np.clip(a / (a + 2 * b) if a else 0.5, 0.1, 0.95))
 
-    of = lambda kind: np.array([s.get((u, kind), 0.0) for u in range(CONTEXTS)])
+    none = np.zeros(0)
     return Totals(
-        int(s.get((_TOKENS, "c"), 0)),
-        int(s.get((_WORDS, "c"), 0)),
-        of("c"),
-        of("t"),
-        s.get((_ROOT, "c"), 0.0),
-        s.get((_ROOT_TABLES, "c"), 0.0),
-        discount(_ONCE, _TWICE),
-        discount(_ROOT_ONCE, _ROOT_TWICE),
+        int(s["tokens"]),
+        int(s["words"]),
+        none,
+        none,
+        s["root"],
+        s["root_tables"],
+        discount(s["once"], s["twice"]),
+        discount(s["root_once"], s["root_twice"]),
     )
 
 
-def trained(counts: DataFrame) -> Totals:
-    totals = _totals(_sums(counts, None))
-    for _ in range(SWEEPS if totals.tokens else 0):
-        totals = _totals(_sums(counts, totals))
-    return totals
+def _own_totals(totals: Totals, replies: list[bytes]) -> Totals:
+    """``totals`` with those of a bucket's contexts."""
+    found = [_unpack(p, *SHARE) for p in replies]
+    u, c, t = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, dtype=U) for k in range(3))
+    order = np.argsort(u)
+    return replace(totals, contexts=u[order], customers=c[order].astype(float), tables=t[order].astype(float))
+
 
+# rows of a bucket's model
+_COUNTS, _SEATED, _REPLY = range(3)
 
-def _scored(model: Bucket | None, totals: Totals, payloads: list[bytes]) -> Iterator[bytes]:
-    """For each block: (documents, log10 p, log10 base, known tokens)."""
+
+def _model(counts: DataFrame, made: list[DataFrame]) -> DataFrame:
+    """bucket, kind, k, payload: all that the seatings ``made`` say of each bucket."""
+    of = lambda df, kind, k: df.select("bucket", F.lit(kind).alias("kind"), F.lit(k).alias("k"), "payload")
+    rows = of(counts, _COUNTS, 0)
+    for k, m in enumerate(made):
+        rows = rows.union(of(m.where(F.col("part") == _SEATING), _SEATED, k)).union(of(_replies(m), _REPLY, k))
+    return rows
+
+
+def _read(rows: pd.DataFrame, totals: list[Totals], seed: list[int]) -> list[Bucket]:
+    """The bucket of ``rows`` in each of its seatings."""
+    kind, k = rows["kind"].to_numpy(), rows["k"].to_numpy()
+    payload = rows["payload"].to_numpy()
+    out = []
+    for i, t in enumerate(totals):
+        own = _own_totals(t, list(payload[(kind == _REPLY) & (k == i)]))
+        out.append(Bucket(payload[kind == _COUNTS][0], own, seed))
+        out[-1].take(payload[(kind == _SEATED) & (k == i)][0])
+    return out
+
+
+def _swept(totals: Totals, sweep: int, parts: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    def swept(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        b = _read(rows, [totals], [int(key[0]), sweep])[0]
+        b.sweep()
+        return _made(int(key[0]), b, parts)
+
+    return swept
+
+
+def trained(counts: DataFrame) -> tuple[list[DataFrame], list[Totals]]:
+    """The last SAMPLES seatings of the chain and their totals."""
+    n = counts.agg(F.sum("n")).first()[0] or 0
+    parts = max(LEAST_BUCKETS, -(-n // CONTEXTS))
+
+    def initial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start = Totals(0, 0, np.zeros(0), np.zeros(0), 0.0, 0.0, 0.5, 0.5)
+        for batch in batches:
+            for bucket, payload in zip(batch["bucket"], batch["payload"], strict=True):
+                yield _made(bucket, Bucket(payload, start, 0), parts)
+
+    made = [stored(counts.select("bucket", "payload").mapInPandas(initial, _MADE), "py-seating")]
+    totals = [_totals(made[0])]
+    for sweep in range(SWEEPS + BURN_IN + SAMPLES if totals[0].tokens else 0):
+        model = _model(counts, made[-1:])
+        made.append(stored(model.groupBy("bucket").applyInPandas(_swept(totals[-1], sweep, parts), _MADE), "py-seating"))
+        totals.append(_totals(made[-1]))
+    return made[-SAMPLES:], totals[-SAMPLES:]
+
+
+def _scored(
+    model: Bucket | None, totals: Totals, payloads: list[bytes], samples: list[Bucket] | None = None
+) -> Iterator[bytes]:
+    """For each block: (documents, log10 p, log10 base, known tokens), over
+    the seatings ``samples`` of the model's bucket (none: its present one)."""
     t = totals
+    samples = samples or ([] if model is None else [model])
+    many = max(1, len(samples))
     if model is not None:
-        tables, root = np.zeros(len(model.count)), np.zeros(len(model.words))
-        for k in range(BURN_IN + SAMPLES):
-            model.sweep()
-            if k >= BURN_IN:
-                tables += model.tables / SAMPLES
-                root += model.root() / SAMPLES
-        own = model.count - t.discount * tables
-        key = (model.word.astype(np.uint64) << U(12)) | model.context.astype(np.uint64)
+        own = model.count - t.discount * sum(b.tables for b in samples) / many
+        contexts = np.unique(model.context.view(U))
+        key = model.word.astype(np.uint64) * U(len(contexts) + 1) + np.searchsorted(contexts, model.context.view(U)).astype(U)
         total = np.bincount(model.word, weights=model.count, minlength=len(model.words))
-    unknown = (STRENGTH + t.root_discount * t.root_tables) / (t.words + 1) / (STRENGTH + t.root_customers)
-    if not t.words:
-        unknown = 1.0
     for payload in payloads:
         w, per, u, doc, c = _unpack(payload, *BLOCK)
-        u, c = u.astype(np.int64), c.astype(np.int64)
-        p0, seen, mine = np.full(len(w), unknown), np.zeros(len(w)), np.zeros(len(u))
+        c = c.astype(np.int64)
+        seen, mine = np.zeros(len(w)), np.zeros(len(u))
+        known = np.zeros(len(w), dtype=bool)
         if model is not None and len(model.words):
             at = np.minimum(np.searchsorted(model.words, w), len(model.words) - 1)
             known = model.words[at] == w
-            p0[known], seen[known] = root[at[known]], total[at[known]]
-            entry = (np.repeat(at, per).astype(np.uint64) << U(12)) | u.astype(np.uint64)
+            seen[known] = total[at[known]]
+            place = np.minimum(np.searchsorted(contexts, u), len(contexts) - 1)
+            entry = np.repeat(at, per).astype(U) * U(len(contexts) + 1) + place.astype(U)
             there = np.minimum(np.searchsorted(key, entry), len(key) - 1)
-            hit = (key[there] == entry) & np.repeat(known, per)
+            hit = (key[there] == entry) & (contexts[place] == u) & np.repeat(known, per)
             mine[hit] = own[there[hit]]
-        p0, seen = np.repeat(p0, per), np.repeat(seen, per)
-        back = STRENGTH + t.discount * t.tables[u]
-        p = (mine + back * p0) / (STRENGTH + t.customers[u])
+        seen = np.repeat(seen, per)
+        back = np.zeros(len(u))
+        for b in samples:  # all of one seating together: it sums to one
+            s = b.totals
+            unknown = (STRENGTH + s.root_discount * s.root_tables) / (s.words + 1) / (STRENGTH + s.root_customers)
+            p0 = np.full(len(w), unknown if s.words else 1.0)
+            if known.any():
+                p0[known] = b.root()[at[known]]
+            where = s.at(u)
+            back += (STRENGTH + s.discount * s.tables[where]) * np.repeat(p0, per) / many
+        p = (mine + back) / (STRENGTH + samples[0].totals.customers[where])
         base = (seen + 1) / (t.tokens + t.words + 1)
         docs = np.unique(doc)
         n = int(docs[-1]) + 1
         add = lambda x: np.bincount(doc, weights=x, minlength=n)[docs]
         yield _pack(
             docs.astype("<u2"),
-            add(c * np.log10(np.minimum(p, 1.0))).astype("<f8"),
+            add(c * np.log10(p)).astype("<f8"),
             add(c * np.log10(base)).astype("<f8"),
             add(c * (seen > 0)).astype("<u4"),
         )
@@ -401,7 +516,8 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     n_buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     made = stored(blocks(docs, n_buckets, training), "py-blocks")
     counts = merged_counts(made)
-    totals = trained(counts)
+    made_, sampled = trained(counts)
+    totals = sampled[-1]
 
     # buckets with more than their share of occurrences are dealt over several groups
     load = made.where("bucket >= 0").groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -416,13 +532,13 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
         .withColumn("salt", F.pmod(F.xxhash64("chunk"), F.col("salts")).cast("int"))
         .drop("salts")
     )
-    models = counts.join(salts, "bucket").select(
-        "bucket", "payload", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    models = stored(_model(counts, made_), "py-model").join(salts, "bucket").select(
+        "bucket", "kind", "k", "payload", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
 
     def score(key: tuple, blocks_: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        bucket = Bucket(model["payload"].iloc[0], totals, seed=int(key[0]) + 1) if len(model) else None
-        found = _scored(bucket, totals, list(blocks_["payload"]))
+        seatings = _read(model, sampled, [int(key[0])])
+        found = _scored(seatings[0], totals, list(blocks_["payload"]), seatings)
         return pd.DataFrame({"chunk": blocks_["chunk"].to_numpy(), "sums": list(found)})
 
     sums = (

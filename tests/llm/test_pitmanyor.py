@@ -85,3 +85,37 @@ def test_odd_rows(odd_docs, no_docs):
     assert scores(no_docs, crc_mod("doc_id", 7) != 2).count() == 0
     nothing = scores(odd_docs, crc_mod("doc_id", 7) > 99).collect()  # nobody to learn from
     assert all(r.score == 0 and r.base_score == 0 and r.train_tokens == 0 for r in nothing)
+
+
+def test_every_previous_word_is_a_context_of_its_own(spark):
+    docs = spark.createDataFrame([(i, f"first{i} then{i} last") for i in range(3000)], "doc_id long, text string")
+    made = pitmanyor.stored(pitmanyor.blocks(docs, 16, crc_mod("doc_id", 7) >= 0), "test-blocks")
+    contexts = set()
+    for r in pitmanyor.merged_counts(made).collect():
+        contexts.update(pitmanyor._unpack(bytes(r.payload), *pitmanyor.COUNTS)[2].tolist())
+    assert len(contexts) == 6002  # nothing before, and each word
+
+
+def test_probabilities_sum_to_one_after_the_sweeps(spark):
+    """The chain as it runs, over four buckets, in contexts seen and unseen."""
+    rng = np.random.default_rng(3)
+    names = [f"w{i}" for i in range(60)]
+    asked = ("w0", "w7", "never")
+    rows = [(i, " ".join(names[j] for j in (rng.zipf(1.3, 40) % 60))) for i in range(300)]
+    rows += [(1000 + i, f"{u} {w}") for i, (u, w) in enumerate((u, w) for u in asked for w in [*names, ""])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = pitmanyor.stored(pitmanyor.blocks(docs, 4, docs.doc_id < 1000), "test-blocks")
+    counts = pitmanyor.merged_counts(made)
+    chain, totals = pitmanyor.trained(counts)
+    model = pitmanyor._model(counts, chain).toPandas()
+    seatings = [pitmanyor._read(part, totals, [0]) for _, part in model.groupby("bucket")]
+    assert len(seatings) == 4 and any((s[0].tables > 1).any() for s in seatings)
+    assert any((a.tables != b.tables).any() for a, b, _ in seatings)
+    for u in pitmanyor.word_numbers([x.encode() for x in asked]):
+        total = 0.0
+        for s in seatings:
+            for w in [*s[0].words, *([10**9] if s is seatings[0] else [])]:
+                block = _pack(*(np.array([x], t) for x, t in zip((w, 1, u, 0, 1), pitmanyor.BLOCK, strict=True)))
+                data = next(_scored(s[0], totals[-1], [block], s))
+                total += 10 ** pitmanyor._unpack(data, "<u2", "<f8", "<f8", "<u4")[1][0]
+        assert math.isclose(total, 1.0, rel_tol=1e-9)
