@@ -23,7 +23,8 @@ exact check, connected components.
 Texts that are null, empty or white space have no shingles and are linked
 with nothing.  Rows that repeat a doc_id are one document; different texts
 under one doc_id are linked.  A null doc_id never becomes a component_id; a
-component of null ids only has a null component_id, and its rows are kept.
+component of null ids only has a null component_id, and its rows are all
+marked as kept; ``deduplicate`` leaves one of them.
 """
 
 from __future__ import annotations
@@ -146,9 +147,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
     """(cls, members): the full shingle set of each of ``classes``, from the
-    text of one of its documents."""
-    wanted = classes.select("cls", F.col("any_id").alias("wanted_id"))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    text of one of its rows."""
+    wanted = classes.select("cls", F.col("any_rid").alias("rid"))
+    source = docs.select(row_key().alias("rid"), text_of().alias("text"))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -158,7 +159,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["cls", "members"])
 
     return (
-        source.join(_sized(wanted), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+        source.join(_sized(wanted), "rid")
         .select("cls", "text")
         .mapInPandas(sets, "cls binary, members binary")
     )
@@ -216,6 +217,11 @@ def near_duplicates(
     docs: DataFrame, ngram: int = 5, threshold: float = 0.8, miss: float = 1e-6
 ) -> DataFrame:
     """One row per row of ``docs``: rid, doc_id, n_shingles, component_id, kept."""
+    return _grouped(docs, ngram, threshold, miss).drop("label")
+
+
+def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> DataFrame:
+    """``near_duplicates`` with the class that stands for the group (label)."""
     bounds = least_matches(threshold, miss)
     sketch = stored(sketches(docs, ngram), "sketches")
     classes = stored(
@@ -223,7 +229,7 @@ def near_duplicates(
         .groupBy("cls")
         .agg(
             F.min("doc_id").alias("low_id"),
-            F.max("doc_id").alias("any_id"),
+            F.min("rid").alias("any_rid"),
             F.min(F.struct("sig")).getField("sig").alias("sig"),
         ),
         "classes",
@@ -280,7 +286,7 @@ def near_duplicates(
     if not found.isEmpty():
         grouped = _labelled(grouped, components(found), "label", "whole").select("cls", "low_id", F.col("whole").alias("label"))
     lowest = grouped.groupBy("label").agg(F.min("low_id").alias("component_id"))
-    by_class = grouped.join(lowest, "label").select("cls", "component_id")
+    by_class = grouped.join(lowest, "label").select("cls", "label", "component_id")
     return (
         sketch.select("rid", "doc_id", "n_shingles", "cls")
         .join(by_class, "cls", "left")
@@ -289,6 +295,7 @@ def near_duplicates(
             "doc_id",
             "n_shingles",
             F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            "label",
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
@@ -296,12 +303,12 @@ def near_duplicates(
 
 def deduplicate(docs: DataFrame, ngram: int = 5, threshold: float = 0.8, miss: float = 1e-6) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: one with the
-    group's smallest doc_id.  Rows without words, and those of groups that
-    have no doc_id, all stay."""
-    decided = stored(near_duplicates(docs, ngram, threshold, miss), "groups")
-    linked = decided.where((F.col("n_shingles") > 0) & F.col("component_id").isNotNull())
-    chosen = linked.where("kept").groupBy("component_id").agg(F.min("rid").alias("chosen"))
-    drop = linked.join(chosen, "component_id").where("rid != chosen").select("rid").distinct()
+    group's smallest doc_id, or any one where the group has no doc_id.  Rows
+    without words all stay."""
+    decided = stored(_grouped(docs, ngram, threshold, miss), "groups")
+    linked = decided.where("n_shingles > 0")
+    chosen = linked.where("kept").groupBy("label").agg(F.min("rid").alias("chosen"))
+    drop = linked.join(chosen, "label").where("rid != chosen").select("rid").distinct()
     drop = stored(drop, "copies")
     again = linked.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rid")
     again = stored(again.join(drop, "rid", "left_anti"), "repeats")

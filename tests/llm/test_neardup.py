@@ -2,6 +2,7 @@ import collections
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import neardup
 from ledgerspark.llm.neardup import PERMS, components, deduplicate, least_matches, near_duplicates, survivors
@@ -115,3 +116,18 @@ def test_deduplicate(spark, odd_docs, no_docs):
     ids = sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect())
     assert ids == [(False, k) for k in (1, 2, 3, 4, 5, 7, 8, 9, 10)] + [(True, 0)]
     assert deduplicate(no_docs).count() == 0
+
+
+def test_rows_without_id(spark):
+    """One text a class is read, and one row of each group stays."""
+    words = [[f"g{g}w{k}" for k in range(60)] for g in range(20)]
+    rows = [(None, " ".join(w)) for w in words for _ in range(2)]
+    rows += [(None, " ".join([*w[:-1], "other"])) for w in words]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [r.text.split()[0] for r in deduplicate(docs).collect()]
+    assert sorted(left) == sorted(w[0] for w in words)
+    classes = neardup.sketches(docs, 5).groupBy("cls").agg(F.max("doc_id").alias("any_id"), F.min("rid").alias("any_rid"))
+    assert classes.count() == 40
+    joins = neardup.shingle_sets(docs, classes, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "doc_id" not in joins.split("Join", 1)[1].split("\n")[0]
+    assert neardup.shingle_sets(docs, classes, 5).count() == 60
