@@ -8,7 +8,8 @@ last return the columns of ``documents``.
 2. near_dedup: one document of each near-duplicate group stays;
 3. decontamination: documents that hold a benchmark passage go;
 4. personal_data: personal data in the texts is replaced by its kind;
-5. packing: the texts as pieces placed in fixed-size token sequences.
+5. packing: the texts as pieces, with their token ids, placed in fixed-size
+   token sequences.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path(), CAPACITY, keep_ids=False).drop("ids")
+    return packing.pack_documents(docs, tokenizer_path(), CAPACITY)
 
 
 STAGES = [

@@ -72,3 +72,10 @@ def test_packing_holds_every_document(spark, steps):
     assert max(sums.values()) <= CAPACITY
     again = corpus_pipeline.run(spark, SF)
     assert again.columns == steps[5].columns and again.count() == len(rows)
+
+
+def test_packing_delivers_the_token_ids(spark, steps):
+    import zlib
+
+    rows = steps[5].collect()
+    assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
