@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from frames import rows
 from ledgerspark.plans import sections
 from ledgerspark.plans.registry import bronze_frames, scratch_database

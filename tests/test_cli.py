@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerspark.__main__ import main
 from ledgerspark.plans.registry import bronze_frames, scratch_database
 from ledgerspark.session import fresh_path

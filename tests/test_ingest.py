@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from frames import rows, txn_rows
 from ledgerspark.operators.alerts import transactions_envelope
 from ledgerspark.plans.registry import scratch_database

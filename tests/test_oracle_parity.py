@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerspark.plans.registry import QUERIES as REGISTERED
 from ledgerspark.plans.registry import drop_scratch
 from oracle_compare import compare, duck

@@ -8,7 +8,7 @@ the same rows as on one ordered split.
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from frames import rows
 from ledgerspark import operators as op
 from ledgerspark.sources import fixtures

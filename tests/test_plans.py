@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerspark.plans.registry import QUERIES, READ_ONLY
 
 TOP_K = [
