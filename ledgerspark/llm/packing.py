@@ -23,124 +23,59 @@ empty result.  Other columns of the input are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import shuffle_partitions, stored, text_of
+from ledgerspark.llm.tokens import tokenized
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long, ids binary"
 INTERVALS = "length long, lo long, hi long, copies long, first_sequence long, at long"
 
-#: entries of the per-process tables "word -> ids", as written and without
-#: punctuation; a full table is emptied
-WORDS, CORES = 800_000, 1_000_000
-#: characters split into words at a time
-SLICE = 4_000_000
-#: words given to the tokenizer in one call
-AT_ONCE = 20_000
-# letters that no normalisation joins with what follows, then plain punctuation
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-
-
-class WordTokenizer:
-    """Ids of whole texts, each distinct white-space-free word tokenised once.
-
-    Valid for tokenizers that lower-case, drop ASCII white space, never merge
-    across it and keep letters and punctuation apart; ``word_bpe_49k`` is one.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def _encode(self, cores: list[str]) -> None:
-        if len(self.cores) + len(cores) > CORES:
-            self.cores.clear()
-        for k in range(0, len(cores), AT_ONCE):
-            part = cores[k : k + AT_ONCE]
-            found = self.model.encode(" ".join(part), add_special_tokens=False)
-            ids = np.asarray(found.ids, dtype="<u4").tobytes()
-            starts = np.asarray([a for a, _ in found.offsets], dtype=np.int64)
-            cuts = (4 * np.searchsorted(starts, np.cumsum([0] + [len(w) + 1 for w in part]))).tolist()
-            self.cores.update(zip(part, [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        new = set().union(*split) - self.words.keys()
-        if new and len(self.words) + len(new) > WORDS:
-            self.words.clear()
-            new = set().union(*split)
-        if new:
-            cut = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(w)) else (w, "") for w in map(bytes.decode, new)]
-            wanted = {core for core, _ in cut}.union({tail for _, tail in cut})
-            wanted.discard("")
-            if missing := wanted - self.cores.keys():
-                if len(self.cores) + len(missing) > CORES:
-                    missing = wanted
-                self._encode(list(missing))
-            self.cores[""] = b""
-            cores = self.cores
-            self.words.update(zip(new, [cores[core] + cores[tail] for core, tail in cut], strict=True))
-        words = self.words
-        return [b"".join(map(words.__getitem__, chunks)) for chunks in split]
-
-
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
-
-
-def sliced(model: WordTokenizer, texts: pd.Series) -> Iterator[bytes]:
-    """``model.ids`` over a few texts at a time: lists of words are large."""
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text)
-        if size >= SLICE:
-            yield from model.ids(part)
-            part, size = [], 0
-    yield from model.ids(part)
 
 
 def tokenized_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = True
 ) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 and, with
-    ``keep_ids``, the ids as little-endian unsigned 32-bit numbers."""
-    end = np.asarray([end_id], dtype="<u4").tobytes()
-    step = 4 * capacity
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _tokenizer(tokenizer_path)
-        for batch in batches:
-            out = []
-            for doc_id, ids in zip(batch["doc_id"], sliced(model, batch["text"]), strict=True):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInPandas(cut, PIECES)
+    """One row per piece: doc_id, row (a number of the document's row), piece,
+    start, length, ids_crc32 and, with ``keep_ids``, the ids as little-endian
+    unsigned 32-bit numbers."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, ids, offsets in tokenized(batches, tokenizer_path, end_id):
+            lengths = np.diff(offsets)
+            pieces = -(-lengths // capacity)  # at least one: the closing id
+            owner = np.repeat(np.arange(len(lengths)), pieces)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            size = np.minimum(lengths[owner] - start, capacity)
+            begin = offsets[owner] + start
+            flat = memoryview(np.ascontiguousarray(ids)).cast("B")
+            parts = [flat[a:b] for a, b in zip((4 * begin).tolist(), (4 * (begin + size)).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(owner)),
+                    batch.column("row").take(pa.array(owner)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(size, pa.int64()),
+                    pa.array(list(map(zlib.crc32, parts)), pa.int64()),
+                    pa.array(map(bytes, parts) if keep_ids else [None] * len(parts), pa.binary()),
+                ],
+                ["doc_id", "row", "piece", "start", "length", "ids_crc32", "ids"],
+            )
+
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"),
+        text_of().alias("text"),
+    )
+    return rows.mapInArrow(cut, PIECES)
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -224,12 +159,12 @@ def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
         [(length, -(-n // target)) for length, n in histogram.items()], "length long, n_salts long"
     )
     dealt = pieces.join(F.broadcast(salts), "length").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("n_salts"))
+        "salt", F.pmod(F.xxhash64("row", "piece"), F.col("n_salts"))
     )
     groups = dealt.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = groups.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "salt").orderBy("row", "piece")
     return (
         dealt.withColumn("place", F.row_number().over(inside) - 1)
         .join(base, ["length", "salt"])
@@ -244,7 +179,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     # at most `capacity` rows
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.createDataFrame(plan_sequences(histogram, capacity), INTERVALS)
-    columns = pieces.columns
+    columns = [c for c in pieces.columns if c != "row"]
     p, r = F.broadcast(plan).alias("plan"), ranked(pieces, histogram).alias("r")
     step = F.col("r.rank") - F.col("plan.lo")
     return r.join(

@@ -2,9 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerspark.llm.packing import WordTokenizer, pack_documents, plan_sequences, sequences
+from ledgerspark.llm import tokens
+from ledgerspark.llm.packing import pack_documents, plan_sequences, sequences
 from ledgerspark.llm.queries import CAPACITY, QUERIES, tokenizer_path
 
 
@@ -67,12 +69,32 @@ def test_plan_size_follows_distinct_lengths():
     assert len(plan) < 40_000
 
 
-def test_tokenizer_equals_the_library():
-    texts = ["don't WE'RE é É.́ İ ΣΑΣ ß ﬁ x\x1cy a\xa0b <|endoftext|>x 12a3 日本語.", "", " \n", "a" * 3000, "ſ K Å ǅ"]
-    model = WordTokenizer(tokenizer_path())
-    model.ids(["warm up words"])
-    for ids, want in zip(model.ids(texts), reference_ids(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == want[:-1]
+TEXTS = [
+    "don't WE'RE é É.́ İ ΣΑΣ ß ﬁ x\x1cy a\xa0b <|endoftext|>x 12a3 日本語.",
+    "",
+    None,
+    " \n",
+    "a" * 3000,
+    "ſ K Å ǅ",
+    "\x0bA\x0c b\x85c  d. É!?é ×÷ Ünïcode; ...",
+    "same words, same words; Same Words.",
+]
+
+
+@pytest.mark.parametrize("table", [0, 1000, 64 << 20])
+def test_tokenizer_equals_the_library(table, monkeypatch):
+    """Whatever the table of known words has room for."""
+    monkeypatch.setattr(tokens, "TABLE_BYTES", table)
+    monkeypatch.setattr(tokens, "SLICE", 60)
+    model = tokens.WordTokenizer(tokenizer_path())
+    for _ in range(2):
+        ids, offsets = model.ids(pa.array(TEXTS * 3))
+        assert model.size <= table
+        for k, want in enumerate(reference_ids(TEXTS * 3)):
+            assert ids[offsets[k] : offsets[k + 1]].tolist() == want[:-1]
+    ids, offsets = tokens.closed_ids(model, pa.array(TEXTS), 0)
+    assert ids.tolist() == [x for own in reference_ids(TEXTS) for x in own]
+    assert tokens.closed_ids(model, pa.array([], pa.string()), 0)[1].tolist() == [0]
 
 
 def check(rows, docs):
