@@ -35,6 +35,39 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a ``stored`` frame that nothing reads any more."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+#: measured bytes up to which one side of a join is sent to every task
+BROADCAST_BYTES = 32 << 20
+
+
+def data_bytes(df: DataFrame) -> int:
+    """The size of a stored frame's values: strings and binaries by length,
+    arrays by elements, everything else 16 bytes, and 32 bytes a row."""
+    size = F.lit(32)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            size += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind == "array":
+            size += 16 * F.greatest(F.size(f.name), F.lit(1))
+        else:
+            size += F.lit(16)
+    return df.agg(F.sum(size.cast("long"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """A stored frame, marked for broadcasting if its measured size allows."""
+    return F.broadcast(df) if data_bytes(df) <= BROADCAST_BYTES else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

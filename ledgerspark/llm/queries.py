@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import language, pitmanyor, quality, warc
+from ledgerspark.llm import bitplanes, language, merkle, periods, pitmanyor, quality, warc
 from ledgerspark.llm.common import crc_mod, load
 from ledgerspark.llm.decontamination import contaminated
 from ledgerspark.llm.extraction import extract
 from ledgerspark.llm.neardup import near_duplicates
+from ledgerspark.llm.oracle import ORACLE
 from ledgerspark.llm.packing import pack_documents
 from ledgerspark.llm.pii import personal_data
 from ledgerspark.llm.syncmers import edited_fingerprints
@@ -107,6 +108,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; some are tampered with."""
+    return merkle.manifest(load(spark, sf_dir, "documents")).drop("proof")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word runs of three periods and more in every text, some of them planted."""
+    docs = load(spark, sf_dir, "documents")
+    return periods.periodic_runs(docs, plant=True, keep_text=False).drop("runs", "collapsed")
+
+
+def op13_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as bit planes and read back."""
+    return bitplanes.round_trip(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -118,5 +135,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_personal_data": op9_personal_data,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_binary_output": op13_binary_output,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["CAPACITY", "ORACLE", "QUALITY_FLOOR", "QUERIES", "tokenizer_path"]
