@@ -325,3 +325,11 @@ SELECT * FROM ingested""",
 FROM (DESCRIBE WITH {TXN}
 SELECT {TXN_COLS}, CAST(_ingestion_ts AS TIMESTAMPTZ) AS _ingestion_ts, 'kafka' AS _source FROM txn)""",
 }
+
+# the same rows and reports by another way
+ORACLE["ingest_compacted"] = ORACLE["ingest_offsets"] = ORACLE["ingest_stream"]
+ORACLE["volume_daily_silver"] = ORACLE["gold_volume_daily"] = ORACLE["volume_daily"]
+ORACLE["gold_kpi_overall"] = ORACLE["kpi_overall"]
+ORACLE["gold_volume_hourly"] = ORACLE["volume_hourly"]
+ORACLE["gold_pattern_channel"] = ORACLE["pattern_channel"]
+ORACLE["gold_pattern_txn_type"] = ORACLE["pattern_txn_type"]

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark import operators as op
 from ledgerspark.sources import catalog
+from ledgerspark.sources.compaction import live
 from ledgerspark.sources.schemas import BRONZE_NAMESPACE, BRONZE_TABLES
 
 log = logging.getLogger(__name__)
@@ -57,7 +58,7 @@ class Report:
 
 
 def _on(attr: str, fn: Callable[[DataFrame], DataFrame]) -> Report:
-    return Report(attr, lambda spark, t: fn(spark.table(t.name(getattr(t, attr)))))
+    return Report(attr, lambda spark, t: fn(live(spark, t.name(getattr(t, attr)))))
 
 
 def _txn(fn: Callable[[DataFrame], DataFrame]) -> Report:

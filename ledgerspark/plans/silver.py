@@ -19,8 +19,11 @@ the given rows and leaves the others alone, so a repeated run changes nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.functions import with_typed
+from ledgerspark.operators.volume import volume_daily
+from ledgerspark.sources import shared_fs
 from ledgerspark.sources.catalog import table_exists
 
 PARTITION_COLUMN = "_day"
@@ -70,3 +73,37 @@ def write_silver(
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def listed_days(spark: SparkSession, path: str | None = None, table: str | None = None) -> list[str]:
+    """The days a silver layer has, newest first, from its partition listing:
+    one name for each day, no file is opened.  Rows without a day are not in it."""
+    if table:
+        found = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    else:
+        found = [n.split("=", 1)[1] for n in shared_fs.names(spark, path) if n.startswith(f"{PARTITION_COLUMN}=")]
+    return sorted((d for d in found if d[:1].isdigit()), reverse=True)
+
+
+def newest_volume_daily(
+    spark: SparkSession, path: str | None = None, table: str | None = None, days: int = 30
+) -> DataFrame:
+    """``operators.volume_daily`` over a silver layer, reading the newest days
+    only.
+
+    The days come from the partition listing.  A day may hold no transaction
+    that counts (no valid amount), so the choice is widened, doubling, until
+    ``days`` days count or all are chosen; usually the first one does.
+    """
+    listed = listed_days(spark, path, table)
+    silver = spark.table(table) if table else read_silver(spark, path)
+    take = days
+    while True:
+        chosen = silver.where(F.col(PARTITION_COLUMN) >= F.lit(listed[:take][-1]).cast("date")) if listed else silver
+        if take >= len(listed):
+            break
+        counts = chosen.where(F.col("_amt").isNotNull() & F.col("_tts").isNotNull())
+        if counts.select(PARTITION_COLUMN).distinct().count() >= days:
+            break
+        take *= 2
+    return volume_daily(chosen, days)

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerspark.sources.catalog import table_exists
+from ledgerspark.sources.compaction import BATCH_COLUMN, is_merged
 from ledgerspark.sources.kafka import parse_records, read_kafka
 from ledgerspark.sources.schemas import NAMESPACES, Topic, select_topics, topic
 
 log = logging.getLogger(__name__)
 
-BATCH_COLUMN = "_batch"
-
 # Table properties of the bronze layer.
 ICEBERG_PROPERTIES = {
     "format-version": "2",
@@ -60,6 +62,34 @@ def create_bronze(spark: SparkSession, schema: StructType, table: str, fmt: str
     (w.option("path", path) if path else w).saveAsTable(table)
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_lock = threading.Lock()
+_writers: dict[int, tuple[int, str]] = {}  # session -> writers at work, mode before them
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession):
+    """An overwrite replaces the partitions it has rows for, and no others.
+
+    Several threads may write at a time: the first sets the session's mode,
+    the last restores it."""
+    key = id(spark._jsparkSession)
+    with _lock:
+        n, before = _writers.get(key, (0, spark.conf.get(OVERWRITE_MODE)))
+        _writers[key] = (n + 1, before)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _writers[key]
+            if n > 1:
+                _writers[key] = (n - 1, before)
+            else:
+                del _writers[key]
+                spark.conf.set(OVERWRITE_MODE, before)
+
+
 def append_bronze(
     df: DataFrame,
     table: str,
@@ -74,7 +104,8 @@ def append_bronze(
     dedup in bronze.  ``iceberg`` tables are created with
     ``writeTo().create()`` and ``properties``.  In file formats every call
     lands in a partition of its own (``_batch``): a new one, or the one named
-    by ``batch``, which then replaces what an earlier attempt left there.
+    by ``batch``, which then replaces what an earlier attempt left there.  A
+    named batch that compaction has already merged is left as it is.
     Batch jobs and streams can share such a table.  A table that holds the
     file log of a streaming file sink is refused.
     """
@@ -98,13 +129,12 @@ def append_bronze(
             raise RuntimeError(f"{table} has no column {BATCH_COLUMN}: a repeated batch could not replace its rows")
         df.write.format(fmt).mode("append").saveAsTable(table)
         return
+    if batch and is_merged(spark, table, batch):
+        log.info("%s holds batch %s already", table, batch)
+        return
     tagged = df.withColumn(BATCH_COLUMN, F.lit(batch or f"batch-{uuid.uuid4().hex}"))
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with dynamic_overwrite(spark):
         tagged.select(*columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def ingest_frame(
@@ -135,22 +165,29 @@ def ingest_frames(
     database: str = "bronze",
     fmt: str = "parquet",
     properties: dict[str, str] | None = None,
+    at_once: int = 5,
 ) -> dict[str, int]:
     """Batch ingest of Kafka-shaped frames, one per topic name; rows written
-    per bronze table.  A failing topic does not stop the others; the failures
-    are raised together at the end (the reference only logged them)."""
-    written: dict[str, int] = {}
+    per bronze table.  ``at_once`` topics are ingested at a time, so a small
+    topic does not wait for a large one.  A failing topic does not stop the
+    others; the failures are raised together at the end (the reference only
+    logged them)."""
     errors: dict[str, Exception] = {}
-    for name, raw in frames.items():
+
+    def one(name: str, raw: DataFrame) -> int | None:
         t = topic(name)
         try:
-            written[t.table] = ingest_frame(raw, t, f"{database}.{t.table}", fmt=fmt, properties=properties)
+            return ingest_frame(raw, t, f"{database}.{t.table}", fmt=fmt, properties=properties)
         except Exception as exc:  # keep going, report at the end
             log.error("topic %s failed: %s", name, exc)
             errors[name] = exc
+            return None
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(frames)))) as pool:
+        rows = dict(zip(frames, pool.map(lambda item: one(*item), frames.items()), strict=True))
     if errors:
         raise RuntimeError(f"ingest failed for topics {sorted(errors)}") from next(iter(errors.values()))
-    return written
+    return {topic(name).table: n for name, n in rows.items()}
 
 
 def ingest_kafka_batch(

@@ -7,6 +7,7 @@ frame with a binary or text ``value`` column, e.g. a Parquet dump of a topic.
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,10 +90,19 @@ def producer_options() -> dict[str, str]:
     }
 
 
-def read_kafka(spark: SparkSession, options: dict[str, str], topic: str, streaming: bool = False) -> DataFrame:
-    """Bounded (batch) or unbounded (stream) read of one topic."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.format("kafka").options(**options).option("subscribe", topic).load()
+def read_kafka(
+    spark: SparkSession,
+    options: dict[str, str],
+    topic: str,
+    streaming: bool = False,
+    partitions: list[str] | None = None,
+) -> DataFrame:
+    """Bounded (batch) or unbounded (stream) read of one topic, or of some of
+    its partitions."""
+    reader = (spark.readStream if streaming else spark.read).format("kafka").options(**options)
+    if partitions is None:
+        return reader.option("subscribe", topic).load()
+    return reader.option("assign", json.dumps({topic: sorted(map(int, partitions))})).load()
 
 
 def sink_options(options: dict[str, str], topic: str) -> dict[str, str]:
