@@ -12,15 +12,24 @@ from ledgerspark.session import fresh_path
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def ready() -> None:
+    """Lets Python workers look for this package where the driver found it (on
+    a cluster it is installed, or shipped with --py-files).  Every operator
+    that runs Python calls it; a path that is set already stays."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables.
 
     Texts can be long, so Python workers are sent a thousand rows at a time
-    instead of ten thousand; and they look for this package where the driver
-    found it (on a cluster it is installed, or shipped with --py-files).
+    instead of ten thousand, unless the session says otherwise.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,17 +44,35 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, kind: str, column: str, values: list[int]) -> dict[int, DataFrame]:
+    """``df`` written once, a folder for each value of ``column``; the rows of
+    each of ``values`` as a frame of its own (without the column)."""
+    spark = df.sparkSession
+    path = fresh_path(spark, kind)
+    df.write.partitionBy(column).parquet(path)
+    schema = df.drop(column).schema
+    out = {}
+    for v in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={v}")
+        there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+        out[v] = spark.read.schema(schema).parquet(folder.toString()) if there else spark.createDataFrame([], schema)
+    return out
+
+
 def discard(df: DataFrame) -> None:
-    """Deletes the files of a ``stored`` frame that nothing reads any more."""
+    """Deletes the files of a stored frame that nothing reads any more, and
+    lets Spark drop the shuffle files of plans that are gone (it does so when
+    the driver collects garbage)."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+    jvm.System.gc()
 
 
 #: measured bytes up to which one side of a join is sent to every task
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
 
 
 def data_bytes(df: DataFrame) -> int:

@@ -24,7 +24,7 @@ VOID = frozenset(
 )
 BOILER_TAGS = frozenset(
     {
-        "nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset",
+        "footer", "aside", "form", "dialog", "button", "fieldset",
     }
 )
 UNCLOSED = frozenset(
@@ -55,12 +55,22 @@ HARD_CUES = frozenset(
 )
 SOFT_CUES = frozenset(
     {
-        "nav", "navbar", "navigation", "menu", "menubar", "sidebar", "aside", "complementary", "footer",
-        "contentinfo", "banner", "masthead", "topbar", "toolbar", "widget", "widgets",
+        "sidebar", "aside", "complementary", "footer", "contentinfo", "banner", "masthead", "topbar", "toolbar",
     }
 )
 HEADER_CUES = frozenset(["header"])
 OPEN_CUES = frozenset(["comment", "comments", "reply", "replies", "related", "teaser", "promo", "sponsored", "ad", "advert"])
+# words that may stand beside a cue in one name ("comment-list", "ad-slot-3");
+# with any other word the name says something else ("no-comments", "ads-enabled")
+BESIDE = frozenset(
+    {
+        "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "field",
+        "form", "group", "heading", "inner", "item", "items", "js", "left", "link", "links", "list", "message",
+        "module", "outer", "panel", "region", "right", "row", "section", "slot", "text", "thread", "title",
+        "top", "unit", "widget", "widgets", "wp", "wrap", "wrapper", "zone",
+    }
+)
+BESIDE_SOFT = frozenset(["global", "main", "page", "primary", "secondary", "site"])
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -80,9 +90,16 @@ class Block:
     text: str
     words: int
     linked: int  # words inside links
-    boiler: bool  # inside a menu, header, footer, advert, form, comments, ...
+    cue: bool  # inside a header, footer, advert, form, comments, ...
     inside: bool  # inside an article or main element
-    heading: bool
+
+
+@dataclass
+class Element:
+    """An open element that says something about the text in it."""
+
+    role: str  # content, hidden, hard, soft or header
+    words: int = 0  # words inside, without links
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -94,58 +111,93 @@ def squeeze(text: str) -> str:
     return " ".join(text.split())
 
 
+def _cues(names: str) -> set[str]:
+    """hard, soft, header: what whole names of a class, id or role attribute say."""
+    out = set()
+    for name in names.split():
+        words = {w.lower() for w in CUE.findall(name)}
+        said = words - BESIDE
+        if said and said <= HARD_CUES:
+            out.add("hard")
+        elif (said := said - BESIDE_SOFT) and said <= SOFT_CUES:
+            out.add("soft")
+        elif said and said <= HEADER_CUES:
+            out.add("header")
+    return out
+
+
 def _role(tag: str, source: str) -> str:
-    """content, hard, soft, header or "" (nothing special)."""
+    """content, hidden, hard, soft, header or "" (nothing special)."""
     known = attributes(source) if source and not source.isspace() else {}
     if "hidden" in known or known.get("aria-hidden", "").lower() == "true" or HIDDEN.search(known.get("style", "")):
-        return "hard"
+        return "hidden"
     names = " ".join(known.get(k, "") for k in ("class", "id", "role"))
-    cues = {w.lower() for w in CUE.findall(names)} if names else set()
     if tag in CONTENT_TAGS:
-        return "hard" if cues & OPEN_CUES else "content"
+        opens = {w.lower() for name in names.split() for w in CUE.findall(name)} - BESIDE
+        return "hard" if opens and opens <= OPEN_CUES else "content"
     if tag in BOILER_TAGS:
         return "hard"
     if tag in HEADER_TAGS:
         return "header"
-    if tag in ("html", "body") or not cues:
+    if tag in ("html", "body") or not names:
         return ""
-    if cues & HARD_CUES:
-        return "hard"
-    if cues & SOFT_CUES:
-        return "soft"
-    return "header" if cues & HEADER_CUES else ""
+    cues = _cues(names)
+    return next((c for c in ("hard", "soft", "header") if c in cues), "")
+
+
+def _judged(found: list[tuple[Block, list[Element], str]]) -> list[Block]:
+    """Sets ``cue`` and ``inside`` of blocks from the elements around them.
+
+    A cue is about the page, and does not count, on an element that holds all
+    article elements of the page, or, on a page without one, its title (else
+    its first longer text) and more than half of its unlinked words.
+    """
+    articles = len({id(e) for _, around, _ in found for e in around if e.role == "content"})
+    words = sum(b.words - b.linked for b, _, _ in found)
+    inner: dict[int, set[int]] = {}
+    for b, around, _ in found:
+        for k, e in enumerate(around):
+            e.words += b.words - b.linked
+            inner.setdefault(id(e), set()).update(id(x) for x in around[k + 1 :] if x.role == "content")
+    begins = [around for b, around, heading in found if heading == "h1"]
+    begins += [around for b, around, _ in found if b.words - b.linked >= 10]
+    begin = {id(e) for e in begins[0]} if begins else set()
+    for b, around, heading in found:
+        cue = 0  # 2: hard, 1: soft
+        for e in around:
+            if e.role == "content":
+                b.inside = True
+                cue = 2 if cue == 2 else 0
+            elif e.role == "hidden":
+                cue = 2
+            elif len(inner[id(e)]) == articles if articles else id(e) in begin and 2 * e.words > words:
+                continue
+            elif e.role == "hard":
+                cue = 2
+            elif e.role == "soft" or not heading or articles and not b.inside:
+                cue = max(cue, 1)
+        b.cue = bool(cue)
+    return [b for b, _, _ in found]
 
 
 def blocks(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
     """The text blocks of a page in order, and its links (href, text)."""
-    out: list[Block] = []
+    found: list[tuple[Block, list[Element], str]] = []
     links: list[tuple[str, str]] = []
-    open_: list[tuple[str, str]] = []  # (tag, role) of the open block elements
+    open_: list[tuple[str, Element | None]] = []  # the open block elements
     pieces: list[str] = []
     linked_pieces: list[str] = []
     href: str | None = None
     link_text: list[str] = []
-    heading = False
-
-    def state() -> tuple[bool, bool]:
-        boiler, inside = 0, False  # 2: hard, 1: soft
-        for _, role in open_:
-            if role == "content":
-                inside = True
-                boiler = 2 if boiler == 2 else 0
-            elif role == "hard":
-                boiler = 2
-            elif role == "soft" or role == "header" and not heading:
-                boiler = max(boiler, 1)
-        return bool(boiler), inside
+    heading = ""  # the open heading element
 
     def close() -> None:
         nonlocal heading
         text = squeeze(html.unescape("".join(pieces)))
         if text:
             linked = len(html.unescape(" ".join(linked_pieces)).split())
-            boiler, inside = state()
-            out.append(Block(text, len(text.split()), linked, boiler, inside, heading))
+            around = [e for _, e in open_ if e is not None]
+            found.append((Block(text, len(text.split()), linked, False, False), around, heading))
         pieces.clear()
         linked_pieces.clear()
 
@@ -185,19 +237,20 @@ def blocks(page: str) -> tuple[list[Block], list[tuple[str, str]]]:
                         del open_[k:]
                         break
                 if tag in HEADINGS:
-                    heading = False
+                    heading = ""
             else:
                 close()
                 if tag == "body":
                     open_.clear()
-                heading = tag in HEADINGS
+                heading = tag if tag in HEADINGS else ""
                 source = m[4] or m[7] or ""
                 if tag in UNCLOSED and open_ and open_[-1][0] == tag:
                     open_.pop()  # its end tag was left out
                 if tag not in VOID and not source.rstrip().endswith("/"):
-                    open_.append((tag, _role(tag, source)))
+                    role = _role(tag, source)
+                    open_.append((tag, Element(role) if role else None))
     if at < len(page):
         add(page[at:])
     close()
     end_link()
-    return out, links
+    return _judged(found), links

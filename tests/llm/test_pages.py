@@ -2,8 +2,10 @@ import html
 import json
 import re
 
+import pytest
+
 from ledgerspark.llm import warc
-from ledgerspark.llm.extraction import LABELLED, decide, extract, main_text, trained
+from ledgerspark.llm.extraction import LABELLED, decide, described, extract, main_text, trained
 from ledgerspark.llm.markup import blocks
 from ledgerspark.llm.queries import QUERIES
 
@@ -150,3 +152,64 @@ def test_custom_elements_are_not_the_dropped_ones():
     found, links = blocks(page + "<p><a href=/end>end</a></p>")
     assert " ".join(b.text for b in found) == "one two three inner four five six seven end"
     assert links == [("/end", "end")]
+
+
+ARTICLE = "".join(
+    f"<p>{x}</p>"
+    for x in (
+        "The first paragraph of this article has a good number of words and says something at length.",
+        "Then a second paragraph follows which is about as long as the one before it was.",
+        "Short end.",
+    )
+)
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('<div class="page no-comments"><article>', "</article></div>"),
+        ('<div id="page" class="site comments-open"><main>', "</main></div>"),
+        ('<div class="content with-social-share">', "</div>"),
+        ('<div class="layout ads-enabled"><section>', "</section></div>"),
+        ('<body class="search-page"><div class="search-page">', "</div></body>"),
+        ('<div class="alert-level-2">', "</div>"),
+        ("<form action=/x>", "</form>"),
+        ("<form action=/x><article>", "</article></form>"),
+        ('<div class="comments"><article>', "</article></div>"),
+    ],
+)
+def test_wrappers_keep_the_article(before, after):
+    menu = "<nav>" + "".join(f"<li><a href=/{k}>Item</a></li>" for k in range(5)) + "</nav>"
+    text = main_text(trained(), menu + before + "<h1>A title of words</h1>" + ARTICLE + after + "<footer>(c) us</footer>")
+    assert text.split("\n\n") == ["A title of words", *re.findall("<p>(.*?)</p>", ARTICLE)]
+
+
+@pytest.mark.parametrize(
+    "junk",
+    [
+        '<div class="comments-area"><p>A reader wrote a comment that is about as long as any of the paragraphs.</p></div>',
+        '<section id="comments"><article><p>One more comment by a reader, again with a number of words.</p></article></section>',
+        '<div class="ad-slot-3">Buy this thing now, it is cheap and good for all of you.</div>',
+        '<div class="cookie-notice"><p>We use cookies for all kinds of good reasons and some bad ones.</p></div>',
+        '<aside><p>Beside the article there is some more text which does not belong to it.</p></aside>',
+        '<div class="sidebar"><p>Beside the article there is some more text which does not belong to it.</p></div>',
+        "<div><a href=/1>Next</a></div><div><a href=/2>More of it</a></div>",
+        "<form><label>Your name</label><input><button>Send it</button></form>",
+        '<div style="display:none"><p>Words that nobody sees on this page, however many there may be.</p></div>',
+    ],
+)
+def test_what_is_no_article_goes(junk):
+    page = f"<main><article><h1>A title of words</h1>{ARTICLE}</article></main>{junk}<footer>(c) us</footer>"
+    assert main_text(trained(), page).split("\n\n") == ["A title of words", *re.findall("<p>(.*?)</p>", ARTICLE)]
+
+
+def test_the_tree_decides_by_words_and_links(spark):
+    """With all word counts and link densities replaced by constants, many
+    decisions are others."""
+    tree, changed, n = trained(), 0, 0
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        for row in described(blocks(r.html)[0]):
+            n += 1
+            changed += decide(tree, row) != decide(tree, (20, 0.0, 20, 0.0, 20, 0.0, row[6]))
+    assert changed > 0.2 * n
+    assert len(LABELLED) < 200 and {row[6] for row, _ in LABELLED} == {-2, -1, 0, 1}
