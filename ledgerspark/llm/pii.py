@@ -1,26 +1,36 @@
 """Personal data: base patterns, plus identifiers found by bootstrapped
 contextual extraction.
 
-Base spans come from fixed expressions per kind (``base_spans``).  Beyond
-them, identifiers are words with a digit.  The words around each base span
-and each other identifier are its lexical patterns (two words before; one
-before and one after).  Spark holds the graph "pattern - instance" and
-iterates:
-
-* instances: a base instance belongs to its kind with certainty; others
-  start at 0;
-* a pattern's confidence for a kind is the mean score, for that kind, of its
-  distinct instances, if at least ``support`` of them are accepted;
+Base spans come from fixed expressions per kind (``base_spans``).  They are
+the seeds.  Other candidates are groups of digits written together (``0171 555
+0123`` is one) and words with a digit or an ``@``.  Every seed and candidate
+has lexical patterns, taken from the words and punctuation marks next to it
+(digits in them count as 0) and from its own shape (runs of letters, digits and
+signs, as in ``a9-9``):
+
+* the word before, with the marks between (``token="``), and the shape;
+* the two words before;
+* the word before and the word after;
+* the word after, with the marks between, and the shape.
+
+Spark holds the graph "pattern - instance" and iterates:
+
+* a pattern's confidence for a kind is accepted / (instances + 1), over the
+  distinct instances it has anywhere, if at least ``support`` are accepted;
 * an instance's score is the probability that not all of its confident
-  patterns err (noisy or); at ``accept`` it is accepted and counts as a seed
-  in the next iteration.
+  patterns err (noisy or); at ``accept`` it is accepted as its best kind (of
+  equal ones the first) and counts like a seed from then on.
+
+Accepted instances stay, so confidences only grow; the iteration ends when
+nothing new is accepted, after as many rounds as the longest chain takes.
 
 Every occurrence of an accepted instance next to one of its confident
 patterns becomes a span of that kind.  Base spans are never dropped.
 
-Scores travel through joins and grouped sums over distinct (pattern,
+Scores travel through joins and grouped counts over distinct (pattern,
 instance) edges; no group is ever gathered in one task.  Null and empty texts
-have no spans.  Repeated rows get equal results.
+have no spans.  Repeated rows get equal results; null ids are kept.  Other
+columns may have any names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,10 +39,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import row_key, stored, text_of
+from ledgerspark.llm.common import broadcast_if_small, discard, ready, row_key, stored, text_of
 
 # fixed values: the base expressions; a kind's number is its place
 KINDS = ("email", "ip", "card", "phone")
@@ -43,11 +54,11 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_EDGES = "\"'()[]{}<>,;:!?."
-#: white space and words next to an identifier are looked for this far away
-REACH = 200
-#: rows of discovered spans that are broadcast (about 100 bytes each)
-BROADCAST_ROWS = 500_000
+# candidates: digits with blanks, brackets, dots and hyphens between, or a word
+_NUMBER = re.compile(r"[0-9(+][0-9().\x20-]*+")
+_WORD = re.compile(r"[A-Za-z0-9_@.%+-]++")
+# marks that are a token of their own next to a candidate
+_MARKS = frozenset("\"'`()[]{}<>,;:!?=|*#")
 
 
 def luhn(digits: str) -> bool:
@@ -95,68 +106,131 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
-    """The lexical contexts of text[start:end]."""
-    before = text[max(0, start - REACH) : start].lower().split()
-    after = text[end : end + REACH].lower().split()
+def _before(text: str, at: int) -> tuple[str, int]:
+    """The token that ends before ``at``, and where it begins ("" at the start)."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    end = at
+    if at and text[at - 1] in _MARKS:
+        return text[at - 1], at - 1
+    while at and not text[at - 1].isspace() and text[at - 1] not in _MARKS:
+        at -= 1
+    return text[at:end], at
+
+
+def _after(text: str, at: int) -> tuple[str, int]:
+    """The token that begins after ``at``, and where it ends ("" at the end)."""
+    n = len(text)
+    while at < n and text[at].isspace():
+        at += 1
+    begin = at
+    if at < n and text[at] in _MARKS:
+        return text[at], at + 1
+    while at < n and not text[at].isspace() and text[at] not in _MARKS:
+        at += 1
+    return text[begin:at], at
+
+
+def _neighbour(text: str, at: int, step) -> tuple[str, str, int]:
+    """The next word with a letter on one side, the marks before it, and where
+    it was found; numbers between count as a mark."""
+    marks = ""
+    while True:
+        token, at = step(text, at)
+        if not token or any(c.isalpha() for c in token):
+            return _DIGITS.sub("0", token.lower()), marks, at
+        marks += token if token in _MARKS else "0"
+
+
+def shape(instance: str) -> str:
+    """Runs of letters as a, of digits as 9; signs as they are."""
+    return re.sub("9+", "9", re.sub("a+", "a", re.sub("[0-9]", "9", re.sub("[^\\W\\d_]", "a", instance))))
+
+
+def patterns(text: str, start: int, end: int) -> list[str]:
+    """The lexical patterns of text[start:end]."""
+    left, left_marks, at = _neighbour(text, start, _before)
+    right, right_marks, _ = _neighbour(text, end, _after)
+    form = shape(text[start:end])
     out = []
-    if len(before) >= 2:
-        out.append(f"{before[-2]} {before[-1]} _")
-    if before and after:
-        out.append(f"{before[-1]} _ {after[0]}")
-    return [p for p in out if any(c.isalpha() for c in p)]
-
-
-def _identifiers(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Words with a digit that no base span touches, without outer punctuation."""
-    done, k = 0, 0
-    by_start = [(a, b) for a, _, b in taken]
-    reach = 0  # furthest end of the spans that start before the word's end
-    for m in _DIGITS.finditer(text):
-        if m.start() < done:
-            continue
-        a, b = m.start(), m.end()
-        while a > done and not text[a - 1].isspace():
-            a -= 1
-        while b < len(text) and not text[b].isspace():
-            b += 1
-        done = b
-        while k < len(by_start) and by_start[k][0] < b:
-            reach = max(reach, by_start[k][1])
+    if left:
+        out.append(f"{left}{left_marks[::-1]} _ {form}")
+        further = _neighbour(text, at, _before)[0]
+        if further:
+            out.append(f"{further} {left} _")
+        if right:
+            out.append(f"{left} _ {right}")
+    if right:
+        out.append(f"_ {form} {right_marks}{right}")
+    return out
+
+
+def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Groups of digits, and words with a digit or @, that no base span touches."""
+    found = []
+    if _DIGITS.search(text) or "@" in text:
+        for m in _NUMBER.finditer(text):
+            at = m.start()
+            for part in m[0].split("  "):
+                a, b = at, at + len(part)
+                at = b + 2
+                while b > a and not text[b - 1].isdigit():
+                    b -= 1
+                while a < b and not (text[a].isdigit() or text[a] in "(+"):
+                    a += 1
+                if any(c.isdigit() for c in text[a:b]):
+                    found.append((a, b))
+        for m in _WORD.finditer(text):
+            word = m[0].rstrip(".-+%")
+            if any(c.isalpha() for c in word) and ("@" in word or any(c.isdigit() for c in word)):
+                found.append((m.start(), m.start() + len(word)))
+    # a word wins over digits inside it; both give way to base spans
+    found.sort(key=lambda x: (x[0], -x[1]))
+    out: list[tuple[int, int]] = []
+    done, k, reach = 0, 0, 0
+    for a, b in found:
+        while k < len(taken) and taken[k][0] < b:
+            reach = max(reach, taken[k][2])
             k += 1
-        if reach > a:
-            continue
-        while a < b and text[a] in _EDGES:
-            a += 1
-        while b > a and text[b - 1] in _EDGES:
-            b -= 1
-        if b - a >= 4:
-            yield a, b
+        if a >= done and reach <= a:
+            out.append((a, b))
+            done = b
+    return out
+
+
+SEEN = "array<struct<start:long,end:long,kind:int,instance:long,patterns:array<long>>>"
+
+
+def _number(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
     """rid, doc_id, base: array of (start, kind, end), seen: array of (start,
-    end, kind or -1, instance, patterns)."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).select(
-        F.xxhash64("doc_id", "text").alias("rid"), "doc_id", "text"
-    )
-    schema = (
-        "rid long, doc_id long, base array<struct<start:long,kind:int,end:long>>, "
-        "seen array<struct<start:long,end:long,kind:int,instance:string,patterns:array<string>>>"
+    end, kind or -1, and as 64-bit numbers instance and patterns)."""
+    ready()
+    source = docs.select(
+        row_key().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")
     )
+    schema = f"rid long, doc_id long, base array<struct<start:long,kind:int,end:long>>, seen {SEEN}"
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             base, seen = [], []
             for text in batch["text"]:
                 spans = base_spans(text)
-                words = [(a, b, k) for a, k, b in spans] + [(a, b, -1) for a, b in _identifiers(text, spans)]
+                words = [(a, b, k) for a, k, b in spans] + [(a, b, -1) for a, b in candidates(text, spans)]
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
                 seen.append(
                     [
-                        {"start": a, "end": b, "kind": k, "instance": text[a:b].lower(), "patterns": p}
+                        {
+                            "start": a,
+                            "end": b,
+                            "kind": k,
+                            "instance": _number(text[a:b].lower()),
+                            "patterns": sorted({_number(p) for p in patterns(text, a, b)}),
+                        }
                         for a, b, k in words
-                        if (p := _patterns(text, a, b))
                     ]
                 )
             out = pd.DataFrame({"rid": batch["rid"], "doc_id": batch["doc_id"].astype("Int64")})
@@ -166,57 +240,60 @@ def found_spans(docs: DataFrame) -> DataFrame:
     return source.mapInPandas(find, schema)
 
 
-def discovered(found: DataFrame, support: int = 3, accept: float = 0.8, confidence: float = 0.5, rounds: int = 3) -> DataFrame:
+def discovered(found: DataFrame, support: int = 3, accept: float = 0.8, confidence: float = 0.5) -> DataFrame:
     """rid, start, kind, end of the identifiers that the graph accepts.
 
     ``found``: the stored result of ``found_spans``.
     """
-    seen = found.select("rid", F.explode("seen").alias("s")).select(
-        "rid", "s.start", "s.end", "s.kind", F.xxhash64("s.instance").alias("instance"), "s.patterns"
-    )
-    edges = stored(
-        seen.select("instance", F.explode("patterns").alias("p")).select("instance", F.xxhash64("p").alias("pattern")).distinct(),
-        "pii-edges",
-    )
-    seeds = stored(
-        seen.where("kind >= 0").select("instance", "kind", F.lit(1.0).alias("score")).distinct(), "pii-seeds"
+    seen = found.select("rid", F.explode("seen").alias("s")).select("rid", "s.*")
+    all_edges = seen.select("instance", F.explode("patterns").alias("pattern")).distinct()
+    sizes = stored(
+        all_edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support), "pii-sizes"
     )
-    size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
-    size = stored(size, "pii-sizes")
-    scores = seeds
-    for _ in range(rounds):
+    edges = stored(all_edges.join(broadcast_if_small(sizes), "pattern"), "pii-edges")
+    # an instance that is a seed of several kinds counts for each
+    seeds = stored(seen.where("kind >= 0").select("instance", "kind").distinct(), "pii-seeds")
+    accepted, old = seeds, None
+    while True:
         sure = (
-            edges.join(scores, "instance")
+            edges.join(broadcast_if_small(accepted), "instance")
             .groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("total"), F.count(F.lit(1)).alias("accepted"))
-            .where(F.col("accepted") >= support)
-            .join(size, "pattern")
-            .withColumn("p", F.col("total") / F.col("n"))
-            .where(F.col("p") >= confidence)
-            .select("pattern", "kind", F.least("p", F.lit(0.999999)).alias("p"))
+            .agg(F.count(F.lit(1)).alias("accepted"), F.first("n").alias("n"))
+            .withColumn("p", F.col("accepted") / (F.col("n") + 1))
+            .where((F.col("accepted") >= support) & (F.col("p") >= confidence))
+            .select("pattern", "kind", "p")
         )
         sure = stored(sure, "pii-patterns")
         if sure.isEmpty():
             break
-        scores = stored(
-            edges.join(sure, "pattern")
+        best = Window.partitionBy("instance").orderBy(F.col("score").desc(), "kind")
+        new = (
+            edges.join(broadcast_if_small(sure), "pattern")
+            .join(broadcast_if_small(accepted.select("instance").distinct()), "instance", "left_anti")
             .groupBy("instance", "kind")
             .agg((1 - F.exp(F.sum(F.log1p(-F.col("p"))))).alias("score"))
             .where(F.col("score") >= accept)
-            .union(seeds.select("instance", "kind", "score"))
-            .groupBy("instance", "kind")
-            .agg(F.max("score").alias("score")),
-            "pii-scores",
+            .withColumn("place", F.row_number().over(best))  # at most one row for each kind
+            .where("place = 1")
+            .select("instance", "kind")
         )
-    new = scores.join(seeds.select("instance", "kind"), ["instance", "kind"], "left_anti").withColumnRenamed("kind", "to")
-    if new.isEmpty():
+        new = stored(new, "pii-new")
+        if new.isEmpty():
+            break
+        accepted = stored(accepted.union(new), "pii-accepted")
+        if old is not None:
+            discard(old)
+        old = accepted
+    unseeded = accepted.join(broadcast_if_small(seeds.select("instance").distinct()), "instance", "left_anti")
+    if unseeded.isEmpty():
         return seen.select("rid", "start", "kind", "end").where(F.lit(False))
+    unseeded = stored(unseeded.withColumnRenamed("kind", "to"), "pii-discovered")
     return (
         seen.where("kind < 0")
-        .select("rid", "start", "end", "instance", F.explode("patterns").alias("p"))
-        .withColumn("pattern", F.xxhash64("p"))
-        .join(sure.select("pattern", F.col("kind").alias("to")), "pattern")
-        .join(new.select("instance", "to"), ["instance", "to"])
+        .select("rid", "start", "end", "instance", "patterns")
+        .join(broadcast_if_small(unseeded), "instance")
+        .withColumn("pattern", F.explode("patterns"))
+        .join(broadcast_if_small(sure).withColumnRenamed("kind", "to"), ["pattern", "to"])
         .select("rid", "start", F.col("to").alias("kind"), "end")
         .distinct()
     )
@@ -227,10 +304,6 @@ def _collected(extra: DataFrame) -> DataFrame:
     return extra.groupBy(F.col("rid").alias("extra_rid")).agg(F.collect_set(entry).alias("extra"))
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _listed(spans: str) -> Column:
     names = ", ".join(f"'{k}'" for k in KINDS)
     return F.expr(
@@ -243,7 +316,7 @@ def personal_data(docs: DataFrame, **graph) -> DataFrame:
     n_ip, n_card, n_phone (base matches), base_list and spans_list (text)."""
     found = stored(found_spans(docs), "pii-found")
     extra = stored(_collected(discovered(found, **graph)), "pii-extra")
-    both = found.select("rid", "doc_id", "base").join(_sized(extra), F.col("rid") == F.col("extra_rid"), "left")
+    both = found.select("rid", "doc_id", "base").join(broadcast_if_small(extra), F.col("rid") == F.col("extra_rid"), "left")
     none = F.expr("cast(array() AS array<struct<start:bigint,kind:int,end:bigint>>)")
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {k})) AS bigint)").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     spans = both.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("extra", none))))
@@ -253,6 +326,7 @@ def personal_data(docs: DataFrame, **graph) -> DataFrame:
 def redact(docs: DataFrame, **graph) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; n_chars (if
     there) is the new length.  Overlapping spans are replaced as one."""
+    ready()
     found = stored(found_spans(docs), "pii-found")
     extra = stored(_collected(discovered(found, **graph)), "pii-extra")
 
@@ -274,8 +348,12 @@ def redact(docs: DataFrame, **graph) -> DataFrame:
             out.append("".join(parts) + text[done:] if spans else text)
         return pd.Series(out, dtype=object)
 
-    key = row_key()
-    joined = docs.join(_sized(extra), key == extra.extra_rid, "left").withColumn("text", cleaned("text", "extra"))
+    # the row as one column: its own column names cannot clash with ours
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("row"), row_key().alias("rid"))
+    joined = rows.join(broadcast_if_small(extra), F.col("rid") == F.col("extra_rid"), "left")
+    joined = joined.withColumn("cleaned", cleaned(F.col("row").getField("text").cast("string"), F.col("extra")))
+    row = F.col("row").withField("text", F.col("cleaned"))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
+        row = row.withField("n_chars", F.char_length("cleaned").cast(docs.schema["n_chars"].dataType))
+    return joined.select(row.alias("row")).select("row.*")
