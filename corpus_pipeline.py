@@ -10,6 +10,12 @@ last return the columns of ``documents``.
 4. personal_data: personal data in the texts is replaced by its kind;
 5. packing: the texts as pieces, with their token ids, placed in fixed-size
    token sequences.
+
+Null and empty texts have a quality like any other; those that stay are linked
+with nothing, hold no passage and no personal data, and pack as their closing
+id.  Null ids are kept.  Of rows that are equal, or near-equal, one stays.
+Extra columns may have any names and pass through to the last stage, which
+reads doc_id and text only.  Empty tables give empty results.
 """
 
 from __future__ import annotations
