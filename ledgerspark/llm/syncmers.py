@@ -1,7 +1,7 @@
 """Document fingerprints from closed syncmers, DataFrame functions only.
 
-A text is a sequence of units: runs of anything but white space, at most
-``UNIT`` characters each (so a text without spaces still has units).  Of the
+A text is a sequence of units: the words between white space, and of a run of
+more than ``UNIT`` characters (writing without spaces) each character.  Of the
 ``K`` consecutive units of a k-mer every ``S`` consecutive ones form an inner
 substring; the k-mer is a *closed syncmer* when the smallest hash among its
 inner substrings is the first or the last.  Whether a k-mer is chosen depends
@@ -13,6 +13,11 @@ digits each; the likeness of two fingerprints is the Jaccard index of their
 anchors.  Equal texts have equal fingerprints.  Texts with fewer than ``K``
 units have one anchor, all units together; null, empty and blank texts have
 none.  Two empty fingerprints have likeness 1, an empty and another one 0.
+
+Null ids come last in descending order, and rows with equal ids follow a hash
+of their text; either may be many, they are spread over tasks by that hash.
+Rows equal in id and text are each other's next; they share a task.  In a
+table of one row the row is its own next.
 """
 
 from __future__ import annotations
@@ -22,7 +27,10 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import shuffle_partitions, text_of
 
-K, S, UNIT = 5, 2, 12
+K, S, UNIT = 5, 2, 24
+_SPACE = r" \\t\\n\\x0B\\f\\r"
+# a whole run of at most UNIT characters, or one character of a longer run
+_UNITS = f"(?<![^{_SPACE}])[^{_SPACE}]{{1,{UNIT}}}(?![^{_SPACE}])|[^{_SPACE}]"
 #: quantiles asked for at most when ids are cut into ranges
 CUTS = 1000
 LOWEST = -(2**63)
@@ -38,7 +46,7 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     inside = ", ".join(f"element_at({u}, i + {j})" for j in range(S))
     return (
         df.withColumn(
-            u, F.expr(f"transform(regexp_extract_all({text}, '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]{{1,{UNIT}}}', 0), x -> xxhash64(x))")
+            u, F.expr(f"transform(regexp_extract_all({text}, '{_UNITS}', 0), x -> xxhash64(x))")
         )
         .withColumn(
             sub,
@@ -89,31 +97,53 @@ def likeness(a: str, b: str) -> Column:
 
 
 def _ranged(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``bucket``, a number that rises with ``ord``.
+    """``docs`` with ``bucket``, a number that rises with ``ord`` and, among
+    equal ones, falls with ``tie``.
 
     Quantiles of the ids (CUTS at most) cut them into ranges of about equal
-    counts; where more buckets are wanted each range is divided evenly.
+    counts; where more buckets are wanted each range is divided evenly.  An id
+    that several quantiles fall on has as many shares of the rows; they are
+    dealt by their tie.
     """
-    spark = docs.sparkSession
-    wanted = 4 * shuffle_partitions(spark)
+    wanted = 4 * shuffle_partitions(docs.sparkSession)
     n = min(wanted, CUTS)
-    cuts = docs.select(
+    quantiles = docs.select(
         F.percentile_approx("ord", [k / n for k in range(n + 1)], 10 * CUTS).alias("q")
     ).first()["q"]
-    if not cuts:
+    if not quantiles:
         return docs.withColumn("bucket", F.lit(0).cast("long"))
-    cuts = sorted({int(c) for c in cuts})
     each = -(-wanted // n)
-    lit = F.array(*[F.lit(c).cast("long") for c in cuts])
-    k = F.size(F.filter(lit, lambda c: c <= F.col("ord")))
-    coarse = docs.withColumn("_k", F.greatest(k, F.lit(1)))
-    if each == 1:
-        return coarse.withColumn("bucket", F.col("_k").cast("long")).drop("_k")
-    low = F.element_at(lit, F.col("_k")).cast("double")
-    high = F.element_at(lit, F.least(F.col("_k") + 1, F.lit(len(cuts)))).cast("double")
-    part = F.floor((F.col("ord") - low) * each / F.greatest(high - low, F.lit(1.0)))
-    fine = F.greatest(F.least(part, F.lit(each - 1)), F.lit(0))
-    return coarse.withColumn("bucket", F.col("_k") * each + fine).drop("_k")
+    cuts = sorted({int(c) for c in quantiles})
+    shares = [each * (m if (m := sum(int(q) == c for q in quantiles)) > 1 else 0) for c in cuts]
+    first, at = [], 0
+    for s in shares:
+        first.append(at)
+        at += s + each
+
+    def listed(values: list[int]) -> Column:
+        return F.array(*[F.lit(v).cast("long") for v in values])
+
+    k = F.greatest(F.size(F.filter(listed(cuts), lambda c: c <= F.col("ord"))), F.lit(1))
+    placed = docs.withColumn("_k", k).withColumns(
+        {
+            "_low": F.element_at(listed(cuts), F.col("_k")),
+            "_high": F.element_at(listed(cuts), F.least(F.col("_k") + 1, F.lit(len(cuts)))),
+            "_first": F.element_at(listed(first), F.col("_k")),
+            "_shares": F.element_at(listed(shares), F.col("_k")),
+        }
+    )
+    # the tie's place between the lowest and the highest number, from the end
+    fraction = 0.5 - F.col("tie") / F.lit(2.0**64)
+    share = F.least(F.floor(fraction * F.col("_shares")), F.col("_shares") - 1)
+    part = F.floor(
+        (F.col("ord").cast("double") - F.col("_low"))
+        * each
+        / F.greatest(F.col("_high").cast("double") - F.col("_low"), F.lit(1.0))
+    )
+    part = F.greatest(F.least(part, F.lit(each - 1)), F.lit(0))
+    shared = (F.col("ord") == F.col("_low")) & (F.col("_shares") > 0)
+    bucket = F.col("_first") + F.when(shared, F.greatest(share, F.lit(0))).otherwise(F.col("_shares") + part)
+    return placed.withColumn("bucket", bucket.cast("long")).drop("_k", "_low", "_high", "_first", "_shares")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -121,8 +151,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     one by descending doc_id; the last row's next is the first.
 
     Rows go to ranges of ids; the first row of each range is copied to the end
-    of the range before it, so no step orders all rows in one task.  Null ids
-    come last; rows with equal ids are ordered by a hash of their text.
+    of the range before it, so no step orders all rows in one task.
     """
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -131,13 +160,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     ).withColumn("tie", F.xxhash64("text"))
     placed = _ranged(source)
     # one row per bucket
-    heads = placed.groupBy("bucket").agg(F.max("ord").alias("ord"))
+    top = F.max(F.struct("ord", F.bitwise_not("tie").alias("tie")))
+    heads = placed.groupBy("bucket").agg(top.alias("top")).select("bucket", "top.ord", F.bitwise_not("top.tie").alias("tie"))
     order = Window.orderBy(F.col("bucket").desc())
     last = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     guests = heads.select(
-        "ord", F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(last)).alias("host")
+        "ord", "tie", F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(last)).alias("host")
     )
-    copies = placed.join(F.broadcast(guests), "ord", "left")
+    copies = placed.join(F.broadcast(guests), ["ord", "tie"], "left")
     dealt = copies.select(
         "doc_id",
         "text",

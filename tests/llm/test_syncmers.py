@@ -2,7 +2,7 @@ import hashlib
 import random
 
 from ledgerspark.llm.queries import QUERIES
-from ledgerspark.llm.syncmers import K, S, anchors, edited_fingerprints, with_anchors
+from ledgerspark.llm.syncmers import K, LOWEST, S, _ranged, anchors, edited_fingerprints, with_anchors, with_next
 
 
 def edited(docs):
@@ -80,3 +80,45 @@ def test_single_row_is_its_own_next(spark):
     one = spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")
     r = edited_fingerprints(one).first()
     assert r.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and r.near_next == 1.0
+
+
+def test_writing_without_spaces(spark):
+    rng = random.Random(7)
+    run = "".join(rng.choice("abcdefghijklmnop日本語漢字") for _ in range(3000))
+    texts = [run, "x" + run, "some words before " + run, run[:1500] + "Z" + run[1500:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [set(r.a) for r in with_anchors(df, "text", "a").orderBy("doc_id").collect()]
+    for other in got[1:]:
+        assert len(got[0] & other) >= 0.9 * len(got[0] | other)
+
+
+def _chain(df):
+    """doc_id and text -> next text, by the same order in plain Python."""
+    rows = df.selectExpr("doc_id", "coalesce(text, '') t", "xxhash64(coalesce(text, '')) tie").collect()
+    rows.sort(key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.tie))
+    return sorted((str(r.doc_id), r.t, rows[(k + 1) % len(rows)].t) for k, r in enumerate(rows))
+
+
+def test_hot_ids_are_split_and_keep_their_order(spark):
+    rng = random.Random(8)
+    ids = [None] * 1000 + [7] * 800 + list(range(-500, 700))
+    rng.shuffle(ids)
+    df = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(6)
+    got = with_next(df)
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got.select("doc_id", "text", "next_text").collect()) == _chain(df)
+    source = df.selectExpr("doc_id", "text", f"coalesce(doc_id, {LOWEST}) ord", "xxhash64(text) tie")
+    sizes = sorted(r["count"] for r in _ranged(source).groupBy("bucket").count().collect())
+    assert sizes[-1] <= 4 * 3000 / 32  # of 32 wanted buckets
+    single = spark.createDataFrame([(None, "only")], "doc_id long, text string")
+    assert [(r.text, r.next_text) for r in with_next(single).collect()] == [("only", "only")]
+
+
+def test_many_buckets_keep_the_order(spark):
+    df = spark.createDataFrame([(i * i * (-1) ** i, f"t{i % 90}") for i in range(700)] + [(5, "x")] * 40, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "600")  # more buckets than quantiles
+    try:
+        rows = with_next(df).select("doc_id", "text", "next_text").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in rows) == _chain(df)
