@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import stored, text_of
+from ledgerspark.llm.common import ready, stored, text_of
 from ledgerspark.llm.tokens import tokenized
 
 MAGIC = b"IDPL"
@@ -162,6 +162,7 @@ def encoded(
 ) -> DataFrame:
     """``docs`` as segments in ascending doc_id order: part and segment give
     the order, first_id the place of a segment's first id within its part."""
+    ready()
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
@@ -224,6 +225,7 @@ def decoded(segments: DataFrame) -> DataFrame:
 
     Only one number for each part of the table goes through one task.
     """
+    ready()
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,6 +261,7 @@ def export_segments(segments: DataFrame, folder: str) -> DataFrame:
     """Writes each segment as a file ``part-segment.idpl`` of ``folder``, a
     path that every executor can open; returns part, segment and path.  A file
     appears whole or not at all, and a repeated task replaces its own."""
+    ready()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.makedirs(folder, exist_ok=True)

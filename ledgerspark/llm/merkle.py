@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import broadcast_if_small, crc_mod, discard, stored
+from ledgerspark.llm.common import broadcast_if_small, crc_mod, discard, ready, stored
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 #: levels made in one step, by blocks of 2^BLOCK nodes
@@ -142,6 +142,7 @@ def tree(members: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
     """(nodes, subroots) over ``members``: g, n (members of the group), idx,
     digest, row.  nodes: every node under a subroot with its 1-level segment;
     subroots: g, digest."""
+    ready()
     lone = members.where("n = 1")
     parts = [
         lone.select("g", "n", F.lit(0).alias("level"), "idx", F.unhex(F.lit("")).alias("seg"), "digest", "row")

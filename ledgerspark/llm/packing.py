@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import shuffle_partitions, stored, text_of
+from ledgerspark.llm.common import ready, shuffle_partitions, stored, text_of
 from ledgerspark.llm.tokens import tokenized
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -45,6 +45,7 @@ def tokenized_pieces(
     """One row per piece: doc_id, row (a number of the document's row), piece,
     start, length, ids_crc32 and, with ``keep_ids``, the ids as little-endian
     unsigned 32-bit numbers."""
+    ready()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, ids, offsets in tokenized(batches, tokenizer_path, end_id):

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import text_of
+from ledgerspark.llm.common import ready, text_of
 
 #: words taken together
 BATCH_WORDS = 200_000
@@ -184,6 +184,7 @@ def periodic_runs(
     ``plant`` first repeats a stretch of some documents (``planted``), chosen
     by crc32 of the id; a null id counts as empty text there.
     """
+    ready()
     schema = pa.schema(
         [
             *[(c, pa.int64()) for c in ("doc_id", "n_runs", "start", "length", "period", "exponent_milli")],

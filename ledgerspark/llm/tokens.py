@@ -9,6 +9,8 @@ bounded by bytes and belongs to one task: it goes when the task ends.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +24,14 @@ TABLE_BYTES = 64 << 20
 ENTRY_BYTES = 190
 #: bytes of text split into words at a time
 SLICE = 8 << 20
-#: words joined by blanks for one call of the tokenizer
+#: words, other than plain ones, joined by blanks for one call of the tokenizer
 AT_ONCE = 500
 # letters that no normalisation joins with what follows, then plain punctuation
 _PLAIN = "^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,;:!?]*)$"
 
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are written as this machine holds them: little-endian, 32 bits")
+
 
 class WordTokenizer:
     """Ids of whole texts, each distinct white-space-free word tokenised once.
@@ -37,16 +42,13 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
-        # lower-case runs of letters or of punctuation need no normalising
-        # and no splitting but at blanks
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        # a lower-case run of letters or of punctuation needs no normalising and
+        # no splitting: the model itself takes it, written in its byte alphabet
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: alphabet.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.table: dict[str, bytes] = {}
         self.size = 0
 
@@ -58,19 +60,21 @@ class WordTokenizer:
         new = [k for k, ids in zip(keys, found, strict=True) if ids is None]
         if not new:
             return found
+        ids = []
         if single:
-            ids = []
-            for k in range(0, len(new), AT_ONCE):
-                part = new[k : k + AT_ONCE]
-                one = self.plain.encode(" ".join(part), add_special_tokens=False)
+            model, letters = self.model.model, self.letters
+            for k in new:
+                found_ids = [t.id for t in model.tokenize(k if k.isascii() else k.translate(letters))]
+                ids.append(array("I", found_ids).tobytes())
+        else:
+            for at in range(0, len(new), AT_ONCE):
+                part = new[at : at + AT_ONCE]
+                one = self.model.encode(" ".join(part), add_special_tokens=False)
                 flat = np.asarray(one.ids, dtype="<u4").tobytes()
-                cuts = (4 * np.searchsorted(np.asarray(one.word_ids), np.arange(len(part) + 1))).tolist()
+                begins = np.cumsum([0] + [len(k) + 1 for k in part])
+                starts = np.fromiter((a for a, _ in one.offsets), dtype=np.int64, count=len(one.ids))
+                cuts = (4 * np.searchsorted(starts, begins)).tolist()
                 ids += [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        else:
-            ids = [
-                np.asarray(one.ids, dtype="<u4").tobytes()
-                for one in self.model.encode_batch(new, add_special_tokens=False)
-            ]
         size = sum(map(len, new)) + sum(map(len, ids)) + ENTRY_BYTES * len(new)
         if self.size + size > TABLE_BYTES:
             table.clear()
