@@ -1,48 +1,56 @@
 """Hierarchical Pitman-Yor language model, trained and applied on Spark.
 
 Two levels of Chinese restaurants: one per context (the word before, as a
-64-bit number), all sharing one parent, the root, whose base is
-uniform over the training words and one unknown word.  A token is a customer
-of its context's restaurant; each table there sends one customer to the root.
+64-bit number), all sharing one parent, the root, whose base is uniform over
+the training words and one unknown word.  A token is a customer of its
+context's restaurant; each table there sends one customer to the root.
 
     p(w | u) = (c_uw - d t_uw + (s + d T_u) p0(w)) / (s + c_u)
     p0(w)    = (t_w - d0 t0_w + (s0 + d0 T0) / (V + 1)) / (s0 + C0)
 
 with t_w the sum of t_uw over contexts, T_u and T0 the numbers of tables, C0
 the customers of the root.  Seating is sampled by Gibbs: all customers of one
-word in one restaurant are reseated, one after the other, given everything
-else; then the word's customers in the root.  Predictive probabilities are
+word in one restaurant stand up and are seated again one after the other,
+with their own tables taken out of T_u and their own customers out of the
+root; then each word's customers in the root.  Predictive probabilities are
 averages over the last ``SAMPLES`` of ``SWEEPS + BURN_IN + SAMPLES`` seatings
 of one chain, each with the totals of that same seating, so they sum to one.
-
-Distribution.  Words are hashed to buckets.  All customers of a word, in every
-restaurant, are in its bucket, so the reseating of a bucket needs from
-elsewhere only the totals of its contexts and of the root.  These are
-exchanged between sweeps and held fixed within one, as is usual for
-distributed Gibbs sampling.  A long queue of customers (over 16) is seated in
-growing groups at the probability of the group's first.
-
-1. Every partition turns its documents into compressed blocks per bucket:
-   (word, context, document, count), one pass over the texts.
-2. The blocks are merged by bucket, in a tree of bounded fan-in, to the counts
-   of the training documents and the contexts that only the others ask for.
-3. A sweep stores each bucket's seating and its share of its contexts' totals.
-   The shares are added up by parts of the contexts (about ``CONTEXTS`` each)
-   and every bucket is sent the totals of its own contexts.
-4. Each bucket's blocks meet its model; buckets with more than their share of
-   occurrences are split over several task groups, the model copied to each.
-   Sums per document come back and are added up per block of documents.
+A context's customers are the word's own training count (what follows a word
+is a word or the end), so they need no exchange; and a word that follows
+another one once has one table there, so only pairs that occur twice or more
+are ever seated anew.
+
+Distribution.  Words are ranges of the hash: each has a home.  Pairs (word,
+context) are cells of a grid of word and context ranges, the buckets, so the
+contexts of a frequent word are spread over many of them.
+
+1. Chunks.  Each task turns its documents into chunks and asks the buckets for
+   its pairs and the homes for its words, once for each.
+2. Counts.  A bucket adds up the pairs of all chunks; it keeps the repeated
+   ones, answers each chunk with their counts, and tells the homes its sums.
+3. Sweeps.  Buckets seat their repeated pairs and send table sums for their
+   words and contexts, in an order both sides know; homes add them up, seat
+   the root, and answer with totals.  What other buckets do in the same sweep
+   is seen in the next one, as is usual for distributed Gibbs sampling.  Files
+   of a sweep that no sample needs any more are deleted.
+4. Scores.  Homes and buckets answer the chunks with the samples' tables, and
+   each chunk adds up its documents.
+
+Every exchange goes between parts that have something to say to each other,
+and its size follows the pairs there are.
 
 Null and empty texts are the end token alone.  Repeated rows count again and
-are scored again.  With nothing to learn from every token has probability 1
-under base and model (the only outcome is the unknown word).
+are scored again; null ids are kept.  With nothing to learn from every token
+has probability 1 under base and model (the only outcome is the unknown word).
+An empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -50,519 +58,660 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import stored, text_of
-from ledgerspark.llm.shingles import U, mix, word_numbers, words
+from ledgerspark.llm.common import discard, ready, stored, stored_by, text_of
+from ledgerspark.llm.shingles import U, word_numbers, words
 
-CONTEXTS = 4096  # contexts whose totals are added up in one task group
 BUCKET_BYTES = 24_000_000  # text per bucket
 LEAST_BUCKETS = 16
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 2_000_000
 CHUNK_DOCS = 60_000
-FAN_IN = 256  # blocks merged in one task group
-BROADCAST_ROWS = 1_000_000
 SWEEPS, BURN_IN, SAMPLES = 2, 1, 3
 END = U(1)  # the number of the end token
 STRENGTH = 1.0
+ONE_BY_ONE = 64  # customers seated in single steps; then from new table to new table
+
+
+# --- arrays as bytes
+
+_RAW, _SORTED, _TABLE = range(3)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays, one after the other, compressed; 64-bit numbers that repeat
-    go as a table and places in it."""
+    """Arrays, one after the other, compressed.  Whole numbers that are not
+    negative take the width they need; sorted hashes (64 bits, unsigned) go as
+    differences, and hashes that repeat as a table and places in it."""
     head: list[int] = []
     body: list[bytes] = []
 
-    def put(a: np.ndarray, coded: int) -> None:
-        head.extend((coded, ord(a.dtype.kind), a.itemsize, len(a)))
+    def put(a: np.ndarray, how: int) -> None:
+        if how != _RAW:
+            a = np.diff(a, prepend=U(0))
+        if a.dtype.kind in "iu" and len(a) and a.min() >= 0:
+            a = a.astype(np.min_scalar_type(a.max()))
+        head.extend((how, ord(a.dtype.kind), a.itemsize, len(a)))
         body.append(a.tobytes())
 
     for a in arrays:
-        if a.dtype.str == "<u8":
+        if a.dtype == np.uint64 and len(a) > 1:
+            if (a[1:] > a[:-1]).all():
+                put(a, _SORTED)
+                continue
             table, at = np.unique(a, return_inverse=True)
             if 2 * len(table) <= len(a):
-                put(table, 1)
-                put(at.astype(np.min_scalar_type(len(table))), 0)
+                put(table, _TABLE)
+                put(at, _RAW)
                 continue
-        put(a, 0)
+        put(a, _RAW)
     raw = np.array([len(head), *head], dtype="<i8").tobytes() + b"".join(body)
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
 def _unpack(data: bytes, *types: str) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
+    raw = zstandard.ZstdDecompressor().decompress(bytes(data))
     n_head = int(np.frombuffer(raw, dtype="<i8", count=1)[0])
     head = np.frombuffer(raw, dtype="<i8", count=n_head, offset=8).reshape(-1, 4)
     out, at, table = [], 8 * (n_head + 1), None
-    for coded, kind, width, n in head.tolist():
+    for how, kind, width, n in head.tolist():
         a = np.frombuffer(raw, dtype=f"<{chr(kind)}{width}", count=n, offset=at)
         at += a.nbytes
-        if coded:
+        if how != _RAW:
+            a = np.cumsum(a.astype(np.uint64), dtype=np.uint64)
+        if how == _TABLE:
             table = a
             continue
-        out.append((a if table is None else table[a]).astype(types[len(out)], copy=False))
+        out.append((a if table is None else table[a]).astype(types[len(out)]))
         table = None
     return out
 
 
-# a block: words, entries per word, then per entry context, document, count
-BLOCK = ("<u8", "<u4", "<u8", "<u2", "<u4")
-# a merged bucket: words, entries per word, then per entry context, count;
-# word 0 has, with count 0, the contexts asked for by documents not trained on
-COUNTS = ("<u8", "<u4", "<u8", "<u4")
-SEATING = ("<u4", "<u4")  # tables per entry, tables in the root per word
-SHARE = ("<u8", "<i8", "<i8")  # contexts, customers, tables
-
-
-def _tokens(text: str) -> np.ndarray:
-    """Word numbers of a text with its end."""
-    return np.append(word_numbers(words(text)), END)
-
-
-def blocks(docs: DataFrame, n_buckets: int, training: Column) -> DataFrame:
-    """chunk, bucket (-1: the chunk's documents), n, payload."""
+def _range(numbers: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal ranges of 64-bit numbers each is in; rises with it."""
+    return ((numbers >> U(32)) * U(n) >> U(32)).astype(np.int64)
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    if not len(x):
+        return np.zeros(1, np.int64)
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1], True])
+
+
+@dataclass(frozen=True)
+class Grid:
+    """``homes`` ranges of words; ``rows`` x ``columns`` buckets of pairs."""
+
+    rows: int
+    columns: int
+
+    @property
+    def homes(self) -> int:
+        return self.rows * self.columns
+
+    def bucket(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        return _range(word, self.rows) * self.columns + _range(context, self.columns)
+
+
+def grid_for(text_bytes: int) -> Grid:
+    n = max(LEAST_BUCKETS, -(-text_bytes // BUCKET_BYTES))
+    columns = math.isqrt(n)
+    return Grid(-(-n // columns), columns)
+
+
+# --- 1. chunks
+
+OWN, PAIRS, NAMES = range(3)  # kinds of rows that a chunk makes
+CHUNKS = "kind int, chunk long, part int, payload binary"
+# own: ids, null ids, training, lengths; per pair its word and its context (0:
+# none, else 1 + a word of the chunk), documents; per (pair, document) the
+# document and the count
+_OWN = ("<i8", "<u1", "<u1", "<i8", "<u4", "<u4", "<u4", "<u4", "<u4")
+_PAIRS = ("<u8", "<u4", "<u8", "<u4")  # words, pairs per word, then per pair context and training count
+_NAMES = ("<u8",)
+
+
+def chunks(docs: DataFrame, grid: Grid, training: Column) -> DataFrame:
+    """Rows of CHUNKS: what a chunk keeps (OWN), and what it asks buckets
+    (PAIRS, part: the bucket) and homes (NAMES, part: the home)."""
+    ready()
+
+    def flush(held: list[tuple]) -> pd.DataFrame:
+        chunk = uuid.uuid4().int >> 65
+        lengths = np.array([len(x[2]) for x in held], dtype="<i8")
+        trained = np.array([x[1] for x in held], dtype="<u1")
+        numbers, word = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
+        before = np.r_[0, word[:-1] + 1].astype(np.uint64)
+        before[np.cumsum(lengths) - lengths] = 0
+        contexts = np.r_[U(0), numbers]
+        key = word.astype(np.uint64) * U(len(contexts)) + before
+        order = np.argsort(key, kind="stable")  # documents stay in order
+        key, doc = key[order], np.repeat(np.arange(len(held), dtype="<u4"), lengths)[order]
+        first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]), True])
+        count = np.diff(first).astype("<u4")
+        key, doc = key[first[:-1]], doc[first[:-1]]
+        pairs = _runs(key)
+        learned = np.add.reduceat(count * trained[doc], pairs[:-1]).astype("<u4")
+        documents = np.diff(pairs)
+        word, before = np.divmod(key[pairs[:-1]], U(len(contexts)))
+        word, before = word.astype(np.int64), before.astype(np.int64)
+        # pairs by bucket, then word, then context
+        bucket = grid.bucket(numbers[word], contexts[before])
+        order = np.argsort(bucket.astype(np.min_scalar_type(grid.homes)), kind="stable")
+        at = np.repeat(pairs[:-1][order], documents[order])
+        at += np.arange(len(at)) - np.repeat(np.cumsum(documents[order]) - documents[order], documents[order])
+        bucket, word, before, learned = bucket[order], word[order], before[order], learned[order]
+        ids = np.array([0 if pd.isna(x[0]) else x[0] for x in held], dtype="<i8")
+        null = np.array([pd.isna(x[0]) for x in held], dtype="<u1")
+        steps = np.diff(word, prepend=0).astype("<u4")  # mostly 0 and 1; falls wrap around
+        own = _pack(ids, null, trained, lengths, steps, before.astype("<u4"), documents[order], doc[at], count[at])
+        rows = [(OWN, chunk, 0, own)]
+        cuts = _runs(bucket)
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            own_words = _runs(word[a:b])
+            payload = _pack(
+                numbers[word[a:b][own_words[:-1]]], np.diff(own_words).astype("<u4"), contexts[before[a:b]], learned[a:b]
+            )
+            rows.append((PAIRS, chunk, int(bucket[a]), payload))
+        home = _range(numbers, grid.homes)
+        cuts = _runs(home)
+        rows += [(NAMES, chunk, int(home[a]), _pack(numbers[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pd.DataFrame(rows, columns=["kind", "chunk", "part", "payload"])
 
     def chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         size = 0
-
-        def flush() -> pd.DataFrame:
-            chunk = uuid.uuid4().int >> 65
-            held.sort(key=lambda x: not x[1])  # training documents first
-            n_train = sum(x[1] for x in held)
-            ids = np.array([0 if pd.isna(x[0]) else x[0] for x in held], dtype="<i8")
-            null = np.array([pd.isna(x[0]) for x in held], dtype="<u1")
-            train = np.array([x[1] for x in held], dtype="<u1")
-            lengths = np.array([len(x[2]) for x in held], dtype="<i8")
-            rows = [(chunk, -1, len(held), 0, _pack(ids, null, train, lengths))]
-            w = np.concatenate([x[2] for x in held])
-            doc = np.repeat(np.arange(len(held), dtype=np.uint64), lengths)
-            distinct, inverse = np.unique(w, return_inverse=True)
-            before = np.r_[0, inverse[:-1] + 1].astype(np.uint64)  # 0: nothing before
-            before[np.cumsum(lengths) - lengths] = 0
-            bucket = (mix(distinct) % U(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(order), dtype=np.uint64)
-            place[order] = np.arange(len(order), dtype=np.uint64)
-            key = place[inverse] * U(len(distinct) + 1) + before
-            by = np.argsort(key, kind="stable")  # documents stay in order
-            key, doc = key[by], doc[by]
-            first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])
-            count = np.diff(np.r_[first, len(key)])
-            key, doc = key[first], doc[first]
-            word, before = (x.astype(np.int64) for x in np.divmod(key, U(len(distinct) + 1)))
-            context = np.r_[U(0), distinct][before]
-            per_word = np.bincount(word, minlength=len(distinct))
-            ends = np.cumsum(per_word)
-            distinct, bucket = distinct[order], bucket[order]
-            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                x, y = (ends[a - 1] if a else 0), ends[b - 1]
-                payload = _pack(
-                    distinct[a:b].astype(BLOCK[0]),
-                    per_word[a:b].astype(BLOCK[1]),
-                    context[x:y].astype(BLOCK[2]),
-                    doc[x:y].astype(BLOCK[3]),
-                    count[x:y].astype(BLOCK[4]),
-                )
-                rows.append((chunk, int(bucket[a]), int(y - x), n_train, payload))
-            return pd.DataFrame(rows, columns=["chunk", "bucket", "n", "n_train", "payload"])
-
         for batch in batches:
             for doc_id, train, text in zip(batch["doc_id"], batch["train"], batch["text"], strict=True):
-                w = _tokens(text)
+                w = np.append(word_numbers(words(text)), END)
                 held.append((doc_id, bool(train), w))
                 size += len(w)
                 if size >= CHUNK_TOKENS or len(held) >= CHUNK_DOCS:
-                    yield flush()
+                    yield flush(held)
                     held, size = [], 0
         if held:
-            yield flush()
+            yield flush(held)
 
     source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), training.alias("train"), text_of().alias("text")
-    )
-    return source.mapInPandas(chunked, "chunk long, bucket int, n long, n_train int, payload binary")
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> bytes:
-    """COUNTS payload of (word, context, count) lists."""
-    w = np.concatenate([p[0] for p in parts])
-    u = np.concatenate([p[1] for p in parts]).astype(np.uint64)
-    c = np.concatenate([p[2] for p in parts]).astype(np.int64)
-    distinct, inverse = np.unique(w, return_inverse=True)
-    contexts, at = np.unique(u, return_inverse=True)
-    key = inverse.astype(np.uint64) * U(max(1, len(contexts))) + at.astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    key, c = key[order], c[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=np.int64)
-    total = np.add.reduceat(c, first) if len(first) else c
-    word, at = np.divmod(key[first], U(max(1, len(contexts))))
-    per_word = np.bincount(word.astype(np.int64), minlength=len(distinct))
-    return _pack(
-        distinct.astype(COUNTS[0]), per_word.astype(COUNTS[1]), contexts[at.astype(np.int64)].astype(COUNTS[2]), total.astype(COUNTS[3])
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("train"), text_of().alias("text")
     )
+    return source.mapInPandas(chunked, CHUNKS)
+
+
+# --- 2. counts
+
+REPLY, REPEATED, SUMS = range(3)  # kinds of rows that a bucket makes
+COUNTED = "kind int, chunk long, bucket int, home int, payload binary"
+_REPLY = ("<i8", "<i8")  # per pair asked for its count, and 1 + its place among the repeated ones
+_REPEATED = ("<u8", "<u8", "<i8")  # word, context, count; by word, then context
+# words, count, pairs that occur once; contexts, such pairs; words and contexts of repeated pairs
+_SUMS = ("<u8", "<i8", "<i8", "<u8", "<i8", "<u8", "<u8")
+
+
+def _cut(numbers: np.ndarray, grid: Grid) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted numbers by home: the homes and where each begins (and the end)."""
+    home = _range(numbers, grid.homes)
+    cuts = _runs(home)
+    return home[cuts[:-1]], cuts
+
+
+def counted(asked: DataFrame, grid: Grid) -> DataFrame:
+    """Rows of COUNTED from the chunks' PAIRS."""
+    ready()
+
+    def count(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("chunk")
+        lists = [_unpack(p, *_PAIRS) for p in part["payload"]]
+        words_, w = np.unique(np.concatenate([np.repeat(x[0], x[1]) for x in lists]), return_inverse=True)
+        contexts, u = np.unique(np.concatenate([x[2] for x in lists]), return_inverse=True)
+        pair, inverse = np.unique(w.astype(np.int64) * len(contexts) + u, return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([x[3] for x in lists]), minlength=len(pair)).astype(np.int64)
+        w, u = np.divmod(pair, len(contexts))
+        many = total > 1
+        place = np.where(many, np.cumsum(many), 0)
+        bucket = int(key[0])
+        rows = []
+        at = 0
+        for chunk, x in zip(part["chunk"], lists, strict=True):
+            own = inverse[at : at + len(x[2])]
+            at += len(x[2])
+            rows.append((REPLY, chunk, bucket, -1, _pack(total[own], place[own])))
+        rows.append((REPEATED, 0, bucket, -1, _pack(words_[w[many]], contexts[u[many]], total[many])))
+        # what each home must know, for words and contexts that were trained on
+        n, m = len(words_), len(contexts)
+        tokens = np.bincount(w, weights=total, minlength=n).astype(np.int64)
+        once_w = np.bincount(w[total == 1], minlength=n)
+        once_u = np.bincount(u[total == 1], minlength=m)
+        lists = [
+            (words_[tokens > 0], tokens[tokens > 0], once_w[tokens > 0]),
+            (contexts[once_u > 0], once_u[once_u > 0]),
+            (words_[np.unique(w[many])],),
+            (contexts[np.unique(u[many])],),
+        ]
+        found: dict[int, list] = {}
+        for k, arrays in enumerate(lists):
+            homes, cuts = _cut(arrays[0], grid)
+            for home, a, b in zip(homes.tolist(), cuts, cuts[1:], strict=False):
+                found.setdefault(home, [None] * len(lists))[k] = [x[a:b] for x in arrays]
+        for home, parts in found.items():
+            flat = [x for own, like in zip(parts, lists, strict=True) for x in (own or [x[:0] for x in like])]
+            rows.append((SUMS, 0, bucket, home, _pack(*flat)))
+        return pd.DataFrame(rows, columns=["kind", "chunk", "bucket", "home", "payload"])
+
+    return asked.select("part", "chunk", "payload").groupBy("part").applyInPandas(count, COUNTED)
+
+
+# a home: its numbers, their counts, once-pairs as word and as context; then
+# how many repeated words and contexts each of its buckets has, and which
+_HOME = ("<u8", "<i8", "<i8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u4")
+
+
+def homes(sums: DataFrame) -> DataFrame:
+    """home, payload: the static part of every home."""
+    ready()
+
+    def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("bucket")
+        lists = [_unpack(p, *_SUMS) for p in part["payload"]]
+        numbers = np.unique(np.concatenate([np.concatenate((x[0], x[3], x[5], x[6])) for x in lists]))
+
+        def add(k: int, value: int) -> np.ndarray:
+            out = np.zeros(len(numbers), dtype="<i8")
+            for x in lists:
+                out[np.searchsorted(numbers, x[k])] += x[value]  # a bucket names each once
+            return out
+
+        many_w = [np.searchsorted(numbers, x[5]).astype("<u4") for x in lists]
+        many_u = [np.searchsorted(numbers, x[6]).astype("<u4") for x in lists]
+        payload = _pack(
+            numbers,
+            add(0, 1),
+            add(0, 2),
+            add(3, 4),
+            part["bucket"].to_numpy().astype("<i8"),
+            np.array([len(x) for x in many_w], dtype="<u4"),
+            np.array([len(x) for x in many_u], dtype="<u4"),
+            np.concatenate(many_w),
+            np.concatenate(many_u),
+        )
+        return pd.DataFrame({"home": [int(key[0])], "payload": [payload]})
 
+    return sums.select("home", "bucket", "payload").groupBy("home").applyInPandas(build, "home int, payload binary")
 
-def merged_counts(made: DataFrame) -> DataFrame:
-    """bucket, n (words), payload: the training counts of each bucket, and what else it is asked for."""
 
-    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for chunk, bucket, n_train, payload in zip(
-                batch["chunk"], batch["bucket"], batch["n_train"], batch["payload"], strict=True
-            ):
-                w, per, u, doc, c = _unpack(payload, *BLOCK)
-                keep = doc < n_train
-                asked = np.unique(u[~keep])
-                none = np.zeros(len(asked), dtype=np.uint64)
-                parts = [(np.repeat(w, per)[keep], u[keep], c[keep]), (none, asked, none.astype(c.dtype))]
-                rows.append((chunk, bucket, _merged(parts)))
-            yield pd.DataFrame(rows, columns=["chunk", "bucket", "payload"])
-
-    def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        lists = []
-        for payload in part["payload"]:
-            w, per, u, c = _unpack(payload, *COUNTS)
-            lists.append((np.repeat(w, per), u, c))
-        return pd.DataFrame({"chunk": [key[1]], "bucket": [key[0]], "payload": [_merged(lists)]})
-
-    def last(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        whole = merge(key, part)
-        n = [len(_unpack(p, *COUNTS)[0]) for p in whole["payload"]]
-        return pd.DataFrame({"bucket": whole["bucket"], "n": n, "payload": whole["payload"]})
-
-    schema = "chunk long, bucket int, payload binary"
-    blocks_ = made.where("bucket >= 0").select("chunk", "bucket", "n_train", "payload")
-    n = blocks_.select("chunk").distinct().count()
-    level = blocks_.mapInPandas(own, schema)
-    while n > FAN_IN:  # a frequent word has entries in every chunk
-        n = -(-n // FAN_IN)
-        level = stored(
-            level.withColumn("chunk", F.pmod(F.xxhash64("chunk"), F.lit(n))).groupBy("bucket", "chunk").applyInPandas(merge, schema),
-            "py-counts",
-        )
-    level = level.withColumn("chunk", F.lit(0).cast("long"))
-    whole = level.groupBy("bucket", "chunk").applyInPandas(last, "bucket int, n long, payload binary")
-    return stored(whole, "py-counts")
+# --- 3. sweeps
 
 
-@dataclass
+@dataclass(frozen=True)
 class Totals:
-    """What the restaurants share between buckets; of the contexts, those that
-    a bucket needs (sorted; None: 0, 1, 2, ...)."""
-
-    tokens: int  # N
-    words: int  # V
-    customers: np.ndarray  # c_u
-    tables: np.ndarray  # T_u
-    root_customers: float  # C0
-    root_tables: float  # T0
-    discount: float
-    root_discount: float
-    contexts: np.ndarray | None = None
-
-    def at(self, context: np.ndarray) -> np.ndarray:
-        """Where these contexts are in ``customers`` and ``tables``."""
-        return context.astype(np.int64) if self.contexts is None else np.searchsorted(self.contexts, context)
-
-
-def seat(count: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables after seating ``count`` customers of one dish, one by one.
-
-    A customer opens a table with probability ``strength / (seated - discount
-    * tables + strength)``; after 16 customers they come in groups of a
-    sixteenth of those seated.
+    """What every restaurant knows of the whole seating."""
+
+    tokens: int = 0  # N
+    words: int = 0  # V
+    customers: float = 0.0  # C0
+    tables: float = 0.0  # T0
+    discount: float = 0.5
+    root_discount: float = 0.5
+
+    def base(self, removed: np.ndarray | float = 0.0) -> np.ndarray | float:
+        """The root's weight of a new table for one word, with ``removed`` of
+        its tables away."""
+        return (STRENGTH + self.root_discount * (self.tables - removed)) / (self.words + 1)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """log Gamma for positive numbers: Stirling's series, from x + 8 back."""
+    low = np.ones_like(x)
+    for k in range(8):
+        low *= x + k
+    y = x + 8
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(low)
+
+
+def seat(
+    count: np.ndarray, discount: float, weight: Callable[[np.ndarray, np.ndarray], np.ndarray], rng: np.random.Generator
+) -> np.ndarray:
+    """Tables after seating ``count`` customers of each dish one by one.
+
+    The first opens a table.  With n seated at t tables the next one opens a
+    table with probability ``w / (n - discount * t + w)``, where
+    ``w = weight(dishes, t)``.  After ``ONE_BY_ONE`` customers the steps go
+    from new table to new table: the number of customers between two of them
+    is drawn at once from its own distribution.
     """
     tables = np.minimum(count, 1).astype(np.float64)
     active = np.flatnonzero(count > 1)
     active = active[np.argsort(count[active], kind="stable")]
-    sorted_counts = count[active]
-    seated = 1
-    while True:
-        lo = np.searchsorted(sorted_counts, seated, side="right")
-        active, sorted_counts = active[lo:], sorted_counts[lo:]
+    sizes = count[active]
+    for seated in range(1, ONE_BY_ONE):
+        lo = np.searchsorted(sizes, seated, side="right")
+        active, sizes = active[lo:], sizes[lo:]
         if not len(active):
             return tables
-        group = max(1, seated // 16)
-        n = np.minimum(group, sorted_counts - seated)
-        t, s = tables[active], strength[active]
-        p = s / (seated - discount * t + s)
-        if group == 1:
-            tables[active] = t + (rng.random(len(active)) < p)
+        t = tables[active]
+        w = weight(active, t)
+        tables[active] = t + (rng.random(len(active)) * (seated - discount * t + w) < w)
+    lo = np.searchsorted(sizes, ONE_BY_ONE, side="right")
+    active, left = active[lo:], sizes[lo:] - ONE_BY_ONE
+    seated = np.full(len(active), float(ONE_BY_ONE))
+    while len(active):
+        t = tables[active]
+        w, a = weight(active, t), seated - discount * t
+        # log P(the next m customers all sit at old tables), falling in m
+        start, u = _log_gamma(a + w) - _log_gamma(a), np.log(rng.random(len(active)))
+        low, high = np.zeros(len(active)), left.astype(np.float64) + 1  # the largest m with P > u
+        while (wide := high - low > 1).any():
+            middle = np.where(wide, np.floor((low + high) / 2), low)
+            over = _log_gamma(a + middle) - _log_gamma(a + middle + w) + start > u
+            low, high = np.where(wide & over, middle, low), np.where(wide & ~over, middle, high)
+        opens = low < left
+        tables[active] += opens
+        seated, left = seated + low + 1, left - low - 1
+        go_on = opens & (left > 0)
+        active, seated, left = active[go_on], seated[go_on], left[go_on]
+    return tables
+
+
+# up: table sums of a bucket's repeated words and contexts, one home's part
+_UP = ("<i8", "<i8")
+# down: of the same words t_w and t0_w, of the same contexts T_u
+_DOWN = ("<i8", "<i8", "<i8")
+STATES, UP, DOWN = range(3)  # kinds of rows of a sweep
+SWEPT = "kind int, bucket int, home int, payload binary"
+_SEATED = ("<i8",)  # a bucket's tables
+_ROOT = ("<i8", "<i8", "<i8")  # of a home's numbers t_w, t0_w, T_u
+_STATS = ("customers", "tables", "once", "twice")
+HOME_SWEPT = f"{SWEPT}, " + ", ".join(f"{x} double" for x in _STATS)
+
+
+def _ups(bucket: int, words_: np.ndarray, contexts: np.ndarray, tables: np.ndarray, grid: Grid) -> list[tuple]:
+    """The UP rows of a bucket."""
+    found: dict[int, list[np.ndarray]] = {}
+    for k, x in enumerate((words_, contexts)):
+        distinct, at = np.unique(x, return_inverse=True)
+        total = np.bincount(at, weights=tables, minlength=len(distinct)).astype("<i8")
+        own, cuts = _cut(distinct, grid)
+        for home, a, b in zip(own.tolist(), cuts, cuts[1:], strict=False):
+            found.setdefault(home, [total[:0], total[:0]])[k] = total[a:b]
+    return [(UP, bucket, home, _pack(*sums)) for home, sums in found.items()]
+
+
+def first_seating(repeated: DataFrame, grid: Grid) -> DataFrame:
+    """One table for each repeated pair."""
+    ready()
+
+    def sit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for bucket, payload in zip(batch["bucket"], batch["payload"], strict=True):
+                w, u, c = _unpack(payload, *_REPEATED)
+                ones = np.ones(len(c), dtype="<i8")
+                rows = [(STATES, bucket, -1, _pack(ones)), *_ups(bucket, w, u, ones, grid)]
+                yield pd.DataFrame(rows, columns=["kind", "bucket", "home", "payload"])
+
+    return repeated.select("bucket", "payload").mapInPandas(sit, SWEPT)
+
+
+def root_seating(
+    static: DataFrame, ups: DataFrame, before: DataFrame | None = None, totals: Totals | None = None, sweep: int = 0
+) -> DataFrame:
+    """Homes add up the tables, seat the root (``before``, ``totals``: the
+    seating before; none yet: one table a word) and answer."""
+    ready()
+
+    def sit(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        numbers, _, once_w, once_u, buckets, n_w, n_u, many_w, many_u = _unpack(own["payload"].iloc[0], *_HOME)
+        t_w, t_u = once_w.copy(), once_u.copy()
+        sums = {b: p for b, p in zip(told["bucket"].tolist(), told["payload"], strict=True)}
+        old = sums.pop(-1, None)
+        sums = {b: _unpack(p, *_UP) for b, p in sums.items()}
+        at_w, at_u = np.r_[0, np.cumsum(n_w, dtype=np.int64)], np.r_[0, np.cumsum(n_u, dtype=np.int64)]
+        parts = []
+        for k, b in enumerate(buckets.tolist()):
+            w, u = many_w[at_w[k] : at_w[k + 1]], many_u[at_u[k] : at_u[k + 1]]
+            if b in sums:
+                t_w[w] += sums[b][0]
+                t_u[u] += sums[b][1]
+                parts.append((b, w, u))
+        if old is None:
+            t0 = np.minimum(t_w, 1)
         else:
-            tables[active] = t + rng.binomial(n, p)
-        seated += group
-
-
-class Bucket:
-    """The restaurants' customers of one bucket's words, and their seating."""
-
-    def __init__(self, payload: bytes, totals: Totals, seed: int):
-        w, per, u, count = _unpack(payload, *COUNTS)
-        learned = np.repeat(w, per)[count > 0]
-        self.asked = u[count == 0]
-        self.words, self.word = np.unique(learned, return_inverse=True)
-        self.count = count[count > 0].astype(np.int64)
-        self.context = u[count > 0].view(np.int64)
-        self.totals = totals
-        self.rng = np.random.default_rng(seed)
-        self.tables = np.ones(len(self.count))
-        self.root_tables = np.ones(len(self.words))
-        self.to_root = self._sent()
-        self.many = np.flatnonzero(self.count > 1)
-
-    def _sent(self) -> np.ndarray:
-        return np.bincount(self.word, weights=self.tables, minlength=len(self.words))
-
-    def take(self, seating: bytes) -> None:
-        """Go on from a stored seating."""
-        self.tables, self.root_tables = (x.astype(np.float64) for x in _unpack(seating, *SEATING))
-        self.to_root = self._sent()
-
-    def seating(self) -> bytes:
-        return _pack(self.tables.astype(SEATING[0]), self.root_tables.astype(SEATING[1]))
-
-    def root(self) -> np.ndarray:
-        t = self.totals
-        base = (STRENGTH + t.root_discount * t.root_tables) / (t.words + 1)
-        return (self.to_root - t.root_discount * self.root_tables + base) / (STRENGTH + t.root_customers)
-
-    def sweep(self) -> None:
-        t, k = self.totals, self.many
-        strength = (STRENGTH + t.discount * t.tables[t.at(self.context[k].view(U))]) * self.root()[self.word[k]]
-        self.tables[k] = seat(self.count[k], strength, t.discount, self.rng)
-        self.to_root = self._sent()
-        base = (STRENGTH + t.root_discount * t.root_tables) / (t.words + 1)
-        self.root_tables = seat(
-            self.to_root.astype(np.int64), np.full(len(self.words), base), t.root_discount, self.rng
-        )
-
-
-# what a sweep stores for each bucket
-_SEATING, _SUMS = -2, -1  # and from 0 on: its share of the totals of a part of the contexts
-_OF_BUCKET = ("tokens", "words", "root", "root_tables", "once", "twice", "root_once", "root_twice")
-_MADE = "bucket int, part int, payload binary, " + ", ".join(f"{x} double" for x in _OF_BUCKET)
-
-
-def _made(bucket: int, b: Bucket, parts: int) -> pd.DataFrame:
-    sums = [b.count.sum(), len(b.words), b.to_root.sum(), b.root_tables.sum()]
-    sums += [(b.count == 1).sum(), (b.count == 2).sum(), (b.to_root == 1).sum(), (b.to_root == 2).sum()]
-    rows = [(bucket, _SEATING, b.seating()) + (0.0,) * 8, (bucket, _SUMS, b"", *map(float, sums))]
-    contexts, at = np.unique(np.r_[b.context.view(U), b.asked], return_inverse=True)
-    at = at[: len(b.context)]
-    c = np.bincount(at, weights=b.count, minlength=len(contexts)).astype(np.int64)
-    t = np.bincount(at, weights=b.tables, minlength=len(contexts)).astype(np.int64)
-    part = (mix(contexts) % U(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1], True]) if len(part) else []
-    for x, y in zip(cuts, cuts[1:], strict=False):
-        own = order[x:y]
-        rows.append((bucket, int(part[own[0]]), _pack(contexts[own], c[own], t[own])) + (0.0,) * 8)
-    return pd.DataFrame(rows, columns=["bucket", "part", "payload", *_OF_BUCKET])
-
-
-def _replies(made: DataFrame) -> DataFrame:
-    """bucket, payload: the totals of each bucket's contexts over all buckets."""
-
-    def add(part: pd.DataFrame) -> pd.DataFrame:
-        shares = [_unpack(p, *SHARE) for p in part["payload"]]
-        contexts, at = np.unique(np.concatenate([x[0] for x in shares]), return_inverse=True)
-        c = np.bincount(at, weights=np.concatenate([x[1] for x in shares])).astype(np.int64)
-        t = np.bincount(at, weights=np.concatenate([x[2] for x in shares])).astype(np.int64)
-        cuts = np.cumsum([0] + [len(x[0]) for x in shares])
-        found = [_pack(x[0], c[at[a:b]], t[at[a:b]]) for x, a, b in zip(shares, cuts, cuts[1:], strict=False)]
-        return pd.DataFrame({"bucket": part["bucket"].to_numpy(), "payload": found})
-
-    return made.where("part >= 0").select("bucket", "part", "payload").groupBy("part").applyInPandas(add, "bucket int, payload binary")
-
+            rng = np.random.default_rng([int(key[0]), sweep, 1])
+            own_t0 = _unpack(old, *_ROOT)[1].astype(np.float64)  # taken out of T0 first
+            t0 = seat(t_w, totals.root_discount, lambda k, t: totals.base(own_t0[k] - t), rng).astype(np.int64)
+        home = int(key[0])
+        stats = [t_w.sum(), t0.sum(), (t_w == 1).sum(), (t_w == 2).sum()]
+        rows = [(STATES, -1, home, _pack(t_w, t0, t_u), *map(float, stats))]
+        for b, w, u in parts:
+            payload = _pack(t_w[w], t0[w], t_u[u])
+            rows.append((DOWN, b, home, payload, 0.0, 0.0, 0.0, 0.0))
+        return pd.DataFrame(rows, columns=["kind", "bucket", "home", "payload", *_STATS])
+
+    told = ups.where(F.col("kind") == UP).select("home", "bucket", "payload")
+    if before is not None:
+        told = told.unionAll(before.where(F.col("kind") == STATES).select("home", "bucket", "payload"))
+    return static.groupBy("home").cogroup(told.groupBy("home")).applyInPandas(sit, HOME_SWEPT)
+
+
+def pair_seating(
+    repeated: DataFrame, tables: DataFrame, downs: DataFrame, totals: Totals, sweep: int, grid: Grid
+) -> DataFrame:
+    """Buckets seat their repeated pairs anew, and send their sums up."""
+    ready()
+    kinds = {"pairs": 0, "tables": 1, "down": 2}
+    of = lambda df, kind: df.select("bucket", "home", "payload", F.lit(kinds[kind]).alias("is"))
+    rows = (
+        of(repeated, "pairs")
+        .unionAll(of(tables.where(F.col("kind") == STATES), "tables"))
+        .unionAll(of(downs.where(F.col("kind") == DOWN), "down"))
+    )
 
-def _totals(made: DataFrame) -> Totals:
-    """The totals that are no context's."""
-    s = made.where(F.col("part") == _SUMS).agg(*(F.sum(x).alias(x) for x in _OF_BUCKET)).first().asDict()
+    def sit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(key[0])
+        kind = part["is"].to_numpy()
+        payload = part["payload"].to_numpy()
+        w, u, c = _unpack(payload[kind == kinds["pairs"]][0], *_REPEATED)
+        t = _unpack(payload[kind == kinds["tables"]][0], *_SEATED)[0].astype(np.float64)
+        told = part[kind == kinds["down"]].sort_values("home")
+        down = [_unpack(p, *_DOWN) for p in told["payload"]]
+        none = np.zeros(0, "<i8")
+        t_w, t0, t_u = (np.concatenate([none, *(x[k] for x in down)]).astype(np.float64) for k in range(3))
+        # homes rise with the number, so their parts make up the sorted lists
+        own_w, own_u = np.unique(w, return_inverse=True)[1], np.unique(u, return_inverse=True)[1]
+        others_u = t_u[own_u] - t
+        others_w = t_w[own_w] - t
+        # the word's tables in the root: those its other customers can have, one with this pair's
+        root = np.maximum(np.minimum(t0[own_w], others_w), 1.0)
+        customers = totals.customers - t
+        d, d0 = totals.discount, totals.root_discount
+        base = totals.base(t0[own_w] - root)
+
+        def weight(k: np.ndarray, tables_: np.ndarray) -> np.ndarray:
+            at_root = others_w[k] + tables_ - d0 * root[k] + base[k]
+            return (STRENGTH + d * (others_u[k] + tables_)) * at_root / (STRENGTH + customers[k] + tables_)
+
+        rng = np.random.default_rng([bucket, sweep, 0])
+        new = seat(c, d, weight, rng)
+        rows = [(STATES, bucket, -1, _pack(new.astype("<i8"))), *_ups(bucket, w, u, new, grid)]
+        return pd.DataFrame(rows, columns=["kind", "bucket", "home", "payload"])
+
+    return rows.groupBy("bucket").applyInPandas(sit, SWEPT)
+
+
+def _discount(once: float, twice: float) -> float:
+    return float(np.clip(once / (once + 2 * twice) if once else 0.5, 0.1, 0.95))
+
+
+def _totals(known: Totals, seated: DataFrame) -> Totals:
+    s = seated.where(F.col("kind") == STATES).agg(*(F.sum(x).alias(x) for x in _STATS)).first().asDict()
     s = {k: v or 0.0 for k, v in s.items()}
-
-    def discount(a: float, b: float) -> float:
-        return float(np.clip(a / (a + 2 * b) if a else 0.5, 0.1, 0.95))
-
-    none = np.zeros(0)
     return Totals(
-        int(s["tokens"]),
-        int(s["words"]),
-        none,
-        none,
-        s["root"],
-        s["root_tables"],
-        discount(s["once"], s["twice"]),
-        discount(s["root_once"], s["root_twice"]),
+        known.tokens, known.words, s["customers"], s["tables"], known.discount, _discount(s["once"], s["twice"])
     )
 
 
-def _own_totals(totals: Totals, replies: list[bytes]) -> Totals:
-    """``totals`` with those of a bucket's contexts."""
-    found = [_unpack(p, *SHARE) for p in replies]
-    u, c, t = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, dtype=U) for k in range(3))
-    order = np.argsort(u)
-    return replace(totals, contexts=u[order], customers=c[order].astype(float), tables=t[order].astype(float))
-
-
-# rows of a bucket's model
-_COUNTS, _SEATED, _REPLY = range(3)
-
-
-def _model(counts: DataFrame, made: list[DataFrame]) -> DataFrame:
-    """bucket, kind, k, payload: all that the seatings ``made`` say of each bucket."""
-    of = lambda df, kind, k: df.select("bucket", F.lit(kind).alias("kind"), F.lit(k).alias("k"), "payload")
-    rows = of(counts, _COUNTS, 0)
-    for k, m in enumerate(made):
-        rows = rows.union(of(m.where(F.col("part") == _SEATING), _SEATED, k)).union(of(_replies(m), _REPLY, k))
-    return rows
-
-
-def _read(rows: pd.DataFrame, totals: list[Totals], seed: list[int]) -> list[Bucket]:
-    """The bucket of ``rows`` in each of its seatings."""
-    kind, k = rows["kind"].to_numpy(), rows["k"].to_numpy()
-    payload = rows["payload"].to_numpy()
-    out = []
-    for i, t in enumerate(totals):
-        own = _own_totals(t, list(payload[(kind == _REPLY) & (k == i)]))
-        out.append(Bucket(payload[kind == _COUNTS][0], own, seed))
-        out[-1].take(payload[(kind == _SEATED) & (k == i)][0])
-    return out
-
+@dataclass
+class Chain:
+    """Stored samples: the buckets' tables, the homes' root and sums, totals."""
 
-def _swept(totals: Totals, sweep: int, parts: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    def swept(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        b = _read(rows, [totals], [int(key[0]), sweep])[0]
-        b.sweep()
-        return _made(int(key[0]), b, parts)
+    tables: list[DataFrame]
+    roots: list[DataFrame]
+    totals: list[Totals]
 
-    return swept
 
+def known_totals(static: DataFrame, repeated: DataFrame) -> Totals:
+    """Tokens, words and the restaurants' discount, which no sweep changes."""
+    ready()
 
-def trained(counts: DataFrame) -> tuple[list[DataFrame], list[Totals]]:
-    """The last SAMPLES seatings of the chain and their totals."""
-    n = counts.agg(F.sum("n")).first()[0] or 0
-    parts = max(LEAST_BUCKETS, -(-n // CONTEXTS))
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for payload in batch["payload"]:
+                _, count, once, *_ = _unpack(payload, *_HOME)
+                out.append((int(count.sum()), int((count > 0).sum()), int(once.sum())))
+            yield pd.DataFrame(out, columns=["tokens", "words", "once"])
 
-    def initial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = Totals(0, 0, np.zeros(0), np.zeros(0), 0.0, 0.0, 0.5, 0.5)
+    def twos(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for bucket, payload in zip(batch["bucket"], batch["payload"], strict=True):
-                yield _made(bucket, Bucket(payload, start, 0), parts)
-
-    made = [stored(counts.select("bucket", "payload").mapInPandas(initial, _MADE), "py-seating")]
-    totals = [_totals(made[0])]
-    for sweep in range(SWEEPS + BURN_IN + SAMPLES if totals[0].tokens else 0):
-        model = _model(counts, made[-1:])
-        made.append(stored(model.groupBy("bucket").applyInPandas(_swept(totals[-1], sweep, parts), _MADE), "py-seating"))
-        totals.append(_totals(made[-1]))
-    return made[-SAMPLES:], totals[-SAMPLES:]
-
-
-def _scored(
-    model: Bucket | None, totals: Totals, payloads: list[bytes], samples: list[Bucket] | None = None
-) -> Iterator[bytes]:
-    """For each block: (documents, log10 p, log10 base, known tokens), over
-    the seatings ``samples`` of the model's bucket (none: its present one)."""
-    t = totals
-    samples = samples or ([] if model is None else [model])
-    many = max(1, len(samples))
-    if model is not None:
-        own = model.count - t.discount * sum(b.tables for b in samples) / many
-        contexts = np.unique(model.context.view(U))
-        key = model.word.astype(np.uint64) * U(len(contexts) + 1) + np.searchsorted(contexts, model.context.view(U)).astype(U)
-        total = np.bincount(model.word, weights=model.count, minlength=len(model.words))
-    for payload in payloads:
-        w, per, u, doc, c = _unpack(payload, *BLOCK)
-        c = c.astype(np.int64)
-        seen, mine = np.zeros(len(w)), np.zeros(len(u))
-        known = np.zeros(len(w), dtype=bool)
-        if model is not None and len(model.words):
-            at = np.minimum(np.searchsorted(model.words, w), len(model.words) - 1)
-            known = model.words[at] == w
-            seen[known] = total[at[known]]
-            place = np.minimum(np.searchsorted(contexts, u), len(contexts) - 1)
-            entry = np.repeat(at, per).astype(U) * U(len(contexts) + 1) + place.astype(U)
-            there = np.minimum(np.searchsorted(key, entry), len(key) - 1)
-            hit = (key[there] == entry) & (contexts[place] == u) & np.repeat(known, per)
-            mine[hit] = own[there[hit]]
-        seen = np.repeat(seen, per)
-        back = np.zeros(len(u))
-        for b in samples:  # all of one seating together: it sums to one
-            s = b.totals
-            unknown = (STRENGTH + s.root_discount * s.root_tables) / (s.words + 1) / (STRENGTH + s.root_customers)
-            p0 = np.full(len(w), unknown if s.words else 1.0)
-            if known.any():
-                p0[known] = b.root()[at[known]]
-            where = s.at(u)
-            back += (STRENGTH + s.discount * s.tables[where]) * np.repeat(p0, per) / many
-        p = (mine + back) / (STRENGTH + samples[0].totals.customers[where])
-        base = (seen + 1) / (t.tokens + t.words + 1)
-        docs = np.unique(doc)
-        n = int(docs[-1]) + 1
-        add = lambda x: np.bincount(doc, weights=x, minlength=n)[docs]
-        yield _pack(
-            docs.astype("<u2"),
-            add(c * np.log10(p)).astype("<f8"),
-            add(c * np.log10(base)).astype("<f8"),
-            add(c * (seen > 0)).astype("<u4"),
+            yield pd.DataFrame({"twice": [int((_unpack(p, *_REPEATED)[2] == 2).sum()) for p in batch["payload"]]})
+
+    a = static.select("payload").mapInPandas(sums, "tokens long, words long, once long").groupBy().sum().first()
+    b = repeated.select("payload").mapInPandas(twos, "twice long").groupBy().sum().first()
+    return Totals(a[0] or 0, a[1] or 0, discount=_discount(a[2] or 0, b[0] or 0))
+
+
+def trained(static: DataFrame, repeated: DataFrame, grid: Grid) -> Chain:
+    """The last SAMPLES seatings of the chain.  Files of older ones are deleted."""
+    known = known_totals(static, repeated)
+    tables = stored(first_seating(repeated, grid), "py-seating")
+    roots = stored(root_seating(static, tables), "py-root")
+    chain = Chain([tables], [roots], [_totals(known, roots)])
+    for sweep in range(1, 1 + SWEEPS + BURN_IN + SAMPLES if known.tokens else 0):
+        tables = stored(
+            pair_seating(repeated, chain.tables[-1], chain.roots[-1], chain.totals[-1], sweep, grid), "py-seating"
         )
+        roots = stored(root_seating(static, tables, chain.roots[-1], chain.totals[-1], sweep), "py-root")
+        chain.tables.append(tables)
+        chain.roots.append(roots)
+        chain.totals.append(_totals(known, roots))
+        if len(chain.totals) > SAMPLES:
+            for old in (chain.tables.pop(0), chain.roots.pop(0)):
+                discard(old)
+            chain.totals.pop(0)
+    return chain
+
+
+# --- 4. scores
+
+# a home's answer: of each name asked for its count, then per sample t_w, t0_w, T_u
+# a bucket's answer: per sample the tables of the pair (0: not seated)
+
+
+def name_replies(names: DataFrame, static: DataFrame, chain: Chain) -> DataFrame:
+    """chunk, home, payload: what the homes know of each chunk's words."""
+    ready()
+    n = len(chain.roots)
+    rows = static.select("home", F.lit(-1).alias("sample"), "payload")
+    for k, roots in enumerate(chain.roots):
+        rows = rows.unionAll(roots.where(F.col("kind") == STATES).select("home", F.lit(k).alias("sample"), "payload"))
+
+    def answer(key: tuple, asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("sample")
+        known, values = np.zeros(1, "<u8"), [np.zeros(1, "<i8")] * (1 + 3 * n)
+        if len(own):
+            static_ = _unpack(own["payload"].iloc[0], *_HOME)
+            known = static_[0]
+            values = [static_[1], *(x for p in own["payload"].iloc[1:] for x in _unpack(p, *_ROOT))]
+        out = []
+        for payload in asked["payload"]:
+            numbers = _unpack(payload, *_NAMES)[0]
+            at = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
+            there = known[at] == numbers
+            out.append(_pack(*(np.where(there, x[at], 0).astype("<i8") for x in values)))
+        return pd.DataFrame({"chunk": asked["chunk"].to_numpy(), "home": int(key[0]), "payload": out})
+
+    return (
+        names.select(F.col("part").alias("home"), "chunk", "payload")
+        .groupBy("home")
+        .cogroup(rows.groupBy("home"))
+        .applyInPandas(answer, "chunk long, home int, payload binary")
+    )
 
 
-def scores(docs: DataFrame, training: Column) -> DataFrame:
-    """doc_id, training, n_tokens, n_known, train_tokens, base_score, score of
-    every row; the model learns from the rows where ``training`` holds."""
-    size = docs.agg(F.sum(F.octet_length(text_of())).alias("n")).first()["n"] or 0
-    n_buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
-    made = stored(blocks(docs, n_buckets, training), "py-blocks")
-    counts = merged_counts(made)
-    made_, sampled = trained(counts)
-    totals = sampled[-1]
-
-    # buckets with more than their share of occurrences are dealt over several groups
-    load = made.where("bucket >= 0").groupBy("bucket").agg(F.sum("n").alias("n"))
-    load = stored(load, "py-load")
-    mean = load.agg(F.avg("n")).first()[0] or 1.0
-    salts = load.select("bucket", F.ceil(F.col("n") / (1.5 * mean)).cast("int").alias("salts"))
-    salts = F.broadcast(salts) if n_buckets <= BROADCAST_ROWS else salts
-    dealt = (
-        made.where("bucket >= 0")
-        .select("chunk", "bucket", "payload")
-        .join(salts, "bucket")
-        .withColumn("salt", F.pmod(F.xxhash64("chunk"), F.col("salts")).cast("int"))
-        .drop("salts")
-    )
-    models = stored(_model(counts, made_), "py-model").join(salts, "bucket").select(
-        "bucket", "kind", "k", "payload", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+def pair_replies(replies: DataFrame, chain: Chain) -> DataFrame:
+    """chunk, bucket, payload: per pair its count and per sample its tables."""
+    ready()
+    rows = None
+    for k, tables in enumerate(chain.tables):
+        own = tables.where(F.col("kind") == STATES).select("bucket", F.lit(k).alias("sample"), "payload")
+        rows = own if rows is None else rows.unionAll(own)
+
+    def answer(key: tuple, asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        samples = [np.r_[0, _unpack(p, *_SEATED)[0]] for p in own.sort_values("sample")["payload"]]
+        out = []
+        for payload in asked["payload"]:
+            count, place = _unpack(payload, *_REPLY)
+            once = (count == 1).astype("<i8")
+            out.append(_pack(count, *(x[place] + once for x in samples)))
+        return pd.DataFrame({"chunk": asked["chunk"].to_numpy(), "bucket": int(key[0]), "payload": out})
+
+    return (
+        replies.select("bucket", "chunk", "payload")
+        .groupBy("bucket")
+        .cogroup(rows.groupBy("bucket"))
+        .applyInPandas(answer, "chunk long, bucket int, payload binary")
     )
 
-    def score(key: tuple, blocks_: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        seatings = _read(model, sampled, [int(key[0])])
-        found = _scored(seatings[0], totals, list(blocks_["payload"]), seatings)
-        return pd.DataFrame({"chunk": blocks_["chunk"].to_numpy(), "sums": list(found)})
 
-    sums = (
-        dealt.groupBy("bucket", "salt")
-        .cogroup(models.groupBy("bucket", "salt"))
-        .applyInPandas(score, "chunk long, sums binary")
+def probabilities(
+    totals: list[Totals], word: np.ndarray, context: np.ndarray, names: list[np.ndarray], pairs: list[np.ndarray]
+) -> np.ndarray:
+    """p(word | context) of each pair, averaged over the samples.
+
+    ``names``: per word of the chunk its count, then t_w, t0_w and T_u of each
+    sample, for the words and, first of all, for "nothing before" as a context;
+    ``pairs``: per pair its count, then its tables in each sample."""
+    customers = names[0][context].astype(np.float64)  # c_u: what follows a word is counted with the word
+    out = np.zeros(len(word))
+    for k, s in enumerate(totals):
+        t_w, t0, t_u = (x.astype(np.float64) for x in names[1 + 3 * k : 4 + 3 * k])
+        p0 = (t_w - s.root_discount * t0 + s.base()) / (STRENGTH + s.customers) if s.words else np.ones(len(t_w))
+        own = pairs[0] - s.discount * pairs[1 + k].astype(np.float64)
+        out += own + (STRENGTH + s.discount * t_u[context]) * p0[word]
+    return out / (len(totals) * (STRENGTH + customers))
+
+
+def chunk_scores(own: DataFrame, names: DataFrame, pairs: DataFrame, chain: Chain, starts: int) -> DataFrame:
+    """The result rows.  ``starts``: training documents, the customers of the
+    context "nothing before"."""
+    ready()
+    totals = chain.totals
+    start_tables = [_start_tables(roots) for roots in chain.roots]
+    rows = names.select("chunk", F.lit(0).alias("kind"), F.col("home").alias("part"), "payload").unionAll(
+        pairs.select("chunk", F.lit(1).alias("kind"), F.col("bucket").alias("part"), "payload")
     )
 
-    def total(key: tuple, sums_: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        ids, null, train, lengths = _unpack(own["payload"].iloc[0], "<i8", "<u1", "<u1", "<i8")
-        out = np.zeros((3, len(ids)))
-        for data in sums_["sums"]:
-            at, *values = _unpack(data, "<u2", "<f8", "<f8", "<u4")
-            for row, v in zip(out, values, strict=True):
-                row[at] += v
+    def total(key: tuple, part: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        ids, null, train, lengths, steps, context, documents, doc, count = _unpack(part["payload"].iloc[0], *_OWN)
+        word = np.cumsum(steps, dtype="<u4").astype(np.int64)
+        told = told.sort_values(["kind", "part"])
+        n = 1 + 3 * len(totals)
+        lists = [_unpack(p, *["<i8"] * n) for p in told.loc[told["kind"] == 0, "payload"]]
+        start = [starts, *(x for t in start_tables for x in (0, 0, t))]
+        # place 0: nothing before; then the chunk's words
+        of = [np.concatenate([[start[k]], *(x[k] for x in lists)]) for k in range(n)]
+        lists = [_unpack(p, *["<i8"] * (1 + len(totals))) for p in told.loc[told["kind"] == 1, "payload"]]
+        asked = [np.concatenate([x[k] for x in lists]) for k in range(1 + len(totals))]
+        p = probabilities(totals, word + 1, context.astype(np.int64), of, asked)
+        seen = of[0][word + 1]
+        base = np.log10((seen + 1) / (totals[-1].tokens + totals[-1].words + 1))
+        each = lambda x: np.bincount(doc, weights=count * np.repeat(x, documents), minlength=len(ids))
         frame = pd.DataFrame(
             {
                 "doc_id": pd.array(ids, dtype="Int64"),
                 "training": train.astype(bool),
                 "n_tokens": lengths,
-                "n_known": out[2].astype(np.int64),
-                "train_tokens": totals.tokens,
-                "base_score": out[1],
-                "score": out[0],
+                "n_known": each(seen > 0).astype(np.int64),
+                "train_tokens": totals[-1].tokens,
+                "base_score": each(base),
+                "score": each(np.log10(p)),
             }
         )
         frame.loc[null.astype(bool), "doc_id"] = pd.NA
@@ -571,5 +720,27 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     schema = (
         "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    chunks = made.where("bucket < 0").select("chunk", "payload")
-    return sums.groupBy("chunk").cogroup(chunks.groupBy("chunk")).applyInPandas(total, schema)
+    return own.select("chunk", "payload").groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInPandas(total, schema)
+
+
+def _start_tables(roots: DataFrame) -> int:
+    """T_u of the context 0, the first number of home 0 if it was trained on."""
+    row = roots.where((F.col("kind") == STATES) & (F.col("home") == 0)).select("payload").first()
+    return int(_unpack(row["payload"], *_ROOT)[2][0]) if row is not None else 0
+
+
+def scores(docs: DataFrame, training: Column) -> DataFrame:
+    """doc_id, training, n_tokens, n_known, train_tokens, base_score, score of
+    every row; the model learns from the rows where ``training`` holds."""
+    size, starts = docs.agg(
+        F.sum(F.octet_length(text_of())), F.sum(F.coalesce(training, F.lit(False)).cast("long"))
+    ).first()
+    grid = grid_for(size or 0)
+    made = stored_by(chunks(docs, grid, training), "py-chunks", "kind", [OWN, PAIRS, NAMES])
+    found = stored_by(counted(made[PAIRS], grid), "py-counts", "kind", [REPLY, REPEATED, SUMS])
+    discard(made[PAIRS])
+    static = stored(homes(found[SUMS]), "py-homes")
+    discard(found[SUMS])
+    chain = trained(static, found[REPEATED], grid)
+    names = name_replies(made[NAMES], static, chain)
+    return chunk_scores(made[OWN], names, pair_replies(found[REPLY], chain), chain, int(starts or 0))

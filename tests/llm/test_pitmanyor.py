@@ -1,19 +1,28 @@
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from ledgerspark.llm import pitmanyor
-from ledgerspark.llm.common import crc_mod
-from ledgerspark.llm.pitmanyor import CONTEXTS, Bucket, Totals, _merged, _scored, _pack, scores, seat
+from ledgerspark.llm import pitmanyor as hpy
+from ledgerspark.llm.common import crc_mod, stored, stored_by
+from ledgerspark.llm.pitmanyor import Grid, Totals, scores, seat
 from ledgerspark.llm.queries import QUERIES
 
+SF = "/root/testdata/sf0.001"
+
+
+def split(text):
+    return (text or "").encode().lower().split()
+
 
 def test_base_score_against_plain(spark, small):
-    got = {r.doc_id: r for r in QUERIES["op4_lm_scoring"](spark, "/root/testdata/sf0.001").collect()}
+    got = {r.doc_id: r for r in QUERIES["op4_lm_scoring"](spark, SF).collect()}
     assert len(got) == len(small)
-    tokens = {i: (t or "").encode().lower().split() + [None] for i, t in zip(small.doc_id, small.text, strict=True)}
+    tokens = {i: split(t) + [None] for i, t in zip(small.doc_id, small.text, strict=True)}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
     counts = collections.Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
     n, v = sum(counts.values()), len(counts)
@@ -26,52 +35,206 @@ def test_base_score_against_plain(spark, small):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
-def test_probabilities_sum_to_one():
-    """Over all known words and the unknown one, in every context."""
-    rng = np.random.default_rng(1)
-    w = np.sort(rng.integers(2, 60, 4000).astype(np.uint64))
-    u = rng.integers(0, 5, 4000).astype(np.uint16)
-    payload = _merged([(w, u, np.ones(4000, dtype=np.uint32))])
-    start = Totals(4000, len(np.unique(w)), np.zeros(CONTEXTS), np.zeros(CONTEXTS), 0.0, 0.0, 0.6, 0.5)
-    first = Bucket(payload, start, 1)
-    customers = np.bincount(first.context, weights=first.count, minlength=CONTEXTS)
-    totals = Totals(4000, len(first.words), customers, np.zeros(CONTEXTS), 0.0, 0.0, 0.6, 0.5)
-    totals.tables = np.bincount(first.context, weights=first.tables, minlength=CONTEXTS)
-    totals.root_customers, totals.root_tables = first.to_root.sum(), first.root_tables.sum()
-    known = first.words
-    unknown = np.array([10**9], dtype=np.uint64)
-    for context in (0, 3, 4000):
-        p = 0.0
-        for word in np.concatenate([known, unknown]):
-            block = _pack(
-                np.array([word], "<u8"), np.array([1], "<u4"), np.array([context], "<u2"), np.array([0], "<u2"), np.array([1], "<u4")
-            )
-            monkey = Bucket(payload, totals, 1)
-            monkey.sweep = lambda: None  # one seating: the sums are exact
-            data = next(_scored(monkey, totals, [block]))
-            p += 10 ** pitmanyor._unpack(data, "<u2", "<f8", "<f8", "<u4")[1][0]
-        assert math.isclose(p, 1.0, rel_tol=1e-9)
-
-
-def test_seating_follows_the_restaurant():
-    """Mean numbers of tables against customers seated one by one."""
+def test_arrays_round_trip():
     rng = np.random.default_rng(0)
-    for count, strength in ((1, 0.5), (5, 0.3), (40, 0.2), (3000, 0.01)):
-        slow = []
-        for _ in range(300):
-            tables = 1
-            for seated in range(1, count):
-                tables += rng.random() < strength / (seated - 0.7 * tables + strength)
-            slow.append(tables)
-        fast = seat(np.full(3000, count), np.full(3000, strength), 0.7, rng)
-        assert fast.min() >= 1 and fast.max() <= count
-        assert abs(fast.mean() - np.mean(slow)) < 5 * np.std(slow) / 300**0.5 + 0.03 * np.mean(slow)
+    some = rng.integers(0, 2**64, 50, dtype=np.uint64)
+    arrays = [
+        np.unique(some),
+        some[rng.integers(0, 50, 400)],
+        some,
+        np.array([], "<u8"),
+        np.array([7], "<u8"),
+        np.array([0, 3, 2**40], "<i8"),
+        np.array([-5, 3], "<i8"),
+        np.array([], "<i8"),
+        np.array([2**32 - 1, 0], "<u4"),
+    ]
+    types = ["<u8"] * 5 + ["<i8"] * 3 + ["<u4"]
+    for a, b in zip(arrays, hpy._unpack(hpy._pack(*arrays), *types), strict=True):
+        assert a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("count, start, grows", [(1, 0.5, 0.1), (5, 0.3, 0.1), (64, 2.0, 0.0), (400, 0.2, 0.05), (3000, 0.01, 0.02)])
+def test_seating_follows_the_restaurant(count, start, grows):
+    """Mean and spread of the tables against customers seated one by one."""
+    rng, draw = np.random.default_rng(0), random.Random(1)
+    slow = []
+    for _ in range(400):
+        t = 1
+        for seated in range(1, count):
+            w = start + grows * t
+            t += draw.random() < w / (seated - 0.7 * t + w)
+        slow.append(t)
+    fast = seat(np.full(4000, count), 0.7, lambda k, t: start + grows * t, rng)
+    assert fast.min() >= 1 and fast.max() <= count
+    assert abs(fast.mean() - np.mean(slow)) <= 4 * np.std(slow) / 400**0.5 + 0.01 * np.mean(slow)
+    assert abs(fast.std() - np.std(slow)) <= 0.2 * np.std(slow) + 0.05
+
+
+def test_log_gamma():
+    x = np.concatenate([np.linspace(0.01, 20, 500), [1e3, 1e7, 1e11]])
+    assert np.allclose(hpy._log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-8)
+
+
+def parts_of(docs, training, grid):
+    """What ``scores`` makes on the way."""
+    made = stored_by(hpy.chunks(docs, grid, training), "test-chunks", "kind", [hpy.OWN, hpy.PAIRS, hpy.NAMES])
+    found = stored_by(hpy.counted(made[hpy.PAIRS], grid), "test-counts", "kind", [hpy.REPLY, hpy.REPEATED, hpy.SUMS])
+    static = stored(hpy.homes(found[hpy.SUMS]), "test-homes")
+    return static, found[hpy.REPEATED], hpy.trained(static, found[hpy.REPEATED], grid)
+
+
+def seatings(static, repeated, chain):
+    """Per sample (tables of repeated pairs, t_w, t0_w, T_u, totals) as plain dictionaries."""
+    numbers = {r.home: hpy._unpack(r.payload, *hpy._HOME) for r in static.collect()}
+    pairs = {r.bucket: hpy._unpack(r.payload, *hpy._REPEATED) for r in repeated.collect()}
+    out = []
+    for tables, roots, totals in zip(chain.tables, chain.roots, chain.totals, strict=True):
+        t, t_w, t0, t_u = {}, {}, {}, {}
+        for r in tables.where(f"kind = {hpy.STATES}").collect():
+            w, u, _ = pairs[r.bucket]
+            t.update(zip(zip(w.tolist(), u.tolist(), strict=True), hpy._unpack(r.payload, *hpy._SEATED)[0].tolist(), strict=True))
+        for r in roots.where(f"kind = {hpy.STATES}").collect():
+            for d, x in zip((t_w, t0, t_u), hpy._unpack(r.payload, *hpy._ROOT), strict=True):
+                d.update(zip(numbers[r.home][0].tolist(), x.tolist(), strict=True))
+        out.append((t, t_w, t0, t_u, totals))
+    return out
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = np.random.default_rng(3)
+    names = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(names[j] for j in (rng.zipf(1.3, 30) % 80))) for i in range(240)]
+    rows += [(1000 + i, t) for i, t in enumerate(["w0 never w1 w1", "", "w7 w0 w0 w0 w79", "never seen"])]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+def pair_counts(rows):
+    """Token numbers of each row, and the training pairs (id < 1000)."""
+    tokens = {i: [*hpy.word_numbers(split(t)).tolist(), int(hpy.END)] for i, t in rows}
+    pairs = collections.Counter((w, u) for i, ws in tokens.items() if i < 1000 for u, w in zip([0, *ws], ws, strict=False))
+    return tokens, pairs
+
+
+def test_sums_agree_and_scores_follow_the_formula(spark, corpus):
+    rows, docs = corpus
+    training = F.col("doc_id") < 1000
+    grid = hpy.grid_for(0)
+    static, repeated, chain = parts_of(docs, training, grid)
+    tokens, pairs = pair_counts(rows)
+    customers = collections.Counter()
+    for (_, u), c in pairs.items():
+        customers[u] += c
+    samples = seatings(static, repeated, chain)
+    assert len(samples) == hpy.SAMPLES and any(a[0] != b[0] for a, b in zip(samples, samples[1:], strict=False))
+    for t, t_w, t0, t_u, totals in samples:
+        assert t.keys() == {p for p, c in pairs.items() if c > 1} and any(x > 1 for x in t.values())
+        assert all(1 <= t[p] <= pairs[p] for p in t)
+        whole = {p: t.get(p, 1) for p in pairs}
+        for sums, k in ((t_w, 0), (t_u, 1)):
+            want = collections.Counter()
+            for p, x in whole.items():
+                want[p[k]] += x
+            assert {n: x for n, x in sums.items() if x} == dict(want)
+        assert (totals.customers, totals.tables) == (sum(t_w.values()), sum(t0.values()))
+        assert all(t0[w] <= t_w[w] and (t0[w] > 0) == (t_w[w] > 0) for w in t_w)
+        assert (totals.tokens, totals.words) == (sum(pairs.values()), len({w for w, _ in pairs}))
+
+    def p(w, u):
+        total = 0.0
+        for t, t_w, t0, t_u, s in samples:
+            p0 = (t_w.get(w, 0) - s.root_discount * t0.get(w, 0) + s.base()) / (1 + s.customers)
+            c = pairs.get((w, u), 0)
+            own = c - s.discount * (t.get((w, u), 1) if c else 0)
+            total += (own + (1 + s.discount * t_u.get(u, 0)) * p0) / (1 + customers[u])
+        return total / len(samples)
+
+    got = {r.doc_id: r for r in scores(docs, training).collect()}
+    for i, ws in tokens.items():
+        assert math.isclose(got[i].score, sum(math.log10(p(w, u)) for u, w in zip([0, *ws], ws, strict=False)), rel_tol=1e-9)
+    # all known words and the unknown one, after contexts seen, unseen and none
+    known = {w for w, _ in pairs}
+    for u in (0, *hpy.word_numbers([b"w0", b"w7", b"never"]).tolist()):
+        assert math.isclose(sum(p(w, u) for w in known) + p(5, u), 1.0, rel_tol=1e-9)
+
+
+def plain_gibbs(rows, sweeps, samples, seed):
+    """Held-out scores by a sampler that seats one pair after the other, each
+    given everything else as it is."""
+    rng = random.Random(seed)
+    tokens, pairs = pair_counts(rows)
+    clip = lambda a, b: min(0.95, max(0.1, a / (a + 2 * b) if a else 0.5))
+    d = clip(sum(c == 1 for c in pairs.values()), sum(c == 2 for c in pairs.values()))
+    customers, vocabulary = collections.Counter(), {w for w, _ in pairs}
+    for (_, u), c in pairs.items():
+        customers[u] += c
+    t = dict.fromkeys(pairs, 1)
+    t_w, t_u = collections.Counter(w for w, _ in pairs), collections.Counter(u for _, u in pairs)
+    t0 = dict.fromkeys(vocabulary, 1)
+    d0 = 0.5
+    out = collections.Counter()
+    for sweep in range(sweeps + samples):
+        d0 = clip(sum(x == 1 for x in t_w.values()), sum(x == 2 for x in t_w.values()))
+        c0, tables0 = sum(t_w.values()), sum(t0.values())
+        base = lambda: (1 + d0 * tables0) / (len(vocabulary) + 1)  # noqa: E731, B023
+        for (w, u), c in pairs.items():
+            if c > 1:
+                t_w[w] -= t[w, u]
+                t_u[u] -= t[w, u]
+                c0 -= t[w, u]
+                new = 0
+                for seated in range(c):
+                    p0 = (t_w[w] + new - d0 * min(t0[w], max(1, t_w[w])) + base()) / (1 + c0 + new)
+                    opens = (1 + d * (t_u[u] + new)) * p0
+                    if not seated or rng.random() < opens / (seated - d * new + opens):
+                        new += 1
+                t[w, u] = new
+                t_w[w] += new
+                t_u[u] += new
+                c0 += new
+        for w in vocabulary:
+            tables0 -= t0[w]
+            t0[w] = 0
+            for seated in range(t_w[w]):
+                if not seated or rng.random() < base() / (seated - d0 * t0[w] + base()):
+                    t0[w] += 1
+                    tables0 += 1
+        if sweep >= sweeps:
+            for i, ws in tokens.items():
+                for k, (u, w) in enumerate(zip([0, *ws], ws, strict=False)):
+                    p0 = (t_w[w] - d0 * t0.get(w, 0) + base()) / (1 + c0)
+                    own = pairs.get((w, u), 0) - d * t.get((w, u), 0)
+                    out[i, k] += (own + (1 + d * t_u[u]) * p0) / (1 + customers[u]) / samples
+    return {i: sum(math.log10(out[i, k]) for k in range(len(ws))) for i, ws in tokens.items()}
+
+
+def test_against_a_sampler_that_seats_one_after_the_other(spark, corpus, monkeypatch):
+    rows, docs = corpus
+    monkeypatch.setattr(hpy, "SWEEPS", 6)
+    monkeypatch.setattr(hpy, "SAMPLES", 10)
+    got = {r.doc_id: r.score for r in scores(docs, F.col("doc_id") < 1000).collect()}
+    one, two = plain_gibbs(rows, 20, 40, 1), plain_gibbs(rows, 20, 40, 2)
+    off = np.mean([abs(got[i] - one[i]) / abs(one[i]) for i in got])
+    noise = np.mean([abs(two[i] - one[i]) / abs(one[i]) for i in got])
+    assert off < 0.004 + 2 * noise and abs(sum(got.values()) / sum(one.values()) - 1) < 0.003
+
+
+def test_contexts_of_a_frequent_word_are_spread():
+    grid = Grid(8, 8)
+    rng = np.random.default_rng(0)
+    contexts = rng.integers(0, 2**64, 10_000, dtype=np.uint64)
+    b = grid.bucket(np.full(10_000, contexts[0]), contexts)
+    assert len(set(b.tolist())) == 8 and np.bincount(b).max() < 1.2 * 10_000 / 8
+    words_ = np.sort(contexts)
+    assert (np.diff(hpy._range(words_, grid.homes)) >= 0).all() and hpy._range(words_, 64).max() == 63
+    assert hpy.grid_for(100 * 10**9).homes >= 100 * 10**9 / hpy.BUCKET_BYTES
 
 
 def test_counts_do_not_depend_on_partitions(spark, small, monkeypatch):
     docs = spark.createDataFrame(small[["doc_id", "text"]])
     whole = {r.doc_id: r for r in scores(docs.coalesce(1), crc_mod("doc_id", 7) != 2).collect()}
-    monkeypatch.setattr(pitmanyor, "FAN_IN", 2)
+    monkeypatch.setattr(hpy, "CHUNK_DOCS", 7)
     parts = {r.doc_id: r for r in scores(docs.repartition(9), crc_mod("doc_id", 7) != 2).collect()}
     for i, r in whole.items():
         assert math.isclose(r.score, parts[i].score, rel_tol=1e-9) and r.n_known == parts[i].n_known
@@ -89,33 +252,14 @@ def test_odd_rows(odd_docs, no_docs):
 
 def test_every_previous_word_is_a_context_of_its_own(spark):
     docs = spark.createDataFrame([(i, f"first{i} then{i} last") for i in range(3000)], "doc_id long, text string")
-    made = pitmanyor.stored(pitmanyor.blocks(docs, 16, crc_mod("doc_id", 7) >= 0), "test-blocks")
+    grid = hpy.grid_for(0)
+    made = stored(hpy.chunks(docs, grid, F.lit(True)), "test-chunks")
     contexts = set()
-    for r in pitmanyor.merged_counts(made).collect():
-        contexts.update(pitmanyor._unpack(bytes(r.payload), *pitmanyor.COUNTS)[2].tolist())
+    for r in made.where(f"kind = {hpy.PAIRS}").collect():
+        contexts.update(hpy._unpack(r.payload, *hpy._PAIRS)[2].tolist())
     assert len(contexts) == 6002  # nothing before, and each word
 
 
-def test_probabilities_sum_to_one_after_the_sweeps(spark):
-    """The chain as it runs, over four buckets, in contexts seen and unseen."""
-    rng = np.random.default_rng(3)
-    names = [f"w{i}" for i in range(60)]
-    asked = ("w0", "w7", "never")
-    rows = [(i, " ".join(names[j] for j in (rng.zipf(1.3, 40) % 60))) for i in range(300)]
-    rows += [(1000 + i, f"{u} {w}") for i, (u, w) in enumerate((u, w) for u in asked for w in [*names, ""])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    made = pitmanyor.stored(pitmanyor.blocks(docs, 4, docs.doc_id < 1000), "test-blocks")
-    counts = pitmanyor.merged_counts(made)
-    chain, totals = pitmanyor.trained(counts)
-    model = pitmanyor._model(counts, chain).toPandas()
-    seatings = [pitmanyor._read(part, totals, [0]) for _, part in model.groupby("bucket")]
-    assert len(seatings) == 4 and any((s[0].tables > 1).any() for s in seatings)
-    assert any((a.tables != b.tables).any() for a, b, _ in seatings)
-    for u in pitmanyor.word_numbers([x.encode() for x in asked]):
-        total = 0.0
-        for s in seatings:
-            for w in [*s[0].words, *([10**9] if s is seatings[0] else [])]:
-                block = _pack(*(np.array([x], t) for x, t in zip((w, 1, u, 0, 1), pitmanyor.BLOCK, strict=True)))
-                data = next(_scored(s[0], totals[-1], [block], s))
-                total += 10 ** pitmanyor._unpack(data, "<u2", "<f8", "<f8", "<u4")[1][0]
-        assert math.isclose(total, 1.0, rel_tol=1e-9)
+def test_totals():
+    s = Totals(10, 4, 7.0, 5.0, 0.5, 0.4)
+    assert math.isclose(s.base(), (1 + 0.4 * 5) / 5) and math.isclose(s.base(2.0), (1 + 0.4 * 3) / 5)
