@@ -6,19 +6,21 @@ exact check, connected components.
    below works on classes, so exact copies cost one row each.
 2. Classes that agree in a band of the signature share a bucket.  Nothing
    pairs up a bucket's members: in the first round each class is compared
-   with the smallest member of its buckets only.
+   with one member, the pivot, of each of its buckets only; in the next ones
+   what is not in its bucket's largest component with pivots of that.
 3. A comparison reads the signatures in batches and stops as soon as the
    posterior probability that the similarity reaches the threshold falls
    under ``miss`` (uniform prior, binomial matches).  Survivors are checked
    on the full shingle sets, recomputed from the texts of the classes they
    name.
 4. Links are contracted to components.  A bucket whose members are in one
-   component is done.  What the others connect is a family; every class
-   outside its largest component is compared with all members of other
-   components, block by block inside the tasks, by the same two steps.  Only
-   links that join components leave a block.  So the work on a large group of
-   copies is linear in its size plus, for each class that did not link, one
-   comparison with each member.
+   component is done.  In the others every class outside the bucket's largest
+   component is compared with the bucket's members of other components, block
+   by block inside the tasks, and each pair in the first bucket it shares only.
+   Signatures come first; shingle sets are sent for classes that still have a
+   partner.  Only links that join components leave a block.  So the work on a
+   large group of copies is linear in its size plus, for each class that did
+   not link, one comparison with each member of its buckets.
 
 Texts that are null, empty or white space have no shingles and are linked
 with nothing.  Rows that repeat a doc_id are one document; different texts
@@ -37,13 +39,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import row_key, shuffle_partitions, stored, text_of
+from ledgerspark.llm.common import (
+    BROADCAST_BYTES,
+    broadcast_if_small,
+    data_bytes,
+    ready,
+    row_key,
+    shuffle_partitions,
+    stored,
+    text_of,
+)
 from ledgerspark.llm.shingles import U, shingle_set, words
 
 BANDS, ROWS = 32, 4
 PERMS = BANDS * ROWS
 BATCH = 16  # hashes compared between two looks at the posterior
-BROADCAST_ROWS = 1_000_000  # row keys of 8 bytes that are broadcast at most
 PER_HUB = 64  # partners that share one copy of a hub's shingle set
 GROUP_BYTES = 16_000_000  # shingle sets in one task group
 BLOCK = 256  # classes in a block
@@ -105,6 +115,7 @@ def _signatures(column: pd.Series) -> np.ndarray:
 def sketches(docs: DataFrame, ngram: int) -> DataFrame:
     """rid (row key), doc_id, n_shingles, cls (key of the shingle set) and
     signature; the last two are null without shingles."""
+    ready()
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -124,14 +135,13 @@ def sketches(docs: DataFrame, ngram: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): the label is the
     smallest node reachable.  Minimum over neighbours, then one jump along
-    the labels, until nothing changes.  Labels are broadcast while there are
-    at most BROADCAST_ROWS nodes, and joined by a shuffle beyond."""
+    the labels, until nothing changes.  Labels are broadcast while their
+    measured size allows, and joined by a shuffle beyond."""
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = stored(
         both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels"
     )
-    small = labels.count() <= BROADCAST_ROWS
-    sent = F.broadcast if small else (lambda df: df)
+    sent = F.broadcast if data_bytes(labels) <= BROADCAST_BYTES else (lambda df: df)
     while True:
         near = both.join(sent(labels), both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(sent(near), labels.node == near.a).select(
@@ -148,6 +158,7 @@ def components(edges: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
     """(cls, members): the full shingle set of each of ``classes``, from the
     text of one of its rows."""
+    ready()
     wanted = classes.select("cls", F.col("any_rid").alias("rid"))
     source = docs.select(row_key().alias("rid"), text_of().alias("text"))
 
@@ -159,7 +170,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["cls", "members"])
 
     return (
-        source.join(_sized(wanted), "rid")
+        source.join(broadcast_if_small(wanted), "rid")
         .select("cls", "text")
         .mapInPandas(sets, "cls binary, members binary")
     )
@@ -171,6 +182,7 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
     ``b`` is the column whose values repeat more, the hub.  Its set travels once for
     every ``PER_HUB`` partners, each partner's set once per pair.
     """
+    ready()
     spark = pairs.sparkSession
     degree = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("degree"))
     dealt = stored(
@@ -184,10 +196,10 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
         "pairs",
     )
     known = full.select("cls", "members")
-    hubs = known.join(_sized(dealt.select("hub", "salt").distinct()), F.col("cls") == F.col("hub")).select(
+    hubs = known.join(broadcast_if_small(dealt.select("hub", "salt").distinct()), F.col("cls") == F.col("hub")).select(
         "hub", "salt", F.lit(None).cast("binary").alias("other"), "members"
     )
-    others = known.join(_sized(dealt), F.col("cls") == F.col("other")).select("hub", "salt", "other", "members")
+    others = known.join(broadcast_if_small(dealt), F.col("cls") == F.col("other")).select("hub", "salt", "other", "members")
     size = full.agg(F.avg(F.octet_length("members"))).first()[0] or 0
     groups = max(shuffle_partitions(spark), int(2 * dealt.count() * size // GROUP_BYTES))
     per = int(round(threshold * 1_000_000))
@@ -222,6 +234,7 @@ def near_duplicates(
 
 def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> DataFrame:
     """``near_duplicates`` with the class that stands for the group (label)."""
+    ready()
     bounds = least_matches(threshold, miss)
     sketch = stored(sketches(docs, ngram), "sketches")
     classes = stored(
@@ -248,29 +261,35 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
     number = F.xxhash64("cls")
     shared = each.select("key", number.alias("h")).groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
     shared = stored(shared.where("low != high").select("key"), "shared")
-    buckets = stored(each.join(_sized(shared), "key").select("band", "key", "cls"), "buckets")
-    near = stored(classes.join(_sized(buckets.select("cls").distinct()), "cls", "left_semi"), "near")
+    buckets = stored(each.join(broadcast_if_small(shared), "key").select("band", "key", "cls"), "buckets")
+    near = stored(classes.join(broadcast_if_small(buckets.select("cls").distinct()), "cls", "left_semi"), "near")
     sig = near.select("cls", "sig")
 
-    # first round: each class against the pivots of its buckets, its best one verified
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            at, matches = survivors(_signatures(batch["x"]), _signatures(batch["y"]), bounds)
-            yield batch[["a", "b"]].iloc[at].assign(matches=matches)
-
-    pivots = buckets.groupBy("key").agg(F.min("cls").alias("pivot"))
-    first = (
-        buckets.join(pivots, "key")
-        .where(F.col("cls") != F.col("pivot"))
-        .select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-        .distinct()
-        .join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("x")), "a")
-        .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("y")), "b")
-        .mapInPandas(compare, "a binary, b binary, matches long")
-    )
-    best = stored(first.groupBy("a").agg(F.max(F.struct("matches", "b")).getField("b").alias("b")), "pairs")
     full = stored(shingle_sets(docs, near, ngram).dropDuplicates(["cls"]), "sets")
-    links = stored(exact_links(best, full, threshold), "links")
+
+    def against(asked: DataFrame, pivots: DataFrame) -> DataFrame:
+        """Links of the classes in ``asked`` (key, cls) to their buckets'
+        pivots: of those that pass the bounds the best one, verified."""
+        tried = (
+            asked.join(broadcast_if_small(pivots), "key")
+            .where(F.col("cls") != F.col("pivot"))
+            .select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
+            .distinct()
+            .join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("x")), "a")
+            .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("y")), "b")
+            .mapInPandas(_compared(bounds), "a binary, b binary, matches long")
+        )
+        best = tried.groupBy("a").agg(F.max(F.struct("matches", "b")).getField("b").alias("b"))
+        return stored(exact_links(stored(best, "pairs"), full, threshold), "links")
+
+    def pivots_of(rows: DataFrame, number: int) -> DataFrame:
+        """Any one class of each bucket; another one in each round and bucket."""
+        return stored(
+            rows.groupBy("key").agg(F.min_by("cls", F.xxhash64("key", "cls", F.lit(number))).alias("pivot")), "pivots"
+        )
+
+    # first round: each class against the pivots of its buckets
+    links = against(buckets.select("key", "cls"), pivots_of(buckets, 0))
 
     # different texts under one doc_id belong together
     named = sketch.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "cls")
@@ -278,13 +297,31 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
     repeated = stored(repeated.select("doc_id", "a"), "repeated")
     if not repeated.isEmpty():
         links = links.union(named.join(repeated, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")))
-    labels = components(links)
 
-    # second round: what is not yet in its family's largest component against the family
+    # more rounds, for what is not in its bucket's largest component, against
+    # pivots of that component, as long as each round settles half of it
+    number, left = 0, None
+    while True:
+        labels = components(links)
+        members, open_ = _opened(buckets, labels)
+        inside = members.join(broadcast_if_small(open_), "key")
+        outside = stored(inside.where("label != main").select("key", "cls"), "outside")
+        n = outside.count()
+        if not n or left is not None and 2 * n > left:
+            break
+        number, left = number + 1, n
+        found = against(outside, pivots_of(inside.where("label = main"), number))
+        if found.isEmpty():
+            break
+        links = links.union(found)
+
+    # what is left in such buckets against everything in them
     grouped = _labelled(classes.select("cls", "low_id"), labels, "cls", "label")
-    found = stored(_open_links(buckets, near, full, labels, bounds, threshold), "links")
-    if not found.isEmpty():
-        grouped = _labelled(grouped, components(found), "label", "whole").select("cls", "low_id", F.col("whole").alias("label"))
+    if n:
+        found = stored(_open_links(members, open_, near, full, bounds, threshold), "links")
+        if not found.isEmpty():
+            whole = F.col("whole").alias("label")
+            grouped = _labelled(grouped, components(found), "label", "whole").select("cls", "low_id", whole)
     lowest = grouped.groupBy("label").agg(F.min("low_id").alias("component_id"))
     by_class = grouped.join(lowest, "label").select("cls", "label", "component_id")
     return (
@@ -312,17 +349,15 @@ def deduplicate(docs: DataFrame, ngram: int = 5, threshold: float = 0.8, miss: f
     drop = stored(drop, "copies")
     again = linked.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rid")
     again = stored(again.join(drop, "rid", "left_anti"), "repeats")
-    key = row_key()
-    left = docs.join(_sized(drop), key == drop.rid, "left_anti")
+    # the row as one column: its own column names cannot clash with ours
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("row"), row_key().alias("own"))
+    left = rows.join(broadcast_if_small(drop), F.col("own") == F.col("rid"), "left_anti")
     if again.isEmpty():
-        return left
-    once = left.join(_sized(again), key == again.rid, "left_anti")
-    many = left.join(_sized(again), key == again.rid, "left_semi").withColumn("_rid", key)
-    return once.union(many.dropDuplicates(["_rid"]).drop("_rid"))
-
-
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+        return left.select("row.*")
+    once = left.join(broadcast_if_small(again), F.col("own") == F.col("rid"), "left_anti")
+    many = left.join(broadcast_if_small(again), F.col("own") == F.col("rid"), "left_semi")
+    return once.union(many.dropDuplicates(["own"])).select("row.*")
 
 
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
@@ -331,29 +366,41 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
     return df.join(known, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
 
+def _compared(bounds: list[tuple[int, int]]):
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at, matches = survivors(_signatures(batch["x"]), _signatures(batch["y"]), bounds)
+            yield batch[["a", "b"]].iloc[at].assign(matches=matches)
+
+    return compare
+
+
+def _opened(buckets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The buckets' members with their component, and the buckets that hold
+    several: key, main (the largest one), n (members), n_main (of those in it)."""
+    members = stored(_labelled(buckets, labels, "cls", "label"), "members")
+    sizes = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    bucket = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "label")).getField("label").alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main")
+    )
+    return members, stored(bucket.where("n > n_main"), "open")
+
+
 def _open_links(
-    buckets: DataFrame, near: DataFrame, full: DataFrame, labels: DataFrame, bounds: list[tuple[int, int]], threshold: float
+    members: DataFrame, open_: DataFrame, near: DataFrame, full: DataFrame, bounds: list[tuple[int, int]], threshold: float
 ) -> DataFrame:
     """Links (a, b) between components, as labels; none that could join two
     components is missing.
 
-    A *family* is what buckets with several components connect.  Its members
-    are dealt over blocks of about BLOCK, and so are those outside its largest
-    component; every pair of blocks is compared once.
+    The members of a bucket that holds several components are dealt over
+    blocks of about BLOCK, and so are those outside its largest component;
+    every pair of blocks is compared once.
     """
-    spark = buckets.sparkSession
-    members = stored(_labelled(buckets, labels, "cls", "label"), "members")
-    parts = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = stored(parts.where("low != high").select("key", "low"), "open")
-    inside = stored(members.join(_sized(open_), "key").select("cls", "label", "low").distinct(), "open")
-    families = components(inside.select(F.col("label").alias("a"), F.col("low").alias("b")).where("a != b").distinct())
-    inside = _labelled(inside.select("cls", "label").distinct(), families, "label", "family")
-    sizes = inside.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
-    family = sizes.groupBy("family").agg(
-        F.max(F.struct("n", "label")).getField("label").alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main")
-    )
-    placed = inside.join(family, "family").select(
-        "family",
+    ready()
+    spark = members.sparkSession
+    inside = members.join(broadcast_if_small(open_), "key").select(
+        "key",
+        "band",
         "cls",
         "label",
         (F.col("label") == F.col("main")).alias("is_main"),
@@ -374,33 +421,53 @@ def _open_links(
     )
     to = F.when(F.col("is_main"), each).otherwise(F.concat(each, copies))
     placed = stored(
-        placed.where("others > 0").withColumn("to", F.explode(to)).select("family", "cls", "label", "is_main", "to.outside", "to.x", "to.y"),
+        inside.withColumn("to", F.explode(to)).select("key", "band", "cls", "label", "is_main", "to.outside", "to.x", "to.y"),
         "placed",
     )
-    size = full.agg(F.avg(F.octet_length("members"))).first()[0] or 0
-    groups = max(shuffle_partitions(spark), int(placed.count() * (size + 4 * PERMS) // GROUP_BYTES))
-    per = int(round(threshold * 1_000_000))
-
-    def match(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        signatures, cls = _signatures(rows["sig"]), rows["cls"].to_numpy()
-        names, label = np.unique(rows["label"].to_numpy(), return_inverse=True)
-        is_main, outside = rows["is_main"].to_numpy(), rows["outside"].to_numpy()
-        sets = [np.frombuffer(m, dtype=U) for m in rows["members"]]
-        length = np.array([len(x) for x in sets])
-        for at in rows.groupby(["family", "x", "y"]).indices.values():
+    sig = near.select(F.col("cls").alias("own"), "sig")
+
+    def dealt(rows: DataFrame, size: float) -> DataFrame:
+        """``rows`` in groups of about GROUP_BYTES, blocks kept together."""
+        groups = max(8 * shuffle_partitions(spark), int(placed.count() * size // GROUP_BYTES))
+        return rows.drop("own").withColumn("g", F.pmod(F.xxhash64("key", "x", "y"), F.lit(groups))).groupBy("g")
+
+    def candidates(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each pair of blocks the rows (x[i], y[i]) that pass the bounds."""
+        signatures, cls, label = _signatures(rows["sig"]), rows["cls"].to_numpy(), rows["label"].to_numpy()
+        is_main, outside, band = rows["is_main"].to_numpy(), rows["outside"].to_numpy(), rows["band"].to_numpy()
+        for at in rows.groupby(["key", "x", "y"]).indices.values():
             m, o = at[~outside[at]], at[outside[at]]
             if not len(m) or not len(o):
                 continue
             # all of the largest component; of the rest, each pair once
             ask = (label[o][:, None] != label[m]) & (is_main[m] | (cls[m] < cls[o][:, None]))
             x, y = np.nonzero(ask)
-            kept, _ = survivors_of(signatures, o[x], m[y], bounds)
-            x, y = x[kept], y[kept]
-            if not len(x):
-                continue
-            distinct, number = np.unique(np.concatenate([sets[k] for k in m]), return_inverse=True)
-            begins = np.r_[0, np.cumsum(length[m])[:-1]]
+            x, y = o[x], m[y]
+            for k in range(int(band[at[0]])):  # an earlier bucket that the pair shares too
+                if not len(x):
+                    break
+                rows_of = slice(k * ROWS, (k + 1) * ROWS)
+                apart = (signatures[x, rows_of] != signatures[y, rows_of]).any(axis=1)
+                x, y = x[apart], y[apart]
+            kept, _ = survivors_of(signatures, x, y, bounds)
+            if len(kept):
+                yield x[kept], y[kept]
+
+    def partnered(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        found = [np.concatenate(pair) for pair in candidates(rows)]
+        at = np.unique(np.concatenate(found)) if found else []
+        return rows.iloc[at].drop(columns=["sig", "g"])
+
+    schema = "key long, band int, cls binary, label binary, is_main boolean, outside boolean, x int, y int"
+    asked = placed.join(sig, F.col("own") == F.col("cls"))
+    paired = stored(dealt(asked, 4 * PERMS).applyInPandas(partnered, schema), "partnered")
+    per = int(round(threshold * 1_000_000))
+
+    def match(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        names, label = np.unique(rows["label"].to_numpy(), return_inverse=True)
+        sets = [np.frombuffer(m, dtype=U) for m in rows["members"]]
+        for x, y in candidates(rows):
             joined: dict[int, int] = {}  # components that the links of this block join already
 
             def root(k: int) -> int:
@@ -408,25 +475,25 @@ def _open_links(
                     k = joined[k]
                 return k
 
+            m = np.unique(y)
+            length = np.array([len(sets[k]) for k in m])
+            distinct, number = np.unique(np.concatenate([sets[k] for k in m]), return_inverse=True)
+            begins = np.r_[0, np.cumsum(length)[:-1]]
             for i in np.unique(x):
-                own = sets[o[i]]
+                own = sets[i]
                 place = np.minimum(np.searchsorted(distinct, own), len(distinct) - 1)
                 mark = np.zeros(len(distinct), dtype=np.int64)
                 mark[place[distinct[place] == own]] = 1
                 both = np.add.reduceat(mark[number], begins)
-                for k in y[x == i]:
-                    if 1_000_000 * both[k] >= per * (length[o[i]] + length[m[k]] - both[k]):
-                        p, q = root(label[o[i]]), root(label[m[k]])
+                for k in np.searchsorted(m, y[x == i]):
+                    if 1_000_000 * both[k] >= per * (len(own) + length[k] - both[k]):
+                        p, q = root(label[i]), root(label[m[k]])
                         if p != q:
                             joined[p] = q
-                            out.append((names[label[o[i]]], names[label[m[k]]]))
+                            out.append((names[label[i]], names[label[m[k]]]))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    known = full.join(near.select("cls", "sig"), "cls").select(F.col("cls").alias("own"), "sig", "members")
-    return (
-        known.join(_sized(placed), F.col("own") == F.col("cls"))
-        .withColumn("g", F.pmod(F.xxhash64("family", "x", "y"), F.lit(groups)))
-        .drop("own")
-        .groupBy("g")
-        .applyInPandas(match, "a binary, b binary")
-    )
+    size = full.agg(F.avg(F.octet_length("members"))).first()[0] or 0
+    known = full.select(F.col("cls").alias("own"), "members").join(sig, "own")
+    with_sets = known.join(broadcast_if_small(paired), F.col("own") == F.col("cls"))
+    return dealt(with_sets, size + 4 * PERMS).applyInPandas(match, "a binary, b binary")
