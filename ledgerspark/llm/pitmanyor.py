@@ -68,7 +68,7 @@ CHUNK_DOCS = 60_000
 SWEEPS, BURN_IN, SAMPLES = 2, 1, 3
 END = U(1)  # the number of the end token
 STRENGTH = 1.0
-ONE_BY_ONE = 64  # customers seated in single steps; then from new table to new table
+ONE_BY_ONE = 16  # customers seated in single steps; then from candidate to candidate
 
 
 # --- arrays as bytes
@@ -357,15 +357,6 @@ class Totals:
         return (STRENGTH + self.root_discount * (self.tables - removed)) / (self.words + 1)
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """log Gamma for positive numbers: Stirling's series, from x + 8 back."""
-    low = np.ones_like(x)
-    for k in range(8):
-        low *= x + k
-    y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(low)
-
-
 def seat(
     count: np.ndarray, discount: float, weight: Callable[[np.ndarray, np.ndarray], np.ndarray], rng: np.random.Generator
 ) -> np.ndarray:
@@ -373,9 +364,10 @@ def seat(
 
     The first opens a table.  With n seated at t tables the next one opens a
     table with probability ``w / (n - discount * t + w)``, where
-    ``w = weight(dishes, t)``.  After ``ONE_BY_ONE`` customers the steps go
-    from new table to new table: the number of customers between two of them
-    is drawn at once from its own distribution.
+    ``w = weight(dishes, t)``.  After ``ONE_BY_ONE`` customers this is done by
+    thinning: as the probability only falls until a table opens, the next
+    customer who would open one at the present probability is drawn at once,
+    and opens it with the ratio of the probability at his turn to this one.
     """
     tables = np.minimum(count, 1).astype(np.float64)
     active = np.flatnonzero(count > 1)
@@ -390,23 +382,17 @@ def seat(
         w = weight(active, t)
         tables[active] = t + (rng.random(len(active)) * (seated - discount * t + w) < w)
     lo = np.searchsorted(sizes, ONE_BY_ONE, side="right")
-    active, left = active[lo:], sizes[lo:] - ONE_BY_ONE
+    active, sizes = active[lo:], sizes[lo:].astype(np.float64)
     seated = np.full(len(active), float(ONE_BY_ONE))
     while len(active):
         t = tables[active]
-        w, a = weight(active, t), seated - discount * t
-        # log P(the next m customers all sit at old tables), falling in m
-        start, u = _log_gamma(a + w) - _log_gamma(a), np.log(rng.random(len(active)))
-        low, high = np.zeros(len(active)), left.astype(np.float64) + 1  # the largest m with P > u
-        while (wide := high - low > 1).any():
-            middle = np.where(wide, np.floor((low + high) / 2), low)
-            over = _log_gamma(a + middle) - _log_gamma(a + middle + w) + start > u
-            low, high = np.where(wide & over, middle, low), np.where(wide & ~over, middle, high)
-        opens = low < left
+        w, rest = weight(active, t), seated - discount * t
+        # customers at old tables before the candidate; 1 - random is never 0
+        gap = np.floor(np.log(1 - rng.random(len(active))) / -np.log1p(w / rest))
+        there = seated + gap < sizes
+        opens = there & (rng.random(len(active)) * (rest + gap + w) < rest + w)
         tables[active] += opens
-        seated, left = seated + low + 1, left - low - 1
-        go_on = opens & (left > 0)
-        active, seated, left = active[go_on], seated[go_on], left[go_on]
+        active, sizes, seated = active[there], sizes[there], (seated + gap + 1)[there]
     return tables
 
 
