@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import text_of
+from ledgerspark.llm.common import ready, text_of
 
 # fixed values: ISO 639-1 codes by family
 FAMILIES = {
@@ -194,6 +194,7 @@ def identify(model: LanguageModel, text: str | None) -> tuple[str, float]:
 
 def language(model: LanguageModel, text: Column) -> Column:
     """struct(lang, score) of each text."""
+    ready()
 
     @F.pandas_udf("lang string, score double")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ledgerspark.llm.common import stored, text_of
+from ledgerspark.llm.common import ready, stored, text_of
 
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
@@ -129,6 +129,7 @@ def train(
 
 def score(model: QualityModel, text: Column) -> Column:
     """The probability of label 1 for each text."""
+    ready()
 
     @F.pandas_udf(DoubleType())
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

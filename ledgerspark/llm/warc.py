@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.common import ready
 from ledgerspark.llm.markup import blocks, squeeze
 
 VERSION = "WARC/1.1"
@@ -148,6 +149,7 @@ def derive(record: bytes) -> list[tuple[str, bytes]]:
 
 def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     """page_id, record: each page as a response record."""
+    ready()
 
     def wrap(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -169,6 +171,7 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
 
 def derivatives(records: DataFrame) -> DataFrame:
     """page_id, warc_type, record: two records per response of ``records``."""
+    ready()
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -183,6 +186,7 @@ def derivatives(records: DataFrame) -> DataFrame:
 def described(records: DataFrame) -> DataFrame:
     """The header fields of each record, its content length and the SHA-256
     of its block; for metadata records also status and number of links."""
+    ready()
     schema = (
         "page_id long, warc_type string, record_id string, refers_to string, target_uri string, warc_date string, "
         "content_type string, content_length long, block_digest string, source_payload_digest string, "
@@ -229,6 +233,7 @@ def split_records(data: bytes) -> Iterator[bytes]:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """page_id (null), record of every record in the files at ``path``; a
     file's bytes are held by one task while it is read."""
+    ready()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -243,6 +248,7 @@ def write_warc(records: DataFrame, folder: str) -> DataFrame:
     """Writes ``records`` as .warc.gz files, one per partition and one gzip
     member per record, below ``folder``, which every executor must see as a
     path; returns (file, records).  A repeated task replaces its own file."""
+    ready()
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext

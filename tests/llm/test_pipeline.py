@@ -79,3 +79,28 @@ def test_packing_delivers_the_token_ids(spark, steps):
 
     rows = steps[5].collect()
     assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_tables_go_through_every_stage(spark, odd_docs, no_docs, empty):
+    """Nulls, empty and very long texts, repeated rows, clashing names, no rows."""
+    docs = no_docs if empty else odd_docs.withColumnsRenamed({"rid": "own", "cls": "extra", "bucket": "row", "a": "_rid"})
+    stages = dict(corpus_pipeline.STAGES)
+    counts = []
+    # the quality of so few rows is not learnt; every other stage on all of them
+    scored = stages["quality"](spark, docs, SF)
+    assert scored.columns == docs.columns and scored.count() <= docs.count()
+    for name in ("near_dedup", "decontamination", "personal_data"):
+        out = stored(stages[name](spark, docs, SF), f"odd-{name}")
+        assert out.columns == docs.columns
+        counts.append(out.count())
+        docs = out
+    rows = stages["packing"](spark, docs, SF).collect()
+    if empty:
+        assert counts == [0, 0, 0] and rows == []
+        return
+    # of the three texts that are equal two go; the row without id and those without words stay
+    assert counts == [odd_docs.count() - 2] * 3
+    assert sorted({(r.doc_id is None, r.doc_id or 0) for r in rows}) == [(False, k) for k in (1, 2, 3, 4, 5, 7, 8, 9, 10)] + [(True, 0)]
+    left = {r.doc_id: r for r in docs.collect()}
+    assert left[1].text is None and left[10].text.startswith("mail me: [EMAIL]") and left[10].row == 10
