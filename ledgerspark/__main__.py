@@ -1,6 +1,7 @@
 """Command line: ``spark-submit run_ledgerspark.py <command>`` or ``python -m ledgerspark``.
 
-    ingest  [--topic T] [--mode batch|incremental|streaming] [--checkpoint-root DIR]
+    ingest  [--topic T] [--mode batch|bounded|incremental|streaming] [--checkpoint-root DIR]
+            [--ledger DIR] [--compact-every N]
             [--catalog NAME] [--database bronze] [--format parquet]
             [--property KEY=VALUE ...]
             [--max-offsets-per-trigger N] [--min-partitions N]
@@ -8,6 +9,8 @@
             [--catalog NAME]
     publish --table DB.TABLE        flag rule + alerts, published to both topics
     silver  --table DB.TABLE [--path DIR] [--table-out DB.TABLE] [--mode append|refresh]
+    compact --table DB.TABLE [--gold DB]    merge closed bronze batches
+    gold    --table DB.TABLE [--gold DB]    take new bronze batches into gold
 
 The stream modes need a checkpoint folder that outlives the process:
 ``--checkpoint-root``, or ``spark.checkpoint.dir``.
@@ -35,10 +38,13 @@ def _parser() -> argparse.ArgumentParser:
     ing = sub.add_parser("ingest", help="Kafka topics -> bronze tables")
     ing.add_argument("--topic", default=os.environ.get("KAFKA_TOPIC") or None)
     # batch: bounded re-read from the earliest offsets (re-runs append again);
+    # bounded: a batch between the offsets of a ledger and the present end;
     # incremental: drain only what arrived since the last run, then stop;
     # streaming: run until stopped
-    ing.add_argument("--mode", choices=["batch", "incremental", "streaming"], default="batch")
+    ing.add_argument("--mode", choices=["batch", "bounded", "incremental", "streaming"], default="batch")
     ing.add_argument("--checkpoint-root", default=None)
+    ing.add_argument("--ledger", default=None, help="folder of the offset ledger (bounded mode)")
+    ing.add_argument("--compact-every", type=int, default=None, help="merge a stream's closed batches")
     ing.add_argument("--catalog", default=None)
     ing.add_argument("--database", default="bronze")
     ing.add_argument("--format", default="parquet")
@@ -60,6 +66,14 @@ def _parser() -> argparse.ArgumentParser:
     sil.add_argument("--path", default=None)
     sil.add_argument("--mode", choices=["append", "refresh"], default="append")
     sil.add_argument("--table-out", default=None, help="catalog table to write, e.g. silver.finacle_transactions")
+
+    com = sub.add_parser("compact", help="merge the closed batches of a bronze table")
+    com.add_argument("--table", required=True)
+    com.add_argument("--gold", default=None, help="only batches that this gold namespace has taken in")
+
+    gol = sub.add_parser("gold", help="take the new batches of a transactions table into gold")
+    gol.add_argument("--table", required=True)
+    gol.add_argument("--gold", default="gold")
     return p
 
 
@@ -77,12 +91,13 @@ def _ingest(spark: SparkSession, a) -> int:
     from ledgerspark.sources.catalog import MissingObject, bronze_counts_in, has_catalog
     from ledgerspark.sources.kafka import kafka_options
     from ledgerspark.sources.schemas import select_topics
-    from ledgerspark.streaming.ingest import await_streams, start_kafka_streams
+    from ledgerspark.streaming.ingest import RowCheck, await_streams, start_kafka_streams
 
     select_topics(a.topic)  # unknown topic: exit 1 before touching the catalog
     if a.catalog and not has_catalog(spark, a.catalog):
         raise MissingObject(f"catalog {a.catalog!r} not found")
-    root = None if a.mode == "batch" else checkpoint_root(spark, a.checkpoint_root)
+    root = checkpoint_root(spark, a.checkpoint_root) if a.mode in ("incremental", "streaming") else None
+    ledger = a.ledger or (os.path.join(checkpoint_root(spark, None), "ledger") if a.mode == "bounded" else None)
     opts = kafka_options(max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions)
     create_namespaces(spark, a.catalog, extra=(a.database,))
     database = f"{a.catalog}.{a.database}" if a.catalog else a.database
@@ -97,9 +112,21 @@ def _ingest(spark: SparkSession, a) -> int:
             if totals.get(table, 0) < n:
                 raise RuntimeError(f"{table} shows {totals.get(table, 0)} rows after {n} were written")
         return 0
+    if a.mode == "bounded":
+        from ledgerspark.sources.offsets import ingest_kafka_new
+
+        log.info("rows written: %s", ingest_kafka_new(spark, opts, ledger, a.topic, database, a.format))
+        return 0
     trigger = {"availableNow": True} if a.mode == "incremental" else None
-    queries = start_kafka_streams(spark, opts, root, a.topic, database, a.format, trigger=trigger)
-    await_streams(queries)
+    check = RowCheck(spark)
+    spark.streams.addListener(check)
+    try:
+        queries = start_kafka_streams(
+            spark, opts, root, a.topic, database, a.format, trigger=trigger, compact_every=a.compact_every, check=check
+        )
+        await_streams(queries, check=check)
+    finally:
+        spark.streams.removeListener(check)
     return 0
 
 
@@ -136,7 +163,32 @@ def _silver(spark: SparkSession, a) -> int:
     return 0
 
 
-COMMANDS = {"ingest": _ingest, "report": _report, "publish": _publish, "silver": _silver}
+def _compact(spark: SparkSession, a) -> int:
+    from ledgerspark.plans.gold import compact_covered
+    from ledgerspark.sources.compaction import compact
+
+    made = compact_covered(spark, a.table, a.gold) if a.gold else compact(spark, a.table)
+    log.info("%s: merged into %s", a.table, made or "nothing")
+    return 0
+
+
+def _gold(spark: SparkSession, a) -> int:
+    from ledgerspark.plans.gold import refresh
+    from ledgerspark.sources.bronze import create_namespaces
+
+    create_namespaces(spark, extra=(a.gold,))
+    log.info("%s: %d rows", a.gold, refresh(spark, a.table, a.gold))
+    return 0
+
+
+COMMANDS = {
+    "ingest": _ingest,
+    "report": _report,
+    "publish": _publish,
+    "silver": _silver,
+    "compact": _compact,
+    "gold": _gold,
+}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

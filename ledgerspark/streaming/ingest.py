@@ -162,7 +162,7 @@ class RowCheck(StreamingQueryListener):
         """Checks the batches reported since the last call; the rows of each.
         ``RuntimeError`` if a table holds fewer or more than were read."""
         checked = {}
-        for key in sorted(k for k in self.read if k[0] in self.tables):
+        for key in sorted(k for k in list(self.read) if k[0] in self.tables):  # the listener's thread adds
             query, number = key
             table, rows = self.tables[query], self.read.pop(key)
             batch = stream_batch(query, number)
