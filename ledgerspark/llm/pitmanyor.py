@@ -28,6 +28,8 @@ contexts of a frequent word are spread over many of them.
    its pairs and the homes for its words, once for each.
 2. Counts.  A bucket adds up the pairs of all chunks; it keeps the repeated
    ones, answers each chunk with their counts, and tells the homes its sums.
+   The buckets take turns, ``PASSES`` shares of them, so that the pairs are on
+   their way a share at a time; files that were read are deleted.
 3. Sweeps.  Buckets seat their repeated pairs and send table sums for their
    words and contexts, in an order both sides know; homes add them up, seat
    the root, and answer with totals.  What other buckets do in the same sweep
@@ -51,6 +53,7 @@ import math
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -58,10 +61,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import discard, ready, stored, stored_by, text_of
+from ledgerspark.llm.common import discard, give_back, ready, stored, stored_by, text_of
 from ledgerspark.llm.shingles import U, word_numbers, words
 
-BUCKET_BYTES = 24_000_000  # text per bucket
+BUCKET_BYTES = 12_000_000  # text per bucket
+PASSES = 4  # the buckets are counted a share at a time, so a share of the pairs is being dealt at a time
 LEAST_BUCKETS = 16
 CHUNK_TOKENS = 2_000_000
 CHUNK_DOCS = 60_000
@@ -89,7 +93,8 @@ def _pack(*arrays: np.ndarray) -> bytes:
         if a.dtype.kind in "iu" and len(a) and a.min() >= 0:
             a = a.astype(np.min_scalar_type(a.max()))
         head.extend((how, ord(a.dtype.kind), a.itemsize, len(a)))
-        body.append(a.tobytes())
+        # bytes of equal weight side by side: the high ones are mostly zero
+        body.append(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
     for a in arrays:
         if a.dtype == np.uint64 and len(a) > 1:
@@ -97,7 +102,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
                 put(a, _SORTED)
                 continue
             table, at = np.unique(a, return_inverse=True)
-            if 2 * len(table) <= len(a):
+            if 4 * len(table) <= 3 * len(a):
                 put(table, _TABLE)
                 put(at, _RAW)
                 continue
@@ -112,8 +117,9 @@ def _unpack(data: bytes, *types: str) -> list[np.ndarray]:
     head = np.frombuffer(raw, dtype="<i8", count=n_head, offset=8).reshape(-1, 4)
     out, at, table = [], 8 * (n_head + 1), None
     for how, kind, width, n in head.tolist():
-        a = np.frombuffer(raw, dtype=f"<{chr(kind)}{width}", count=n, offset=at)
-        at += a.nbytes
+        planes = np.frombuffer(raw, dtype=np.uint8, count=n * width, offset=at).reshape(width, n)
+        a = np.ascontiguousarray(planes.T).reshape(-1).view(f"<{chr(kind)}{width}")
+        at += n * width
         if how != _RAW:
             a = np.cumsum(a.astype(np.uint64), dtype=np.uint64)
         if how == _TABLE:
@@ -159,7 +165,7 @@ def grid_for(text_bytes: int) -> Grid:
 
 # --- 1. chunks
 
-OWN, PAIRS, NAMES = range(3)  # kinds of rows that a chunk makes
+OWN, NAMES, PAIRS = range(3)  # kinds of rows that a chunk makes; PAIRS + k: for the buckets of pass k
 CHUNKS = "kind int, chunk long, part int, payload binary"
 # own: ids, null ids, training, lengths; per pair its word and its context (0:
 # none, else 1 + a word of the chunk), documents; per (pair, document) the
@@ -170,8 +176,8 @@ _NAMES = ("<u8",)
 
 
 def chunks(docs: DataFrame, grid: Grid, training: Column) -> DataFrame:
-    """Rows of CHUNKS: what a chunk keeps (OWN), and what it asks buckets
-    (PAIRS, part: the bucket) and homes (NAMES, part: the home)."""
+    """Rows of CHUNKS: what a chunk keeps (OWN), and what it asks homes
+    (NAMES, part: the home) and buckets (PAIRS + pass, part: the bucket)."""
     ready()
 
     def flush(held: list[tuple]) -> pd.DataFrame:
@@ -210,7 +216,7 @@ def chunks(docs: DataFrame, grid: Grid, training: Column) -> DataFrame:
             payload = _pack(
                 numbers[word[a:b][own_words[:-1]]], np.diff(own_words).astype("<u4"), contexts[before[a:b]], learned[a:b]
             )
-            rows.append((PAIRS, chunk, int(bucket[a]), payload))
+            rows.append((PAIRS + int(bucket[a]) % PASSES, chunk, int(bucket[a]), payload))
         home = _range(numbers, grid.homes)
         cuts = _runs(home)
         rows += [(NAMES, chunk, int(home[a]), _pack(numbers[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -229,6 +235,8 @@ def chunks(docs: DataFrame, grid: Grid, training: Column) -> DataFrame:
                     held, size = [], 0
         if held:
             yield flush(held)
+        held = []
+        give_back()
 
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("train"), text_of().alias("text")
@@ -294,6 +302,8 @@ def counted(asked: DataFrame, grid: Grid) -> DataFrame:
         for home, parts in found.items():
             flat = [x for own, like in zip(parts, lists, strict=True) for x in (own or [x[:0] for x in like])]
             rows.append((SUMS, 0, bucket, home, _pack(*flat)))
+        del lists, found, inverse, pair, total, w, u
+        give_back()
         return pd.DataFrame(rows, columns=["kind", "chunk", "bucket", "home", "payload"])
 
     return asked.select("part", "chunk", "payload").groupBy("part").applyInPandas(count, COUNTED)
@@ -722,9 +732,12 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
         F.sum(F.octet_length(text_of())), F.sum(F.coalesce(training, F.lit(False)).cast("long"))
     ).first()
     grid = grid_for(size or 0)
-    made = stored_by(chunks(docs, grid, training), "py-chunks", "kind", [OWN, PAIRS, NAMES])
-    found = stored_by(counted(made[PAIRS], grid), "py-counts", "kind", [REPLY, REPEATED, SUMS])
-    discard(made[PAIRS])
+    made = stored_by(chunks(docs, grid, training), "py-chunks", "kind", [OWN, NAMES, *range(PAIRS, PAIRS + PASSES)])
+    parts = []
+    for k in range(PAIRS, PAIRS + PASSES):
+        parts.append(stored_by(counted(made[k], grid), "py-counts", "kind", [REPLY, REPEATED, SUMS]))
+        discard(made[k])
+    found = {kind: reduce(DataFrame.unionAll, [p[kind] for p in parts]) for kind in (REPLY, REPEATED, SUMS)}
     static = stored(homes(found[SUMS]), "py-homes")
     discard(found[SUMS])
     chain = trained(static, found[REPEATED], grid)
