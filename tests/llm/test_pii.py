@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from ledgerspark.llm.pii import KINDS, base_spans, luhn, personal_data, redact
+from ledgerspark.llm.pii import KINDS, base_spans, candidates, luhn, patterns, personal_data, redact, shape
 from ledgerspark.llm.queries import QUERIES
 
 PLAIN = {
@@ -85,3 +85,34 @@ def test_odd_rows(odd_docs, no_docs):
     assert by[10].text == "mail me: [EMAIL] or [PHONE], ip [IP], card [CARD]."
     assert by[10].n_chars == len(by[10].text) and by[1].text is None and by[1].n_chars is None
     assert personal_data(no_docs).count() == 0 and redact(no_docs).count() == 0
+
+
+def test_a_chain_of_five_steps(spark):
+    """Each step's identifiers share a context with those of the step before
+    only; the iteration goes on until the last is found."""
+    words = ["amber", "birch", "cedar", "dune", "ember", "fjord", "grove"]
+    sizes = [96, 48, 24, 12, 6, 3]  # of step 0 all are phones
+    ids = [[f"+1 (415) 555-{k:04d}" if not step else f"Q{step}{k:03d}-{k % 7}" for k in range(n)] for step, n in enumerate(sizes)]
+    texts = []
+    for step, own in enumerate(ids):
+        for i in own:
+            texts.append(f"the {words[step]} number {i} here")
+            if step:
+                texts.append(f"the {words[step - 1]} number {i} here")
+    texts += [f"some other {words[6]} code Z{k:03d}-1 there" for k in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans_list for r in personal_data(df).collect()}
+    for k, t in enumerate(texts):
+        assert (got[k] == "") == ("code Z" in t), t
+        assert got[k] == "" or got[k].startswith("phone:")
+
+
+def test_patterns_and_candidates():
+    text = 'token = "AB12-x", call 0171 555 0123. Mail a@b or (030) 12-34; v2'
+    assert [text[a:b] for a, b in candidates(text, [])] == ["AB12-x", "0171 555 0123", "a@b", "(030) 12-34", "v2"]
+    a = text.index("AB12")
+    assert patterns(text, a, a + 6) == ['token=" _ a9-a', "token _ call", '_ a9-a ",call']
+    assert shape("Äb12-x") == "a9-a"
+    long = "x" * 200_000 + " " * 100_000 + "AB12"
+    assert len(patterns(long, 300_000, 300_004)[0]) > 200_000  # no reach that ends
+    assert len(candidates("(" * 100_000 + "1", [])) == 1
