@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,19 @@ def ready() -> None:
         spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
+def give_back() -> None:
+    """Hands memory that this Python worker no longer uses back to the system.
+
+    A worker serves many tasks, one after the other, and what its allocators
+    keep counts against the executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: nothing to trim
+        pass
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables.
 

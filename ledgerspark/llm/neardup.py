@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import (
+    give_back,
     BROADCAST_BYTES,
     broadcast_if_small,
     data_bytes,
@@ -127,6 +128,7 @@ def sketches(docs: DataFrame, ngram: int) -> DataFrame:
             frame = pd.DataFrame(out, columns=["rid", "doc_id", "n_shingles", "cls", "sig"])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
+        give_back()
 
     source = docs.select(row_key().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return source.mapInPandas(sketch, "rid long, doc_id long, n_shingles long, cls binary, sig binary")
@@ -168,6 +170,7 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
             rows = [(c, s.tobytes()) for c, s, k in zip(batch["cls"], found, keys, strict=True) if bytes(c) == k]
             yield pd.DataFrame(rows, columns=["cls", "members"])
+        give_back()
 
     return (
         source.join(broadcast_if_small(wanted), "rid")
@@ -215,6 +218,8 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
             both = len(np.intersect1d(x, y, assume_unique=True))
             if 1_000_000 * both >= per * (len(x) + len(y) - both):
                 keep.append((rows["other"].iat[k], rows["hub"].iat[k]))
+        del rows, sets, of
+        give_back()
         return pd.DataFrame(keep, columns=["a", "b"])
 
     return (
@@ -371,6 +376,7 @@ def _compared(bounds: list[tuple[int, int]]):
         for batch in batches:
             at, matches = survivors(_signatures(batch["x"]), _signatures(batch["y"]), bounds)
             yield batch[["a", "b"]].iloc[at].assign(matches=matches)
+        give_back()
 
     return compare
 
@@ -456,7 +462,10 @@ def _open_links(
     def partnered(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         found = [np.concatenate(pair) for pair in candidates(rows)]
         at = np.unique(np.concatenate(found)) if found else []
-        return rows.iloc[at].drop(columns=["sig", "g"])
+        out = rows.iloc[at].drop(columns=["sig", "g"])
+        del rows, found
+        give_back()
+        return out
 
     schema = "key long, band int, cls binary, label binary, is_main boolean, outside boolean, x int, y int"
     asked = placed.join(sig, F.col("own") == F.col("cls"))

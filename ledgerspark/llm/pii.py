@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import broadcast_if_small, discard, ready, row_key, stored, text_of
+from ledgerspark.llm.common import broadcast_if_small, discard, give_back, ready, row_key, stored, text_of
 
 # fixed values: the base expressions; a kind's number is its place
 KINDS = ("email", "ip", "card", "phone")
@@ -236,6 +236,7 @@ def found_spans(docs: DataFrame) -> DataFrame:
             out = pd.DataFrame({"rid": batch["rid"], "doc_id": batch["doc_id"].astype("Int64")})
             out["base"], out["seen"] = base, seen
             yield out
+        give_back()
 
     return source.mapInPandas(find, schema)
 
@@ -330,23 +331,24 @@ def redact(docs: DataFrame, **graph) -> DataFrame:
     found = stored(found_spans(docs), "pii-found")
     extra = stored(_collected(discovered(found, **graph)), "pii-extra")
 
+    def replaced(text: str | None, more) -> str | None:
+        if text is None:
+            return None
+        spans = base_spans(text)
+        if more is not None and len(more):
+            spans = sorted(spans + [(x["start"], x["kind"], x["end"]) for x in more])
+        parts, done = [], 0
+        for a, k, b in spans:
+            if a >= done:
+                parts += [text[done:a], f"[{KINDS[k].upper()}]"]
+            done = max(done, b)
+        return "".join(parts) + text[done:] if spans else text
+
     @F.pandas_udf("string")
-    def cleaned(texts: pd.Series, extras: pd.Series) -> pd.Series:
-        out = []
-        for text, more in zip(texts, extras, strict=True):
-            if text is None:
-                out.append(None)
-                continue
-            spans = base_spans(text)
-            if more is not None and len(more):
-                spans = sorted(spans + [(x["start"], x["kind"], x["end"]) for x in more])
-            parts, done = [], 0
-            for a, k, b in spans:
-                if a >= done:
-                    parts += [text[done:a], f"[{KINDS[k].upper()}]"]
-                done = max(done, b)
-            out.append("".join(parts) + text[done:] if spans else text)
-        return pd.Series(out, dtype=object)
+    def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, extras in batches:
+            yield pd.Series([replaced(t, x) for t, x in zip(texts, extras, strict=True)], dtype=object)
+        give_back()
 
     # the row as one column: its own column names cannot clash with ours
     columns = [F.col(f"`{c}`") for c in docs.columns]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ledgerspark.llm.common import ready, stored, text_of
+from ledgerspark.llm.common import give_back, ready, stored, text_of
 
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
@@ -142,5 +142,6 @@ def score(model: QualityModel, text: Column) -> Column:
             x = features([t.encode("utf-8", "replace") for t in batch], *tools)
             z = np.c_[(x - model.centre) / model.spread, np.ones(len(x))] @ model.weights
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        give_back()
 
     return scored(F.coalesce(text.cast("string"), F.lit("")))

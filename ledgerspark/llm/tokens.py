@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from ledgerspark.llm.common import give_back
+
 #: bytes of the table "letters or other word -> ids" of one task; a full
 #: table is emptied
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 32 << 20
 #: bytes of one entry besides its word and ids: two objects, a hash slot
 ENTRY_BYTES = 190
 #: bytes of text split into words at a time
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: words, other than plain ones, joined by blanks for one call of the tokenizer
 AT_ONCE = 500
 # letters that no normalisation joins with what follows, then plain punctuation
@@ -151,6 +153,9 @@ def tokenized(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Each batch (column ``text``) with its texts' ids and their offsets."""
+    give_back()  # what other work left in this worker
     model = WordTokenizer(path)
     for batch in batches:
         yield batch, *closed_ids(model, batch.column("text"), end_id)
+    del model
+    give_back()
