@@ -101,7 +101,9 @@ def write_segment(
     index, body, at = [], [], 0
     for k in range(0, len(ids), chunk_ids):
         part = ids[k : k + chunk_ids]
-        frames = [press.compress(p) if any(p) else b"" for p in to_planes(part, bits)]
+        planes = to_planes(part, bits)
+        zero = bytes(len(planes[0]))
+        frames = [press.compress(p) if p != zero else b"" for p in planes]
         index.append(struct.pack(f"<QI{len(frames)}I", at, len(part), *map(len, frames)))
         body += frames
         at += sum(map(len, frames))

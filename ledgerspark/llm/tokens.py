@@ -2,7 +2,7 @@
 
 Words repeat, so each distinct word of a batch is tokenised once and the ids
 are put back in text order by Arrow and numpy; no Python object is made for a
-word's occurrence.  What was tokenised before is kept in a table that is
+word.  What was tokenised before is kept in a table, two Arrow arrays, that is
 bounded by bytes and belongs to one task: it goes when the task ends.
 """
 
@@ -12,6 +12,7 @@ import os
 import sys
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,20 +22,43 @@ from ledgerspark.llm.common import give_back
 
 #: bytes of the table "letters or other word -> ids" of one task; a full
 #: table is emptied
-TABLE_BYTES = 32 << 20
-#: bytes of one entry besides its word and ids: two objects, a hash slot
-ENTRY_BYTES = 190
+TABLE_BYTES = 8 << 20
 #: bytes of text split into words at a time
-SLICE = 4 << 20
-#: words, other than plain ones, joined by blanks for one call of the tokenizer
+SLICE = 2 << 20
+#: words joined by blanks for one call of the tokenizer
 AT_ONCE = 500
-# letters that no normalisation joins with what follows, then plain punctuation
-_PLAIN = "^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,;:!?]*)$"
+# letters that no normalisation joins with what follows, then ASCII punctuation
+_PLAIN = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are written as this machine holds them: little-endian, 32 bits")
 
 
+@lru_cache(maxsize=2)
+def _loaded(path: str) -> tuple:
+    """The tokenizer, another one for lower-case runs of letters or of
+    punctuation, and what must be replaced in texts for that one.
+
+    Loaded once in a process: the library keeps some megabytes of every
+    tokenizer that has been used, even when the object is gone.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    model = Tokenizer.from_file(path)
+    # such a run needs no normalising and no splitting: the model itself takes
+    # it, written in its byte alphabet; that has the letter of the same number
+    # for most bytes of these letters
+    alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    moved = []
+    for letter in map(chr, range(0xDF, 0x100)):
+        pairs = zip(letter.encode().decode("latin-1"), alphabet.pre_tokenize_str(letter)[0][0], strict=True)
+        moved += [(x, y) for x, y in pairs if x != y and (x, y) not in moved]
+    runs = Tokenizer(model.model)
+    runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    return model, runs, moved
+
+
 class WordTokenizer:
     """Ids of whole texts, each distinct white-space-free word tokenised once.
 
@@ -43,49 +67,66 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.model = Tokenizer.from_file(path)
-        # a lower-case run of letters or of punctuation needs no normalising and
-        # no splitting: the model itself takes it, written in its byte alphabet
-        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: alphabet.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
-        self.table: dict[str, bytes] = {}
+        self.model, self.runs, self.moved = _loaded(path)
+        self._empty()
+
+    def _empty(self) -> None:
+        """A table that knows the empty word only."""
+        self.words, self.word_ids = pa.array([""], pa.string()), pa.array([b""], pa.large_binary())
         self.size = 0
 
-    def _known(self, keys: list[str], single: bool) -> list[bytes]:
-        """Ids of each key; ``single``: keys are lower-case runs of letters
-        or of punctuation, so the tokenizer sees one word in each."""
-        table = self.table
-        found = list(map(table.get, keys))
-        new = [k for k, ids in zip(keys, found, strict=True) if ids is None]
-        if not new:
-            return found
-        ids = []
+    def _known(self, keys: pa.StringArray, single: bool) -> pa.LargeBinaryArray:
+        """Ids of each of these distinct keys; ``single``: keys are lower-case
+        runs of letters or of punctuation, so the tokenizer sees one word in
+        each."""
+        place = pc.index_in(keys, value_set=self.words)
+        missing = place.is_null()
+        new = keys.filter(missing)
+        if not len(new):
+            return self.word_ids.take(place)
+        ids = self._tokenised(new, single)
+        both = pa.concat_arrays([self.word_ids, ids])
+        unknown = np.asarray(missing)
+        at = np.asarray(place.fill_null(0)).astype(np.int64)
+        at[unknown] = len(self.words) + np.arange(len(new))
+        size = new.nbytes + ids.nbytes
+        if self.size + size <= TABLE_BYTES:
+            self.words, self.word_ids = pa.concat_arrays([self.words, new]), both
+            self.size += size
+        else:
+            self._empty()
+            if size <= TABLE_BYTES:
+                self.words = pa.concat_arrays([self.words, new])
+                self.word_ids = pa.concat_arrays([self.word_ids, ids])
+                self.size = size
+        return both.take(pa.array(at))
+
+    def _tokenised(self, keys: pa.StringArray, single: bool) -> pa.LargeBinaryArray:
+        """Ids of each key by the tokenizer."""
+        begins = [*range(0, len(keys), AT_ONCE), len(keys)]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(begins, pa.int32()), keys), " ").to_pylist()
+        flat, counts = array("I"), []
         if single:
-            model, letters = self.model.model, self.letters
-            for k in new:
-                found_ids = [t.id for t in model.tokenize(k if k.isascii() else k.translate(letters))]
-                ids.append(array("I", found_ids).tobytes())
+            for k, text in enumerate(texts):
+                if not text.isascii():
+                    text = text.encode().decode("latin-1")
+                    for x, y in self.moved:
+                        text = text.replace(x, y)
+                one = self.runs.encode(text, add_special_tokens=False)
+                flat.extend(one.ids)
+                counts.append(np.bincount(one.word_ids, minlength=begins[k + 1] - begins[k]))
         else:
-            for at in range(0, len(new), AT_ONCE):
-                part = new[at : at + AT_ONCE]
-                one = self.model.encode(" ".join(part), add_special_tokens=False)
-                flat = np.asarray(one.ids, dtype="<u4").tobytes()
-                begins = np.cumsum([0] + [len(k) + 1 for k in part])
+            sizes = np.asarray(pc.utf8_length(keys)).astype(np.int64)
+            for k, text in enumerate(texts):
+                one = self.model.encode(text, add_special_tokens=False)
+                flat.extend(one.ids)
+                ends = np.cumsum(sizes[begins[k] : begins[k + 1]] + 1)
                 starts = np.fromiter((a for a, _ in one.offsets), dtype=np.int64, count=len(one.ids))
-                cuts = (4 * np.searchsorted(starts, begins)).tolist()
-                ids += [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        size = sum(map(len, new)) + sum(map(len, ids)) + ENTRY_BYTES * len(new)
-        if self.size + size > TABLE_BYTES:
-            table.clear()
-            self.size = 0
-        if size <= TABLE_BYTES:
-            table.update(zip(new, ids, strict=True))
-            self.size += size
-        fresh = iter(ids)
-        return [next(fresh) if v is None else v for v in found]
+                counts.append(np.diff(np.searchsorted(starts, ends), prepend=0))
+        offsets = np.concatenate(([0], 4 * np.cumsum(np.concatenate(counts), dtype=np.int64)))
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(keys), [None, pa.py_buffer(offsets), pa.py_buffer(flat.tobytes())]
+        )
 
     def _word_ids(self, words: pa.StringArray) -> pa.BinaryArray:
         """The ids of each of these distinct words."""
@@ -95,15 +136,9 @@ class WordTokenizer:
         pieces = []
         for name in ("core", "tail"):
             coded = pc.dictionary_encode(pc.utf8_lower(some.field(name)))
-            keys = coded.dictionary.to_pylist()
-            ids = pa.array(self._known([k for k in keys if k], True), pa.large_binary())
-            if "" in keys:
-                at = keys.index("")
-                ids = pa.concat_arrays([ids[:at], pa.array([b""], pa.large_binary()), ids[at:]])
-            pieces.append(ids.take(coded.indices))
+            pieces.append(self._known(coded.dictionary, True).take(coded.indices))
         joined = pc.binary_join_element_wise(*pieces, pa.scalar(b"", pa.large_binary()))
-        other = words.filter(pc.invert(plain)).to_pylist()
-        both = pa.concat_arrays([joined, pa.array(self._known(other, False), pa.large_binary())])
+        both = pa.concat_arrays([joined, self._known(words.filter(pc.invert(plain)), False)])
         # back to the order of `words`
         mask = np.asarray(plain)
         place = np.where(mask, np.cumsum(mask) - 1, len(joined) + np.cumsum(~mask) - 1)
@@ -152,10 +187,32 @@ def closed_ids(model: WordTokenizer, texts: pa.Array, end_id: int) -> tuple[np.n
 def tokenized(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Each batch (column ``text``) with its texts' ids and their offsets."""
+    """The rows of the batches (column ``text``), about SLICE bytes of text at
+    a time, with their texts' ids and their offsets."""
     give_back()  # what other work left in this worker
     model = WordTokenizer(path)
-    for batch in batches:
+    for batch in _dealt(batches):
         yield batch, *closed_ids(model, batch.column("text"), end_id)
     del model
     give_back()
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in the same order; small batches together (the table is
+    searched once for all their words), large ones in parts."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.binary_length(batch.column("text")).fill_null(0)), dtype=np.int64)
+        at = 0
+        while at < len(batch):
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + SLICE - size, side="right")))
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1]) - before
+            at = to
+            if at < len(batch) or 2 * size >= SLICE:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)

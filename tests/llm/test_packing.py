@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -97,6 +98,73 @@ def test_tokenizer_equals_the_library(table, monkeypatch):
     assert tokens.closed_ids(model, pa.array([], pa.string()), 0)[1].tolist() == [0]
 
 
+def test_words_are_tokenised_many_at_a_time():
+    """New words, with whatever ASCII punctuation follows them, take few calls
+    of the tokenizer; known ones take none and little room in the table."""
+    model = tokens.WordTokenizer(tokenizer_path())
+    calls = []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode(self, text, **options):
+            calls.append(text)
+            return self.tokenizer.encode(text, **options)
+
+    model.model, model.runs = Counted(model.model), Counted(model.runs)
+    letters = "abcdefghijklmnopqrstuvwxyzßàéñÿ"
+    words = [a + b + c + d for a in letters for b in letters for c in letters[:20] for d in ("", "e")]
+    texts = [" ".join(w + t for w, t in zip(words, ["", "$$$", "''", "_%", "***,"] * len(words), strict=False))]
+    ids, _ = model.ids(pa.array(texts))
+    assert ids.tolist() == reference_ids(texts)[0][:-1]
+    assert len(calls) <= len(words) // tokens.AT_ONCE + 5
+    assert model.size <= 100 * len(words)
+    calls.clear()
+    again, _ = model.ids(pa.array(texts))
+    assert again.tolist() == ids.tolist() and not calls
+
+
+def test_small_batches_are_tokenised_together():
+    texts = [f"word{i} and {i % 7} more" if i % 5 else None for i in range(300)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(k, k + 30)), pa.array(texts[k : k + 30], pa.string())], ["at", "text"])
+        for k in range(0, 300, 30)
+    ]
+    batches.insert(3, batches[0].slice(0, 0))
+    found, got = [], []
+    for batch, ids, offsets in tokens.tokenized(iter(batches), tokenizer_path(), 0):
+        found.append(batch)
+        got += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)]
+    assert len(found) == 1 and found[0].column("at").to_pylist() == list(range(300))
+    assert got == reference_ids(texts)
+    assert list(tokens.tokenized(iter([]), tokenizer_path(), 0)) == []
+
+
+def held_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(x.split()[1]) for x in f if x.startswith("Pss_Anon")) / 1024
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="no such figure on this system")
+def test_a_task_leaves_no_memory_behind():
+    """A worker serves many tasks; what each left would add up."""
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(60_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(words)])], ["text"])
+
+    def task():
+        for _ in tokens.tokenized(iter([batch]), tokenizer_path(), 0):
+            pass
+
+    for _ in range(3):
+        task()
+    before = held_mb()
+    for _ in range(8):
+        task()
+    assert held_mb() - before < 10
+
+
 def check(rows, docs):
     """Pieces, checksums and places against the library's ids."""
     want = sorted(
