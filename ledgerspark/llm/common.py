@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,20 @@ from ledgerspark.session import fresh_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: Arrow's own allocator, and the system's with its defaults, keep tens of
+#: megabytes of freed blocks in each worker; so large ones go back at once
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(1 << 20)}
+
 
 def ready() -> None:
     """Lets Python workers look for this package where the driver found it (on
-    a cluster it is installed, or shipped with --py-files).  Every operator
-    that runs Python calls it; a path that is set already stays."""
+    a cluster it is installed, or shipped with --py-files) and settles how they
+    take memory.  Every operator that runs Python calls it; what is set already
+    stays."""
     spark = SparkSession.getActiveSession()
     if spark is not None:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        for name, value in {"PYTHONPATH": ROOT, **WORKER_MEMORY}.items():
+            spark.sparkContext.environment.setdefault(name, value)
 
 
 def give_back() -> None:
@@ -111,6 +118,13 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if data_bytes(df) <= BROADCAST_BYTES else df
 
 
+def whole_numbers(spark: SparkSession, rows: list[tuple[int, ...]], names: list[str]) -> DataFrame:
+    """A few rows of whole numbers as a frame.  They go as Arrow: rows of
+    Python objects would start workers of another kind on the executors."""
+    columns = np.array(rows, np.int64).reshape(-1, len(names)).T
+    return spark.createDataFrame(pa.table([pa.array(c) for c in columns], names=names))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -31,12 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import ready, shuffle_partitions, stored, text_of
+from ledgerspark.llm.common import ready, shuffle_partitions, stored, text_of, whole_numbers
 from ledgerspark.llm.tokens import tokenized
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long, ids binary"
-INTERVALS = "length long, lo long, hi long, copies long, first_sequence long, at long"
-
+INTERVALS = ["length", "lo", "hi", "copies", "first_sequence", "at"]
 
 
 def tokenized_pieces(
@@ -156,9 +155,7 @@ def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """
     spark = pieces.sparkSession
     target = max(1, sum(histogram.values()) // (8 * shuffle_partitions(spark)))
-    salts = spark.createDataFrame(
-        [(length, -(-n // target)) for length, n in histogram.items()], "length long, n_salts long"
-    )
+    salts = whole_numbers(spark, [(length, -(-n // target)) for length, n in histogram.items()], ["length", "n_salts"])
     dealt = pieces.join(F.broadcast(salts), "length").withColumn(
         "salt", F.pmod(F.xxhash64("row", "piece"), F.col("n_salts"))
     )
@@ -179,7 +176,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     spark = pieces.sparkSession
     # at most `capacity` rows
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = spark.createDataFrame(plan_sequences(histogram, capacity), INTERVALS)
+    plan = whole_numbers(spark, plan_sequences(histogram, capacity), INTERVALS)
     columns = [c for c in pieces.columns if c != "row"]
     p, r = F.broadcast(plan).alias("plan"), ranked(pieces, histogram).alias("r")
     step = F.col("r.rank") - F.col("plan.lo")

@@ -1,9 +1,11 @@
+import os
 import re
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from ledgerspark.llm.common import stored
+from ledgerspark.llm.common import ready, stored, whole_numbers
 from ledgerspark.llm.pii import base_spans
 from ledgerspark.llm.queries import CAPACITY
 
@@ -104,3 +106,25 @@ def test_odd_tables_go_through_every_stage(spark, odd_docs, no_docs, empty):
     assert sorted({(r.doc_id is None, r.doc_id or 0) for r in rows}) == [(False, k) for k in (1, 2, 3, 4, 5, 7, 8, 9, 10)] + [(True, 0)]
     left = {r.doc_id: r for r in docs.collect()}
     assert left[1].text is None and left[10].text.startswith("mail me: [EMAIL]") and left[10].row == 9  # the column passes through
+
+
+def test_workers_take_arrow_memory_from_the_system(spark):
+    """Arrow's own allocator keeps what it has freed, in every worker."""
+    ready()
+
+    def pools(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"pool": [pa.default_memory_pool().backend_name]})
+
+    rows = spark.range(1).mapInArrow(pools, "pool string").collect()
+    assert [r.pool for r in rows] == [os.environ.get("ARROW_DEFAULT_MEMORY_POOL", "system")]
+
+
+def test_small_tables_start_no_python_workers(spark, capsys):
+    rows = [(1, 2**40), (-3, 0)]
+    frame = whole_numbers(spark, rows, ["a", "b"])
+    assert frame.dtypes == [("a", "bigint"), ("b", "bigint")]
+    assert sorted(map(tuple, frame.collect())) == sorted(rows)
+    assert whole_numbers(spark, [], ["a", "b"]).collect() == []
+    frame.explain()
+    assert "LocalTableScan" in capsys.readouterr().out
