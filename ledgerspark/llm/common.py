@@ -56,13 +56,28 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
+#: bytes of values that a stored file is to have at least
+FILE_BYTES = 4 << 20
+
+
+def files_for(spark: SparkSession, size: int) -> int:
+    """Into how many files ``size`` bytes go: one for each core, more from
+    ``FILE_BYTES`` a core on."""
+    return max(spark.sparkContext.defaultParallelism, -(-int(size) // FILE_BYTES))
+
+
+def stored(df: DataFrame, kind: str, size: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage, so a lost executor costs a re-read and nothing is
-    computed twice.
+    computed twice.  ``size``: an upper bound of its bytes, where known; a
+    small frame is then not written as one file for each shuffle partition.
+    (Every file costs a task, and Hadoop without its native library starts a
+    ``chmod`` process for each.)
     """
     path = fresh_path(df.sparkSession, kind)
+    if size is not None:
+        df = df.coalesce(files_for(df.sparkSession, size))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import broadcast_if_small, crc_mod, discard, ready, stored
+from ledgerspark.llm.common import broadcast_if_small, crc_mod, data_bytes, discard, ready, stored
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 #: levels made in one step, by blocks of 2^BLOCK nodes
@@ -97,7 +97,8 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
         .drop("_row")
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    placed = stored(ranges, "numbered").withColumn("_part", F.shiftright("_place", 33))
+    # one number is added to each row
+    placed = stored(ranges, "numbered", 2 * data_bytes(df)).withColumn("_part", F.shiftright("_place", 33))
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row for each partition
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -110,7 +111,8 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
 def _blocks(batches: Iterator[pa.RecordBatch], base: int) -> Iterator[pa.RecordBatch]:
     """The nodes of each block, from level ``base`` up to the block's top."""
     for batch in batches:
-        for block in batch.to_pylist():
+        for i in range(len(batch)):  # one block at a time as Python objects
+            block = batch.slice(i, 1).to_pylist()[0]
             g, n, out = block["g"], block["n"], []
             at = block["block"] << BLOCK
             nodes = [(m["digest"], m["row"]) for m in block["members"]]
@@ -138,10 +140,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], base: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_pylist(out, _NODE)
 
 
-def tree(members: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
-    """(nodes, subroots) over ``members``: g, n (members of the group), idx,
-    digest, row.  nodes: every node under a subroot with its 1-level segment;
-    subroots: g, digest."""
+#: bytes of a node, without its segment, at most
+NODE_BYTES = 200
+
+
+def tree(members: DataFrame, largest: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """(nodes, subroots) over the ``total`` ``members``: g, n (members of the
+    group), idx, digest, row.  nodes: every node under a subroot with its
+    1-level segment; subroots: g, digest."""
     ready()
     lone = members.where("n = 1")
     parts = [
@@ -156,7 +162,7 @@ def tree(members: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
             .agg(F.array_sort(F.collect_list(F.struct("idx", "digest", "row"))).alias("members"))
         )
         step = base
-        nodes = stored(grouped.mapInArrow(lambda b, step=step: _blocks(b, step), NODES), "tree")
+        nodes = stored(grouped.mapInArrow(lambda b, step=step: _blocks(b, step), NODES), "tree", 2 * total * (NODE_BYTES + 33))
         base += BLOCK
         parts.append(nodes.where("digest is null"))
         up = nodes.where("digest is not null")
@@ -165,8 +171,9 @@ def tree(members: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
     return reduce(DataFrame.unionAll, parts), reduce(DataFrame.unionAll, tops)
 
 
-def jumped(nodes: DataFrame, largest: int) -> DataFrame:
-    """Every leaf (level 0) with all siblings up to its subroot."""
+def jumped(nodes: DataFrame, largest: int, total: int) -> DataFrame:
+    """Every one of the ``total`` leaves (level 0) with all siblings up to its
+    subroot."""
     current, old = nodes.drop("n", "digest"), None
     step = 1
     while step < (largest - 1).bit_length():
@@ -191,7 +198,7 @@ def jumped(nodes: DataFrame, largest: int) -> DataFrame:
             F.concat("low.seg", F.coalesce("high.more", F.unhex(F.lit("")))).alias("seg"),
             "low.row",
         )
-        current = stored(joined, f"jump-{k}")
+        current = stored(joined, f"jump-{k}", 2 * total * (NODE_BYTES + 2 * step * 33))
         if old is not None:
             discard(old)
         old, step = current, 2 * step
@@ -233,10 +240,12 @@ def manifest(
     siblings), proof_sha256, folded_root (from the tampered leaf where there
     is one) and verified."""
     spark = docs.sparkSession
-    rows = numbered(stored(leaves(docs, columns, group, key), "leaves"), ["grp", "doc_id", "leaf"])
+    hashed = stored(leaves(docs, columns, group, key), "leaves")
+    rows = numbered(hashed, ["grp", "doc_id", "leaf"])
     # a group is named by the position of its first leaf; their order is the groups'
-    groups = stored(rows.groupBy("grp").agg(F.min("position").alias("g"), F.count(F.lit(1)).alias("n")), "groups")
-    largest, n_groups = groups.agg(F.max("n"), F.count(F.lit(1))).first()
+    named = rows.groupBy("grp").agg(F.min("position").alias("g"), F.count(F.lit(1)).alias("n"))
+    groups = stored(named, "groups", data_bytes(hashed))
+    largest, n_groups, total = groups.agg(F.max("n"), F.count(F.lit(1)), F.sum("n")).first()
     members = rows.join(broadcast_if_small(groups), rows["grp"].eqNullSafe(groups["grp"])).select(
         "g",
         "n",
@@ -244,10 +253,10 @@ def manifest(
         F.col("leaf").alias("digest"),
         F.struct("doc_id", "leaf", "changed").alias("row"),
     )
-    nodes, subroots = tree(members, largest or 0)
-    paths = jumped(nodes, largest or 0)
+    nodes, subroots = tree(members, largest or 0, total or 0)
+    paths = jumped(nodes, largest or 0, total or 0)
 
-    tops = numbered(stored(subroots, "subroots"), ["g"]).select(
+    tops = numbered(stored(subroots, "subroots", n_groups * NODE_BYTES), ["g"]).select(
         F.lit(0).cast("long").alias("g"),
         F.lit(n_groups).cast("long").alias("n"),
         F.col("position").alias("idx"),
@@ -256,13 +265,14 @@ def manifest(
             F.col("g").alias("doc_id"), F.col("digest").alias("leaf"), F.lit(None).cast("binary").alias("changed")
         ).alias("row"),
     )
-    top_nodes, roots = tree(tops, n_groups)
-    top_paths = jumped(top_nodes, n_groups)
+    top_nodes, roots = tree(tops, n_groups, n_groups)
+    top_paths = jumped(top_nodes, n_groups, n_groups)
     above = stored(
         top_paths.join(F.broadcast(roots.withColumnRenamed("digest", "root")), "g").select(  # one root
             F.col("row.doc_id").alias("g"), F.col("row.leaf").alias("subroot"), "root", F.col("seg").alias("upper")
         ),
         "above",
+        n_groups * (NODE_BYTES + 33 * 64),
     )
     proofs = paths.join(broadcast_if_small(above), "g").select(
         F.col("row.doc_id").alias("doc_id"),

@@ -110,3 +110,30 @@ def test_any_changed_value_fails_the_proof(spark):
         tampered = zlib.crc32(str(r.doc_id).encode()) % 7 == 0
         assert r.verified != tampered
         assert len(r.proof) == 33 * 6
+
+
+def test_small_frames_are_few_files(spark, monkeypatch):
+    """Not one file for each shuffle partition: each costs a task and a process."""
+    from ledgerspark.llm import common, merkle
+
+    files = {}
+
+    def counted(df, kind, *size):
+        out = common.stored(df, kind, *size)
+        files[kind] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(merkle, "stored", counted)
+    rows = [{"doc_id": i, "source": "s", "lang": f"l{i % 5}", "n_chars": 3, "text": f"t{i}"} for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    few = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        got = found(manifest(df))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_force(rows)
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism
