@@ -44,6 +44,7 @@ from ledgerspark.llm.common import (
     BROADCAST_BYTES,
     broadcast_if_small,
     data_bytes,
+    files_for,
     ready,
     row_key,
     shuffle_partitions,
@@ -58,6 +59,7 @@ BATCH = 16  # hashes compared between two looks at the posterior
 PER_HUB = 64  # partners that share one copy of a hub's shingle set
 GROUP_BYTES = 16_000_000  # shingle sets in one task group
 BLOCK = 256  # classes in a block
+LARGE = 1_000_000  # bytes; what smaller groups leave behind is not worth a whole collection
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(1, 2**63, PERMS, dtype=U) * U(2) + U(1)
@@ -139,10 +141,10 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node reachable.  Minimum over neighbours, then one jump along
     the labels, until nothing changes.  Labels are broadcast while their
     measured size allows, and joined by a shuffle beyond."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels"
-    )
+    size = 2 * data_bytes(edges)
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges", size)
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label"))
+    labels = stored(labels, "labels", size)
     sent = F.broadcast if data_bytes(labels) <= BROADCAST_BYTES else (lambda df: df)
     while True:
         near = both.join(sent(labels), both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
@@ -151,7 +153,7 @@ def components(edges: DataFrame) -> DataFrame:
         )
         to = sent(labels.select(F.col("node").alias("at"), F.col("label").alias("there")))
         jumped = step.join(to, step.next == to.at).select("node", F.least("next", "there").alias("label"), "old")
-        moved = stored(jumped, "labels")
+        moved = stored(jumped, "labels", 2 * size)
         labels = moved.select("node", "label")
         if moved.where(F.col("label") != F.col("old")).isEmpty():
             return labels
@@ -196,7 +198,8 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
             F.col("a").alias("other"),
             F.pmod(F.xxhash64("a"), F.ceil(F.col("degree") / PER_HUB)).alias("salt"),
         ),
-        "pairs",
+        "dealt",
+        2 * data_bytes(pairs),
     )
     known = full.select("cls", "members")
     hubs = known.join(broadcast_if_small(dealt.select("hub", "salt").distinct()), F.col("cls") == F.col("hub")).select(
@@ -204,7 +207,8 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
     )
     others = known.join(broadcast_if_small(dealt), F.col("cls") == F.col("other")).select("hub", "salt", "other", "members")
     size = full.agg(F.avg(F.octet_length("members"))).first()[0] or 0
-    groups = max(shuffle_partitions(spark), int(2 * dealt.count() * size // GROUP_BYTES))
+    sent = int(2 * dealt.count() * size)
+    groups = max(shuffle_partitions(spark), sent // GROUP_BYTES)
     per = int(round(threshold * 1_000_000))
 
     def check(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -218,8 +222,10 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
             both = len(np.intersect1d(x, y, assume_unique=True))
             if 1_000_000 * both >= per * (len(x) + len(y) - both):
                 keep.append((rows["other"].iat[k], rows["hub"].iat[k]))
+        held = sum(s.nbytes for s in sets)
         del rows, sets, of
-        give_back()
+        if held >= LARGE:
+            give_back()
         return pd.DataFrame(keep, columns=["a", "b"])
 
     return (
@@ -227,6 +233,7 @@ def exact_links(pairs: DataFrame, full: DataFrame, threshold: float) -> DataFram
         .withColumn("g", F.pmod(F.xxhash64("hub", "salt"), F.lit(groups)))
         .groupBy("g")
         .applyInPandas(check, "a binary, b binary")
+        .coalesce(files_for(spark, sent))
     )
 
 
@@ -241,7 +248,9 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
     """``near_duplicates`` with the class that stands for the group (label)."""
     ready()
     bounds = least_matches(threshold, miss)
+    spark = docs.sparkSession
     sketch = stored(sketches(docs, ngram), "sketches")
+    size = data_bytes(sketch)
     classes = stored(
         sketch.where(F.col("cls").isNotNull())
         .groupBy("cls")
@@ -251,6 +260,7 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
             F.min(F.struct("sig")).getField("sig").alias("sig"),
         ),
         "classes",
+        size,
     )
 
     # buckets with at least two classes
@@ -265,16 +275,20 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
     )
     number = F.xxhash64("cls")
     shared = each.select("key", number.alias("h")).groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    shared = stored(shared.where("low != high").select("key"), "shared")
-    buckets = stored(each.join(broadcast_if_small(shared), "key").select("band", "key", "cls"), "buckets")
-    near = stored(classes.join(broadcast_if_small(buckets.select("cls").distinct()), "cls", "left_semi"), "near")
+    shared = stored(shared.where("low != high").select("key"), "shared", 2 * size)
+    # a class has BANDS numbers in its signature, and as many rows here at most
+    buckets = stored(each.join(broadcast_if_small(shared), "key").select("band", "key", "cls"), "buckets", 8 * size)
+    bucketed = data_bytes(buckets)
+    near = stored(classes.join(broadcast_if_small(buckets.select("cls").distinct()), "cls", "left_semi"), "near", size)
     sig = near.select("cls", "sig")
 
-    full = stored(shingle_sets(docs, near, ngram).dropDuplicates(["cls"]), "sets")
+    in_sets = size + 8 * (sketch.agg(F.sum("n_shingles")).first()[0] or 0)
+    full = stored(shingle_sets(docs, near, ngram).dropDuplicates(["cls"]), "sets", in_sets)
 
     def against(asked: DataFrame, pivots: DataFrame) -> DataFrame:
         """Links of the classes in ``asked`` (key, cls) to their buckets'
         pivots: of those that pass the bounds the best one, verified."""
+        tasks = files_for(spark, asked.count() * 2 * (4 * PERMS + 64))
         tried = (
             asked.join(broadcast_if_small(pivots), "key")
             .where(F.col("cls") != F.col("pivot"))
@@ -282,15 +296,16 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
             .distinct()
             .join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("x")), "a")
             .join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("y")), "b")
+            .coalesce(tasks)
             .mapInPandas(_compared(bounds), "a binary, b binary, matches long")
         )
         best = tried.groupBy("a").agg(F.max(F.struct("matches", "b")).getField("b").alias("b"))
-        return stored(exact_links(stored(best, "pairs"), full, threshold), "links")
+        return stored(exact_links(stored(best, "pairs", size), full, threshold), "links")
 
     def pivots_of(rows: DataFrame, number: int) -> DataFrame:
         """Any one class of each bucket; another one in each round and bucket."""
         return stored(
-            rows.groupBy("key").agg(F.min_by("cls", F.xxhash64("key", "cls", F.lit(number))).alias("pivot")), "pivots"
+            rows.groupBy("key").agg(F.min_by("cls", F.xxhash64("key", "cls", F.lit(number))).alias("pivot")), "pivots", bucketed
         )
 
     # first round: each class against the pivots of its buckets
@@ -299,7 +314,7 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
     # different texts under one doc_id belong together
     named = sketch.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "cls")
     repeated = named.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where(F.col("a") != F.col("z"))
-    repeated = stored(repeated.select("doc_id", "a"), "repeated")
+    repeated = stored(repeated.select("doc_id", "a"), "repeated", size)
     if not repeated.isEmpty():
         links = links.union(named.join(repeated, "doc_id").where("cls != a").select("a", F.col("cls").alias("b")))
 
@@ -308,9 +323,9 @@ def _grouped(docs: DataFrame, ngram: int, threshold: float, miss: float) -> Data
     number, left = 0, None
     while True:
         labels = components(links)
-        members, open_ = _opened(buckets, labels)
+        members, open_ = _opened(buckets, labels, 2 * bucketed)
         inside = members.join(broadcast_if_small(open_), "key")
-        outside = stored(inside.where("label != main").select("key", "cls"), "outside")
+        outside = stored(inside.where("label != main").select("key", "cls"), "outside", bucketed)
         n = outside.count()
         if not n or left is not None and 2 * n > left:
             break
@@ -351,9 +366,10 @@ def deduplicate(docs: DataFrame, ngram: int = 5, threshold: float = 0.8, miss: f
     linked = decided.where("n_shingles > 0")
     chosen = linked.where("kept").groupBy("label").agg(F.min("rid").alias("chosen"))
     drop = linked.join(chosen, "label").where("rid != chosen").select("rid").distinct()
-    drop = stored(drop, "copies")
+    size = data_bytes(decided)
+    drop = stored(drop, "copies", size)
     again = linked.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rid")
-    again = stored(again.join(drop, "rid", "left_anti"), "repeats")
+    again = stored(again.join(drop, "rid", "left_anti"), "repeats", size)
     # the row as one column: its own column names cannot clash with ours
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("row"), row_key().alias("own"))
@@ -381,15 +397,15 @@ def _compared(bounds: list[tuple[int, int]]):
     return compare
 
 
-def _opened(buckets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The buckets' members with their component, and the buckets that hold
-    several: key, main (the largest one), n (members), n_main (of those in it)."""
-    members = stored(_labelled(buckets, labels, "cls", "label"), "members")
+def _opened(buckets: DataFrame, labels: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The buckets' members (of ``size`` bytes at most) with their component,
+    and the buckets that hold several: key, main (the largest one), n (members), n_main (of those in it)."""
+    members = stored(_labelled(buckets, labels, "cls", "label"), "members", size)
     sizes = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     bucket = sizes.groupBy("key").agg(
         F.max(F.struct("n", "label")).getField("label").alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main")
     )
-    return members, stored(bucket.where("n > n_main"), "open")
+    return members, stored(bucket.where("n > n_main"), "open", size)
 
 
 def _open_links(
@@ -463,8 +479,10 @@ def _open_links(
         found = [np.concatenate(pair) for pair in candidates(rows)]
         at = np.unique(np.concatenate(found)) if found else []
         out = rows.iloc[at].drop(columns=["sig", "g"])
+        held = 4 * PERMS * len(rows)
         del rows, found
-        give_back()
+        if held >= LARGE:
+            give_back()
         return out
 
     schema = "key long, band int, cls binary, label binary, is_main boolean, outside boolean, x int, y int"

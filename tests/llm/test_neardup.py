@@ -131,3 +131,31 @@ def test_rows_without_id(spark):
     joins = neardup.shingle_sets(docs, classes, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "doc_id" not in joins.split("Join", 1)[1].split("\n")[0]
     assert neardup.shingle_sets(docs, classes, 5).count() == 60
+
+
+def test_small_frames_are_few_files(spark, monkeypatch):
+    """Not one file for each shuffle partition: each costs a task and a process."""
+    files = collections.defaultdict(list)
+    whole = neardup.stored
+
+    def counted(df, kind, *size):
+        out = whole(df, kind, *size)
+        files[kind].append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    base = [f"w{k}" for k in range(100)]
+    docs = [(i, " ".join([*base[: 99 - i % 5], f"own{i}"])) for i in range(200)]
+    docs += [(1000 + i, f"alone {i} " + " ".join(f"x{i}y{k}" for k in range(30))) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    few = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        agree(near_duplicates(df, 4).collect(), docs, 4)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    cores = spark.sparkContext.defaultParallelism
+    assert {k: n for k, n in files.items() if max(n) > cores and k != "sketches"} == {}
