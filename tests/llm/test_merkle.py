@@ -120,7 +120,7 @@ def test_small_frames_are_few_files(spark, monkeypatch):
 
     def counted(df, kind, *size):
         out = common.stored(df, kind, *size)
-        files[kind] = len(out.inputFiles())
+        files[kind] = max(files.get(kind, 0), len(out.inputFiles()))
         return out
 
     monkeypatch.setattr(merkle, "stored", counted)
